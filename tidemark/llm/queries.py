@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, quality, warc
+from tidemark.llm import bpe, exact_dedup, line_dedup, near_dedup, quality, substring_dedup, warc
 from tidemark.llm.common import scratch, table
 
 
@@ -22,6 +22,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, bpe.build(spark, docs, tokenizer_file()))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = line_dedup.drop_frequent(docs, line_dedup.batches_of(docs, 4), threshold=10, min_chars=1)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "utf-8"), 256).alias("kept_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -37,11 +43,23 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path, payloads=False).select(page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", page(F.col("refers_to")).alias("refers_to"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.components(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_warc": op8_warc,
+    "op9_minhash": op9_minhash,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL: dict[str, str] = {}
