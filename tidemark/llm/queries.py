@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, line_dedup, near_dedup, quality, substring_dedup, warc
+from tidemark.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, near_dedup, quality, substring_dedup, url_filter, warc
 from tidemark.llm.common import scratch, table
 
 
@@ -22,6 +22,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, bpe.build(spark, docs, tokenizer_file()))
 
 
+#: Longest fitting rule first: (verdict, host/path).
+RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    # The number that ends a path names the document that the page shows.
+    number = F.regexp_extract(url_filter.path_of(F.col("url")), r"/(\d{1,18})(?:\.html)?/?$", 1).try_cast("bigint")
+    return url_filter.judge(table(spark, sf_dir, "pages"), labels, RULES, label_key=number)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = line_dedup.drop_frequent(docs, line_dedup.batches_of(docs, 4), threshold=10, min_chars=1)
@@ -32,10 +43,21 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), PHRASES)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups_of(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), budget_percent=150, max_epochs=2)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write(warc.revisits(table(spark, sf_dir, "pages")), path)
@@ -54,9 +76,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_url_filters": op2_url_filters,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_mixing": op7_mixing,
     "op8_warc": op8_warc,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
