@@ -132,7 +132,7 @@ def scan(
             maybe &= F.contains("lower", F.lit(word))
         return F.when(maybe, phrase_places(F.col("lower"), phrase)).otherwise(none)
 
-    found = F.array(*[F.struct(F.lit(label).alias("label"), places(p).alias("at")) for p, label in phrases.items()])
+    found = F.array(*[F.struct(F.lit(label).alias("label"), places(p).alias("at")) for p, label in phrases.items()]).cast("array<struct<label: string, at: array<int>>>")
     lines = F.transform(F.filter(F.split("lower", "\n"), lambda x: x.rlike(rf"(?<![0-9a-z\x{{80}}-\x{{10FFFF}}])(?:{starts})(?![0-9a-z\x{{80}}-\x{{10FFFF}}])")), words_of)
     windows = lambda ws: F.when(F.size(ws) <= WINDOW, F.array(ws)).otherwise(F.transform(F.sequence(F.lit(1), F.size(ws), F.lit(HALF)), lambda k: F.slice(ws, k, WINDOW)))
     blocks = F.flatten(F.transform(lines, windows))

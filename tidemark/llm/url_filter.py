@@ -76,9 +76,9 @@ def template_tree(urls: DataFrame, depth: int = DEPTH, min_urls: int = MIN_URLS,
         branch = below.groupBy("host", "template", "__part").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
         node = branch.groupBy("host", "template").agg(F.sum("n").alias("node_n"), F.sum("labelled").alias("node_labelled"), F.sum("bad").alias("node_bad"))
         own = branch.where(F.col("n") >= min_urls).join(node, ["host", "template"])
-        pooled = F.col("node_bad") / F.col("node_labelled")
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / F.col("node_labelled")))
-        differs = F.coalesce((F.col("labelled") > 0) & (spread > 0) & (F.abs(F.col("bad") / F.col("labelled") - pooled) > z * spread), F.lit(False))
+        pooled = F.try_divide("node_bad", "node_labelled")
+        spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "labelled") + F.try_divide(F.lit(1), "node_labelled")))
+        differs = F.coalesce((spread > 0) & (F.abs(F.try_divide("bad", "labelled") - pooled) > z * spread), F.lit(False))
         own = own.where((100 * F.col("n") >= min_percent * F.col("node_n")) & differs)
         literal = own.select(F.col("host").alias("__h"), F.col("template").alias("__t"), F.col("__part").alias("__p"))
         part = F.get("__parts", F.lit(level))
@@ -92,7 +92,7 @@ def judged_templates(rows: DataFrame, smoothing: float = SMOOTHING, reject: floa
     """(host, template, n, labelled, bad, badness, rejected) of ``template_tree``'s rows."""
     one = rows.groupBy("host", "template").agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     one = cut(one, "templates")
-    total = one.agg(F.sum("bad") / F.sum("labelled")).first()[0]
+    total = one.agg(F.try_divide(F.sum("bad"), F.sum("labelled"))).first()[0]
     hosts = one.groupBy(F.col("host").alias("__h")).agg(((F.sum("bad") + F.lit(smoothing * (total or 0.0))) / (F.sum("labelled") + smoothing)).alias("prior"))
     badness = (F.col("bad") + smoothing * F.col("prior")) / (F.col("labelled") + smoothing)
     return one.join(hosts, F.col("host") == F.col("__h")).select("host", "template", "n", "labelled", "bad", badness.alias("badness"), (badness >= reject).alias("rejected"))
