@@ -7,8 +7,9 @@
    the similarity, and candidates that are far below the threshold go no further.
 3. A bucket doesn't list its pairs. First every member is confirmed against the bucket's most central member
    (the one in the fullest buckets) and the links are joined into components. Then, only in buckets that still
-   hold several components, members of different components are confirmed. Before that, members are left out
-   whose shingles that no other candidate has make the threshold unreachable: this bound is exact.
+   hold several components, members of different components are confirmed. Two exact bounds come before that:
+   members are left out whose shingles that no other candidate has make the threshold unreachable, and pairs
+   whose parity sketches differ in more bits than the threshold lets the sets differ in shingles.
 4. Components come from minimum labels with pointer jumping; documents get their class's component.
 
 A link of similarity at the threshold shares no bucket with a chance below one in a million; all links between
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut
 
 MINIMA, LOW_BITS = 128, 4
+PARITY_BITS = 1024
 #: Standard deviations below the threshold at which an estimate ends a candidate pair.
 MARGIN = 5.5
 #: Ids up to which a list is sent to all tasks; a longer one is joined by shuffling.
@@ -96,8 +98,16 @@ def signature(least: np.ndarray) -> np.ndarray:
     return (low << (np.arange(per, dtype=np.uint64) * np.uint64(LOW_BITS))).sum(axis=1, dtype=np.uint64)
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Of PARITY_BITS bits each is set if an odd number of the hashes falls on it. The bits in which two sketches
+    differ are at most as many as the hashes that only one of the sets has."""
+    odd = np.bincount((hashes & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float) -> DataFrame:
-    """id, n_shingles and, unless the set is empty, class ``c`` (128-bit digest of the set), band hashes, signature."""
+    """id, n_shingles and, unless the set is empty, class ``c`` (128-bit digest of the set), band hashes, signature
+    and parity sketch."""
     bands, rows = bands_for(threshold)
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -105,7 +115,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             count = np.zeros(len(texts), np.int64)
-            digest, band, sig = np.zeros((len(texts), 2), np.int64), np.zeros((len(texts), bands), np.int64), np.zeros((len(texts), MINIMA * LOW_BITS // 64), np.int64)
+            digest, band, sig, odd = (np.zeros((len(texts), n), np.int64) for n in (2, bands, MINIMA * LOW_BITS // 64, PARITY_BITS // 64))
             for k, text in enumerate(texts):
                 s = shingles(text, size)
                 count[k] = len(s)
@@ -114,12 +124,13 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
                     least = minima(s)
                     band[k] = band_hashes(least, bands, rows).view(np.int64)
                     sig[k] = signature(least).view(np.int64)
+                    odd[k] = parity(s)
             none = count == 0
             c = pa.StructArray.from_arrays([pa.array(digest[:, 0]), pa.array(digest[:, 1])], ["a", "b"], mask=pa.array(none))
-            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())) for x in (band, sig)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), c, *lists], names=["id", "n", "c", "bands", "sig"])
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())) for x in (band, sig, odd)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), c, *lists], names=["id", "n", "c", "bands", "sig", "odd"])
 
-    return source.mapInArrow(run, "id bigint, n bigint, c struct<a: bigint, b: bigint>, bands array<bigint>, sig array<bigint>")
+    return source.mapInArrow(run, "id bigint, n bigint, c struct<a: bigint, b: bigint>, bands array<bigint>, sig array<bigint>, odd array<bigint>")
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -156,6 +167,14 @@ def estimate(x: Column, y: Column) -> Column:
     return (1 - differ / MINIMA - chance) / (1 - chance)
 
 
+def sketch_distance(x: Column, y: Column) -> Column:
+    """Bits in which two parity sketches differ: a lower bound of how many shingles only one of the sets has."""
+    differ = F.lit(0)
+    for k in range(PARITY_BITS // 64):
+        differ = differ + F.bit_count(x[k].bitwiseXOR(y[k]))
+    return differ
+
+
 def least_estimate(threshold: float) -> float:
     chance = 1 / (1 << LOW_BITS)
     p = threshold + (1 - threshold) * chance
@@ -196,7 +215,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     threshold = percent / 100
     described = cut(describe(docs, id_col, text_col, size, threshold), "minhash")
     rows = described.select("id", "n", "c")
-    classes = described.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    classes = described.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("odd").alias("odd"))
     classes = cut(classes, "classes")
     members = classes.select("c", "n", "sig", F.posexplode("bands").alias("band", "h"))
     sizes = members.groupBy("band", "h").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -208,7 +227,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stars = members.join(pivots, ["band", "h"]).where((F.col("c") != F.col("p.c")) & near)
     stars = cut(stars.select(F.least("c", "p.c").alias("x"), F.greatest("c", "p.c").alias("y")).distinct(), "stars")
 
-    candidates = cut(members.select("c").distinct().join(classes.select("c", "rep", "n"), "c"), "candidates")
+    candidates = cut(members.select("c").distinct().join(classes.select("c", "rep", "n", "odd"), "c"), "candidates")
     sets = cut(sets_of(docs, candidates, id_col, text_col, size), "sets")
     edges = cut(confirmed(stars, sets, percent), "links")
     labels = connected(edges)
@@ -237,19 +256,20 @@ def _between(members: DataFrame, labels: DataFrame, candidates: DataFrame, sets:
     inside = held.select("c").distinct()
     rare = sets.join(inside, "c", "left_semi").select("c", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c")).where("n = 1")
     own = rare.groupBy("c").agg(F.count(F.lit(1)).alias("own"))
-    room = candidates.join(inside, "c", "left_semi").join(own, "c", "left").select("c", (F.col("n") - F.coalesce("own", F.lit(0))).alias("room"), F.col("n").alias("n_room"))
+    room = candidates.join(inside, "c", "left_semi").join(own, "c", "left").select("c", "odd", (F.col("n") - F.coalesce("own", F.lit(0))).alias("room"), F.col("n").alias("n_room"))
     room = room.where(100 * F.col("room") >= percent * F.col("n_room")).drop("n_room")
     held = cut(held.join(room, "c"), "open-members")
     if held.isEmpty():
         return None
-    x = held.where(F.col("label") != F.col("main")).select("band", "h", *[F.col(k).alias(f"x_{k}") for k in ("c", "n", "sig", "label", "main", "room")])
-    y = held.select("band", "h", *[F.col(k).alias(f"y_{k}") for k in ("c", "n", "sig", "label", "room")])
+    x = held.where(F.col("label") != F.col("main")).select("band", "h", *[F.col(k).alias(f"x_{k}") for k in ("c", "n", "sig", "label", "main", "room", "odd")])
+    y = held.select("band", "h", *[F.col(k).alias(f"y_{k}") for k in ("c", "n", "sig", "label", "room", "odd")])
     most = F.least("x_room", "y_room")
     fits = (
         (F.col("x_label") != F.col("y_label"))
         & ((F.col("y_label") == F.col("x_main")) | (F.col("x_c") < F.col("y_c")))
         & could_link(F.col("x_n"), F.col("y_n"), percent)
         & (100 * most >= percent * (F.col("x_n") + F.col("y_n") - most))
+        & (sketch_distance(F.col("x_odd"), F.col("y_odd")) * (100 + percent) <= (100 - percent) * (F.col("x_n") + F.col("y_n")))
         & (estimate(F.col("x_sig"), F.col("y_sig")) >= least_estimate(threshold))
     )
     same = (x["band"] == y["band"]) & (x["h"] == y["h"])
