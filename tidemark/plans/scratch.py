@@ -1,0 +1,26 @@
+"""Tables that cut a plan's lineage, in the folder that the cluster shares."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below ``spark.checkpoint.dir``. Only a local master may do without that setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
