@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, near_dedup, quality, substring_dedup, url_filter, warc
+from tidemark.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, near_dedup, quality, sql, substring_dedup, url_filter, warc
 from tidemark.llm.common import scratch, table
 
 
@@ -87,4 +87,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+#: SQL has neither the tokenizer (1), the template tree (2) nor rolling hashes (10); tests hold those against brute force.
+SQL: dict[str, str] = {
+    "op3_line_dedup": sql.line_dedup(10),
+    "op4_quality_rules": sql.quality(quality.RATES, quality.SPREAD, quality.MIN_DOCS),
+    "op5_license_scan": sql.license_scan(PHRASES, license_scan.TEMPLATES, license_scan.THRESHOLD, license_scan.WINDOW, license_scan.HALF),
+    "op6_exact_dedup": sql.exact_dedup(),
+    "op7_mixing": sql.mixing((3, 1, 2), 150, 2, mixing.LEAST_WEIGHT),
+    "op8_warc": sql.warc(),
+    "op9_minhash": sql.near_dedup(3, 85),
+}
