@@ -55,8 +55,8 @@ def match_pairs(spark, sf_dir):
     return events.match_pairs(both.select("match_id", "char_id", "opponent_char_id", "outcome"))
 
 
-@query("""WITH RECURSIVE up(item_id, at, steps) AS (SELECT p_partkey, p_partkey // 2, 1 FROM part WHERE p_partkey > 0 UNION ALL SELECT item_id, at // 2, steps + 1 FROM up WHERE at > 0)
-SELECT item_id, at AS origin_id, steps FROM up WHERE at = 0""")
+@query("""WITH RECURSIVE up(item_id, origin, steps) AS (SELECT p_partkey, p_partkey // 2, 1 FROM part WHERE p_partkey > 0 UNION ALL SELECT item_id, origin // 2, steps + 1 FROM up WHERE origin > 0)
+SELECT item_id, origin AS origin_id, steps FROM up WHERE origin = 0""")
 def item_lineage(spark, sf_dir):
     """Each part came from the one of half its number."""
     moves = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("new_item_id"), F.floor(F.col("p_partkey") / 2).alias("item_id"))

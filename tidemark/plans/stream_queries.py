@@ -35,7 +35,7 @@ def stream_dedup(spark, sf_dir):
 SELECT pk, tick, CASE WHEN t IS NULL OR t <> tick - 1 THEN 'CREATED' ELSE 'UPDATED' END AS op FROM l WHERE t IS NULL OR t <> tick - 1 OR h <> g""")
 def stream_ticks(spark, sf_dir):
     """Days are ticks of a population of users whose state is the day's last event type."""
-    days = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("pk"), F.dayofmonth("ts").cast("bigint").alias("tick")).agg(F.xxhash64(F.max_by("event_type", "event_id")).alias("row_hash"))
+    days = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("pk"), F.dayofmonth("ts").cast("bigint").alias("tick")).agg(F.xxhash64(F.max_by("event_type", "event_id")).alias("row_hash"), F.max(F.col("ts").cast("timestamp")).alias("ts"))
     return run(streams.ticks(staged(days, "stream-in")), "stream-ticks")
 
 

@@ -22,17 +22,19 @@ def dedup_stream(events: DataFrame, delay: str, event_id: str = "event_id", time
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([event_id])
 
 
-def ticks(rows: DataFrame, forget_after_ms: int = 600_000) -> DataFrame:
-    """(pk, tick, op) of a stream of population rows (pk, tick, row_hash): CREATED for a key that the tick before
-    didn't have, UPDATED for another hash. Keys that leave send nothing, and their state goes after a while."""
+def ticks(rows: DataFrame, delay: str = "1 minute", forget_after_s: int = 86_400) -> DataFrame:
+    """(pk, tick, op) of a stream of population rows (pk, tick, row_hash, ts): CREATED for a key that the tick before
+    didn't have, UPDATED for another hash. Keys that leave send nothing; their state goes once event time is
+    ``forget_after_s`` past their last row."""
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         tick, last = state.get if state.exists else (None, None)
-        out = []
+        out, seen = [], 0
         for row in pd.concat(list(frames)).sort_values("tick").drop_duplicates("tick", keep="last").itertuples():
+            seen = max(seen, row.ts.value // 1_000_000)
             if tick is not None and row.tick <= tick:
                 continue
             if tick is None or row.tick != tick + 1:
@@ -41,10 +43,11 @@ def ticks(rows: DataFrame, forget_after_ms: int = 600_000) -> DataFrame:
                 out.append((key[0], row.tick, "UPDATED"))
             tick, last = int(row.tick), int(row.row_hash)
         state.update((tick, last))
-        state.setTimeoutDuration(forget_after_ms)
+        state.setTimeoutTimestamp(max(seen + forget_after_s * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["pk", "tick", "op"])
 
-    return rows.select("pk", "tick", "row_hash").groupBy("pk").applyInPandasWithState(step, "pk bigint, tick bigint, op string", "tick bigint, row_hash bigint", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    timed = rows.select("pk", "tick", "row_hash", "ts").withWatermark("ts", delay)
+    return timed.groupBy("pk").applyInPandasWithState(step, "pk bigint, tick bigint, op string", "tick bigint, row_hash bigint", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def store_changes(events: DataFrame, silence_s: int = 1500, delay: str = "1 minute") -> DataFrame:
