@@ -19,7 +19,7 @@ from tidemark.sources import snapshots, windows
 GHOST = 10_000_000
 HASHED = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 LINE = ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
-TS = F.lit(1_700_000_000_000).cast("bigint")
+TS = 1_700_000_000_000
 
 
 def spec_of(orders: DataFrame, lines: DataFrame) -> EntitySpec:
@@ -73,7 +73,7 @@ FROM changes c LEFT JOIN orders o ON o.o_orderkey = c.pk AND c.op <> 'DELETED' L
 def capture_events(spark, sf_dir):
     """Change events with their assembled payloads."""
     spec = current_spec(spark, sf_dir)
-    events = capture.change_events(spec, cut(changes_of(spark, sf_dir), "changes"), TS)
+    events = capture.change_events(spec, cut(changes_of(spark, sf_dir), "changes"), F.lit(TS).cast("bigint"))
     lines = F.col("payload.lines")
     return events.select(
         "entity_name", "pk", "op", F.col("payload.o_custkey").alias("custkey"), F.col("payload.o_totalprice").alias("totalprice"),
@@ -284,7 +284,7 @@ def apply_to_target(spark, sf_dir):
     """The earlier state with the change events applied is the current state."""
     old = previous_spec(spark, sf_dir).df.select(F.col("o_orderkey").alias("pk"), F.col("o_custkey").alias("custkey"), F.col("o_totalprice").alias("totalprice"))
     spec = current_spec(spark, sf_dir)
-    events = capture.change_events(spec, cut(changes_of(spark, sf_dir), "changes"), TS)
+    events = capture.change_events(spec, cut(changes_of(spark, sf_dir), "changes"), F.lit(TS).cast("bigint"))
     flat = events.select("pk", "op", F.col("payload.o_custkey").alias("custkey"), F.col("payload.o_totalprice").alias("totalprice"), "ts_ms", F.lit(0).alias("seq"))
     return apply.apply_changes(old, flat)
 
