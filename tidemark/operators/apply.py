@@ -83,18 +83,20 @@ def reconcile_catalogue(target: DataFrame, burst: DataFrame) -> DataFrame:
     """The target (entity_name, pk, payload) after a burst: its rows are put, and rows of the entity that it didn't
     have are removed, but only if a marker counts the distinct rows of its sync id right and isn't 0."""
     ups = burst.where("op = 'UPSERT'")
-    put = latest(ups.select("entity_name", "pk", "payload", "ts_ms"), ["entity_name", "pk"], "ts_ms").drop("ts_ms")
     seen = ups.groupBy("entity_name", "sync_id").agg(F.count_distinct("pk").alias("n"))
     told = burst.where("op = 'SNAPSHOT_COMPLETE' AND count > 0").select("entity_name", "sync_id", "count", "ts_ms")
+    # One row an entity: its newest sync whose marker counts right.
     sound = latest(told.join(seen, ["entity_name", "sync_id"]).where("n = count").select("entity_name", "sync_id", "ts_ms"), ["entity_name"], "ts_ms")
-    known = ups.join(sound.select("entity_name", "sync_id"), ["entity_name", "sync_id"], "left_semi").select("entity_name", "pk").distinct()
-    old = target.select("entity_name", "pk", "payload").join(put.select("entity_name", "pk"), ["entity_name", "pk"], "left_anti")
-    done = sound.select("entity_name").distinct()
-    stale = old.join(done, "entity_name", "left_semi").join(known, ["entity_name", "pk"], "left_anti")
-    left = old.join(stale.select("entity_name", "pk"), ["entity_name", "pk"], "left_anti")
-    # A put that the finished sync didn't have came from an older one: it goes too.
-    put = put.join(done, "entity_name", "left_anti").unionByName(put.join(known, ["entity_name", "pk"], "left_semi"))
-    return left.unionByName(put)
+    sound = sound.select("entity_name", F.col("sync_id").alias("__sync"))
+    put = ups.join(sound, "entity_name", "left").groupBy("entity_name", "pk").agg(
+        F.max_by("payload", "ts_ms").alias("__put"),
+        # Without a sound sync every put stays; with one, a put that it didn't have came from an older sync.
+        F.max(F.col("__sync").isNull() | (F.col("sync_id") == F.col("__sync"))).alias("__known"),
+    )
+    old = target.select("entity_name", "pk", F.col("payload").alias("__old")).join(sound.withColumnRenamed("__sync", "__done"), "entity_name", "left")
+    both = old.join(put, ["entity_name", "pk"], "full_outer")
+    stays = F.when(F.col("__known").isNotNull(), F.col("__known")).otherwise(F.col("__done").isNull())
+    return both.where(stays).select("entity_name", "pk", F.when(F.col("__known").isNotNull(), F.col("__put")).otherwise(F.col("__old")).alias("payload"))
 
 
 def replace_snapshot_state(snapshots: DataFrame, key: str, order: str, entries: str) -> DataFrame:
