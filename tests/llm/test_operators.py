@@ -15,11 +15,11 @@ from tidemark.llm.common import scratch
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, w string"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, copies string, id string"
 
 
 def rows_of(texts):
-    return [(k, t, "en" if k % 3 else None, f"s{k % 4}" if k % 5 else None, len(t or ""), "x", "y") for k, t in enumerate(texts)]
+    return [(k, t, "en" if k % 3 else None, f"s{k % 4}" if k % 5 else None, len(t or ""), "x", "y", "z") for k, t in enumerate(texts)]
 
 
 @pytest.fixture(scope="module")
