@@ -19,6 +19,7 @@ import json
 import os
 import re
 import tempfile
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,19 +32,33 @@ from tidemark.llm import lexicon
 from tidemark.llm.common import WS, cut, text_or_empty
 
 #: Words of the lexicon at most, and their UTF-8 bytes at most: bounds of what the driver collects and compiles.
-LEXICON_WORDS = 1 << 17
+LEXICON_WORDS = 1 << 18
 LEXICON_WORD_BYTES = 48
 #: Words seen fewer times are left to merging.
 MIN_COUNT = 4
 #: Characters that a batch of whole texts gathers before its words are looked up; a longer text is a batch itself.
 BATCH_CHARS = 4 << 20
-#: Merged words that a Python worker remembers; then it forgets all of them.
-CACHE_WORDS = 300_000
+#: Merged words, and pieces of words, that a Python worker remembers; then it forgets all of them.
+CACHE_WORDS = 200_000
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\x09-\x0d\x20\x85\xa0  -     　]+")
 
 
+#: Words of these characters, printable ASCII and Latin letters, are their own NFC form and lower-case one by one
+#: (but for the dotted capital I); their pieces are cut here, as the tokenizer's own steps would.
+_LATIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+_LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u017f]+|[0-9]|[^a-z\u00c0-\u017f0-9]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: printable Latin-1 for itself, the other
+    bytes for those from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 def split_words(text: str) -> list[str]:
     """Runs between Unicode white space. ``str.split`` also splits at four control characters that aren't."""
     if _SEPARATORS.search(text):
@@ -77,6 +92,23 @@ class Merger:
         for token, i in [*self.ids.items(), *self.special.items()]:
             self.tokens[i] = token.encode()
         self.decoder = own.decoder
+        self.letters = {chr(b): c for b, c in byte_letters().items()}
+        # The quick way holds for one kind of tokenizer; all others take the tokenizer's own steps.
+        kinds = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        pattern = splits[0].get("pattern", {}).get("Regex") if splits else None
+        self.latin = kinds == ["NFC", "Replace", "Lowercase"] and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+        self.pieces: dict[str, list[int]] = {}
+
+    def piece(self, piece: str) -> list[int]:
+        """:meth:`merge`, remembered."""
+        if (ids := self.pieces.get(piece)) is None:
+            ids = self.merge(piece)
+            if len(piece) <= 64:
+                if len(self.pieces) >= CACHE_WORDS:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+        return ids
 
     def merge(self, piece: str) -> list[int]:
         """Ids of one piece of the splitter: the lowest-ranked pair first, the leftmost of equals."""
@@ -85,6 +117,8 @@ class Merger:
             return []
         parts[-1] += self.end
         n = len(parts)
+        if n <= 32:
+            return self._merge_short(parts)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         rank = self.merges.get
         heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank((parts[i], parts[i + 1]))) is not None]
@@ -104,12 +138,34 @@ class Merger:
                 heapq.heappush(heap, (r, h, parts[h], parts[i]))
         return [self.ids[p] for p in parts if p is not None and p in self.ids]
 
+    def _merge_short(self, parts: list[str]) -> list[int]:
+        """The same for few parts, by looking through all ranks each time."""
+        get, none = self.merges.get, len(self.merges)
+        ranks = [get(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == none:
+                break
+            i = ranks.index(least)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get((parts[i], parts[i + 1]), none)
+            if i:
+                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
+        return [self.ids[p] for p in parts if p in self.ids]
+
     def plain(self, text: str) -> list[int]:
         if not text:
             return []
+        if self.latin and _LATIN.fullmatch(text):
+            ids = []
+            for piece in _LATIN_PIECES.findall(text.lower()):
+                ids += self.piece(piece if piece.isascii() else "".join([self.letters[c] for c in piece.encode().decode("latin-1")]))
+            return ids
         text = self.normalizer.normalize_str(text) if self.normalizer else text
         pieces = self.splitter.pre_tokenize_str(text) if self.splitter else [(text, None)]
-        return [i for piece, _ in pieces for i in self.merge(piece)]
+        return [i for piece, _ in pieces for i in self.piece(piece)]
 
     def word(self, text: str) -> list[int]:
         """Ids of a word; special tokens in it stand for themselves."""
@@ -135,12 +191,12 @@ class Codec:
         known = np.flatnonzero(rank >= 0)
         at = self.arrays["ids_at"]
         first, last = at[rank[known]].tolist(), at[rank[known] + 1].tolist()
-        ids = self.arrays["ids"]
-        found = {words[k]: ids[a:b].tobytes() for k, a, b in zip(known.tolist(), first, last)}
+        ids = memoryview(self.arrays["ids"]).cast("B")
+        found = {words[k]: bytes(ids[4 * a : 4 * b]) for k, a, b in zip(known.tolist(), first, last)}
         for k in np.flatnonzero(rank < 0).tolist():
             word = words[k]
             if (x := self.merged.get(word)) is None:
-                x = np.array(self.merger.word(word), "<u4").tobytes()
+                x = array("I", self.merger.word(word)).tobytes()
                 if len(word) <= 256:
                     if len(self.merged) >= CACHE_WORDS:
                         self.merged.clear()

@@ -94,7 +94,7 @@ def load(path: str) -> dict[str, np.ndarray]:
     """Memory-mapped arrays of a file by :func:`save`; processes of one machine share its pages."""
     with open(path, "rb") as f:
         head = f.readline()
-    raw = np.memmap(path, np.uint8, "r")
+    raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
     found = {}
     for name, (kind, n, at) in json.loads(head).items():
         start = len(head) + at
