@@ -96,7 +96,8 @@ class LineRuns:
 
 
 def batches_of(docs: DataFrame, n: int) -> list[DataFrame]:
-    """Up to ``n`` batches of a table of files, each a share of the files; otherwise the table itself."""
+    """Up to ``n`` batches of a table read from files, each a share of the files; otherwise the table itself. The
+    table must be as it was read, without filters."""
     files = sorted(docs.inputFiles())
     spark = docs.sparkSession
     if len(files) < 2 or not all(f.endswith(".parquet") for f in files):

@@ -124,6 +124,6 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     Texts move once, joined with the copies of their ids.
     """
     sized = cut(sizes(docs, id_col, source_col, text_col, weight, seed), "mix-sizes")
-    copies = plan(sized, **options).where("copies > 0 AND size > 0").select(F.col("id").alias("__id"), "copies")
+    copies = plan(sized, **options).where("copies > 0 AND size > 0").select(F.col("id").alias("__id"), F.col("copies").alias("__copies"))
     taken = docs.join(copies, F.col(id_col).eqNullSafe(F.col("__id")))
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(*docs.columns)
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))).select(*docs.columns)
