@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 #: Bytes of a range that one task reads, and of one read call.
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 20
+MAX_TASKS = 20_000
 #: A header block of a record is shorter than this.
 HEAD_BYTES = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
@@ -139,12 +140,11 @@ def write(rows: DataFrame, path: str) -> None:
     rows.mapInArrow(run, "file string, records bigint").agg(F.sum("records")).collect()
 
 
-def ranges(path: str, split_bytes: int = SPLIT_BYTES) -> list[tuple[str, int, int]]:
-    """(file, start, end) of every archive's byte ranges: a short list, as a file manifest is."""
+def archives(path: str) -> list[tuple[str, int]]:
+    """(file, bytes) of the archives below ``path``: the manifest, one entry a file."""
     fs, folder = pafs.FileSystem.from_uri(path)
     files = fs.get_file_info(pafs.FileSelector(folder, recursive=True))
-    files = sorted((f.path, f.size) for f in files if f.is_file and f.base_name.endswith(".warc.gz") and not f.base_name.startswith("."))
-    return [(p, a, min(a + split_bytes, size)) for p, size in files for a in range(0, size, split_bytes)]
+    return sorted((f.path, f.size) for f in files if f.is_file and f.size and f.base_name.endswith(".warc.gz") and not f.base_name.startswith("."))
 
 
 class Window:
@@ -214,10 +214,14 @@ def records_of(file, start: int, end: int) -> Iterator[tuple[int, dict]]:
 
 def read(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, payloads: bool = True) -> DataFrame:
     """One row per record of the archives below ``path``; without ``payloads`` that column is null."""
-    parts = ranges(path, split_bytes)
-    if not parts:
+    files = archives(path)
+    if not files:
         return spark.createDataFrame([], RECORDS)
-    told = spark.createDataFrame(parts, "file string, start bigint, end bigint").repartition(len(parts), "file", "start")
+    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(split_bytes).cast("bigint"))).alias("start")
+    told = spark.createDataFrame(files, "file string, size bigint").select("file", "size", start)
+    told = told.select("file", "start", F.least(F.col("start") + split_bytes, "size").alias("end"))
+    # A task takes one range, or several where there are more ranges than MAX_TASKS.
+    told = told.repartition(min(MAX_TASKS, sum(-(-size // split_bytes) for _, size in files)), "file", "start")
 
     def run(batches):
         fs, _ = pafs.FileSystem.from_uri(path)
