@@ -113,13 +113,13 @@ def test_ledger_claims_and_transitions(spark):
     assert [x[2] for x in found] == ["IN_FLIGHT", "REPLAY_OK", "CLAIMED", "IN_FLIGHT", "IN_FLIGHT", "CLAIMED", "IN_FLIGHT"] and found[1][3] == "res"
     after = {r.correlation_id: r for r in ledger.apply_claims(book, claims).collect()}
     assert len(after) == 6 and after["c"].status == "STARTED" and after["c"].claim_json is None and after["b"].result_json == "res"
-    moves = [("a", "charge_if_started", 1, 50, None), ("a", "ok_if_charged", 2, None, "yes"), ("b", "fail", 1, None, None), ("d", "refund", 1, None, None), ("d", "fail", 2, None, None), ("x", "ok", 1, None, None)]
+    moves = [("a", "charge_if_started", 1, 50, None), ("a", "ok_if_charged", 2, None, "yes"), ("a", "steps_done", 3, None, None), ("a", "unheard_of", 4, None, None), ("b", "fail", 1, None, None), ("d", "refund", 1, None, None), ("d", "fail", 2, None, None), ("x", "ok", 1, None, None)]
     moves = spark.createDataFrame([(i, a, at + dt.timedelta(days=n), m, r) for i, a, n, m, r in moves], "correlation_id string, action string, ts timestamp, amount bigint, result_json string")
     settled, told = ledger.settle(book, moves)
     got = {r.correlation_id: r for r in settled.collect()}
-    assert (got["a"].status, got["a"].charged_adena, got["a"].result_json) == ("OK", 50, "yes") and got["b"].status == "OK"
+    assert (got["a"].status, got["a"].charged_adena, got["a"].result_json) == ("OK", 50, "yes") and got["a"].steps_done_at == at + dt.timedelta(days=3) and got["b"].status == "OK"
     assert (got["d"].status, got["d"].charged_adena, got["d"].mail_id, got["d"].claim_json) == ("FAILED", 0, None, None)
-    assert {(r.correlation_id, r.action): r.applied for r in told.collect()} == {("a", "charge_if_started"): True, ("a", "ok_if_charged"): True, ("b", "fail"): False, ("d", "refund"): True, ("d", "fail"): True, ("x", "ok"): False}
+    assert {(r.correlation_id, r.action): r.applied for r in told.collect()} == {("a", "charge_if_started"): True, ("a", "ok_if_charged"): True, ("a", "steps_done"): True, ("a", "unheard_of"): False, ("b", "fail"): False, ("d", "refund"): True, ("d", "fail"): True, ("x", "ok"): False}
 
 
 def stream_of(df, name):

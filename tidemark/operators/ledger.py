@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -90,25 +90,30 @@ TRANSITIONS = {
 def settle(ledger: DataFrame, transitions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ledger after the transitions, transitions with ``applied``) of rows (correlation_id, action, ts, amount, result_json).
 
-    Those of a receipt are taken in the order of time. One whose guard fails, or whose receipt isn't there, does
-    nothing and is reported. A refund takes the charge back; a failure clears mail and claim.
+    Those of a receipt are taken in the order of time. One whose guard fails, whose receipt isn't there or whose
+    action is unknown does nothing and is reported. A refund takes the charge back; a failure clears mail and claim.
     """
     moves = transitions.select("correlation_id", "action", F.col("ts").cast("timestamp").alias("ts"), "amount", F.col("result_json").alias("told"))
     both = moves.join(ledger.select("correlation_id", "status", "charged_adena"), "correlation_id", "left")
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["ts", "action"], kind="stable").reset_index(drop=True)
-        status, applied, after = rows["status"].iloc[0], [], []
-        for action in rows["action"]:
-            start, end = TRANSITIONS[action]
-            sound = status is not None and (start is None or status in start)
-            status = (end or status) if sound else status
-            applied.append(sound)
-            after.append(status)
-        rows["applied"], rows["after"] = applied, after
-        return rows[["correlation_id", "action", "ts", "amount", "told", "applied", "after"]]
-
-    told = both.groupBy("correlation_id").applyInPandas(walk, "correlation_id string, action string, ts timestamp, amount bigint, told string, applied boolean, after string")
+    def walk(batches):
+        key, status, begun = None, None, False
+        for batch in batches:
+            applied, after = [], []
+            for k, action, first in zip(*[batch.column(c).to_pylist() for c in ("correlation_id", "action", "status")]):
+                if k != key or not begun:
+                    key, status, begun = k, first, True
+                start, end = TRANSITIONS.get(action, ((), None))
+                sound = status is not None and (start is None or status in start)
+                status = (end or status) if sound else status
+                applied.append(sound)
+                after.append(status)
+            kept = [batch.column(c) for c in ("correlation_id", "action", "ts", "amount", "told")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(applied, pa.bool_()), pa.array(after, pa.string())], names=["correlation_id", "action", "ts", "amount", "told", "applied", "after"])
+
+    # A receipt's moves are neighbours in one task, so its status is all that a task remembers.
+    ordered = both.repartition("correlation_id").sortWithinPartitions("correlation_id", "ts", "action")
+    told = ordered.mapInArrow(walk, "correlation_id string, action string, ts timestamp, amount bigint, told string, applied boolean, after string")
     from tidemark.plans.scratch import cut
 
     told = cut(told, "settled")
@@ -116,12 +121,13 @@ def settle(ledger: DataFrame, transitions: DataFrame) -> tuple[DataFrame, DataFr
     last = done.groupBy("correlation_id").agg(
         F.max_by("after", F.struct("ts", "action")).alias("n_status"),
         F.max_by(F.when(F.col("action") == "refund", F.lit(0).cast("bigint")).otherwise(F.col("amount")), F.when(F.col("action").isin("charge", "charge_if_started", "refund"), F.struct("ts", "action"))).alias("n_charge"),
-        F.max_by("told", F.when(F.col("after") == "OK", F.struct("ts", "action"))).alias("n_result"),
+        F.max_by("told", F.when(F.col("action").isin("ok", "ok_if_charged"), F.struct("ts", "action"))).alias("n_result"),
         F.max(F.when(F.col("after").isin("OK", "FAILED") & (F.col("action") != "steps_done"), F.col("ts"))).alias("n_completed"),
         F.max(F.when(F.col("action") == "steps_done", F.col("ts"))).alias("n_steps"),
+        F.max(F.col("action") == "fail").alias("failed"),
     )
     both = ledger.join(last, "correlation_id", "left")
-    failed = F.coalesce(F.col("n_status") == "FAILED", F.lit(False))
+    failed = F.coalesce("failed", F.lit(False))
     new = {
         "status": F.coalesce("n_status", "status"),
         "charged_adena": F.coalesce("n_charge", "charged_adena"),
