@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +38,9 @@ LEXICON_WORD_BYTES = 48
 #: Words seen fewer times are left to merging.
 MIN_COUNT = 4
 #: Characters that a batch of whole texts gathers before its words are looked up; a longer text is a batch itself.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 1 << 20
 #: Merged words, and pieces of words, that a Python worker remembers; then it forgets all of them.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\x09-\x0d\x20\x85\xa0  -     　]+")
@@ -284,16 +285,17 @@ def build(spark: SparkSession, docs: DataFrame, tokenizer_json: str, text_col: s
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of batches with their texts, of BATCH_CHARS characters or one text each."""
+    """Slices of batches with their texts, of BATCH_CHARS characters or one text each; only a slice's texts become
+    Python strings at a time."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
+        lengths = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
         at, chars = 0, 0
-        for k, t in enumerate(texts):
-            if chars and chars + len(t) > BATCH_CHARS:
-                yield batch.slice(at, k - at), texts[at:k]
+        for k, n in enumerate([*lengths, None]):
+            if n is None or (chars and chars + n > BATCH_CHARS):
+                rows = batch.slice(at, k - at)
+                yield rows, [t or "" for t in rows.column(1).to_pylist()]
                 at, chars = k, 0
-            chars += len(t)
-        yield batch.slice(at), texts[at:]
+            chars += n or 0
 
 
 def encode(docs: DataFrame, names: tuple[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
