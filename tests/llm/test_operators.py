@@ -157,6 +157,20 @@ def test_license_phrases_and_templates(spark, docs, texts, none):
         assert r.labels == ",".join(sorted({label for label, _ in hits})) and r.score == pytest.approx(max(hits.values(), default=0))
 
 
+def test_license_statements_over_several_lines(spark):
+    wrapped = {
+        "mit": "# Copyright X\n#\n# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the Software), to deal",
+        "bsd": "Redistribution and use in source and binary forms, with or without\r\nmodification, are permitted provided that the following conditions\r\nare met:",
+        "gpl": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License",
+        "proprietary": "\n".join("All Rights Reserved".split()),
+    }
+    far = lambda t: "\n".join(f"word{k} other\nline" for k in range(50)) + "\n" + t + "\n" + "\n".join("some more words" for _ in range(70))
+    rows = [(f"{label}{k}", x) for label, t in wrapped.items() for k, x in enumerate((t, far(t)))]
+    rows += [("none0", "all\n" + "word\n" * 200 + "rights reserved"), ("none1", "any code\nassociated\n\n")]
+    for k, r in by_id(license_scan.scan(spark.createDataFrame(rows, "doc_id string, text string"), {})).items():
+        assert r.labels == ("" if k[:-1] == "none" else k[:-1]) and r.score == (0 if k[:-1] == "none" else 1)
+
+
 @pytest.mark.parametrize("keep", ["min", "max"])
 @pytest.mark.parametrize("colliding", [False, True])
 def test_exact_groups_survive_collisions(docs, texts, none, keep, colliding):

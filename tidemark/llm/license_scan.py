@@ -10,8 +10,9 @@ length filter: the block has a tokens or more; positional filter: what follows t
 sides, can still reach a. Pairs that pass are counted exactly. The templates are a fixed, short list and so part
 of the plan; documents are never moved.
 
-A block is a line; a longer line is cut into windows of WINDOW words, each starting HALF a window after the last,
-so a statement of up to HALF words lies whole in one.
+Blocks are the lines and the whole text, line breaks as spaces; what is longer is cut into windows of WINDOW words,
+each starting HALF a window after the last, so a statement of up to HALF words lies whole in one, wherever its author
+broke the lines. Lines and windows of the whole text that hold no prefix token are left out.
 
 Cases: a null or empty text has no words, no places and no labels; repeated rows and ids are scanned alike; an
 empty table gives an empty result; only the named columns are read.
@@ -94,8 +95,9 @@ def template_hits(blocks: Column, order: Sequence[str], templates: Sequence[tupl
         near = (n >= least) & (F.size(prefix) > 0) & (1 + after >= least)
         return F.when(near, F.when(both >= least, both / m))
 
-    best = F.transform(F.array(*book), lambda t: F.struct(t["label"].alias("label"), F.array_max(F.transform(sets, lambda b: share(t, b))).alias("share")))
-    return F.filter(best, lambda x: x["share"].isNotNull())
+    # In an array of one, the sets are made once, not once a template.
+    best = F.transform(F.array(sets), lambda bs: F.transform(F.array(*book), lambda t: F.struct(t["label"].alias("label"), F.array_max(F.transform(bs, lambda b: share(t, b))).alias("share"))))
+    return F.filter(F.flatten(best), lambda x: x["share"].isNotNull())
 
 
 def prefix_tokens(order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float) -> list[str]:
@@ -121,7 +123,9 @@ def scan(
     ``phrases``: lower-case words joined by spaces, to label. ``score``: 1 with a base label, else the best share.
     """
     order = frequency_order(docs, templates, text_col)
-    starts = "|".join(re.escape(t) for t in prefix_tokens(order, templates, threshold))
+    prefixes = prefix_tokens(order, templates, threshold)
+    starts = "|".join(map(re.escape, prefixes))
+    start = rf"(?<![0-9a-z\x{{80}}-\x{{10FFFF}}])(?:{starts})(?![0-9a-z\x{{80}}-\x{{10FFFF}}])"
     rows = docs.select(F.col(id_col).alias("id"), ascii_lower(text_or_empty(text_col)).alias("lower"))
     # Only texts that hold every word of a phrase, and lines that hold a prefix token, are taken apart.
     none = F.array().cast("array<int>")
@@ -133,9 +137,11 @@ def scan(
         return F.when(maybe, phrase_places(F.col("lower"), phrase)).otherwise(none)
 
     found = F.array(*[F.struct(F.lit(label).alias("label"), places(p).alias("at")) for p, label in phrases.items()]).cast("array<struct<label: string, at: array<int>>>")
-    lines = F.transform(F.filter(F.split("lower", "\n"), lambda x: x.rlike(rf"(?<![0-9a-z\x{{80}}-\x{{10FFFF}}])(?:{starts})(?![0-9a-z\x{{80}}-\x{{10FFFF}}])")), words_of)
+    lines = F.transform(F.filter(F.split("lower", "\n"), lambda x: x.rlike(start)), words_of)
     windows = lambda ws: F.when(F.size(ws) <= WINDOW, F.array(ws)).otherwise(F.transform(F.sequence(F.lit(1), F.size(ws), F.lit(HALF)), lambda k: F.slice(ws, k, WINDOW)))
-    blocks = F.flatten(F.transform(lines, windows))
+    whole = F.when(F.contains("lower", F.lit("\n")) & F.col("lower").rlike(start), F.array(words_of(F.col("lower")))).otherwise(F.array().cast("array<array<string>>"))
+    across = F.filter(F.flatten(F.transform(whole, windows)), lambda w: F.arrays_overlap(w, F.array(*map(F.lit, prefixes))))
+    blocks = F.concat(F.flatten(F.transform(lines, windows)), across)
     empty = F.array().cast("array<struct<label: string, share: double>>")
     hits = F.when(F.col("lower").rlike(starts), template_hits(blocks, order, templates, threshold)).otherwise(empty)
     rows = rows.select("id", F.regexp_count("lower", F.lit(WORD)).cast("bigint").alias("n_words"), found.alias("found"), hits.alias("hits"))
