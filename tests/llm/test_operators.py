@@ -277,6 +277,23 @@ def test_near_components(spark, docs, texts, none, size, percent):
     assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == [k for k, b in enumerate(best) if b == k]
 
 
+def test_near_copies_and_mix_tell_rows_by_id_and_text(spark):
+    rs = random.Random(13)
+    say = lambda: " ".join(f"w{rs.randrange(5000)}" for _ in range(100))
+    a, b, c, d, e, f = (say() for _ in range(6))
+    near = lambda t: t + " more"
+    schema = "doc_id bigint, source string, text string"
+    rows = [(1, a), (None, near(a)), (None, b), (None, c), (None, near(c)), (None, c), (7, near(a)), (7, d), (8, e), (8, near(e)), (None, ""), (None, None), (9, f), (9, f)]
+    kept = near_dedup.keep_one(spark.createDataFrame([(i, "s", t) for i, t in rows], schema).repartition(3)).collect()
+    found = collections.Counter((r.doc_id, r.text) for r in kept)
+    assert set(found.values()) == {1} and {(1, a), (None, b), (7, d), (None, ""), (None, None), (9, f)} <= set(found)
+    assert len({(None, c), (None, near(c))} & set(found)) == 1 and len({(8, e), (8, near(e))} & set(found)) == 1 and len(found) == 8
+    rows = [(None, a), (None, b), (None, c), (5, d), (5, e), (6, f), (6, f)]
+    for budget in (100, 200):
+        mix = mixing.mixed(spark.createDataFrame([(i, "s", t) for i, t in rows], schema), budget_percent=budget).collect()
+        assert collections.Counter((r.doc_id, r.text) for r in mix) == {k: n * budget // 100 for k, n in collections.Counter(rows).items()}
+
+
 def test_labels_reach_along_a_chain(spark):
     pair = lambda x: (x, x)
     edges = spark.createDataFrame([(pair(k), pair(k + 1)) for k in range(60) if k != 30], "x struct<a: bigint, b: bigint>, y struct<a: bigint, b: bigint>")

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WS, cut, text_or_empty
+from tidemark.llm.common import WS, cut, digest128, text_or_empty
 
 #: Bins of the keys within a source; quality weights are at least this, which bounds the fullest bin's share.
 BINS, LEAST_WEIGHT = 2048, 0.5
@@ -45,13 +45,14 @@ def quality_weight(text: Column, size: Column) -> Column:
     return F.greatest(F.lit(LEAST_WEIGHT), 1 - far / 20)
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weight: Column | None = None, seed: str = "mix") -> DataFrame:
-    """(id, source, size, key) of every document; ``weight`` is a quality weight in [LEAST_WEIGHT, 1]."""
+def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weight: Column | None = None, seed: str = "mix", digests: bool = False) -> DataFrame:
+    """(id, source, size, key) of every document; ``weight`` is a quality weight in [LEAST_WEIGHT, 1]. With ``digests``
+    also that of the text, ``t``."""
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), text.alias("text"), *([weight.alias("w")] if weight is not None else []))
     rows = rows.withColumn("size", n_words(F.col("text")))
     w = F.col("w") if weight is not None else quality_weight(F.col("text"), F.col("size"))
-    return rows.select("id", "source", "size", sample_key(F.col("id"), w, seed).alias("key"))
+    return rows.select("id", "source", "size", sample_key(F.col("id"), w, seed).alias("key"), *([digest128(F.col("text")).alias("t")] if digests else []))
 
 
 def sample_key(id_: Column, w: Column, seed: str) -> Column:
@@ -94,7 +95,9 @@ def targets(per_source: DataFrame, weights: Sequence[int] = (3, 1, 2), budget_pe
 
 
 def plan(sized: DataFrame, **options) -> DataFrame:
-    """(id, source, size, source_size, target, copies) of ``sizes``' rows: how often the mix takes each document."""
+    """(id, source, size, source_size, target, copies) of ``sizes``' rows, and their ``t``: how often the mix takes each
+    document."""
+    digest = [c for c in sized.columns if c == "t"]
     per_source = sized.groupBy("source").agg(F.sum("size").alias("size"))
     aims = targets(per_source, **options).withColumnsRenamed({"source": "t_source", "size": "source_size"})
     aims = aims.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint"))
@@ -103,13 +106,13 @@ def plan(sized: DataFrame, **options) -> DataFrame:
     sums = binned.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("b_source"), F.col("bin").alias("b_bin"), F.coalesce(F.sum("bin_size").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("source", "bin").orderBy(F.desc("key"), "id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "bin").orderBy(F.desc("key"), "id", *digest).rowsBetween(Window.unboundedPreceding, -1)
     rows = binned.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     rows = rows.join(sums, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bin") == F.col("b_bin")))
     small = aims.count() <= BROADCAST_SOURCES
     rows = rows.join(F.broadcast(aims) if small else aims, F.col("source").eqNullSafe(F.col("t_source")))
     middle = F.col("start") + F.col("inside") + F.col("size") / 2
-    return rows.select("id", "source", "size", "source_size", "target", (F.col("epochs") + F.when(middle <= F.col("rest"), 1).otherwise(0)).alias("copies"))
+    return rows.select("id", "source", "size", "source_size", "target", (F.col("epochs") + F.when(middle <= F.col("rest"), 1).otherwise(0)).alias("copies"), *digest)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weight: Column | None = None, seed: str = "mix", **options) -> DataFrame:
@@ -119,11 +122,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weight: Column | None = None, seed: str = "mix", **options) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with all its columns; ids must be distinct.
+    """The mix itself: every document as often as it is taken, with all its columns. Rows are told by id, source and
+    text; rows that share all three are one document, taken as often as they are together.
 
-    Texts move once, joined with the copies of their ids.
+    Texts move once, joined with the copies of their rows.
     """
-    sized = cut(sizes(docs, id_col, source_col, text_col, weight, seed), "mix-sizes")
-    copies = plan(sized, **options).where("copies > 0 AND size > 0").select(F.col("id").alias("__id"), F.col("copies").alias("__copies"))
-    taken = docs.join(copies, F.col(id_col).eqNullSafe(F.col("__id")))
+    sized = cut(sizes(docs, id_col, source_col, text_col, weight, seed, digests=True), "mix-sizes")
+    copies = plan(sized, **options).where("copies > 0 AND size > 0")
+    copies = copies.groupBy(F.col("id").alias("__id"), F.col("source").alias("__from"), F.col("t").alias("__t")).agg(F.sum("copies").alias("__copies"))
+    match = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__from")) & (F.col("__text") == F.col("__t"))
+    each = docs.withColumn("__text", digest128(text_or_empty(text_col)))
+    repeated = cut(sized.groupBy("id", "source", "t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("__id"), F.col("source").alias("__from"), F.col("t").alias("__t")), "mix-repeated")
+    if not repeated.isEmpty():
+        each = each.join(repeated, match, "left_anti").unionByName(each.join(repeated, match, "left_semi").dropDuplicates([id_col, source_col, "__text"]))
+    taken = each.join(copies, match)
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))).select(*docs.columns)

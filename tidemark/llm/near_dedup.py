@@ -16,8 +16,9 @@ A link of similarity at the threshold shares no bucket with a chance below one i
 candidates are confirmed on the whole sets.
 
 Cases: null and empty texts have no set and link with nothing; a text of fewer words than a shingle is one
-shingle; rows that share id and text are one document; rows without an id are never a representative; an empty
-table gives an empty result; further columns are ignored by :func:`components` and carried by :func:`keep_one`.
+shingle; rows that share id and text are one document; rows without an id are never a representative of others that
+have one; an empty table gives an empty result; further columns are ignored by :func:`components` and carried by
+:func:`keep_one`, which tells rows by id and text, so null and shared ids harm no other row.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, digest128, text_or_empty
 
 MINIMA, LOW_BITS = 128, 4
 PARITY_BITS = 1024
@@ -105,11 +106,11 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def describe(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float) -> DataFrame:
+def describe(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, digests: bool = False) -> DataFrame:
     """id, n_shingles and, unless the set is empty, class ``c`` (128-bit digest of the set), band hashes, signature
-    and parity sketch."""
+    and parity sketch; with ``digests`` also that of the text, ``t``."""
     bands, rows = bands_for(threshold)
-    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *([digest128(text_or_empty(text_col)).alias("t")] if digests else []))
 
     def run(batches):
         for batch in batches:
@@ -128,9 +129,10 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int, threshold:
             none = count == 0
             c = pa.StructArray.from_arrays([pa.array(digest[:, 0]), pa.array(digest[:, 1])], ["a", "b"], mask=pa.array(none))
             lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())) for x in (band, sig, odd)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), c, *lists], names=["id", "n", "c", "bands", "sig", "odd"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), c, *lists, *batch.columns[2:]], names=["id", "n", "c", "bands", "sig", "odd", *batch.schema.names[2:]])
 
-    return source.mapInArrow(run, "id bigint, n bigint, c struct<a: bigint, b: bigint>, bands array<bigint>, sig array<bigint>, odd array<bigint>")
+    schema = "id bigint, n bigint, c struct<a: bigint, b: bigint>, bands array<bigint>, sig array<bigint>, odd array<bigint>"
+    return source.mapInArrow(run, schema + (", t struct<a: bigint, b: bigint>" if digests else ""))
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -212,9 +214,19 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable over links) and kept (it is that id)."""
-    threshold = percent / 100
-    described = cut(describe(docs, id_col, text_col, size, threshold), "minhash")
+    described = cut(describe(docs, id_col, text_col, size, percent / 100), "minhash")
     rows = described.select("id", "n", "c")
+    own = _labelled(docs, described, id_col, text_col, size, percent)
+    names = own.groupBy("label").agg(F.min("rep").alias("component"))
+    own = own.join(names, "label").select("c", "component")
+    found = rows.join(own, "c", "left")
+    component = F.coalesce("component", "id")
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def _labelled(docs: DataFrame, described: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """(c, rep, label) of every class: its smallest id, and the smallest class reachable over links."""
+    threshold = percent / 100
     classes = described.where(F.col("c").isNotNull()).groupBy("c").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("odd").alias("odd"))
     classes = cut(classes, "classes")
     members = classes.select("c", "n", "sig", F.posexplode("bands").alias("band", "h"))
@@ -237,12 +249,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         more = cut(confirmed(more, sets, percent), "links")
         if not more.isEmpty():
             labels = connected(edges.unionByName(more))
-    own = classes.select("c", "rep").join(labels, "c", "left").select("c", "rep", F.coalesce("label", "c").alias("label"))
-    names = own.groupBy("label").agg(F.min("rep").alias("component"))
-    own = own.join(names, "label").select("c", "component")
-    found = rows.join(own, "c", "left")
-    component = F.coalesce("component", "id")
-    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return classes.select("c", "rep").join(labels, "c", "left").select("c", "rep", F.coalesce("label", "c").alias("label"))
 
 
 def _between(members: DataFrame, labels: DataFrame, candidates: DataFrame, sets: DataFrame, tested: DataFrame, threshold: float, percent: int) -> DataFrame | None:
@@ -278,7 +285,23 @@ def _between(members: DataFrame, labels: DataFrame, candidates: DataFrame, sets:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """The documents of which one a component stays, with all their columns."""
-    dropped = cut(components(docs, id_col, text_col, size, percent).where(~F.col("kept")).select(F.col(id_col).alias("__id")).distinct(), "near-dropped")
-    small = dropped.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(dropped) if small else dropped, F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")), "left_anti")
+    """The documents of which one a component stays, with all their columns: the one of the smallest id, without any
+    id or among texts of one id that of the smallest digest. Rows that share id and text stay once."""
+    described = cut(describe(docs, id_col, text_col, size, percent / 100, digests=True), "minhash")
+    own = _labelled(docs, described, id_col, text_col, size, percent).select("c", "label")
+    rows = described.where(F.col("c").isNotNull()).select("c", F.struct(F.col("id").isNull().alias("no_id"), "id", "t").alias("row"))
+    own = rows.groupBy("c").agg(F.min("row").alias("first")).join(own, "c")
+    first = own.groupBy("label").agg(F.min("first").alias("kept"))
+    dropped = rows.join(own.join(first, "label").select("c", "kept"), "c").where(F.col("row") != F.col("kept"))
+    dropped = cut(dropped.select(F.col("row.id").alias("__id"), F.col("row.t").alias("__t")).distinct(), "near-dropped")
+    repeated = cut(rows.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("row.id").alias("__id"), F.col("row.t").alias("__t")), "near-repeated")
+
+    def match(keys, kind):
+        small = keys.count() <= BROADCAST_IDS
+        return left.join(F.broadcast(keys) if small else keys, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__t")), kind)
+
+    left = docs.withColumns({"__own": F.col(id_col).cast("bigint"), "__text": digest128(text_or_empty(text_col))})
+    left = match(dropped, "left_anti")
+    if not repeated.isEmpty():
+        left = match(repeated, "left_anti").unionByName(match(repeated, "left_semi").dropDuplicates(["__own", "__text"]))
+    return left.drop("__own", "__text")
