@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import apply, capture, resync
 from tidemark.operators.capture import ChildSpec, EntitySpec, ParentSpec
-from tidemark.plans.scratch import shared_path
+from tidemark.scratch import shared_path
 from tidemark.sources import snapshots, windows
 
 SNAP = "pk bigint, row_hash bigint"

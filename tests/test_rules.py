@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import hashing, ids, values
 from tidemark.operators import catalogue, events, ledger, stats
-from tidemark.plans.scratch import shared_path
+from tidemark.scratch import shared_path
 from tidemark.sources import records
 from tidemark.streaming import streams
 

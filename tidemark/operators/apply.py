@@ -137,8 +137,12 @@ def online_state(sources: DataFrame, key: str = "char_id") -> DataFrame:
     return latest(sources, [key], "ts", "source")
 
 
-def server_status(events: DataFrame, key: str = "server_id", time: str = "event_time") -> DataFrame:
-    """``online`` or ``stopping`` by the latest event; late replays, being older, change nothing."""
+def server_status(events: DataFrame, known: DataFrame | None = None, key: str = "server_id", time: str = "event_time") -> DataFrame:
+    """``online`` or ``stopping`` by the latest event. ``known``: (key, time) up to which each server has been told; a
+    late replay, at or before that, changes nothing."""
+    if known is not None:
+        told = known.groupBy(F.col(key).alias("__key")).agg(F.max(time).alias("__told"))
+        events = events.join(told, F.col(key) == F.col("__key"), "left").where(F.col("__told").isNull() | (F.col(time) > F.col("__told"))).drop("__key", "__told")
     last = latest(events, [key], time)
     return last.withColumn("status", F.when(F.col("msg_type") == "ServerStartedEvent", "online").when(F.col("msg_type") == "ServerStoppingEvent", "stopping"))
 

@@ -6,12 +6,15 @@ All keys are BIGINT. A snapshot is a table (pk, row_hash); absence is a join's m
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import hashing
+from tidemark.operators.lookups import bracket_lookup
+from tidemark.scratch import cut
+from tidemark.sources.windows import targeted_keys
 
 
 @dataclass(frozen=True)
@@ -97,25 +100,39 @@ def diff_window(current: DataFrame, snapshot: DataFrame, lo: int, hi: int) -> Da
 
 
 def diff_windows(current: DataFrame, snapshot: DataFrame, windows: DataFrame, failed: DataFrame) -> DataFrame:
-    """Changes outside windows (lo, hi) that couldn't be read: their keys are left alone, not taken as deleted."""
-    bad = windows.join(failed, "window_no", "left_semi").select("lo", "hi")
-    outside = lambda df: df.join(bad, F.col("pk").between(F.col("lo"), F.col("hi")), "left_anti")
+    """Changes outside windows (window_no, lo, hi) that couldn't be read: their keys are left alone, not taken as deleted."""
+    bad = windows.join(failed, "window_no", "left_semi").select(F.col("lo").alias("from"), F.col("hi").alias("to"), F.lit(True).alias("value"))
+    outside = lambda df: bracket_lookup(df, bad, "pk").where("value IS NULL").drop("value")
     return diff(outside(current), outside(snapshot))
 
 
+def targeted(spec: EntitySpec, keys: DataFrame) -> EntitySpec:
+    """The entity with the primary and child rows of the given keys (pk) only, so nothing else is hashed or moved."""
+    children = [replace(c, df=targeted_keys(c.rows(), keys, c.fk), row_filter=None) for c in spec.children]
+    return replace(spec, df=targeted_keys(spec.df, keys, spec.pk), children=children)
+
+
 def diff_targeted(current: DataFrame, snapshot: DataFrame, keys: DataFrame) -> DataFrame:
-    """Changes of the given keys (pk); a stored key that is gone is DELETED."""
+    """Changes of the given keys (pk); a stored key that is gone is DELETED. ``current`` are hashes of all keys, or of
+    these only (see :func:`diff_targeted_entity`)."""
     only = keys.select("pk").distinct()
     return diff(current.join(only, "pk", "left_semi"), snapshot.join(only, "pk", "left_semi"))
 
 
+def diff_targeted_entity(spec: EntitySpec, snapshot: DataFrame, keys: DataFrame) -> DataFrame:
+    """:func:`diff_targeted` of an entity whose rows are picked by key before they are hashed."""
+    only = keys.select("pk").distinct()
+    return diff(entity_hashes(targeted(spec, only)), snapshot.join(only, "pk", "left_semi"))
+
+
 def diff_entities(specs: Sequence[EntitySpec], snapshot: DataFrame, hashes: Callable[[EntitySpec], DataFrame] = entity_hashes) -> tuple[DataFrame | None, dict[str, str]]:
-    """(changes of all entities with ``entity``, errors by entity): an entity that fails doesn't stop the others."""
+    """(changes of all entities with ``entity``, errors by entity). Each entity is a job of its own whose changes are
+    written, so one that fails, in planning or in a task, doesn't stop the others."""
     found, errors = None, {}
     for spec in specs:
         try:
             own = diff(hashes(spec), snapshot.where(F.col("entity") == spec.name)).select(F.lit(spec.name).alias("entity"), "pk", "op", "row_hash")
-            own.schema  # an entity whose plan can't be made fails here
+            own = cut(own, "entity-changes")
             found = own if found is None else found.unionByName(own)
         except Exception as e:
             errors[spec.name] = str(e).splitlines()[0]
@@ -205,6 +222,16 @@ def runtime_diff(current: DataFrame, previous: DataFrame) -> DataFrame:
     return both.withColumn("op", op).where("op IS NOT NULL").select("pk", "op", "row_hash")
 
 
+def runtime_tick(read: Callable[[], DataFrame], previous: DataFrame, order: str) -> tuple[DataFrame, DataFrame, bool]:
+    """(current hashes, changes, degraded) of a population (pk, payload, state_stamp and ``order``) that ``read`` gives.
+    If it can't be read, in planning or in a task, the previous state is kept, nothing has changed and the tick is degraded."""
+    try:
+        current = cut(population_hashes(skip_bad_rows(read(), order)), "population")
+    except Exception:
+        return previous, runtime_diff(previous, previous), True
+    return current, cut(runtime_diff(current, previous), "population-changes"), False
+
+
 def runtime_advance(previous: DataFrame, current: DataFrame, changes: DataFrame, acks: DataFrame) -> DataFrame:
     """Hashes of the current population: new ones where unchanged or acknowledged, else the previous one, and none
     for a new key that wasn't acknowledged."""
@@ -214,12 +241,13 @@ def runtime_advance(previous: DataFrame, current: DataFrame, changes: DataFrame,
     return both.select("pk", F.when(F.col("__held"), F.col("__old")).otherwise(F.col("row_hash")).alias("row_hash")).where("row_hash IS NOT NULL")
 
 
-def runtime_result(current: DataFrame, changes: DataFrame, acks: DataFrame) -> DataFrame:
-    """One row of a tick: changes as attempted, the population's size, DEGRADED if any acknowledgement is missing."""
+def runtime_result(current: DataFrame, changes: DataFrame, acks: DataFrame, degraded: bool = False) -> DataFrame:
+    """One row of a tick: changes as attempted, the population's size, DEGRADED if any acknowledgement is missing or
+    the population couldn't be read."""
     counts = changes.agg(F.count_if(F.col("op") == "CREATED").alias("created"), F.count_if(F.col("op") == "UPDATED").alias("updated"))
     bad = acks.agg(F.count_if(F.col("status") != "ok").alias("bad"))
     size = current.agg(F.count(F.lit(1)).alias("row_count"))
-    return counts.join(bad).join(size).select(F.when(F.col("bad") > 0, "DEGRADED").otherwise("HEALTHY").alias("state"), "created", "updated", "row_count")
+    return counts.join(bad).join(size).select(F.when((F.col("bad") > 0) | F.lit(degraded), "DEGRADED").otherwise("HEALTHY").alias("state"), "created", "updated", "row_count")
 
 
 def settings_changes(settings: DataFrame, key: str, order: str, ignored: Sequence[str] = ("updated_at",)) -> DataFrame:

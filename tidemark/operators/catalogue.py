@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.scratch import cut
+from tidemark.operators.lookups import SHORT_TABLE, bracket_lookup
+from tidemark.operators.trees import rooted
+from tidemark.scratch import cut
 
 
 def npc_drops(npcs: DataFrame) -> DataFrame:
@@ -22,23 +24,26 @@ def nested_table(df: DataFrame, key: str, column: str, keep_empty: bool = False)
     return df.select(key, explode(column).alias("place", "__e")).select(key, "place", "__e.*")
 
 
-def tree_depth(df: DataFrame, key: str, parent: str, limit: int = 64) -> DataFrame:
-    """(key, root, depth) of rows under a root, whose parent is null. Each round joins the rows whose parent is
-    known; rows on a cycle, or deeper than ``limit``, never get a root."""
-    rows = df.select(F.col(key).alias("k"), F.col(parent).alias("p"))
-    front = rows.where("p IS NULL").select("k", F.col("k").alias("root"), F.lit(0).alias("depth"))
-    done, rest = front, rows.where("p IS NOT NULL")
-    for depth in range(1, limit + 1):
-        front = cut(rest.join(front.select(F.col("k").alias("p"), "root"), "p").select("k", "root", F.lit(depth).alias("depth")), "tree")
-        if front.isEmpty():
-            break
-        done = done.unionByName(front)
-    return done.select(F.col("k").alias(key), "root", "depth")
+def tree_depth(df: DataFrame, key: str, parent: str) -> tuple[DataFrame, DataFrame]:
+    """(found, lost): (key, root, depth) of rows under a root, whose parent is null, at any depth; and the keys on or
+    below a cycle or a parent that isn't there."""
+    return rooted(df, key, parent)
+
+
+def chain_steps(df: DataFrame, key: str, following: str) -> tuple[DataFrame, DataFrame]:
+    """(found, lost): (key, top, steps) with how many rows follow each over ``following`` up to the top; and the keys
+    whose chain goes round or ends at a key that isn't there."""
+    found, lost = rooted(df, key, following)
+    return found.select(key, F.col("root").alias("top"), F.col("depth").alias("steps")), lost
 
 
-def chain_steps(df: DataFrame, key: str, following: str, limit: int = 64) -> DataFrame:
-    """(key, steps): how many rows follow each over ``following`` up to the top; a cycle stops at ``limit``."""
-    return tree_depth(df, key, following, limit).select(key, F.col("depth").alias("steps"))
+def crystal_levels(crystals: DataFrame) -> DataFrame:
+    """A row per outcome of levelling a crystal (crystal_id, level, next_id, cursed_id): (crystal_id, outcome ``next`` or
+    ``cursed``, result_id, result_level). A crystal at the top has neither; a result may be absent from the catalogue."""
+    outcomes = F.array(*[F.struct(F.lit(n).alias("outcome"), F.col(c).alias("result_id")) for n, c in (("next", "next_id"), ("cursed", "cursed_id"))])
+    each = crystals.select("crystal_id", F.inline(outcomes)).where("result_id IS NOT NULL")
+    levels = crystals.select(F.col("crystal_id").alias("__id"), F.col("level").alias("result_level"))
+    return each.join(levels, F.col("result_id") == F.col("__id"), "left").drop("__id")
 
 
 def recipe_bom(recipes: DataFrame) -> DataFrame:
@@ -48,19 +53,21 @@ def recipe_bom(recipes: DataFrame) -> DataFrame:
     return recipes.select("recipe_id", F.inline(F.concat(F.transform("ingredients", lambda e: part("ingredient", e)), one("product"), one("rare_product"))))
 
 
-def condition_leaves(df: DataFrame, key: str, condition: str, depth: int = 8) -> DataFrame:
+def condition_leaves(df: DataFrame, key: str, condition: str) -> DataFrame:
     """(key, path, negated, leaf) of a JSON condition tree {logic, negated, children | ...}: its nodes without
-    children, level by level. ``negated`` counts the negations above, modulo two; deeper levels than ``depth`` end."""
+    children, level by level down to the deepest. ``negated`` tells whether the negations above, and its own, are odd."""
     node = F.struct(F.lit("").alias("path"), F.lit(False).alias("negated"), F.col(condition).cast("string").alias("json"))
     front, done = df.select(F.col(key).alias("k"), node.alias("n")).select("k", "n.*").where("json IS NOT NULL"), None
-    for _ in range(depth):
+    while True:
         children = F.from_json(F.get_json_object("json", "$.children"), "array<string>")
         flipped = F.col("negated") != F.coalesce(F.get_json_object("json", "$.negated").cast("boolean"), F.lit(False))
-        step = front.select("k", "path", flipped.alias("negated"), "json", children.alias("children"))
-        leaves = step.where("children IS NULL OR size(children) = 0").select("k", "path", "negated", F.col("json").alias("leaf"))
+        step = cut(front.select("k", "path", flipped.alias("negated"), "json", children.alias("children")), "conditions")
+        inner = F.size(F.coalesce("children", F.array().cast("array<string>"))) > 0
+        leaves = step.where(~inner).select("k", "path", "negated", F.col("json").alias("leaf"))
         done = leaves if done is None else done.unionByName(leaves)
-        front = step.select("k", "path", "negated", F.posexplode("children").alias("no", "json")).select("k", F.concat("path", F.lit("/"), F.col("no").cast("string")).alias("path"), "negated", "json")
-    return done.withColumnRenamed("k", key)
+        front = step.where(inner).select("k", "path", "negated", F.posexplode("children").alias("no", "json")).select("k", F.concat("path", F.lit("/"), F.col("no").cast("string")).alias("path"), "negated", "json")
+        if front.isEmpty():
+            return done.withColumnRenamed("k", key)
 
 
 def gear_rules(groups: DataFrame) -> DataFrame:
@@ -92,13 +99,31 @@ def minion_groups(minions: DataFrame, npcs: DataFrame) -> DataFrame:
     return minions.join(npcs.select(F.col("npc_id").alias("minion_id"), F.col("name").alias("minion_name")), "minion_id", "left")
 
 
+def minion_sets(minions: DataFrame) -> DataFrame:
+    """What an NPC may spawn with, from (npc_id, minion_id, count, group_no): (npc_id, group_no, minions, fixed, sets).
+    Minions of one group number spawn together; different numbers exclude each other, so one of ``sets`` is rolled;
+    those without a number are a fixed set, which always spawns."""
+    one = minions.groupBy("npc_id", "group_no").agg(F.array_sort(F.collect_list(F.struct("minion_id", "count"))).alias("minions"))
+    sets = one.where("group_no IS NOT NULL").groupBy(F.col("npc_id").alias("__npc")).agg(F.count(F.lit(1)).alias("sets"))
+    both = one.join(sets, F.col("npc_id") == F.col("__npc"), "left").drop("__npc")
+    return both.select("npc_id", "group_no", "minions", F.col("group_no").isNull().alias("fixed"), F.when(F.col("group_no").isNotNull(), F.col("sets")).alias("sets"))
+
+
 def absorb_fits(level: Column, low: Column, high: Column) -> Column:
     return level.between(low, high)
 
 
-def item_catalogue(items: DataFrame, scalars: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(items with their scalar columns, (item_id, stat, value) of the stats map)."""
-    return items.select("item_id", *scalars), items.select("item_id", F.explode("stats").alias("stat", "value"))
+def item_catalogue(items: DataFrame, scalars: list[str]) -> dict[str, DataFrame]:
+    """Item templates flattened: ``items`` with their scalar columns and the fields of the ``restrictions`` and
+    ``upgrade`` structs under a prefix; ``stats`` (item_id, stat, value) of the stats map; ``skills`` (item_id, place and
+    the fields of each skill reference). Structs and lists that the items don't have are left out."""
+    flat = [F.col(f"{part}.{f.name}").alias(f"{part}_{f.name}") for part in ("restrictions", "upgrade") if part in items.columns for f in items.schema[part].dataType.fields]
+    out = {"items": items.select("item_id", *scalars, *flat)}
+    if "stats" in items.columns:
+        out["stats"] = items.select("item_id", F.explode("stats").alias("stat", "value"))
+    if "skills" in items.columns:
+        out["skills"] = nested_table(items, "item_id", "skills")
+    return out
 
 
 def produced_items(skills: DataFrame) -> DataFrame:
@@ -113,8 +138,11 @@ def gear_contributions(contributions: DataFrame, class_id: int) -> DataFrame:
 
 
 def level_of(totals: DataFrame, levels: DataFrame, total: str = "experience") -> DataFrame:
-    """Totals with the highest level (level, required) that they reach. The levels are a short rule table, gathered
-    into one sorted array."""
-    table = levels.agg(F.array_sort(F.collect_list(F.struct("required", "level"))).alias("__levels"))
-    reached = F.array_max(F.transform(F.filter("__levels", lambda x: x["required"] <= F.col(total)), lambda x: x["level"]))
-    return totals.join(F.broadcast(table)).withColumn("level", reached).drop("__levels")
+    """Totals with the highest level (level, required) that they reach, null below all. The requirement grows with the
+    level, so it is the step that holds the total."""
+    steps = levels.select(F.col("required").alias("from"), F.lit(None).cast(levels.schema["required"].dataType).alias("to"), F.col("level").alias("value"))
+    if steps.limit(SHORT_TABLE + 1).count() <= SHORT_TABLE:
+        table = steps.agg(F.array_sort(F.collect_list(F.struct("from", "value"))).alias("__levels"))
+        reached = F.array_max(F.transform(F.filter("__levels", lambda x: x["from"] <= F.col(total)), lambda x: x["value"]))
+        return totals.join(F.broadcast(table)).withColumn("level", reached).drop("__levels")
+    return bracket_lookup(totals, steps, total).withColumnRenamed("value", "level")

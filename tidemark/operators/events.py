@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.apply import latest
+from tidemark.operators.trees import shortest_origins
 from tidemark.sources.records import decode_envelope, route_by_type
 
 
@@ -33,8 +34,19 @@ def presence_sessions(events: DataFrame, key: str = "char_id", time: str = "ts")
 
 
 def bad_presence(events: DataFrame) -> DataFrame:
-    """Presence events that contradict themselves: an end that is resumed, or a start with a reason to end."""
-    return events.where((~F.col("online") & F.coalesce("resumed", F.lit(False))) | (F.col("online") & F.col("logout_reason").isNotNull()))
+    """Presence events that break a rule, with the first ``reason``: no source; an app session without an activity or a
+    client session with one; a reason to leave on a start, or none on an end; resumed on anything but the start of an
+    app session. A consumer rechecks these, as decoding may skip the producer's checks."""
+    resumed, app = F.coalesce("resumed", F.lit(False)), F.coalesce(F.col("source") == "APP", F.lit(False))
+    reason = (
+        F.when(F.col("source").isNull(), "no source")
+        .when(app & F.col("activity").isNull(), "app session without activity")
+        .when(~app & F.col("activity").isNotNull(), "client session with activity")
+        .when(F.col("online") & F.col("logout_reason").isNotNull(), "start with a reason to leave")
+        .when(~F.col("online") & F.col("logout_reason").isNull(), "end without a reason")
+        .when(resumed & ~(F.col("online") & app), "resumed without an app start")
+    )
+    return events.withColumn("reason", reason).where("reason IS NOT NULL")
 
 
 def match_pairs(results: DataFrame) -> DataFrame:
@@ -45,22 +57,12 @@ def match_pairs(results: DataFrame) -> DataFrame:
     return both.select("match_id", "char_id", "opponent_char_id", "outcome", "other_outcome", F.col("other_outcome").eqNullSafe(mirror).alias("consistent"))
 
 
-def item_lineage(moves: DataFrame, depth: int = 32) -> DataFrame:
-    """(item_id, origin_id, steps) over moves (item_id, new_item_id): where each item came from, following the
-    transitions back to items that nothing became. Each round joins once; ``depth`` bounds the rounds."""
-    from tidemark.plans.scratch import cut
-
+def item_lineage(moves: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(found, lost) over moves (item_id, new_item_id): (item_id, origin_id, steps) with where each item came from,
+    followed back any number of moves to items that nothing became, by the fewest steps; and the items whose moves go
+    round in circles."""
     edges = moves.where("new_item_id IS NOT NULL AND item_id <> new_item_id").select(F.col("new_item_id").alias("to"), F.col("item_id").alias("origin")).distinct()
-    edges = cut(edges, "moves")
-    done, front = None, edges.select(F.col("to").alias("item_id"), F.col("origin").alias("at"), F.lit(1).alias("steps"))
-    for _ in range(depth):
-        step = cut(front.join(edges, F.col("at") == F.col("to"), "left"), "lineage")
-        ended = step.where("origin IS NULL").select("item_id", F.col("at").alias("origin_id"), "steps")
-        done = ended if done is None else done.unionByName(ended)
-        front = step.where("origin IS NOT NULL").select("item_id", F.col("origin").alias("at"), (F.col("steps") + 1).alias("steps"))
-        if front.isEmpty():
-            break
-    return done.distinct()
+    return shortest_origins(edges)
 
 
 def enrich(events: DataFrame, entity: DataFrame, key: str, entity_key: str, columns: Mapping[str, str]) -> DataFrame:
@@ -84,20 +86,18 @@ def effect_details(characters: DataFrame, skill_levels: DataFrame) -> DataFrame:
     return each.join(skill_levels, ["skill_id", "skill_level", "enchant"], "left")
 
 
-def bracket_lookup(rows: DataFrame, steps: DataFrame, level: str) -> DataFrame:
-    """Rows with ``value`` of the step (from, to, value) that holds their level. The steps are a short rule table."""
-    inside = (F.col(level) >= F.col("from")) & (F.col("to").isNull() | (F.col(level) <= F.col("to")))
-    return rows.join(F.broadcast(steps), inside, "left").drop("from", "to")
-
-
 def rating_rank(ratings: DataFrame, by: Sequence[str] = ("rating_type", "season"), points: str = "points", key: str = "char_id") -> DataFrame:
     """Ratings with ``rank`` and ``position``: more points first, ties by key; a null season is the seasonless one."""
-    w = Window.partitionBy(*by).orderBy(F.desc(points))
-    return ratings.withColumn("rank", F.rank().over(w)).withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(points), key)))
+    order = Window.partitionBy(*by).orderBy(F.desc(points), key)
+    return ratings.withColumn("position", F.row_number().over(order)).withColumn("rank", F.min("position").over(Window.partitionBy(*by, points)))
 
 
-def leaderboard(ratings: DataFrame, n: int, **options) -> DataFrame:
-    return rating_rank(ratings, **options).where(F.col("position") <= n)
+def leaderboard(ratings: DataFrame, n: int, by: Sequence[str] = ("rating_type", "season"), points: str = "points", key: str = "char_id") -> DataFrame:
+    """The first ``n`` of each board with their rank. Every task keeps ``n`` rows of a board before the shuffle, so one
+    board may hold most of the rows; ranks are made of what is left."""
+    order = Window.partitionBy(*by).orderBy(F.desc(points), key)
+    top = ratings.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n)
+    return top.withColumn("rank", F.rank().over(Window.partitionBy(*by).orderBy(F.desc(points))))
 
 
 def online_series(snapshots: DataFrame, width: str, time: str = "ts", counts: str = "counts") -> DataFrame:
@@ -164,10 +164,19 @@ def siege_results(sieges: DataFrame) -> DataFrame:
 
 
 def purchase_lines(purchases: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lines, breaches): items and services with their payments; events with neither break a rule and are kept apart."""
-    line = lambda c: F.transform(F.coalesce(c, F.array().cast(purchases.schema[c].dataType)), lambda x: F.struct(F.lit(c).alias("kind"), x["id"].alias("id"), x["count"].alias("count"), x["price"].alias("price"), x["currency_id"].alias("currency_id")))
+    """(lines, breaches): items and services of purchases with the payments of each, a row per line with its place;
+    events with neither break a rule and are kept apart."""
+    line = lambda c: F.transform(F.coalesce(c, F.array().cast(purchases.schema[c].dataType)), lambda x: F.struct(F.lit(c).alias("kind"), x["id"].alias("id"), x["count"].alias("count"), x["payments"].alias("payments")))
     both = purchases.select("event_id", "char_id", F.concat(line("items"), line("services")).alias("lines"))
-    return both.select("event_id", "char_id", F.inline("lines")), both.where(F.size("lines") == 0).select("event_id", "char_id")
+    lines = both.select("event_id", "char_id", F.posexplode("lines").alias("line_no", "l")).select("event_id", "char_id", "line_no", "l.*")
+    return lines, both.where(F.size("lines") == 0).select("event_id", "char_id")
+
+
+def purchase_payments(lines: DataFrame) -> DataFrame:
+    """A row per payment (currency_id, amount) of :func:`purchase_lines`' lines; a line without payments was free and
+    keeps one row of nulls."""
+    kept = [c for c in lines.columns if c != "payments"]
+    return lines.select(*kept, F.explode_outer("payments").alias("p")).select(*kept, F.col("p.currency_id").alias("currency_id"), F.col("p.amount").alias("amount"))
 
 
 def deaths_by_killer(deaths: DataFrame) -> DataFrame:

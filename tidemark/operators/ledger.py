@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.scratch import cut
 
 RECEIPTS = (
     "correlation_id string, command string, buyer_char_id int, seller_char_id int, status string, charged_adena bigint, mail_id int, "
@@ -66,78 +67,121 @@ def claim_outcome(requests: DataFrame, ledger: DataFrame) -> DataFrame:
     return both.withColumn("outcome", outcome).withColumn("result_json", F.when(F.col("outcome") == "REPLAY_OK", F.col("__result"))).drop("__first", "__status", "__result")
 
 
-def apply_claims(ledger: DataFrame, claims: DataFrame) -> DataFrame:
-    """The ledger after claims (correlation_id, command, ts, outcome): new receipts, and failed ones reopened with
-    charge, claim, result and times reset."""
-    won = claims.where("outcome = 'CLAIMED'")
-    kept = ledger.join(won.select("correlation_id"), "correlation_id", "left_anti")
-    fresh = won.select("correlation_id", "command", F.lit("STARTED").alias("status"), F.lit(0).cast("bigint").alias("charged_adena"), F.col("ts").cast("timestamp").alias("created_at"))
-    return kept.select(*ledger.columns).unionByName(fresh, allowMissingColumns=True).select(*ledger.columns)
+def lookup(requests: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Requests (correlation_id) with the ``outcome`` that their receipt tells, nothing being claimed: null where there
+    is none or a failed one, REPLAY_OK with the result, else IN_FLIGHT."""
+    known = ledger.select(F.col("correlation_id").alias("__id"), F.col("status").alias("__status"), F.col("result_json").alias("__result"))
+    both = requests.join(known, F.col("correlation_id") == F.col("__id"), "left")
+    free = F.col("__id").isNull() | F.coalesce(F.col("__status") == "FAILED", F.lit(False))
+    outcome = F.when(~free, F.when(F.col("__status") == "OK", "REPLAY_OK").otherwise("IN_FLIGHT"))
+    return both.withColumn("outcome", outcome).withColumn("result_json", F.when(F.col("outcome") == "REPLAY_OK", F.col("__result"))).drop("__id", "__status", "__result")
+
 
+#: What a claim may tell of its parties and its cause.
+CLAIM = ("buyer_char_id", "seller_char_id", "mail_id", "claim_json")
 
+
+def apply_claims(ledger: DataFrame, claims: DataFrame) -> DataFrame:
+    """The ledger after claims (correlation_id, command, ts, outcome and any columns of CLAIM).
+
+    A new receipt takes all of the claim. A failed one that is reopened keeps its command and parties, takes mail and
+    claim, and loses charge, result and completion; the charge of either is null until there is one.
+    """
+    fields = {c: F.col(c) if c in claims.columns else F.lit(None).cast(ledger.schema[c].dataType) for c in CLAIM}
+    won = claims.where("outcome = 'CLAIMED'").select(F.col("correlation_id").alias("__id"), F.col("command").alias("__command"), F.col("ts").cast("timestamp").alias("__ts"), *[c.alias(f"__{n}") for n, c in fields.items()])
+    both = ledger.join(won, F.col("correlation_id") == F.col("__id"), "full_outer")
+    claimed, stored = F.col("__id").isNotNull(), F.col("correlation_id").isNotNull()
+    told = lambda c: F.when(claimed, F.col(f"__{c}")).otherwise(F.col(c))
+    kept = lambda c: F.when(~claimed, F.col(c))
+    new = {
+        "correlation_id": F.coalesce("correlation_id", "__id"),
+        "command": F.when(stored, F.col("command")).otherwise(F.col("__command")),
+        "buyer_char_id": F.when(stored, F.col("buyer_char_id")).otherwise(F.col("__buyer_char_id")),
+        "seller_char_id": F.when(stored, F.col("seller_char_id")).otherwise(F.col("__seller_char_id")),
+        "status": F.when(claimed, "STARTED").otherwise(F.col("status")),
+        "mail_id": told("mail_id"),
+        "claim_json": told("claim_json"),
+        "created_at": F.when(claimed, F.col("__ts")).otherwise(F.col("created_at")),
+    } | {c: kept(c) for c in ("charged_adena", "result_json", "completed_at")}
+    return both.select(*[new.get(c, F.col(c)).alias(c) for c in ledger.columns])
+
+
+OPEN = ("STARTED", "CHARGED")
 #: action: (statuses it starts from, or None for any; status it leads to, or None to keep it)
 TRANSITIONS = {
     "charge": (None, "CHARGED"),
     "charge_if_started": (("STARTED",), "CHARGED"),
     "ok": (None, "OK"),
+    "ok_if_started": (("STARTED",), "OK"),
     "ok_if_charged": (("CHARGED",), "OK"),
+    "ok_if_open": (OPEN, "OK"),
     "refund": (("CHARGED",), "STARTED"),
-    "fail": (("STARTED", "CHARGED"), "FAILED"),
+    "fail": (OPEN, "FAILED"),
+    "fail_if_started": (("STARTED",), "FAILED"),
+    "amend_open": (OPEN, None),
+    "amend_completed": (("OK",), None),
     "steps_done": (("OK",), None),
 }
+_STATE = {"status": "string", "charged_adena": "bigint", "mail_id": "int", "claim_json": "string", "result_json": "string", "completed_at": "timestamp", "steps_done_at": "timestamp"}
+_MOVE = {"action": "string", "ts": "timestamp", "amount": "bigint", "told_result": "string", "told_claim": "string", "expected": "string"}
+
+
+def moved(state: dict, move: dict) -> dict | None:
+    """A receipt's state after a move, None if the move's guard fails."""
+    start, end = TRANSITIONS.get(move["action"], ((), None))
+    if state["status"] is None or (start is not None and state["status"] not in start):
+        return None
+    action, claim = move["action"], move["told_claim"]
+    new = state | {"status": end or state["status"]}
+    if action.startswith("amend"):
+        return new | {"claim_json": claim} if state["claim_json"] == move["expected"] else None
+    if action == "steps_done":
+        return new | {"steps_done_at": move["ts"]} if state["steps_done_at"] is None else None
+    if action == "refund":
+        new["charged_adena"] = 0
+    elif move["amount"] is not None and end in OPEN + ("OK",):
+        new["charged_adena"] = move["amount"]
+    if end == "OK":
+        new |= {"result_json": move["told_result"], "completed_at": move["ts"]}
+    if end == "FAILED":
+        return new | {"mail_id": None, "claim_json": None, "completed_at": move["ts"]}
+    return new if claim is None else new | {"claim_json": claim}
 
 
 def settle(ledger: DataFrame, transitions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(ledger after the transitions, transitions with ``applied``) of rows (correlation_id, action, ts, amount, result_json).
+    """(ledger after the transitions, transitions with ``applied``) of rows (correlation_id, action, ts, amount,
+    result_json, and optionally claim_json and expected_claim_json).
 
     Those of a receipt are taken in the order of time. One whose guard fails, whose receipt isn't there or whose
-    action is unknown does nothing and is reported. A refund takes the charge back; a failure clears mail and claim.
+    action is unknown does nothing and is reported. A charge or a success may bring a new claim, a refund takes the
+    charge back and keeps the claim that it brings, an amendment replaces an expected claim, a failure clears mail and
+    claim, and steps are done once.
     """
-    moves = transitions.select("correlation_id", "action", F.col("ts").cast("timestamp").alias("ts"), "amount", F.col("result_json").alias("told"))
-    both = moves.join(ledger.select("correlation_id", "status", "charged_adena"), "correlation_id", "left")
+    told = {"amount": "amount", "told_result": "result_json", "told_claim": "claim_json", "expected": "expected_claim_json"}
+    moves = transitions.select("correlation_id", "action", F.col("ts").cast("timestamp").alias("ts"), *[(F.col(c) if c in transitions.columns else F.lit(None)).cast(_MOVE[n]).alias(n) for n, c in told.items()])
+    both = moves.join(ledger.select("correlation_id", *_STATE), "correlation_id", "left").select("correlation_id", *_MOVE, *_STATE)
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "timestamp": pa.timestamp("us", "UTC")}
 
     def walk(batches):
-        key, status, begun = None, None, False
+        key, state, n = None, {}, 0
         for batch in batches:
-            applied, after = [], []
-            for k, action, first in zip(*[batch.column(c).to_pylist() for c in ("correlation_id", "action", "status")]):
-                if k != key or not begun:
-                    key, status, begun = k, first, True
-                start, end = TRANSITIONS.get(action, ((), None))
-                sound = status is not None and (start is None or status in start)
-                status = (end or status) if sound else status
-                applied.append(sound)
-                after.append(status)
-            kept = [batch.column(c) for c in ("correlation_id", "action", "ts", "amount", "told")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(applied, pa.bool_()), pa.array(after, pa.string())], names=["correlation_id", "action", "ts", "amount", "told", "applied", "after"])
-
-    # A receipt's moves are neighbours in one task, so its status is all that a task remembers.
+            out = []
+            for row in batch.to_pylist():
+                if n == 0 or row["correlation_id"] != key:
+                    key, state, n = row["correlation_id"], {c: row[c] for c in _STATE}, 0
+                new = moved(state, row)
+                state, n = state if new is None else new, n + 1
+                out.append({"correlation_id": key, "action": row["action"], "ts": row["ts"], "n": n, "applied": new is not None} | state)
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("correlation_id", pa.string()), ("action", pa.string()), ("ts", kinds["timestamp"]), ("n", pa.int64()), ("applied", pa.bool_()), *[(c, kinds[k]) for c, k in _STATE.items()]]))
+
+    # A receipt's moves are neighbours in one task, so its state is all that a task remembers.
     ordered = both.repartition("correlation_id").sortWithinPartitions("correlation_id", "ts", "action")
-    told = ordered.mapInArrow(walk, "correlation_id string, action string, ts timestamp, amount bigint, told string, applied boolean, after string")
-    from tidemark.plans.scratch import cut
-
-    told = cut(told, "settled")
-    done = told.where("applied")
-    last = done.groupBy("correlation_id").agg(
-        F.max_by("after", F.struct("ts", "action")).alias("n_status"),
-        F.max_by(F.when(F.col("action") == "refund", F.lit(0).cast("bigint")).otherwise(F.col("amount")), F.when(F.col("action").isin("charge", "charge_if_started", "refund"), F.struct("ts", "action"))).alias("n_charge"),
-        F.max_by("told", F.when(F.col("action").isin("ok", "ok_if_charged"), F.struct("ts", "action"))).alias("n_result"),
-        F.max(F.when(F.col("after").isin("OK", "FAILED") & (F.col("action") != "steps_done"), F.col("ts"))).alias("n_completed"),
-        F.max(F.when(F.col("action") == "steps_done", F.col("ts"))).alias("n_steps"),
-        F.max(F.col("action") == "fail").alias("failed"),
-    )
-    both = ledger.join(last, "correlation_id", "left")
-    failed = F.coalesce("failed", F.lit(False))
-    new = {
-        "status": F.coalesce("n_status", "status"),
-        "charged_adena": F.coalesce("n_charge", "charged_adena"),
-        "mail_id": F.when(~failed, F.col("mail_id")),
-        "claim_json": F.when(~failed, F.col("claim_json")),
-        "result_json": F.coalesce("n_result", "result_json"),
-        "completed_at": F.coalesce("n_completed", "completed_at"),
-        "steps_done_at": F.coalesce("n_steps", "steps_done_at"),
-    }
-    return both.select(*[new.get(c, F.col(c)).alias(c) for c in ledger.columns]), told.select("correlation_id", "action", "ts", "applied")
+    schema = "correlation_id string, action string, ts timestamp, n bigint, applied boolean, " + ", ".join(f"{c} {k}" for c, k in _STATE.items())
+    walked = cut(ordered.mapInArrow(walk, schema), "settled")
+    last = walked.groupBy(F.col("correlation_id").alias("__id")).agg(F.max_by(F.struct(*_STATE), "n").alias("__s"))
+    after = ledger.join(last, F.col("correlation_id") == F.col("__id"), "left")
+    after = after.select(*[(F.when(F.col("__id").isNotNull(), F.col(f"__s.{c}")).otherwise(F.col(c)) if c in _STATE else F.col(c)).alias(c) for c in ledger.columns])
+    return after, walked.select("correlation_id", "action", "ts", "applied")
 
 
 def sessions_open(sessions: DataFrame) -> DataFrame:
@@ -150,18 +194,46 @@ def sessions_retention(sessions: DataFrame, cutoff: Column | None) -> DataFrame:
 
 
 def session_admission(requests: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Requests (idempotency_key, character_id, spot_key, ts) with ``verdict``: DUPLICATE for a known key, then
-    CHARACTER_ACTIVE, then SPOT_TAKEN, else ADMITTED. In a batch the earliest of a key, character or spot goes first."""
-    first = lambda c: F.row_number().over(Window.partitionBy(c).orderBy("ts", "idempotency_key")) == 1
+    """Requests (idempotency_key, character_id, spot_key, ts) with ``verdict``, as if inserted one by one in the order
+    of ``ts``: DUPLICATE if a session, or a request that was admitted before, has the key; else CHARACTER_ACTIVE or
+    SPOT_TAKEN if an open session or a request admitted before has the character or spot; else ADMITTED. A request
+    that isn't admitted takes nothing. Null spots are free.
+
+    Rounds: undecided requests that come first for their key, character and spot are admitted, and those that
+    meet them are decided with them. There are as many rounds as the longest chain of requests that wait for each other.
+    """
+    names = ("idempotency_key", "character_id", "spot_key")
+    n = F.row_number().over(Window.partitionBy(*names).orderBy("ts"))
+    rows = requests.select("*", F.struct("ts", *names, n.alias("n")).alias("__o"))
+    rows = cut(rows, "admission")
     active = sessions.where("ended_at IS NULL")
-    keys = sessions.select("idempotency_key", F.lit(True).alias("__key")).distinct()
-    chars = active.select(F.col("active_character_id").alias("character_id"), F.lit(True).alias("__char")).distinct()
-    spots = active.select(F.col("active_spot_key").alias("spot_key"), F.lit(True).alias("__spot")).distinct()
-    both = requests.join(keys, "idempotency_key", "left").join(chars, "character_id", "left").join(spots, "spot_key", "left")
-    both = both.withColumn("__k1", first("idempotency_key")).withColumn("__c1", first("character_id")).withColumn("__s1", first("spot_key"))
-    no = lambda c: F.coalesce(c, F.lit(False))
-    verdict = F.when(no(F.col("__key")) | ~F.col("__k1"), "DUPLICATE").when(no(F.col("__char")) | ~F.col("__c1"), "CHARACTER_ACTIVE").when(F.col("spot_key").isNotNull() & (no(F.col("__spot")) | ~F.col("__s1")), "SPOT_TAKEN").otherwise("ADMITTED")
-    return both.select(*requests.columns, verdict.alias("verdict"))
+    held = {"idempotency_key": sessions.select("idempotency_key"), "character_id": active.select(F.col("active_character_id").alias("character_id")), "spot_key": active.select(F.col("active_spot_key").alias("spot_key"))}
+    undecided = rows.select(*names, "__o")
+    for c, known in held.items():
+        undecided = undecided.join(known.where(F.col(c).isNotNull()).distinct(), c, "left_anti")
+    undecided, admitted = cut(undecided, "admission-undecided"), None
+    while not undecided.isEmpty():
+        first = undecided
+        for c in names:
+            least = undecided.where(F.col(c).isNotNull()).groupBy(c).agg(F.min("__o").alias("__least"))
+            first = first.join(least, c, "left").where(F.col(c).isNull() | (F.col("__least") == F.col("__o"))).drop("__least")
+        first = cut(first.select(*names, "__o"), "admission-first")
+        admitted = first if admitted is None else admitted.unionByName(first)
+        for c in names:
+            undecided = undecided.join(first.where(F.col(c).isNotNull()).select(c).distinct(), c, "left_anti")
+        # What is admitted meets itself by its key at least, unless it has none of the three.
+        undecided = cut(undecided.join(first.select("__o"), "__o", "left_anti").select(*names, "__o"), "admission-undecided")
+    out = rows
+    for c, known in held.items():
+        own = known.where(F.col(c).isNotNull()).distinct().withColumn(f"__held_{c}", F.lit(True))
+        out = out.join(own, c, "left")
+        if admitted is not None:
+            out = out.join(admitted.where(F.col(c).isNotNull()).select(c, F.col("__o").alias(f"__by_{c}")), c, "left")
+        else:
+            out = out.withColumn(f"__by_{c}", F.lit(None).cast(rows.schema["__o"].dataType))
+    meets = lambda c: F.coalesce(F.col(f"__held_{c}"), F.lit(False)) | F.coalesce(F.col(f"__by_{c}") < F.col("__o"), F.lit(False))
+    verdict = F.when(meets("idempotency_key"), "DUPLICATE").when(meets("character_id"), "CHARACTER_ACTIVE").when(meets("spot_key"), "SPOT_TAKEN").otherwise("ADMITTED")
+    return out.select(*requests.columns, verdict.alias("verdict"))
 
 
 def flush_active_ms(sessions: DataFrame, updates: DataFrame) -> DataFrame:
@@ -172,29 +244,55 @@ def flush_active_ms(sessions: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def close_sessions(sessions: DataFrame, closes: DataFrame) -> DataFrame:
-    """Open sessions of (id, ended_at, end_reason) end, by the earliest close, and free their character and spot."""
-    first = closes.groupBy("id").agg(F.min("ended_at").alias("__at"), F.min_by("end_reason", "ended_at").alias("__why"))
-    both = sessions.join(first, "id", "left")
+    """Open sessions of (id, ended_at, end_reason, optionally active_ms) end, by the earliest close, and free their
+    character and spot."""
+    ms = F.col("active_ms") if "active_ms" in closes.columns else F.lit(None).cast("bigint")
+    first = closes.groupBy("id").agg(F.min("ended_at").alias("__at"), F.min_by(F.struct(F.col("end_reason").alias("why"), ms.alias("ms")), "ended_at").alias("__c"))
+    both = sessions.join(first, "id", "left").withColumns({"__why": F.col("__c.why"), "__ms": F.col("__c.ms")})
     ends = F.col("ended_at").isNull() & F.col("__at").isNotNull()
-    new = {"ended_at": F.when(ends, F.col("__at")).otherwise(F.col("ended_at")), "end_reason": F.when(ends, F.col("__why")).otherwise(F.col("end_reason")), "active_character_id": F.when(~ends, F.col("active_character_id")), "active_spot_key": F.when(~ends, F.col("active_spot_key"))}
+    new = {"active_ms": F.when(ends, F.coalesce("__ms", "active_ms")).otherwise(F.col("active_ms")), "ended_at": F.when(ends, F.col("__at")).otherwise(F.col("ended_at")), "end_reason": F.when(ends, F.col("__why")).otherwise(F.col("end_reason")), "active_character_id": F.when(~ends, F.col("active_character_id")), "active_spot_key": F.when(~ends, F.col("active_spot_key"))}
     return both.select(*[new.get(c, F.col(c)).alias(c) for c in sessions.columns])
 
 
-def place_sessions(sessions: DataFrame, placements: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sessions, rejected): open sessions move to the free spots of (id, spot_pool, spot_id, spot_key); a spot that
-    another open session holds, or an earlier id of the batch takes, is rejected."""
-    held = sessions.where("ended_at IS NULL AND active_spot_key IS NOT NULL").select(F.col("active_spot_key").alias("spot_key"), F.col("id").alias("__holder"))
-    tried = placements.join(held, "spot_key", "left").withColumn("__n", F.row_number().over(Window.partitionBy("spot_key").orderBy("id")))
-    sound = (F.col("__holder").isNull() | (F.col("__holder") == F.col("id"))) & (F.col("__n") == 1)
-    tried = tried.join(sessions.where("ended_at IS NULL").select("id", F.lit(True).alias("__open")), "id", "left")
-    ok = tried.where(sound & F.col("__open")).select("id", F.col("spot_pool").alias("__pool"), F.col("spot_id").alias("__spot"), F.col("spot_key").alias("__key"))
-    both = sessions.join(ok, "id", "left")
-    new = {"spot_pool": F.coalesce("__pool", "spot_pool"), "spot_id": F.coalesce("__spot", "spot_id"), "active_spot_key": F.coalesce("__key", "active_spot_key")}
-    return both.select(*[new.get(c, F.col(c)).alias(c) for c in sessions.columns]), placements.join(ok, "id", "left_anti")
+def place_sessions(sessions: DataFrame, placements: DataFrame, order: str = "ts") -> tuple[DataFrame, DataFrame]:
+    """(sessions, placements with ``verdict``) for placements (id, spot_pool, spot_id, optionally started_at and
+    type_state), as if made one by one in the ``order`` given: NOT_OPEN if the session isn't open, SPOT_TAKEN if another
+    open session holds the spot by then, else PLACED. A session that moves frees its spot for later placements. Only spot
+    and spot key change, and start and type state where they are given.
+
+    Rounds: a placement is decided once no earlier one of its session, of its spot, or of the spot's holder is open.
+    """
+    extra = [c for c in ("started_at", "type_state") if c in placements.columns]
+    key = F.concat_ws(":", "spot_pool", F.col("spot_id").cast("string"))
+    open_ = sessions.where("ended_at IS NULL").select("id", F.col("active_spot_key").alias("spot"))
+    tries = placements.select("id", "spot_id", key.alias("want"), *extra, F.struct(order, "id", key.alias("k"), F.row_number().over(Window.partitionBy("id", order, key).orderBy("id")).alias("n")).alias("__o"))
+    tries = cut(tries, "placements")
+    waiting = tries.select("id", "want", "__o").join(open_.select("id"), "id", "left_semi")
+    waiting, done = cut(waiting, "placements-open"), None
+    spots = cut(open_.join(waiting.select("id").distinct().unionByName(open_.join(waiting.select(F.col("want").alias("spot")).distinct(), "spot", "left_semi").select("id")).distinct(), "id", "left_semi"), "spots")
+    while not waiting.isEmpty():
+        by_id = waiting.groupBy("id").agg(F.min("__o").alias("o_id"))
+        by_spot = waiting.groupBy("want").agg(F.min("__o").alias("o_spot"))
+        holder = spots.where("spot IS NOT NULL").select(F.col("spot").alias("want"), F.col("id").alias("holder")).join(by_id.select(F.col("id").alias("holder"), F.col("o_id").alias("o_holder")), "holder", "left")
+        ready = waiting.join(by_id, "id").join(by_spot, "want").join(holder, "want", "left")
+        ready = ready.where((F.col("o_id") == F.col("__o")) & (F.col("o_spot") == F.col("__o")) & (F.col("o_holder").isNull() | (F.col("o_holder") >= F.col("__o"))))
+        taken = F.col("holder").isNotNull() & (F.col("holder") != F.col("id"))
+        ready = cut(ready.select("id", "want", "__o", F.when(taken, "SPOT_TAKEN").otherwise("PLACED").alias("verdict")), "placements-ready")
+        done = ready if done is None else done.unionByName(ready)
+        now = ready.where("verdict = 'PLACED'").select("id", F.col("want").alias("now"))
+        spots = cut(spots.join(now, "id", "left").select("id", F.coalesce("now", "spot").alias("spot")), "spots")
+        waiting = cut(waiting.join(ready.select("__o"), "__o", "left_anti").select("id", "want", "__o"), "placements-open")
+    if done is None:
+        judged = tries.withColumn("verdict", F.lit("NOT_OPEN"))
+    else:
+        judged = tries.join(done.select("__o", "verdict"), "__o", "left").withColumn("verdict", F.coalesce("verdict", F.lit("NOT_OPEN")))
+    placed = judged.where("verdict = 'PLACED'").groupBy(F.col("id").alias("__id")).agg(F.max_by(F.struct("spot_id", "want"), "__o").alias("__p"), *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__o"))).alias(f"__{c}") for c in extra])
+    both = sessions.join(placed, F.col("id") == F.col("__id"), "left")
+    new = {"spot_id": F.coalesce("__p.spot_id", "spot_id").cast("int"), "active_spot_key": F.coalesce("__p.want", "active_spot_key")} | {c: F.coalesce(f"__{c}", c) for c in extra}
+    after = both.select(*[new.get(c, F.col(c)).alias(c) for c in sessions.columns])
+    return after, judged.select("id", "spot_id", F.col("want").alias("spot_key"), F.col(f"__o.{order}").alias(order), "verdict")
 
 
 def valid_sessions(sessions: DataFrame, activities: list[str], reasons: list[str]) -> DataFrame:
     """Rows whose activity is known and whose end reason is known or null."""
     return sessions.where(F.col("activity").isin(activities) & (F.col("end_reason").isNull() | F.col("end_reason").isin(reasons)))
-
-

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.capture import EntitySpec
@@ -69,7 +69,13 @@ def quiet_republish(snapshot: DataFrame, keys: DataFrame) -> DataFrame:
 
 def resync_complete(in_flight: DataFrame, results: DataFrame) -> DataFrame:
     """(request_id, entity, started_at, done_cycle) of requests (request_id, entity, cycle, started_at): the first
-    cycle from the request's on that is HEALTHY with nothing failed or pending; null while there is none."""
-    good = results.where("state = 'HEALTHY' AND failed = 0 AND pending = 0").select("entity", F.col("cycle").alias("__cycle"))
-    both = in_flight.join(good, (in_flight["entity"] == good["entity"]) & (F.col("__cycle") >= F.col("cycle")), "left").drop(good["entity"])
-    return both.groupBy("request_id", "entity").agg(F.min("started_at").alias("started_at"), F.min("__cycle").alias("done_cycle"))
+    cycle from the request's on that is HEALTHY with nothing failed or pending; null while there is none.
+
+    Cycles of requests and clean cycles of an entity are merged once, newest first, each asking for the last clean one
+    passed; requests join the answer of their cycle, so history isn't multiplied by requests."""
+    asked = in_flight.select("entity", "cycle").distinct().withColumn("good", F.lit(None).cast("bigint"))
+    good = results.where("state = 'HEALTHY' AND failed = 0 AND pending = 0").select("entity", "cycle", F.col("cycle").cast("bigint").alias("good")).distinct()
+    newest = Window.partitionBy("entity").orderBy(F.desc("cycle"), F.desc_nulls_last("good")).rowsBetween(Window.unboundedPreceding, 0)
+    answers = asked.unionByName(good).withColumn("__done", F.last("good", ignorenulls=True).over(newest)).where("good IS NULL").select(F.col("entity").alias("__e"), F.col("cycle").alias("__c"), "__done")
+    both = in_flight.join(answers, (F.col("entity") == F.col("__e")) & (F.col("cycle") == F.col("__c")), "left")
+    return both.groupBy("request_id", "entity").agg(F.min("started_at").alias("started_at"), F.min("__done").alias("done_cycle"))

@@ -55,14 +55,16 @@ def command_replies(commands: DataFrame, replies: DataFrame) -> DataFrame:
     return commands.join(own, (F.col("correlation_id") == F.col("__id")) & (reply_type(F.col("msg_type")) == F.col("__type")), "left").drop("__id", "__type")
 
 
-def escalate(observations: DataFrame, grace_s: int = 900, key: str = "key") -> DataFrame:
+def escalate(observations: DataFrame, grace_s: int = 900, key: str = "key", seq: str | None = None) -> DataFrame:
     """(key, ts, ok, level) of observations: in each run of failures FIRST, then REPEAT, one ESCALATED when the
-    grace has passed since the first, then SILENT; a success resets and has no level."""
-    w = Window.partitionBy(key).orderBy("ts")
+    grace has passed since the first, then SILENT; a success resets and has no level. ``seq`` orders observations of
+    one instant; without it failures come before a success there."""
+    order = ["ts", seq] if seq else ["ts", "ok"]
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     run = observations.withColumn("__run", F.sum(F.when(F.col("ok"), 1).otherwise(0)).over(w))
-    failing = Window.partitionBy(key, "__run", "ok").orderBy("ts")
+    failing = Window.partitionBy(key, "__run", "ok").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     past = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.min("ts").over(failing).cast("timestamp")) >= grace_s * 1_000_000
-    run = run.withColumn("__n", F.row_number().over(failing)).withColumn("__past", past)
+    run = run.withColumn("__n", F.row_number().over(Window.partitionBy(key, "__run", "ok").orderBy(*order))).withColumn("__past", past)
     run = run.withColumn("__late", F.sum(F.col("__past").cast("int")).over(failing))
     level = F.when(F.col("ok"), F.lit(None)).when(F.col("__n") == 1, "FIRST").when(F.col("__late") == 0, "REPEAT").when(F.col("__past") & (F.col("__late") == 1), "ESCALATED").otherwise("SILENT")
     return run.select(key, "ts", "ok", level.alias("level"))

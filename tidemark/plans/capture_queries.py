@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import apply, capture, resync
 from tidemark.operators.capture import ChildSpec, EntitySpec, ParentSpec
 from tidemark.plans.book import query, table
-from tidemark.plans.scratch import cut, shared_path
+from tidemark.scratch import cut, shared_path
 from tidemark.sources import snapshots, windows
 
 GHOST = 10_000_000
@@ -39,8 +39,22 @@ def previous_spec(spark: SparkSession, sf_dir: str) -> EntitySpec:
     return spec_of(old.unionByName(ghosts), lines)
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of the earlier state: hashed and written once a session, as the cycle before this one would have."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = shared_path(spark, "stored-snapshot")
+        capture.entity_hashes(previous_spec(spark, sf_dir)).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.schema("pk bigint, row_hash bigint").parquet(_STORED[key])
+
+
 def hashes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return capture.entity_hashes(current_spec(spark, sf_dir)), capture.entity_hashes(previous_spec(spark, sf_dir))
+    """(current hashes, stored snapshot)."""
+    return capture.entity_hashes(current_spec(spark, sf_dir)), stored_snapshot(spark, sf_dir)
 
 
 def changes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,12 +111,34 @@ def capture_failed_window(spark, sf_dir):
     return capture.diff_windows(seen, old, plan, spark.range(1, 2).select(F.col("id").alias("window_no"))).select("pk", "op")
 
 
+@query(f"WITH {CHANGES} SELECT pk, op FROM changes WHERE (pk // 10) % 3 <> 1")
+def capture_failed_windows(spark, sf_dir):
+    """A third of the windows of ten keys failed, more than are searched as a list."""
+    current, old = hashes(spark, sf_dir)
+    plan = windows.plan_windows(spark.range(1).select(F.lit(0).cast("bigint").alias("lo"), F.lit(2 * GHOST).cast("bigint").alias("hi")), 40)
+    tens = plan.select(F.explode(F.array(*[F.struct((F.col("window_no") * 4 + k).alias("window_no"), (F.col("lo") + 10 * k).alias("lo"), (F.col("lo") + 10 * k + 9).alias("hi")) for k in range(4)])).alias("w")).select("w.*")
+    return capture.diff_windows(current, old, tens, tens.where("window_no % 3 = 1").select("window_no")).select("pk", "op")
+
+
+def targets(spark, sf_dir):
+    """Every seventeenth key, of orders and of ghosts."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("pk"))
+    return orders.unionByName(orders.select((F.col("pk") + GHOST).alias("pk"))).where("pk % 17 = 0")
+
+
 @query(f"WITH {CHANGES} SELECT pk, op FROM changes WHERE pk % 17 = 0")
 def capture_targeted(spark, sf_dir):
-    """Changes of given keys, ghosts among them."""
-    current, old = hashes(spark, sf_dir)
-    keys = current.select("pk").unionByName(old.select("pk")).where("pk % 17 = 0")
-    return capture.diff_targeted(current, old, keys).select("pk", "op")
+    """Changes of given keys, ghosts among them: only their rows are hashed."""
+    return capture.diff_targeted_entity(current_spec(spark, sf_dir), stored_snapshot(spark, sf_dir), targets(spark, sf_dir)).select("pk", "op")
+
+
+@query(f"SELECT o_orderkey AS pk, 'UPDATED' AS op, o_custkey AS custkey FROM orders WHERE o_orderkey % 17 = 0 AND o_orderkey > 0 UNION ALL SELECT o_orderkey + {GHOST}, 'DELETED', NULL FROM orders WHERE (o_orderkey + {GHOST}) % 17 = 0")
+def capture_republished(spark, sf_dir):
+    """Given keys sent again without a completion to follow: live ones are updates, absent ones deletes; no key below 1."""
+    spec, keys = current_spec(spark, sf_dir), targets(spark, sf_dir)
+    forced = resync.quiet_republish(stored_snapshot(spark, sf_dir).join(keys, "pk", "left_semi"), keys)
+    changes = cut(capture.diff_targeted_entity(spec, forced, keys.where("pk > 0")), "changes")
+    return capture.change_events(spec, changes, F.lit(TS).cast("bigint")).select("pk", "op", F.col("payload.o_custkey").alias("custkey"))
 
 
 def acks_of(changes: DataFrame) -> DataFrame:
@@ -196,18 +232,29 @@ def resync_cascade(spark, sf_dir):
 
 
 @query(
-    """SELECT user_id AS request_id, CASE WHEN bool_or(event_type = 'error') THEN 'unknown entity' WHEN bool_or(user_id % 4 = 0) THEN 'key not positive' END AS reason, count(*) AS n
-FROM events WHERE event_id % 50 = 0 GROUP BY 1 HAVING reason IS NOT NULL"""
+    """SELECT event_id // 4 AS request_id, CASE WHEN bool_or(event_type = 'error') THEN 'unknown entity' WHEN bool_or(user_id % 4 = 0) THEN 'key not positive' END AS reason, count(*) AS n
+FROM events GROUP BY 1 HAVING reason IS NOT NULL"""
 )
 def resync_rejected(spark, sf_dir):
-    """Requests made of events: errors name an unknown entity, every fourth user asks for key 0."""
-    asked = table(spark, sf_dir, "events").where("event_id % 50 = 0").select(F.col("user_id").alias("request_id"), F.when(F.col("event_type") == "error", "nothing").otherwise("order").alias("entity"), F.array(F.col("user_id") % 4).alias("pks"))
+    """Requests of four events each: errors name an unknown entity, every fourth user asks for key 0."""
+    asked = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 4).alias("request_id"), F.when(F.col("event_type") == "error", "nothing").otherwise("order").alias("entity"), F.array(F.col("user_id") % 4).alias("pks"))
     rejected = resync.validate_resync(asked, ["order", "customer"])[1]
     reason = F.when(F.max(F.col("reason") == "unknown entity"), "unknown entity").otherwise(F.max("reason"))
     unknown = asked.groupBy("request_id").agg(F.max(F.when(F.col("entity") == "nothing", "unknown entity")).alias("u"))
     return rejected.join(unknown, "request_id").groupBy("request_id").agg(F.coalesce(F.max("u"), reason).alias("reason"), F.count(F.lit(1)).alias("n"))
 
 
+@query("WITH r AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN 'order' ELSE o_orderpriority END AS entity, o_orderkey % 50 = 0 AND o_orderpriority = (SELECT min(o_orderpriority) FROM orders) AND o_orderkey % 3 > 0 AS whole FROM orders), w AS (SELECT DISTINCT entity FROM r WHERE whole) SELECT DISTINCT entity, o_custkey AS pk FROM r WHERE NOT whole AND entity NOT IN (SELECT entity FROM w)")
+def resync_merged(spark, sf_dir):
+    """Waiting requests of an entity unite; one for the whole entity absorbs the others."""
+    orders = table(spark, sf_dir, "orders")
+    least = orders.agg(F.min("o_orderpriority")).first()[0]
+    k, entity = F.col("o_orderkey"), F.when(F.col("o_orderkey") % 3 == 0, "order").otherwise(F.col("o_orderpriority"))
+    whole = (k % 50 == 0) & (F.col("o_orderpriority") == least) & (k % 3 > 0)
+    asked = orders.select(entity.alias("entity"), F.when(~whole, F.array("o_custkey")).alias("pks"))
+    return resync.merge_requests(asked)[1]
+
+
 CYCLES = "SELECT event_type AS entity, dayofmonth(ts) AS cycle, CASE WHEN count(*) FILTER (value > 250) > 0 THEN 'DEGRADED' ELSE 'HEALTHY' END AS state, count(*) FILTER (value BETWEEN 200 AND 250) AS failed, count(*) FILTER (value BETWEEN 180 AND 200) AS pending FROM events GROUP BY 1, 2"
 
 
@@ -289,6 +336,16 @@ def apply_to_target(spark, sf_dir):
     return apply.apply_changes(old, flat)
 
 
+@query(f"WITH {CHANGES} SELECT o_orderkey AS pk, coalesce(op IN ('CREATED', 'UPDATED'), false) AS fresh FROM orders LEFT JOIN changes ON pk = o_orderkey")
+def apply_stamped(spark, sf_dir):
+    """Every put refreshes when a row was synced, also where its values are the same."""
+    stamp = lambda day: F.lit(f"2024-01-{day}").cast("timestamp")
+    old = previous_spec(spark, sf_dir).df.select(F.col("o_orderkey").alias("pk"), F.col("o_custkey").alias("custkey"), stamp("01").alias("db_synced_at"))
+    events = capture.change_events(current_spec(spark, sf_dir), cut(changes_of(spark, sf_dir), "changes"), F.lit(TS).cast("bigint"))
+    flat = events.select("pk", "op", F.col("payload.o_custkey").alias("custkey"), "ts_ms", F.lit(0).alias("seq"))
+    return apply.apply_changes(old, flat, stamp("02")).select("pk", (F.col("db_synced_at") == stamp("02")).alias("fresh"))
+
+
 @query("SELECT user_id AS pk, max_by(value, event_id) AS value FROM events GROUP BY 1 HAVING max_by(event_type, event_id) <> 'error'")
 def apply_latest(spark, sf_dir):
     """Events as changes: errors delete, everything else puts; the last of a user counts, twice or once."""
@@ -352,3 +409,42 @@ def catalogue_reconcile_short(spark, sf_dir):
     burst = part_burst(part.where("p_partkey % 4 <> 0").withColumn("p_size", (F.col("p_size") + 1).cast("int")), "s1", 1)
     burst = burst.withColumn("count", F.when(F.col("op") == "SNAPSHOT_COMPLETE", F.col("count") + 1))
     return apply.reconcile_catalogue(target, burst).select("pk", F.col("payload.p_size").alias("size"))
+
+
+@query("SELECT 'item' AS entity, p_partkey AS pk, count(*) AS n FROM part GROUP BY 2 UNION ALL SELECT 'class', CASE WHEN p_size % 5 > 0 THEN p_size % 5 ELSE -1 END, count(*) FROM part GROUP BY 2 UNION ALL SELECT 'gear_score', 0, count(*) FROM part")
+def catalogue_keys(spark, sf_dir):
+    """Keys of parts as items, as classes, some without an ordinal, and as rows of a singleton."""
+    part, out = table(spark, sf_dir, "part"), None
+    for entity, key in (("item", F.col("p_partkey")), ("class", F.when(F.col("p_size") % 5 > 0, F.col("p_size") % 5)), ("gear_score", None)):
+        one = part.groupBy(apply.catalogue_pk(entity, key).alias("pk")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(entity).alias("entity"), "pk", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("WITH l AS (SELECT l_orderkey AS pk, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2), t AS (SELECT pk, max(l_linenumber) AS newest FROM l GROUP BY 1) SELECT pk, CASE WHEN pk % 3 = 0 THEN 1 ELSE n END AS n FROM t JOIN l USING (pk) WHERE l_linenumber = newest")
+def children_replaced(spark, sf_dir):
+    """Orders with nested lines; two in three get a newer event, whose list replaces the old one whole."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("pk"), "l_linenumber").agg(F.collect_list("l_partkey").alias("parts"))
+    target = lines.groupBy("pk").agg(F.max_by(F.slice("parts", 1, 1), "l_linenumber").alias("parts"))
+    found = apply.replace_children(target, lines.where("pk % 3 > 0"), "pk", "l_linenumber")
+    return found.select("pk", F.size("parts").cast("bigint").alias("n"))
+
+
+@query(f"WITH {POPULATION} SELECT 'DEGRADED' AS state, CAST(0 AS BIGINT) AS created, CAST(0 AS BIGINT) AS updated, count(*) AS row_count FROM a")
+def runtime_unreadable(spark, sf_dir):
+    """A tick whose population fails in its tasks: the previous state is kept and nothing is sent."""
+    old = cut(populations(spark, sf_dir)[0], "population")
+    broken = table(spark, sf_dir, "events").select(F.col("user_id").alias("pk"), F.struct("value").alias("payload"), F.raise_error(F.lit("unreadable")).cast("bigint").alias("state_stamp"), "event_id")
+    current, changes, degraded = capture.runtime_tick(lambda: broken, old, "event_id")
+    return capture.runtime_result(current, changes, changes.select("pk", F.lit("ok").alias("status")), degraded)
+
+
+@query("SELECT 'customer' AS entity, count(*) AS n FROM customer")
+def capture_entities_isolated(spark, sf_dir):
+    """One entity's tasks fail; the other one's changes are there."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", F.raise_error(F.lit("unreadable")).cast("double"))
+    customers = EntitySpec("customer", table(spark, sf_dir, "customer"), "c_custkey", ("c_name", "c_acctbal"))
+    found, errors = capture.diff_entities([EntitySpec("order", orders, "o_orderkey", HASHED), customers], snapshots.empty_snapshot(spark))
+    if set(errors) != {"order"}:
+        raise ValueError(errors)
+    return found.groupBy("entity").agg(F.count(F.lit(1)).alias("n"))

@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import ids, values
-from tidemark.operators import apply, events, stats
+from tidemark.operators import apply, events, lookups, stats
 from tidemark.plans.book import query, table
-from tidemark.sources import records
+from tidemark.sources import families, records
 
 NEWEST = "SELECT user_id, max(event_id) AS e FROM events GROUP BY 1"
 
@@ -17,12 +17,12 @@ def lines_of(spark, sf_dir):
     return table(spark, sf_dir, "lineitem")
 
 
-@query("SELECT event_id, user_id, event_type FROM events WHERE event_id % 3 <> 1")
+@query("SELECT event_id, user_id, event_type FROM events")
 def events_deduplicated(spark, sf_dir):
-    """At-least-once delivery: a third of the events never came, another third came three times."""
-    e = table(spark, sf_dir, "events").where("event_id % 3 <> 1")
-    again = e.where("event_id % 3 = 0")
-    return events.dedup_events(e.unionByName(again).unionByName(again)).select("event_id", "user_id", "event_type")
+    """At-least-once delivery: a third of the events comes once, another twice, another three times."""
+    e = table(spark, sf_dir, "events")
+    again = e.where("event_id % 3 > 0")
+    return events.dedup_events(e.unionByName(again).unionByName(again.where("event_id % 3 = 2"))).select("event_id", "user_id", "event_type")
 
 
 @query("SELECT user_id, event_id, value, event_type FROM events WHERE event_id IN (SELECT e FROM (" + NEWEST + "))")
@@ -60,7 +60,15 @@ SELECT item_id, origin AS origin_id, steps FROM up WHERE origin = 0""")
 def item_lineage(spark, sf_dir):
     """Each part came from the one of half its number."""
     moves = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("new_item_id"), F.floor(F.col("p_partkey") / 2).alias("item_id"))
-    return events.item_lineage(moves)
+    return events.item_lineage(moves)[0]
+
+
+@query("SELECT p_partkey AS item_id FROM part WHERE p_partkey // 100 IN (SELECT p_partkey // 100 FROM part GROUP BY 1 HAVING count(*) = 100)")
+def item_circles(spark, sf_dir):
+    """Each hundred parts move round in a circle, so none has an origin; a hundred with gaps is a chain and has."""
+    k = F.col("p_partkey")
+    moves = table(spark, sf_dir, "part").select(k.alias("item_id"), (k - k % 100 + (k + 1) % 100).alias("new_item_id"))
+    return events.item_lineage(moves)[1]
 
 
 @query("SELECT event_id, user_id, c_name AS name, c_mktsegment AS segment FROM events LEFT JOIN customer ON user_id = c_custkey")
@@ -92,7 +100,7 @@ def effect_details(spark, sf_dir):
 def bracket_lookup(spark, sf_dir):
     steps = spark.createDataFrame([(-1e9, -0.005, 1), (0.0, 5000.0, 2), (6000.0, None, 3)], "from double, to double, value int")
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_acctbal").alias("balance"))
-    return events.bracket_lookup(rows, steps, "balance").select("custkey", "value")
+    return lookups.bracket_lookup(rows, steps, "balance").select("custkey", "value")
 
 
 RATED = "SELECT c_custkey AS char_id, c_mktsegment AS rating_type, CASE WHEN c_nationkey % 3 > 0 THEN c_nationkey % 3 END AS season, CAST(floor(c_acctbal / 100) AS BIGINT) AS points FROM customer"
@@ -176,10 +184,10 @@ def mail_lifecycle(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey AS trade_id, CASE WHEN l_linenumber % 2 = 0 THEN o_custkey ELSE l_suppkey END AS from_char_id, CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey ELSE o_custkey END AS to_char_id, l_partkey AS item_id
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderkey % 5 = 0""")
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
 def trade_edges(spark, sf_dir):
     """A line is a trade of customer and supplier; even lines go one way, odd ones the other."""
-    each = lines_of(spark, sf_dir).join(table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0"), F.col("l_orderkey") == F.col("o_orderkey"))
+    each = lines_of(spark, sf_dir).join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     items = lambda even: F.when((F.col("l_linenumber") % 2 == 0) == F.lit(even), F.array(F.struct(F.col("l_partkey").alias("item_id")))).otherwise(F.array().cast("array<struct<item_id: bigint>>"))
     trades = each.select(F.col("o_orderkey").alias("trade_id"), F.col("o_custkey").alias("first_char_id"), F.col("l_suppkey").alias("second_char_id"), items(True).alias("first_items"), items(False).alias("second_items"))
     return events.trade_edges(trades)
@@ -194,10 +202,17 @@ def siege_results(spark, sf_dir):
 
 @query("SELECT l_orderkey AS event_id, CASE WHEN l_linenumber % 2 = 0 THEN 'items' ELSE 'services' END AS kind, l_partkey AS id, CAST(l_quantity AS BIGINT) AS count FROM lineitem WHERE l_quantity > 10")
 def purchase_lines(spark, sf_dir):
+    """Lines of more than ten pieces are bought; the others are left out of the events."""
     lines, _ = events.purchase_lines(purchases(spark, sf_dir))
     return lines.select("event_id", "kind", "id", "count")
 
 
+@query("SELECT l_orderkey AS event_id, l_partkey AS id, p.currency_id, p.amount FROM lineitem, LATERAL (SELECT 57 AS currency_id, CAST(l_quantity AS BIGINT) AS amount WHERE l_suppkey % 3 > 0 UNION ALL SELECT 4037, 1 WHERE l_suppkey % 3 > 1 UNION ALL SELECT NULL, NULL WHERE l_suppkey % 3 = 0) p WHERE l_quantity > 10")
+def purchase_payments(spark, sf_dir):
+    """None, one or two payments a line."""
+    return events.purchase_payments(events.purchase_lines(purchases(spark, sf_dir))[0]).select("event_id", "id", "currency_id", "amount")
+
+
 @query("SELECT l_orderkey AS event_id FROM lineitem GROUP BY 1 HAVING max(l_quantity) <= 10")
 def purchase_breaches(spark, sf_dir):
     """Purchases of nothing."""
@@ -205,7 +220,10 @@ def purchase_breaches(spark, sf_dir):
 
 
 def purchases(spark, sf_dir):
-    line = F.struct(F.col("l_partkey").alias("id"), F.col("l_quantity").cast("bigint").alias("count"), F.col("l_extendedprice").alias("price"), F.lit(57).alias("currency_id"))
+    pay = lambda currency, amount: F.struct(F.lit(currency).alias("currency_id"), amount.cast("bigint").alias("amount"))
+    third = F.col("l_suppkey") % 3
+    paid = F.when(third == 0, F.array().cast("array<struct<currency_id: int, amount: bigint>>")).when(third == 1, F.array(pay(57, F.col("l_quantity")))).otherwise(F.array(pay(57, F.col("l_quantity")), pay(4037, F.lit(1))))
+    line = F.struct(F.col("l_partkey").alias("id"), F.col("l_quantity").cast("bigint").alias("count"), paid.alias("payments"))
     big, even = F.col("l_quantity") > 10, F.col("l_linenumber") % 2 == 0
     return lines_of(spark, sf_dir).groupBy(F.col("l_orderkey").alias("event_id")).agg(F.lit(1).alias("char_id"), F.collect_list(F.when(big & even, line)).alias("items"), F.collect_list(F.when(big & ~even, line)).alias("services"))
 
@@ -249,9 +267,9 @@ def match_points(spark, sf_dir):
     return events.match_points(rows)
 
 
-@query("SELECT dayofmonth(ts) AS cycle, user_id % 5 AS class_id, string_agg(DISTINCT user_id, ',' ORDER BY user_id) AS heroes FROM events WHERE value > 150 GROUP BY 1, 2")
+@query("SELECT dayofmonth(ts) AS cycle, user_id % 5 AS class_id, string_agg(DISTINCT user_id, ',' ORDER BY user_id) AS heroes FROM events GROUP BY 1, 2")
 def hero_history(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("value > 150")
+    e = table(spark, sf_dir, "events")
     found = events.hero_history(e.select(F.dayofmonth("ts").cast("bigint").alias("cycle"), (F.col("user_id") % 5).alias("class_id"), F.col("user_id").alias("char_id")))
     return found.withColumn("heroes", F.array_join(F.transform("heroes", lambda x: x.cast("string")), ","))
 
@@ -270,6 +288,33 @@ def server_status(spark, sf_dir):
     return apply.server_status(e).select("server_id", "last_type", "status")
 
 
+@query("WITH s AS (SELECT *, user_id % 4 AS server FROM events WHERE event_type IN ('signup', 'error')), k AS (SELECT server, max(event_id) AS t FROM s WHERE event_id < (SELECT count(*) / 2 FROM events) GROUP BY 1) SELECT server AS server_id, CASE max_by(event_type, event_id) WHEN 'signup' THEN 'online' ELSE 'stopping' END AS status FROM s JOIN k USING (server) WHERE event_id > t GROUP BY 1")
+def server_status_replayed(spark, sf_dir):
+    """All events are replayed to a table that knows the first half: only later ones count."""
+    e = table(spark, sf_dir, "events")
+    half = e.count() / 2
+    kind = F.when(F.col("event_type") == "signup", "ServerStartedEvent").otherwise("ServerStoppingEvent")
+    e = e.where("event_type IN ('signup', 'error')").select((F.col("user_id") % 4).alias("server_id"), kind.alias("msg_type"), F.col("event_id").alias("event_time"))
+    return apply.server_status(e, e.where(F.col("event_time") < half)).select("server_id", "status")
+
+
+@query("SELECT event_id FROM (SELECT event_id, user_id, ts - to_hours(CAST(event_id % 7 * 24 AS INTEGER)) AS t, max(ts - to_hours(CAST(event_id % 7 * 24 AS INTEGER))) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM events) WHERE m IS NULL OR t > m")
+def late_events_dropped(spark, sf_dir):
+    """Events up to six days late: one that comes after a newer one of its user is dropped."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("event_id").alias("seq"), (F.unix_micros(F.col("ts").cast("timestamp")) - F.col("event_id") % 7 * 86_400_000_000).alias("t"))
+    return apply.drop_older(e, "user_id", "t").select("event_id")
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'no source' WHEN event_id % 5 < 3 AND event_type = 'view' THEN 'app session without activity' WHEN event_id % 5 >= 3 AND event_type <> 'view' THEN 'client session with activity'
+WHEN event_id % 2 = 0 AND user_id % 3 > 0 THEN 'start with a reason to leave' WHEN event_id % 2 = 1 AND user_id % 3 = 0 THEN 'end without a reason' WHEN value > 50 AND NOT (event_id % 2 = 0 AND event_id % 5 < 3) THEN 'resumed without an app start' END AS reason FROM events WHERE reason IS NOT NULL""")
+def presence_breaches(spark, sf_dir):
+    """Presence events whose source, activity, reason and resumption contradict each other."""
+    k = F.col("event_id")
+    source = F.when(k % 5 == 0, F.lit(None)).when(k % 5 < 3, "APP").otherwise("CLIENT")
+    e = table(spark, sf_dir, "events").select(k, (k % 2 == 0).alias("online"), source.alias("source"), F.when(F.col("event_type") != "view", F.col("event_type")).alias("activity"), (F.col("value") > 50).alias("resumed"), F.when(F.col("user_id") % 3 > 0, "exit").alias("logout_reason"))
+    return events.bad_presence(e).select("event_id", "reason")
+
+
 @query("SELECT user_id AS char_id, max_by(source, (ts, source)) AS source, max_by(online, (ts, source)) AS online FROM (SELECT user_id, ts, CASE event_type WHEN 'view' THEN 'db' WHEN 'click' THEN 'runtime' ELSE 'presence' END AS source, value > 50 AS online FROM events) GROUP BY 1")
 def online_state(spark, sf_dir):
     """Three sources of one truth; the last statement wins."""
@@ -302,13 +347,11 @@ def effects_state(spark, sf_dir):
     return apply.apply_effects(state).select("char_id", F.inline("effects")).select("char_id", F.col("id").alias("effect"), F.col("remaining_s").alias("remaining"))
 
 
-@query(f"SELECT user_id AS char_id, event_type AS type, count(*) AS used FROM events WHERE event_id // 1000 = 2 GROUP BY 1, 2")
+@query("WITH b AS (SELECT *, event_id // 1000 AS block FROM events), l AS (SELECT user_id, max(block) AS block FROM b GROUP BY 1) SELECT user_id AS char_id, event_type AS type, count(*) AS used FROM b JOIN l USING (user_id, block) GROUP BY 1, 2")
 def usages_state(spark, sf_dir):
-    """Complete sets per user and thousand of events; the newest of the first three thousands replaces the others."""
-    e = table(spark, sf_dir, "events").where("event_id < 3000")
-    block = F.floor(F.col("event_id") / 1000)
-    last = e.groupBy("user_id").agg(F.max(block).alias("last")).where("last = 2")
-    sets = e.join(last, "user_id").groupBy("user_id", block.alias("block"), "event_type").agg(F.count(F.lit(1)).alias("used"))
+    """Complete sets per user and thousand of events; a user's newest set replaces all others."""
+    e = table(spark, sf_dir, "events")
+    sets = e.groupBy("user_id", F.floor(F.col("event_id") / 1000).alias("block"), "event_type").agg(F.count(F.lit(1)).alias("used"))
     sets = sets.groupBy(F.col("user_id").alias("char_id"), "block").agg(F.collect_list(F.struct(F.col("event_type").alias("type"), "used")).alias("usages"))
     return apply.apply_usages(sets, "char_id", "block")
 
@@ -351,6 +394,33 @@ def topics_missing(spark, sf_dir):
     return records.resolve_topics(e, {"view": "t.view", "click": "t.click"})[1]
 
 
+@query("SELECT DISTINCT event_type AS entity_name, CASE WHEN event_type IN ('view', 'click') THEN 't.' || event_type END AS topic, CASE WHEN event_type IN ('view', 'click') THEN 'ACTIVE' ELSE 'DEGRADED' END AS state FROM events")
+def topic_states(spark, sf_dir):
+    entities = table(spark, sf_dir, "events").select(F.col("event_type").alias("entity_name")).distinct()
+    return records.entity_states(entities, {"view": "t.view", "click": "t.click"})
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'error' THEN 'DISABLED' WHEN user_id % 3 = 0 OR value > 100 THEN 'DEGRADED' ELSE 'ACTIVE' END AS state FROM events")
+def module_states(spark, sf_dir):
+    topic = F.when(F.col("user_id") % 3 != 0, "replies")
+    state = stats.module_state(F.col("event_type") != "error", topic, F.when(F.col("value") > 100, 1).otherwise(0))
+    return table(spark, sf_dir, "events").select("event_id", state.alias("state"))
+
+
+@query("SELECT DISTINCT event_type AS family FROM events WHERE event_type IN ('error', 'signup')")
+def families_disabled(spark, sf_dir):
+    families = table(spark, sf_dir, "events").select(F.col("event_type").alias("family")).distinct()
+    return stats.disabled_families(families, families.where("family NOT IN ('error', 'signup')"))
+
+
+@query("SELECT event_id, CASE event_type WHEN 'view' THEN printf('%016x', user_id) WHEN 'click' THEN printf('%016x', event_id) WHEN 'purchase' THEN lower(hex('user' || user_id)) END AS key_hex FROM events")
+def partition_keys(spark, sf_dir):
+    """Views are keyed by character, clicks by mail, purchases by the account's name and the rest by nothing."""
+    kind = F.when(F.col("event_type") == "view", "ChatMessageEvent").when(F.col("event_type") == "click", "MailReadEvent").when(F.col("event_type") == "purchase", "AccountAuthAttemptEvent").otherwise("ServerStartedEvent")
+    key = ids.partition_key(kind, {"char_id": F.col("user_id"), "mail_id": F.col("event_id"), "account_name": F.concat(F.lit("USER"), F.col("user_id").cast("string"))})
+    return table(spark, sf_dir, "events").select("event_id", F.lower(F.hex(key)).alias("key_hex"))
+
+
 SERVER = "0190a1b2-c3d4-7000-8000-000000000001"
 
 
@@ -399,16 +469,16 @@ def entity_stats(spark, sf_dir):
     return stats.entity_stats(cycles)
 
 
-ESCALATED = """r AS (SELECT event_id, user_id, ts, event_type = 'purchase' AS ok, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS run FROM events),
-f AS (SELECT *, row_number() OVER w AS n, ts - min(ts) OVER w >= INTERVAL 15 HOUR AS past FROM r WHERE NOT ok WINDOW w AS (PARTITION BY user_id, run ORDER BY ts)),
-g AS (SELECT *, sum(past::INT) OVER (PARTITION BY user_id, run ORDER BY ts) AS late FROM f)"""
+ESCALATED = """r AS (SELECT event_id, user_id, ts, event_type = 'purchase' AS ok, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM events),
+f AS (SELECT *, row_number() OVER w AS n, ts - min(ts) OVER w >= INTERVAL 15 HOUR AS past FROM r WHERE NOT ok WINDOW w AS (PARTITION BY user_id, run ORDER BY ts, event_id)),
+g AS (SELECT *, sum(past::INT) OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS late FROM f)"""
 
 
 @query(f"WITH {ESCALATED} SELECT user_id AS key, ts, CASE WHEN n = 1 THEN 'FIRST' WHEN late = 0 THEN 'REPEAT' WHEN past AND late = 1 THEN 'ESCALATED' ELSE 'SILENT' END AS level FROM g")
 def escalations(spark, sf_dir):
     """Everything but purchases fails; the grace is 15 hours."""
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), "ts", (F.col("event_type") == "purchase").alias("ok"))
-    return stats.escalate(e, 15 * 3600).where("NOT ok").select("key", "ts", "level")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), "ts", (F.col("event_type") == "purchase").alias("ok"), "event_id")
+    return stats.escalate(e, 15 * 3600, seq="event_id").where("NOT ok").select("key", "ts", "level")
 
 
 @query("SELECT event_id, epoch_us(ts) // 1000 AS millis, printf('%016x', user_id) AS key_hex FROM events")
@@ -420,12 +490,64 @@ def event_ids(spark, sf_dir):
     return made.select("event_id", ids.uuid7_millis(ids.uuid_text(ids.uuid_bytes(ids.uuid_or_null(F.concat(F.lit(" "), F.col("u")))))).alias("millis"), F.lower(F.hex(ids.key_bytes(F.col("user_id")))).alias("key_hex"))
 
 
-@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+KINDS = [(family, kind) for family, types in families.FAMILIES.items() for kind in types]
+_NUMBERED = [kind for _, kind in KINDS if kind in families.KEYS and families.KEYS[kind] != "accountName"]
+
+
+def wire_records(spark, sf_dir):
+    """Each event as a record of one of all types in turn, with an id of its instant, its key field, metadata and a field
+    that no schema knows."""
+    e = table(spark, sf_dir, "events")
+    at = lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("event_id") % len(KINDS)).cast("int") + 1)
+    kind, field = at([k for _, k in KINDS]), at([families.KEYS.get(k, "unknown") for _, k in KINDS])
+    uuid = ids.uuid7_at(F.unix_millis(F.col("ts").cast("timestamp")), F.col("event_id"))
+    value = F.format_string('{"eventId":"%s","%s":%s,"metadata":{"event":"%d"},"later":[1]}', uuid, field, F.when(field == "accountName", F.format_string('"User%d"', "user_id")).otherwise(F.col("user_id").cast("string")), "event_id")
+    number = F.when(kind.isin(_NUMBERED), F.col("user_id"))
+    header = F.array(F.struct(F.lit(records.TYPE_HEADER).alias("key"), F.encode(kind, "utf-8").alias("value")))
+    return e.select(at([f for f, _ in KINDS]).alias("topic"), ids.key_bytes(number).alias("key"), F.encode(value, "utf-8").alias("value"), header.alias("headers"))
+
+
+def typed(spark, sf_dir, family):
+    """(event_id, millis, msg_type, key_number, field): a family's tables, with the key field as the payload has it."""
+    rows, out = wire_records(spark, sf_dir).where(F.col("topic") == family), None
+    for kind, one in families.family_tables(rows, family)[0].items():
+        field = F.col(f"payload.{families.KEYS[kind]}").cast("string") if kind in families.KEYS else F.lit(None).cast("string")
+        noted = F.col("payload.metadata.event").cast("bigint") if "metadata" in families.FAMILIES[family][kind] else F.lit(None).cast("bigint")
+        one = one.select(F.unix_millis("event_time").alias("millis"), "msg_type", "key_number", field.alias("field"), noted.alias("noted"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _family_sql(family):
+    rows = []
+    for kind in families.FAMILIES[family]:
+        key, noted = families.KEYS.get(kind), "event_id" if "metadata" in families.FAMILIES[family][kind] else "CAST(NULL AS BIGINT)"
+        field = "CAST(NULL AS VARCHAR)" if key is None else "'User' || user_id" if key == "accountName" else "CAST(user_id AS VARCHAR)"
+        number = "user_id" if kind in _NUMBERED else "CAST(NULL AS BIGINT)"
+        rows.append(f"SELECT epoch_us(ts) // 1000 AS millis, '{kind}' AS msg_type, {number} AS key_number, {field} AS field, {noted} AS noted FROM events WHERE event_id % {len(KINDS)} = {KINDS.index((family, kind))}")
+    return " UNION ALL ".join(rows)
+
+
+def _family_query(family):
+    def run(spark, sf_dir):
+        return typed(spark, sf_dir, family)
+
+    run.__name__ = f"family_{family}"
+    run.__doc__ = f"The typed tables of the family ``{family}``."
+    return query(_family_sql(family))(run)
+
+
+for _family in families.FAMILIES:
+    _family_query(_family)
+
+
+@query("SELECT event_type, count(*) AS n, count(*) FILTER (event_id % 10 = 0) AS tombstones, CAST(sum(user_id) FILTER (event_id % 10 <> 0) AS BIGINT) AS users FROM events GROUP BY 1")
 def typed_event_tables(spark, sf_dir):
+    """A topic of five types with schemas of one's own; every tenth record is a tombstone."""
     found = events.typed_events(records_of(spark, sf_dir), dict.fromkeys(("view", "click", "purchase", "signup", "error"), "event_id bigint, user_id bigint"))
     out = None
     for kind, df in found.items():
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("event_type"), "n")
+        one = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("payload").isNull()).alias("tombstones"), F.sum("payload.user_id").alias("users")).select(F.lit(kind).alias("event_type"), "n", "tombstones", "users")
         out = one if out is None else out.unionByName(one)
     return out
 

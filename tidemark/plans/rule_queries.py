@@ -29,20 +29,53 @@ def entity_hashes_compatible(spark, sf_dir):
     return entity_hashes(EntitySpec("order", table(spark, sf_dir, "orders"), "o_orderkey", ("o_orderkey", "o_custkey"), (), (lines,)), exact=False, algo="md5")
 
 
-@query("SELECT count(*) AS n, count(DISTINCT (user_id, event_type)) AS hashes FROM events")
+#: The CRC-32 of a string, bit by bit.
+CRC_SQL = """WITH s AS (SELECT c_custkey, encode(concat_ws(',', c_custkey, c_name, c_mktsegment)) AS t FROM customer),
+d AS (SELECT c_custkey, flatten(list_transform(range(0, octet_length(t)), lambda i: [CAST('0x' || hex(t)[2 * i + 1 : 2 * i + 2] AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM s)
+SELECT c_custkey, xor(list_reduce(list_prepend(4294967295, steps), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) AS row_hash FROM d"""
+
+
+@query(CRC_SQL)
+def row_hashes_crc32(spark, sf_dir):
+    """The compatible row hash itself."""
+    return table(spark, sf_dir, "customer").select("c_custkey", hashing.row_hash(["c_custkey", "c_name", "c_mktsegment"]).alias("row_hash"))
+
+
+@query("SELECT c_custkey, true AS differs FROM customer")
+def hashes_perturbed(spark, sf_dir):
+    """A forced row's hash differs from its own in one bit."""
+    h = hashing.row_hash(["c_custkey", "c_name"])
+    return table(spark, sf_dir, "customer").select("c_custkey", (F.bit_count(hashing.perturb(h).bitwiseXOR(h)) == 1).alias("differs"))
+
+
+@query("SELECT c_custkey, coalesce(CASE WHEN c_nationkey % 2 = 0 THEN 'CLASS_' || c_nationkey END, CAST(c_nationkey AS VARCHAR)) AS class FROM customer")
+def canonical_classes(spark, sf_dir):
+    clazz = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("CLASS_"), F.col("c_nationkey").cast("string")))
+    return table(spark, sf_dir, "customer").select("c_custkey", values.prefer_canonical_class(clazz, F.col("c_nationkey")).alias("class"))
+
+
+FNV_SQL = """WITH p AS (SELECT DISTINCT user_id, event_type FROM events),
+d AS (SELECT user_id, event_type, list_concat(list_transform(range(0, 8), lambda i: (user_id >> (8 * i)) & 255), flatten(list_transform(range(1, length(event_type) + 1), lambda i: [ascii(event_type[i]), 0]))) AS bytes FROM p),
+h AS (SELECT user_id, event_type, list_reduce(list_prepend(14695981039346656037::HUGEINT, list_transform(bytes, lambda b: b::HUGEINT)), lambda h, b: (xor(h, b) * 435 + ((xor(h, b) % 16777216) << 40)) % 18446744073709551616::HUGEINT) AS u FROM d)
+SELECT event_id, CAST(CASE WHEN u >= 9223372036854775808::HUGEINT THEN u - 18446744073709551616::HUGEINT ELSE u END AS BIGINT) AS fnv FROM events JOIN h USING (user_id, event_type)"""
+
+
+@query(FNV_SQL)
 def fnv_hashes(spark, sf_dir):
-    """FNV-1a of user and type: as many hashes as there are pairs."""
-    hashed = hashing.fnv1a64(table(spark, sf_dir, "events").select("user_id", "event_type"), ["user_id", "event_type"])
-    return hashed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("fnv").alias("hashes"))
+    """FNV-1a of user and type. In SQL, a product with the prime is 435 times the number and its low 24 bits 40 up."""
+    return hashing.fnv1a64(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), ["user_id", "event_type"]).select("event_id", "fnv")
 
 
-@query("SELECT l_orderkey AS book, count(*) AS offers, true AS same FROM lineitem GROUP BY 1")
+@query("""WITH o AS (SELECT l_orderkey // 4 AS book, l_orderkey % 4 AS side, list_sort(list((l_partkey % 3, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber END, l_suppkey % 2))) AS lines FROM lineitem GROUP BY 1, 2)
+SELECT a.book, a.side AS a_side, b.side AS b_side, a.lines = b.lines AS same FROM o a JOIN o b ON a.book = b.book AND a.side < b.side""")
 def offer_hashes(spark, sf_dir):
-    """An order's lines as offers: their hash is the same in either order."""
-    offer = F.struct(F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("trader_id"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber")).alias("enchant_level"), F.create_map(F.lit("FIRE"), F.col("l_linenumber")).alias("attributes"), F.col("l_quantity").cast("bigint").alias("count"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("unit_price"), F.lit(57).cast("bigint").alias("currency_id"), F.lit(False).alias("packaged"))
-    books = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("book")).agg(F.collect_list(offer).alias("offers"))
-    same = hashing.offers_hash(F.col("offers")) == hashing.offers_hash(F.reverse("offers"))
-    return books.select("book", F.size("offers").cast("bigint").alias("offers"), same.alias("same"))
+    """Lists of few different lines, of neighbouring orders: two have the same hash if and only if they hold the same
+    lines, however often and in whatever order; a null enchantment isn't 0."""
+    line = F.struct((F.col("l_partkey") % 3).alias("item_id"), F.lit(1).cast("bigint").alias("trader_id"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber")).alias("enchant_level"), F.create_map(F.lit("FIRE"), (F.col("l_suppkey") % 2).cast("int")).alias("attributes"), F.lit(1).cast("bigint").alias("count"), F.lit(100).cast("bigint").alias("unit_price"), F.lit(57).cast("bigint").alias("currency_id"), F.lit(False).alias("packaged"))
+    lists = table(spark, sf_dir, "lineitem").groupBy(F.floor(F.col("l_orderkey") / 4).alias("book"), (F.col("l_orderkey") % 4).alias("side")).agg(hashing.offers_hash(F.collect_list(line)).alias("h"))
+    other = lists.select(F.col("book").alias("b_book"), F.col("side").alias("b_side"), F.col("h").alias("b_h"))
+    both = lists.join(other, (F.col("book") == F.col("b_book")) & (F.col("side") < F.col("b_side")))
+    return both.select("book", F.col("side").alias("a_side"), "b_side", (F.col("h") == F.col("b_h")).alias("same"))
 
 
 @query("SELECT p_partkey FROM part WHERE p_brand <> 'Brand#1' AND NOT starts_with(p_name, 'red') AND p_type = 'SMALL'")
@@ -97,20 +130,19 @@ def active_cooldowns(spark, sf_dir):
     return each.select("l_orderkey", F.size(values.active_cooldowns(F.col("cooldowns"), F.lit("1999-01-01").cast("timestamp_ntz"))).cast("bigint").alias("active"))
 
 
-@query("SELECT user_id, max(n) > 1 AS twice FROM (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_id % 40 < 3 GROUP BY 1, 2) GROUP BY 1")
+@query("SELECT user_id, block, max(n) > 1 AS twice FROM (SELECT user_id, event_id // 200 AS block, event_type, count(*) AS n FROM events GROUP BY 1, 2, 3) GROUP BY 1, 2")
 def usage_duplicates(spark, sf_dir):
+    """A user's events of each two hundred as a set of usages; those of errors have no key, which is one identity too."""
     key = F.when(F.col("event_type") != "error", F.col("event_type"))
-    sets = table(spark, sf_dir, "events").where("event_id % 40 < 3").groupBy("user_id").agg(F.collect_list(F.struct(F.lit("t").alias("type"), key.alias("key"))).alias("usages"))
-    return sets.select("user_id", values.duplicate_usages(F.col("usages")).alias("twice"))
+    sets = table(spark, sf_dir, "events").groupBy("user_id", F.floor(F.col("event_id") / 200).alias("block")).agg(F.collect_list(F.struct(F.lit("t").alias("type"), key.alias("key"))).alias("usages"))
+    return sets.select("user_id", "block", values.duplicate_usages(F.col("usages")).alias("twice"))
 
 
 # Nested catalogues: suppliers as monsters, parts of a line as their drops.
 
 
-def nested(spark, sf_dir, key, entry, name, only=None):
-    lines = table(spark, sf_dir, "lineitem")
-    lines = lines if only is None else lines.where(only)
-    return lines.groupBy(F.col(key)).agg(F.array_sort(F.collect_list(entry)).alias(name))
+def nested(spark, sf_dir, key, entry, name):
+    return table(spark, sf_dir, "lineitem").groupBy(F.col(key)).agg(F.array_sort(F.collect_list(entry)).alias(name))
 
 
 @query("SELECT l_suppkey AS npc_id, l_partkey AS item_id, l_linenumber * 10 AS item_chance, CASE WHEN l_linenumber % 2 = 0 THEN 50 / 100.0 * (l_linenumber * 10) END AS chance FROM lineitem")
@@ -122,10 +154,10 @@ def npc_drops(spark, sf_dir):
     return catalogue.npc_drops(npcs).select("npc_id", "item_id", F.col("item_chance").alias("item_chance"), "chance")
 
 
-@query("SELECT s_suppkey, l_partkey, count(l_partkey) AS n FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey AND l_quantity > 49 GROUP BY 1, 2")
+@query("SELECT s_suppkey, l_partkey, count(l_partkey) AS n FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey GROUP BY 1, 2")
 def nested_rows(spark, sf_dir):
     """Nested entries as rows; owners without any keep one of nulls."""
-    lists = nested(spark, sf_dir, "l_suppkey", F.struct("l_partkey", "l_orderkey"), "entries", "l_quantity > 49")
+    lists = nested(spark, sf_dir, "l_suppkey", F.struct("l_partkey", "l_orderkey"), "entries")
     owners = table(spark, sf_dir, "supplier").select("s_suppkey").join(lists, F.col("s_suppkey") == F.col("l_suppkey"), "left")
     return catalogue.nested_table(owners, "s_suppkey", "entries", keep_empty=True).groupBy("s_suppkey", "l_partkey").agg(F.count("l_partkey").alias("n"))
 
@@ -134,14 +166,30 @@ def nested_rows(spark, sf_dir):
 def class_tree(spark, sf_dir):
     """Each part's parent is the one before; every fiftieth is a root."""
     part = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 50 != 0, F.col("p_partkey") - 1).alias("parent"))
-    return catalogue.tree_depth(part, "p_partkey", "parent")
+    return catalogue.tree_depth(part, "p_partkey", "parent")[0]
 
 
 @query("SELECT p_partkey, 6 - p_partkey % 7 AS steps FROM part WHERE p_partkey - p_partkey % 7 + 6 <= (SELECT max(p_partkey) FROM part)")
 def crystal_chain(spark, sf_dir):
     """Parts upgrade to the next one up to every seventh."""
     part = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 7 != 6, F.col("p_partkey") + 1).alias("following"))
-    return catalogue.chain_steps(part, "p_partkey", "following").withColumn("steps", F.col("steps").cast("bigint"))
+    return catalogue.chain_steps(part, "p_partkey", "following")[0].select("p_partkey", F.col("steps").cast("bigint").alias("steps"))
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey - p_partkey % 7 + 6 > (SELECT max(p_partkey) FROM part)")
+def crystals_lost(spark, sf_dir):
+    """Parts whose chain ends at one that isn't there."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 7 != 6, F.col("p_partkey") + 1).alias("following"))
+    return catalogue.chain_steps(part, "p_partkey", "following")[1]
+
+
+@query("""SELECT a.p_partkey AS crystal_id, o.outcome, o.id AS result_id, b.p_size AS result_level FROM part a, LATERAL (SELECT 'next' AS outcome, a.p_partkey + 1 AS id WHERE a.p_partkey % 7 <> 6 UNION ALL SELECT 'cursed', a.p_partkey + 1000000 WHERE a.p_partkey % 2 = 0 AND a.p_partkey % 7 <> 6) o LEFT JOIN part b ON b.p_partkey = o.id""")
+def crystal_outcomes(spark, sf_dir):
+    """What levelling yields: the next crystal, or on failure a cursed one, which the catalogue lacks here."""
+    k = F.col("p_partkey")
+    up = k % 7 != 6
+    crystals = table(spark, sf_dir, "part").select(k.alias("crystal_id"), F.col("p_size").alias("level"), F.when(up, k + 1).alias("next_id"), F.when(up & (k % 2 == 0), k + 1_000_000).alias("cursed_id"))
+    return catalogue.crystal_levels(crystals)
 
 
 @query("SELECT l_orderkey AS recipe_id, 'ingredient' AS part, l_partkey AS item_id FROM lineitem UNION ALL SELECT l_orderkey, 'product', min(l_partkey) FROM lineitem GROUP BY 1 UNION ALL SELECT l_orderkey, 'rare_product', max(l_partkey) FROM lineitem GROUP BY 1 HAVING count(*) > 3")
@@ -170,11 +218,11 @@ def gear_rules(spark, sf_dir):
     return catalogue.gear_rules(groups).groupBy("group_id", F.col("from").alias("step_from")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT event_id, ts, (SELECT min(d) FROM (SELECT date_trunc('day', ts + INTERVAL 2 HOUR) + to_days(CAST(i AS INTEGER)) + INTERVAL 20 HOUR - INTERVAL 2 HOUR AS d FROM range(8) r(i)) WHERE d > ts AND isodow(d + INTERVAL 2 HOUR) IN (1, 6)) AS following FROM events WHERE event_id % 10 = 0")
+@query("SELECT event_id, ts, (SELECT min(d) FROM (SELECT date_trunc('day', ts + INTERVAL 2 HOUR) + to_days(CAST(i AS INTEGER)) + INTERVAL 20 HOUR - INTERVAL 2 HOUR AS d FROM range(8) r(i)) WHERE d > ts AND isodow(d + INTERVAL 2 HOUR) IN (1, 6)) AS following FROM events")
 def next_slots(spark, sf_dir):
     """The next Monday or Saturday, 20:00 at two hours east, after each event."""
     slot = catalogue.next_slot(F.array(F.lit("Mon"), F.lit("Sat")), F.lit("20:00"), F.lit(120), F.col("ts"))
-    return table(spark, sf_dir, "events").where("event_id % 10 = 0").select("event_id", "ts", slot.cast("timestamp_ntz").alias("following"))
+    return table(spark, sf_dir, "events").select("event_id", "ts", slot.cast("timestamp_ntz").alias("following"))
 
 
 @query("SELECT p_partkey, greatest(p_size - 10, 0) AS lo, p_size + 10 AS hi, p_size % 3 <> 0 AS one_place FROM part")
@@ -193,15 +241,45 @@ def minion_groups(spark, sf_dir):
     return found.join(levels, F.col("minion_id") == F.col("__k"), "left").select("npc_id", "minion_id", "minion_name", catalogue.absorb_fits(F.col("c_nationkey"), F.lit(5), F.lit(15)).alias("absorbs"))
 
 
+@query("""WITH m AS (SELECT l_suppkey AS npc_id, CASE WHEN l_linenumber > 1 THEN l_linenumber END AS group_no, count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS ids FROM lineitem GROUP BY 1, 2)
+SELECT npc_id, group_no, n, ids, group_no IS NULL AS fixed, CASE WHEN group_no IS NOT NULL THEN count(group_no) OVER (PARTITION BY npc_id) END AS sets FROM m""")
+def minion_sets(spark, sf_dir):
+    """Lines of a supplier as its minions, by line number; those of number one always come."""
+    minions = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("npc_id"), F.col("l_partkey").alias("minion_id"), F.lit(1).alias("count"), F.when(F.col("l_linenumber") > 1, F.col("l_linenumber")).alias("group_no"))
+    found = catalogue.minion_sets(minions)
+    return found.select("npc_id", "group_no", F.size("minions").cast("bigint").alias("n"), F.aggregate("minions", F.lit(0).cast("bigint"), lambda a, x: a + x["minion_id"]).alias("ids"), "fixed", "sets")
+
+
 @query("SELECT p_partkey AS item_id, unnest(['size', 'price']) AS stat, unnest([CAST(p_size AS DOUBLE), p_retailprice]) AS value FROM part")
 def item_stats(spark, sf_dir):
     stats = F.create_map(F.lit("size"), F.col("p_size").cast("double"), F.lit("price"), F.col("p_retailprice"))
-    return catalogue.item_catalogue(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), "p_name", stats.alias("stats")), ["p_name"])[1]
+    return catalogue.item_catalogue(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), "p_name", stats.alias("stats")), ["p_name"])["stats"]
+
+
+def items_of(spark, sf_dir):
+    part, line = table(spark, sf_dir, "part"), F.struct(F.col("l_suppkey").alias("skill_id"), F.col("l_linenumber").alias("level"))
+    skills = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.collect_list(line).alias("skills"))
+    own = part.join(skills, F.col("p_partkey") == F.col("l_partkey"), "left")
+    restrictions = F.when(F.col("p_size") > 10, F.struct(F.col("p_size").alias("min_level"), (F.col("p_size") % 2 == 0).alias("hero_only")))
+    upgrade = F.when(F.col("p_size") % 3 == 0, F.struct((F.col("p_partkey") + 1).alias("item_id"), F.lit(5).alias("count")))
+    return own.select(F.col("p_partkey").alias("item_id"), "p_name", "skills", restrictions.alias("restrictions"), upgrade.alias("upgrade"))
+
+
+@query("SELECT p_partkey AS item_id, p_name, CASE WHEN p_size > 10 THEN p_size END AS restrictions_min_level, CASE WHEN p_size > 10 THEN p_size % 2 = 0 END AS restrictions_hero_only, CASE WHEN p_size % 3 = 0 THEN p_partkey + 1 END AS upgrade_item_id, CASE WHEN p_size % 3 = 0 THEN 5 END AS upgrade_count FROM part")
+def item_scalars(spark, sf_dir):
+    """Names, restrictions and upgrades of items; either may be absent."""
+    return catalogue.item_catalogue(items_of(spark, sf_dir), ["p_name"])["items"]
+
+
+@query("SELECT l_partkey AS item_id, l_suppkey AS skill_id, l_linenumber AS level FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part)")
+def item_skills(spark, sf_dir):
+    """Order lines as the skills of their part."""
+    return catalogue.item_catalogue(items_of(spark, sf_dir), ["p_name"])["skills"].select("item_id", "skill_id", "level")
 
 
-@query("SELECT l_suppkey AS skill_id, l_linenumber * 5 AS chance, l_partkey AS item_id FROM lineitem WHERE l_quantity > 40")
+@query("SELECT l_suppkey AS skill_id, l_linenumber * 5 AS chance, l_partkey AS item_id FROM lineitem")
 def produced_items(spark, sf_dir):
-    groups = table(spark, sf_dir, "lineitem").where("l_quantity > 40").groupBy(F.col("l_suppkey").alias("skill_id"), (F.col("l_linenumber") * 5).alias("chance")).agg(F.collect_list(F.struct(F.col("l_partkey").alias("item_id"))).alias("items"))
+    groups = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("skill_id"), (F.col("l_linenumber") * 5).alias("chance")).agg(F.collect_list(F.struct(F.col("l_partkey").alias("item_id"))).alias("items"))
     skills = groups.groupBy("skill_id").agg(F.collect_list(F.struct("chance", "items")).alias("produced"))
     return catalogue.produced_items(skills).select("skill_id", "chance", "item_id")
 
@@ -325,16 +403,80 @@ def sessions_closed(spark, sf_dir):
 
 @query(f"WITH {SESSIONS}, o AS (SELECT id, 'p:' || (id % 5000) AS key FROM sessions WHERE ended_at IS NULL), t AS (SELECT id, 'q:' || (id % 2) AS key FROM o) SELECT o.id, CASE WHEN t.id IN (SELECT min(id) FROM t GROUP BY key) THEN t.key ELSE o.key END AS spot FROM o JOIN t USING (id)")
 def sessions_placed(spark, sf_dir):
-    """All open sessions want one of two new spots; the lowest ids get them."""
+    """All sessions want one of two new spots; the lowest ids that are open get them."""
     sessions = sessions_of(spark, sf_dir)
-    wish = sessions.where("ended_at IS NULL").select("id", F.lit("q").alias("spot_pool"), (F.col("id") % 2).cast("int").alias("spot_id"), F.concat(F.lit("q:"), (F.col("id") % 2).cast("string")).alias("spot_key"))
+    wish = sessions.select("id", F.lit("q").alias("spot_pool"), (F.col("id") % 2).cast("int").alias("spot_id"), F.col("id").alias("ts"))
     return ledger.place_sessions(sessions, wish)[0].where("ended_at IS NULL").select("id", F.col("active_spot_key").alias("spot"))
 
 
-@query(f"""WITH {SESSIONS}, asked AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN 'k' || (o_orderkey // 10) ELSE 'n' || o_orderkey END AS key, o_custkey AS c FROM orders),
-r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY k, key) AS k1, row_number() OVER (PARTITION BY c ORDER BY k, key) AS c1 FROM asked)
-SELECT k, CASE WHEN key IN (SELECT 'k' || id FROM sessions) OR k1 > 1 THEN 'DUPLICATE' WHEN c IN (SELECT character_id FROM sessions WHERE ended_at IS NULL) OR c1 > 1 THEN 'CHARACTER_ACTIVE' ELSE 'ADMITTED' END AS verdict FROM r""")
-def session_admissions(spark, sf_dir):
+@query(f"""WITH {SESSIONS}, o AS (SELECT id, row_number() OVER (ORDER BY id) AS n FROM sessions WHERE ended_at IS NULL)
+SELECT s.id, CASE WHEN s.ended_at IS NOT NULL THEN 'NOT_OPEN' WHEN o.n % 3 = 0 THEN 'SPOT_TAKEN' ELSE 'PLACED' END AS verdict FROM sessions s LEFT JOIN o USING (id)""")
+def placements_judged(spark, sf_dir):
+    """Of each three open sessions the first leaves its spot, the second takes that, and the third wants it too late."""
+    from pyspark.sql import Window
+
+    sessions = sessions_of(spark, sf_dir).withColumn("active_spot_key", F.when(F.col("ended_at").isNull(), F.concat(F.lit("p:"), F.col("id").cast("string"))))
+    n = F.row_number().over(Window.partitionBy(F.col("ended_at").isNull()).orderBy("id"))
+    rows = sessions.select("id", "ended_at", n.alias("n"))
+    thirds = rows.where("ended_at IS NULL").select(F.floor((F.col("n") - 1) / 3).alias("third"), F.col("id").alias("first_id"), "n").where("n % 3 = 1").drop("n")
+    rows = rows.withColumn("third", F.floor((F.col("n") - 1) / 3)).join(thirds, "third", "left")
+    leaves = (F.col("n") % 3 == 1) | F.col("ended_at").isNotNull()
+    wish = rows.select("id", F.when(leaves, "free").otherwise("p").alias("spot_pool"), F.when(leaves, F.col("id")).otherwise(F.col("first_id")).cast("int").alias("spot_id"), F.col("n").alias("ts"))
+    return ledger.place_sessions(sessions, wish)[1].select("id", "verdict")
+
+
+def admissions_asked(spark, sf_dir):
     k = F.col("o_orderkey")
-    asked = table(spark, sf_dir, "orders").select(k, F.when(k % 10 == 0, F.concat(F.lit("k"), F.floor(k / 10).cast("string"))).otherwise(F.concat(F.lit("n"), k.cast("string"))).alias("idempotency_key"), F.col("o_custkey").cast("int").alias("character_id"), F.lit(None).cast("string").alias("spot_key"), k.alias("ts"))
-    return ledger.session_admission(asked, sessions_of(spark, sf_dir)).select(k.alias("k"), "verdict")
+    key = F.when(k % 10 == 0, F.concat(F.lit("k"), F.floor(k / 10).cast("string"))).otherwise(F.concat(F.lit("n"), (k - k % 3).cast("string")))
+    spot = F.when(k % 4 > 0, F.concat(F.lit("p:"), (k % 700).cast("string")))
+    return table(spark, sf_dir, "orders").select(k, key.alias("idempotency_key"), (F.col("o_custkey") % 300).cast("int").alias("character_id"), spot.alias("spot_key"), k.alias("ts"))
+
+
+@query()
+def session_admissions(spark, sf_dir):
+    """Orders as requests, three of a key, many of a character and of a spot; a test inserts them one by one."""
+    return ledger.session_admission(admissions_asked(spark, sf_dir), sessions_of(spark, sf_dir)).select(F.col("o_orderkey").alias("k"), "verdict")
+
+
+CLAIMED = f"""{LEDGER}, asked AS (SELECT CAST(event_id * 2 AS VARCHAR) AS correlation_id, event_id, ts FROM events)"""
+
+
+def claims_of(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    asked = e.select((F.col("event_id") * 2).cast("string").alias("correlation_id"), F.lit("claimed").alias("command"), F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("int").alias("buyer_char_id"), F.col("event_id").cast("int").alias("mail_id"), F.col("props").alias("claim_json"))
+    return ledger.claim_outcome(asked, ledger_of(spark, sf_dir))
+
+
+@query(f"""WITH {CLAIMED}, c AS (SELECT a.correlation_id, a.event_id, user_id, props, l.correlation_id IS NULL AS fresh FROM asked a JOIN events USING (event_id) LEFT JOIN ledger l USING (correlation_id) WHERE l.status IS NULL OR l.status = 'FAILED')
+SELECT correlation_id, coalesce(CASE WHEN fresh THEN 'claimed' END, command) AS command, CASE WHEN fresh THEN user_id ELSE o_custkey END AS buyer, coalesce(event_id, 7) AS mail_id, CASE WHEN event_id IS NULL THEN '{{}}' ELSE props END AS claim_json, CASE WHEN event_id IS NULL THEN charged END AS charged, CASE WHEN event_id IS NULL THEN status ELSE 'STARTED' END AS status
+FROM ledger FULL JOIN c USING (correlation_id) LEFT JOIN orders ON CAST(o_orderkey AS VARCHAR) = correlation_id""")
+def receipts_claimed(spark, sf_dir):
+    """The ledger after claims: reopened receipts keep their parties and take mail and claim, new ones take all."""
+    after = ledger.apply_claims(ledger_of(spark, sf_dir), claims_of(spark, sf_dir))
+    return after.select("correlation_id", "command", F.col("buyer_char_id").cast("bigint").alias("buyer"), F.col("mail_id").cast("bigint").alias("mail_id"), "claim_json", F.col("charged_adena").alias("charged"), "status")
+
+
+@query(f"WITH {CLAIMED} SELECT event_id, CASE WHEN status = 'OK' THEN 'REPLAY_OK' WHEN status <> 'FAILED' THEN 'IN_FLIGHT' END AS outcome FROM asked LEFT JOIN ledger USING (correlation_id)")
+def receipts_looked_up(spark, sf_dir):
+    """What a receipt tells without claiming it; failed ones and none tell nothing."""
+    e = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") * 2).cast("string").alias("correlation_id"))
+    return ledger.lookup(e, ledger_of(spark, sf_dir)).select("event_id", "outcome")
+
+
+@query(f"WITH {LEDGER} SELECT correlation_id, status, charged FROM ledger WHERE command = 'buy'")
+def ledger_read(spark, sf_dir):
+    """The ledger table written and read by its schema."""
+    from tidemark.scratch import shared_path
+
+    path = shared_path(spark, "ledger")
+    ledger_of(spark, sf_dir).write.parquet(path)
+    return ledger.read_ledger(spark, path).where("command = 'buy'").select("correlation_id", "status", F.col("charged_adena").alias("charged"))
+
+
+@query(f"WITH {SESSIONS} SELECT id, character_id, activity FROM sessions")
+def sessions_read(spark, sf_dir):
+    from tidemark.scratch import shared_path
+
+    path = shared_path(spark, "sessions")
+    sessions_of(spark, sf_dir).write.parquet(path)
+    return ledger.read_sessions(spark, path).select("id", F.col("character_id").cast("bigint").alias("character_id"), "activity")

@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions import ids
 from tidemark.operators import capture
 from tidemark.plans.book import query, table
 from tidemark.plans.event_queries import ESCALATED
-from tidemark.plans.scratch import cut, shared_path
+from tidemark.scratch import cut, shared_path
 from tidemark.streaming import streams
 
 
-def staged(df, name):
-    """A stream over a table written to the shared folder for it."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).parquet(path)
+BATCHES = 4
+
+
+def staged(df, name, time="ts"):
+    """A stream over a table written to the shared folder in the order of ``time``: a file of each quarter of the span,
+    one after another, read one at a time, so state lives through several micro-batches."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    rows = cut(df, name + "-rows")
+    span = rows.agg(F.unix_micros(F.min(time)).alias("lo"), (F.unix_micros(F.max(time)) - F.unix_micros(F.min(time)) + 1).alias("span")).first()
+    part = F.floor((F.unix_micros(F.col(time)) - F.lit(span.lo)) * BATCHES / F.lit(span.span))
+    for k in range(BATCHES):
+        rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def run(stream, name):
@@ -25,10 +34,12 @@ def run(stream, name):
 
 @query("SELECT event_id, user_id FROM events")
 def stream_dedup(spark, sf_dir):
-    """Every tenth event comes twice in a stream."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("event_time"))
-    twice = e.unionByName(e.where("event_id % 10 = 0"))
-    return run(streams.dedup_stream(staged(twice, "stream-in"), "1 day"), "stream-dedup").select("event_id", "user_id")
+    """Every tenth event comes a second time, an hour later; event time is that inside the id."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    again = e.where("event_id % 10 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR"))
+    made = e.unionByName(again).join(e.select("event_id", ids.uuid7_at(F.unix_millis("ts"), F.col("event_id")).alias("uuid")), "event_id")
+    timed = streams.with_event_time(staged(made, "stream-in"), "uuid")
+    return run(streams.dedup_stream(timed, "1 day", "uuid"), "stream-dedup").select("event_id", "user_id")
 
 
 @query("""WITH d AS (SELECT user_id AS pk, dayofmonth(ts) AS tick, max_by(event_type, event_id) AS h FROM events GROUP BY 1, 2), l AS (SELECT *, lag(tick) OVER w AS t, lag(h) OVER w AS g FROM d WINDOW w AS (PARTITION BY pk ORDER BY tick))
@@ -39,30 +50,42 @@ def stream_ticks(spark, sf_dir):
     return run(streams.ticks(staged(days, "stream-in")), "stream-ticks")
 
 
-@query("""WITH e AS (SELECT user_id, ts, event_type <> 'error' AS open FROM events), l AS (SELECT *, lag(ts) OVER w AS t, lag(open) OVER w AS o FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+@query("""WITH e AS (SELECT user_id, ts, event_type <> 'error' AS open FROM events), l AS (SELECT *, lag(ts) OVER w AS t, lag(open) OVER w AS o, lead(ts) OVER w AS n FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 s AS (SELECT *, coalesce(o, false) AND ts - t < INTERVAL 12 HOUR AS still, coalesce(o, false) AND ts - t >= INTERVAL 12 HOUR AS over FROM l)
-SELECT user_id AS char_id, ts, CASE WHEN open THEN 'OPENED' ELSE 'CLOSED' END AS change FROM s WHERE open <> still UNION ALL SELECT user_id, t + INTERVAL 12 HOUR, 'EXPIRED' FROM s WHERE over""")
+SELECT user_id AS char_id, ts, CASE WHEN open THEN 'OPENED' ELSE 'CLOSED' END AS change FROM s WHERE open <> still UNION ALL SELECT user_id, t + INTERVAL 12 HOUR, 'EXPIRED' FROM s WHERE over
+UNION ALL SELECT user_id, ts + INTERVAL 12 HOUR, 'EXPIRED' FROM l WHERE n IS NULL AND open AND ts + INTERVAL 12 HOUR < (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""")
 def stream_stores(spark, sf_dir):
-    """Stores open with an event, close with an error and expire after twelve silent hours before the next event."""
+    """Stores open with an event, close with an error and expire after twelve silent hours, by the next event or by the
+    watermark, which ends a minute before the last event."""
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("char_id"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("open"))
     found = run(streams.store_changes(staged(e, "stream-in"), 12 * 3600), "stream-stores")
-    # The batch at the end of the data has no later watermark for the last expiry of every user, but may for some.
-    last = e.groupBy("char_id").agg(F.max("ts").alias("last"))
-    found = found.join(last, "char_id").where("change <> 'EXPIRED' OR ts <= last")
     return found.select("char_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "change")
 
 
 @query(f"WITH {ESCALATED} SELECT CAST(user_id AS VARCHAR) AS key, ts, CASE WHEN n = 1 THEN 'FIRST' WHEN late = 0 THEN 'REPEAT' WHEN past AND late = 1 THEN 'ESCALATED' ELSE 'SILENT' END AS level FROM g")
 def stream_escalations(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "purchase").alias("ok"))
-    found = run(streams.escalations(staged(e, "stream-in"), 15 * 3600), "stream-escalations")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "purchase").alias("ok"), F.col("event_id").alias("seq"))
+    found = run(streams.escalations(staged(e, "stream-in"), 15 * 3600, forget_after_s=30 * 86_400), "stream-escalations")
     return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query("SELECT c.event_id, r.ts AS reply_ts FROM events c LEFT JOIN events r ON r.event_id = c.event_id + 1 AND r.event_type = 'view' AND r.ts BETWEEN c.ts AND c.ts + INTERVAL 5 MINUTE WHERE c.event_type = 'click' AND (r.ts IS NOT NULL OR c.ts < (SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'view')) FROM events) - INTERVAL 1 DAY)")
+def stream_timeouts(spark, sf_dir):
+    """Clicks as commands of a stream, a view right after one as its reply; without one in five minutes they time out.
+    Of the last day, which later watermarks would settle, only what has its reply is compared."""
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    commands = staged(e.where("event_type = 'click'").select("event_id", F.col("event_id").alias("correlation_id"), "ts"), "stream-commands")
+    replies = staged(e.where("event_type = 'view'").select((F.col("event_id") - 1).alias("correlation_id"), F.col("ts").alias("reply_ts"), F.lit("ok").alias("status")), "stream-replies", "reply_ts")
+    found = run(streams.command_timeouts(commands, replies), "stream-timeouts")
+    ends = e.agg(F.least(F.max(F.when(F.col("event_type") == "click", F.col("ts"))), F.max(F.when(F.col("event_type") == "view", F.col("ts")))).alias("last"))
+    settled = found.join(F.broadcast(ends)).where(F.col("reply_ts").isNotNull() | (F.col("ts") < F.col("last") - F.expr("INTERVAL 1 DAY")))  # one row
+    return settled.select("event_id", F.col("reply_ts").cast("timestamp_ntz").alias("reply_ts"))
+
+
 @query("SELECT user_id AS pk, max(event_id) AS last_event FROM events GROUP BY 1")
 def stream_capture(spark, sf_dir):
     """Micro-batches of new rows, each a capture cycle that advances the snapshot: at the end it holds every key once."""
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("pk"), "event_id")
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("pk"), "event_id", F.col("ts").cast("timestamp").alias("ts"))
     held = {"snapshot": spark.createDataFrame([], "pk bigint, row_hash bigint")}
 
     def cycle(batch, _):

@@ -79,6 +79,13 @@ def resolve_topics(df: DataFrame, topics: Mapping[str, str], by: str = "entity_n
     return routed.where("topic IS NOT NULL"), routed.where("topic IS NULL").groupBy(by).agg(F.count(F.lit(1)).alias("dropped"))
 
 
+def entity_states(entities: DataFrame, topics: Mapping[str, str], by: str = "entity_name") -> DataFrame:
+    """(by, topic, state) of the entities to sync: DEGRADED for one without a topic, as it can't be published."""
+    book = F.create_map(*[x for k, v in topics.items() for x in (F.lit(k), F.lit(v))]) if topics else F.lit(None).cast("map<string,string>")
+    topic = F.try_element_at(book, F.col(by))
+    return entities.select(by, topic.alias("topic"), F.when(topic.isNull(), "DEGRADED").otherwise("ACTIVE").alias("state"))
+
+
 def route_by_type(records: DataFrame, known: list[str]) -> DataFrame:
     """Records of the known types with their ``msg_type``; others are skipped."""
     return records.withColumn("msg_type", message_type()).where(F.col("msg_type").isin(known))

@@ -80,14 +80,23 @@ def store_changes(events: DataFrame, silence_s: int = 1500, delay: str = "1 minu
     return timed.groupBy("char_id").applyInPandasWithState(step, "char_id bigint, ts timestamp, change string", "seen bigint, open boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def escalations(observations: DataFrame, grace_s: int = 900) -> DataFrame:
-    """The streaming form of ``operators.stats.escalate`` for (key, ts, ok), whose rows come in the order of time."""
+def escalations(observations: DataFrame, grace_s: int = 900, delay: str = "1 minute", forget_after_s: int = 604_800) -> DataFrame:
+    """The streaming form of ``operators.stats.escalate`` for (key, ts, ok, seq): observations of a key are taken in the
+    order of (ts, seq), those of a micro-batch together. One that is older than the last of its key, or than the
+    watermark, comes too late and is dropped. The state of a key that has been silent for ``forget_after_s`` of event
+    time goes, so its next failure is a FIRST."""
 
     def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first, told = state.get if state.exists else (None, False)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        first, told, seen = state.get if state.exists else (None, False, None)
         out = []
-        for row in pd.concat(list(frames)).sort_values("ts", kind="stable").itertuples():
+        for row in pd.concat(list(frames)).sort_values(["ts", "seq"], kind="stable").itertuples():
             now = row.ts.value // 1000
+            if seen is not None and now < seen:
+                continue
+            seen = now
             if row.ok:
                 first, told = None, False
                 continue
@@ -100,10 +109,12 @@ def escalations(observations: DataFrame, grace_s: int = 900) -> DataFrame:
             else:
                 level = "REPEAT"
             out.append((key[0], row.ts.tz_localize("UTC") if row.ts.tzinfo is None else row.ts, level))
-        state.update((first, told))
+        state.update((first, told, seen))
+        state.setTimeoutTimestamp(max(seen // 1000 + forget_after_s * 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["key", "ts", "level"])
 
-    return observations.select("key", "ts", "ok").groupBy("key").applyInPandasWithState(step, "key string, ts timestamp, level string", "first bigint, told boolean", "append", GroupStateTimeout.NoTimeout)
+    timed = observations.select("key", "ts", "ok", "seq").withWatermark("ts", delay)
+    return timed.groupBy("key").applyInPandasWithState(step, "key string, ts timestamp, level string", "first bigint, told boolean, seen bigint", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def command_timeouts(commands: DataFrame, replies: DataFrame, wait: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
