@@ -1,13 +1,15 @@
-"""Helpers shared by the training-data operators: shared scratch tables, tables by name, ASCII text forms."""
+"""Helpers shared by the training-data operators: tables by name, columns free of clashes, ASCII text forms."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.scratch import cut
+from tidemark.scratch import shared_path as scratch
+
+__all__ = ["LOWER", "UPPER", "WS", "ascii_lower", "cut", "digest128", "named", "number_of", "numbered", "scratch", "table", "text_or_empty"]
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: ASCII white space, as a Java and Python character class body.
@@ -18,35 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
-
-    Where it is unset, a local master gets a temporary folder; a cluster gets an error, as a
-    machine-local folder would lose the data of other machines.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage ends there, so a lost executor
-    costs a read and not the work before it. Columns keep their types and nullability relaxes."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(c, UPPER, LOWER)
@@ -59,3 +32,18 @@ def text_or_empty(c: str = "text") -> Column:
 def digest128(c: Column) -> Column:
     """128 bits of two seeded 64-bit hashes as a struct; equal values have equal digests."""
     return F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit(7), c).alias("b"))
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The same rows with the columns ``c0``, ``c1`` and so on, so that no name of theirs clashes with a helper's."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+
+def number_of(docs: DataFrame, name: str) -> Column:
+    """The column of :func:`numbered` that ``name`` became."""
+    return F.col(f"c{docs.columns.index(name)}")
+
+
+def named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows of :func:`numbered` under the names, and with the types, that ``docs`` has."""
+    return rows.select(*[F.col(f"c{k}").cast(f.dataType).alias(f.name) for k, f in enumerate(docs.schema.fields)])
