@@ -1,29 +1,38 @@
 """Op 3: line deduplication against levelled sorted runs of line hashes.
 
-The lines already seen are kept as runs: Parquet tables of (128-bit hash, documents) sorted by hash. A new batch
-of documents counts its own lines, leaves out (merge anti join) those that the runs already hold as frequent,
-and adds the rest as a run of level 0. When a level has ``fanout`` runs they are compacted into one run of the
-next level, and hashes that reach the threshold move to the run of frequent lines. How documents fall into
-batches changes the work, never the result: counts of all runs add up.
+The lines already seen are kept as runs: tables of (128-bit hash, documents), dealt into the same fixed hash buckets
+and sorted by hash within each, so runs are merged bucket by bucket and nothing moves between tasks. A new batch
+of documents counts its own lines, leaves out (merge anti join) those that the runs already hold as frequent, and
+adds the rest as a run of level 0. When a level has ``fanout`` runs they are merged into one run of the next level.
+Each run is written in two parts: hashes that reach the threshold, which later batches and merges are rid of, and the
+others. How documents fall into batches changes the work, never the result: counts of all runs add up.
 
 Lines of a frequent key lose all their occurrences. They are found by joining (text, position, hash) with the
-frequent run; texts move once, with the list of positions to drop.
+frequent hashes; texts move once, with the list of positions to drop.
 
-Cases: a null or empty text is one empty line; each row counts as a document, repeated rows too; an empty table
-gives an empty result; further columns are ignored.
+Cases: a null or empty text is one empty line; each row counts as a document, repeated rows too; null and shared ids
+harm nothing, as positions belong to texts; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, digest128, scratch, text_or_empty
+from tidemark.llm.common import ascii_lower, cut, digest128, scratch, text_or_empty
 
 #: Frequent lines up to which they are sent to all tasks (24 bytes each); beyond, both sides are shuffled.
 BROADCAST_ROWS = 100_000
+#: Files that a batch holds at least to be made of whole files.
+BATCH_FILES = 4
+#: Spark's own limit of buckets.
+MAX_BUCKETS = 100_000
+SORTED_SCANS = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def line_key(line: Column) -> Column:
@@ -42,92 +51,101 @@ def line_counts(docs: DataFrame, text_col: str = "text", min_chars: int = 1) ->
 
 
 class LineRuns:
-    """The levelled runs of one collection, in the shared folder."""
+    """The levelled runs of one collection: bucketed tables whose files lie in the shared folder. :meth:`close` takes
+    their names out of the catalogue."""
 
-    def __init__(self, spark: SparkSession, threshold: int, fanout: int = 3, path: str | None = None):
+    def __init__(self, spark: SparkSession, threshold: int, fanout: int = 2, path: str | None = None):
         self.spark, self.threshold, self.fanout = spark, threshold, fanout
-        self.path = path or scratch(spark, "line-runs")
+        self.path, self.name = path or scratch(spark, "line-runs"), f"line_runs_{uuid.uuid4().hex}"
+        # A shuffle by hash deals as the buckets do, so a task of it writes its buckets whole.
+        self.buckets = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.levels: list[list[str]] = [[]]
-        self.frequent_runs: list[str] = []
-        self.written = 0
-
-    def _write(self, rows: DataFrame) -> str:
-        self.written += 1
-        path = f"{self.path}/run-{self.written:06d}"
-        rows.sortWithinPartitions("a", "b").write.parquet(path)
-        return path
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("a bigint, b bigint, n bigint").parquet(*paths)
+        self.runs: list[str] = []
+        # Runs are sorted as they were written; Spark is told to rely on it until close().
+        self._sorted = spark.conf.get(SORTED_SCANS, "false")
+        spark.conf.set(SORTED_SCANS, "true")
+
+    def _write(self, counts: DataFrame) -> str:
+        name = f"{self.name}_{len(self.runs):06d}"
+        rows = counts.select("a", "b", "n", (F.col("n") >= self.threshold).alias("frequent"))
+        writer = rows.write.format("parquet").partitionBy("frequent").bucketBy(self.buckets, "a", "b").sortBy("a", "b")
+        writer.option("path", f"{self.path}/{name}").saveAsTable(name)
+        self.runs.append(name)
+        return name
+
+    def _read(self, names: list[str], frequent: bool) -> DataFrame:
+        # All columns stay: Spark sees the same buckets on both sides of a union only where nothing is projected below it.
+        return reduce(DataFrame.unionByName, [self.spark.table(n).where(F.col("frequent") == frequent) for n in names])
+
+    def new_counts(self, counts: DataFrame) -> DataFrame:
+        """Counts of hashes that no run holds as frequent: a merge anti join."""
+        return counts.join(self._read(self.runs, True).hint("merge"), ["a", "b"], "left_anti") if self.runs else counts
+
+    def merged(self, names: list[str]) -> DataFrame:
+        """The sum of runs, frequent hashes left out."""
+        return self.new_counts(self._read(names, False).groupBy("a", "b").agg(F.sum("n").alias("n")))
 
     def add(self, counts: DataFrame) -> None:
-        """Merge anti-join a batch's :func:`line_counts` with the frequent run and add what remains."""
-        if self.frequent_runs:
-            counts = counts.join(self._read(self.frequent_runs).hint("merge"), ["a", "b"], "left_anti")
-        self.levels[0].append(self._write(counts))
+        """Add a batch's :func:`line_counts`, without what is known as frequent, and merge full levels."""
+        self.levels[0].append(self._write(self.new_counts(counts)))
         level = 0
         while len(self.levels[level]) >= self.fanout:
-            self._compact(level)
+            if level + 1 == len(self.levels):
+                self.levels.append([])
+            self.levels[level + 1].append(self._write(self.merged(self.levels[level])))
+            self.levels[level] = []
             level += 1
 
-    def _compact(self, level: int) -> None:
-        merged = self._write(self._merged(self.levels[level]))
-        self.levels[level] = []
-        if level + 1 == len(self.levels):
-            self.levels.append([])
-        ready = self._read([merged]).where(F.col("n") >= self.threshold)
-        if self.frequent_runs:
-            ready = ready.join(self._read(self.frequent_runs), ["a", "b"], "left_anti")
-        self.frequent_runs.append(self._write(ready))
-        self.levels[level + 1].append(merged)
-
-    def _merged(self, paths: list[str]) -> DataFrame:
-        return self._read(paths).groupBy("a", "b").agg(F.sum("n").alias("n"))
-
     def frequent(self) -> DataFrame:
         """(a, b) of keys found in ``threshold`` documents or more, each once."""
-        runs = [p for level in self.levels for p in level]
-        if not runs:
+        if not self.runs:
             return self.spark.createDataFrame([], "a bigint, b bigint")
-        found = self._merged(runs).where(F.col("n") >= self.threshold).select("a", "b")
-        if self.frequent_runs:
-            found = found.unionByName(self._read(self.frequent_runs).select("a", "b")).distinct()
-        return found
+        last = self.merged([n for level in self.levels for n in level]).where(F.col("n") >= self.threshold)
+        return self._read(self.runs, True).select("a", "b").unionByName(last.select("a", "b")).distinct()
+
+    def close(self) -> None:
+        for name in self.runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        self.spark.conf.set(SORTED_SCANS, self._sorted)
 
 
-def batches_of(docs: DataFrame, n: int) -> list[DataFrame]:
-    """Up to ``n`` batches of a table read from files, each a share of the files; otherwise the table itself. The
-    table must be as it was read, without filters."""
-    files = sorted(docs.inputFiles())
-    spark = docs.sparkSession
-    if len(files) < 2 or not all(f.endswith(".parquet") for f in files):
-        return [docs]
-    return [spark.read.schema(docs.schema).parquet(*files[k::n]) for k in range(min(n, len(files)))]
+def batches_of(docs: DataFrame, n: int, id_col: str = "doc_id") -> list[DataFrame]:
+    """``docs`` dealt into ``n`` batches: by file name where the rows come from many files, so that each batch reads its
+    own files only; otherwise by a hash of the id, where each batch reads all and keeps its share."""
+    by = F.col(id_col)
+    if len(docs.inputFiles()) >= BATCH_FILES * n:
+        try:
+            named = docs.select(F.col("_metadata.file_name"))
+            by = F.col("_metadata.file_name") if named.columns else by
+        except AnalysisException:
+            pass  # rows of a join or union have no file of their own
+    return [docs.where(F.pmod(F.xxhash64(by), F.lit(n)) == k) for k in range(n)]
 
 
 def drop_frequent(
-    docs: DataFrame, batches: Iterable[DataFrame], id_col: str = "doc_id", text_col: str = "text", threshold: int = 10, min_chars: int = 1, fanout: int = 3
+    docs: DataFrame, batches: Iterable[DataFrame], id_col: str = "doc_id", text_col: str = "text", threshold: int = 10, min_chars: int = 1, fanout: int = 2
 ) -> DataFrame:
     """id, n_lines, n_dropped and the kept ``text`` of every document. ``batches`` are the documents' parts."""
     runs = LineRuns(docs.sparkSession, threshold, fanout)
     for batch in batches:
         runs.add(line_counts(batch, text_col, min_chars))
-    frequent = docs.sparkSession.read.schema("a bigint, b bigint").parquet(runs._write(runs.frequent()))
+    frequent = cut(runs.frequent(), "frequent-lines")
+    runs.close()
     if frequent.count() <= BROADCAST_ROWS:
         frequent = F.broadcast(frequent)
-    own = docs.select(F.col(id_col), text_or_empty(text_col).alias("__text"))
-    own = own.select("*", digest128(F.col("__text")).alias("__of"))
+    own = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    own = own.select("*", digest128(F.col("text")).alias("of"))
     # Equal texts drop the same lines, so positions belong to a text's hash: ids need not be distinct.
-    keys = F.transform(lines_of(F.col("__text")), lambda x, i: F.struct(i.alias("at"), digest128(line_key(x)).alias("key")))
-    places = own.select(F.col("__of.a").alias("ta"), F.col("__of.b").alias("tb"), F.inline(keys)).select("ta", "tb", "at", "key.a", "key.b")
+    keys = F.transform(lines_of(F.col("text")), lambda x, i: F.struct(i.alias("at"), digest128(line_key(x)).alias("key")))
+    places = own.select(F.col("of.a").alias("ta"), F.col("of.b").alias("tb"), F.inline(keys)).select("ta", "tb", "at", "key.a", "key.b")
     drops = places.join(frequent, ["a", "b"]).groupBy("ta", "tb").agg(F.collect_set("at").alias("drop"))
-    joined = own.join(drops, (F.col("__of.a") == F.col("ta")) & (F.col("__of.b") == F.col("tb")), "left")
-    lines = F.col("__lines")
+    joined = own.join(drops, (F.col("of.a") == F.col("ta")) & (F.col("of.b") == F.col("tb")), "left")
+    lines = F.col("lines")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce("drop", F.array().cast("array<int>")))
-    joined = joined.select(id_col, lines_of(F.col("__text")).alias("__lines"), "drop").select(id_col, "__lines", kept.alias("__kept"))
+    joined = joined.select("id", lines_of(F.col("text")).alias("lines"), "drop").select("id", "lines", kept.alias("kept"))
     return joined.select(
-        id_col,
-        F.size("__lines").cast("bigint").alias("n_lines"),
-        (F.size("__lines") - F.size("__kept")).cast("bigint").alias("n_dropped"),
-        F.array_join(F.transform("__kept", lambda i: F.get("__lines", i)), "\n").alias("text"),
+        F.col("id").alias(id_col),
+        F.size("lines").cast("bigint").alias("n_lines"),
+        (F.size("lines") - F.size("kept")).cast("bigint").alias("n_dropped"),
+        F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n").alias("text"),
     )
