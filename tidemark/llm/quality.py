@@ -2,14 +2,23 @@
 
 Every document gets counts over its whole text. Rates of those counts go into mergeable quantile sketches, one
 per (language, source): integer histograms whose bins keep the leading bits of a value, so the bins of two
-sketches add up and any quantile is known to within a bin's width (1/8 of the value). A group of few documents
-takes its language's merged sketch, a language of few documents that of all. The threshold of a rate is
-``median + spread * (q75 - q50) + slack`` for too high values, and the mirror image for too low ones. Thresholds
-are joined to the documents by (language, source); each document is then kept or not.
+sketches add up and any quantile is known to within a bin's width (1/64 of the value). A group of few documents
+takes its language's merged sketch, a language of few documents that of all.
+
+No cutoff is a fixed rate; each is made of the group's own quantiles (see ``RATES``):
+
+* ``tail``: a high quantile q of the group. A group of which a good part is junk would make its own junk the norm, so
+  the limit is at most ``GUARD`` times the median of that quantile over the language's groups, or ``GUARD`` times the
+  group's own median where that is more, as in a source where high values are the rule.
+* ``fence``: ``SPREAD`` interquartile distances beyond the median, above or below.
+
+A count in a short text is a small sample, so a document fails a tail limit only if its count is ``SIGMAS`` standard
+deviations of a Poisson count above what the limit gives for its length. Limits are joined to the documents by
+(language, source); each document is then kept or not.
 
 Cases: a null or empty text has no words and fails the base rules; null languages and sources are groups of
-their own; an empty table gives empty results; repeated rows are judged alike; further columns are carried by
-:func:`keep` and ignored by :func:`judge`.
+their own; an empty table gives empty results; repeated rows are judged alike; further columns, of any name, are
+carried by :func:`keep` and ignored by :func:`judge`.
 """
 
 from __future__ import annotations
@@ -18,20 +27,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, named, number_of, numbered
 
 SYMBOLS = b"#*$%&|<>"
-#: Rates in parts of 10,000: (rate, count, of, whether high values are bad, slack).
+#: Rates in parts of 10,000: (rate, count, of, kind, quantile in percent). A quantile of q leaves at most 100 - q
+#: percent of a group to the rule. Junk full of symbols may be a twentieth of a source, so that quantile is lower.
 RATES = (
-    ("symbol_rate", "n_symbols", "word_chars", True, 300),
-    ("repeat_rate", "n_repeat_words", "n_words", True, 4000),
-    ("dup_line_rate", "n_dup_lines", "n_words", True, 300),
-    ("long_word_rate", "word_chars", "n_words", True, 20_000),
-    ("short_word_rate", "word_chars", "n_words", False, 15_000),
+    ("symbol_rate", "n_symbols", "word_chars", "tail", 90),
+    ("repeat_rate", "n_repeat_words", "n_words", "tail", 99),
+    ("dup_line_rate", "n_dup_lines", "n_words", "tail", 99),
+    ("long_word_rate", "word_chars", "n_words", "fence above", 75),
+    ("short_word_rate", "word_chars", "n_words", "fence below", 25),
 )
-#: Interquartile distances beyond the median, and the documents that a sketch must hold to be used by itself.
-SPREAD, MIN_DOCS = 6, 50
+#: Interquartile distances beyond the median, times of the other groups' or the own median, standard deviations, and
+#: the documents that a sketch must hold to be used by itself.
+SPREAD, GUARD, SIGMAS, MIN_DOCS = 6, 3, 3, 200
+#: Leading bits of a value that a sketch keeps.
+BITS = 7
 
 
 def measure_text(text: str | None) -> tuple[int, int, int, int, int]:
@@ -78,25 +92,34 @@ def repeated_words(words: list[bytes]) -> int:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """id, the carried columns and the five counts of every document."""
-    source = docs.select(F.col(id_col), *carry, F.col(text_col).cast("string").alias("__text"))
+def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents' columns under the names ``c0``, ``c1`` and so on, and their five counts. Each text goes to Python once."""
+    at = docs.columns.index(text_col)
+    source = numbered(docs)
+    source = source.withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
 
     def run(batches):
         for batch in batches:
-            found = [measure_text(t) for t in batch.column(len(carry) + 1).to_pylist()]
+            found = [measure_text(t) for t in batch.column(at).to_pylist()]
             counts = [pa.array([x[k] for x in found], pa.int64()) for k in range(5)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry) + 1], *counts], names=[id_col, *carry, *COUNTS])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *counts], names=[*batch.schema.names, *COUNTS])
+
+    schema = T.StructType([*source.schema.fields, *[T.StructField(c, T.LongType()) for c in COUNTS]])
+    return source.mapInArrow(run, schema)
 
-    head = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in (id_col, *carry))
-    return source.mapInArrow(run, f"{head}, {', '.join(f'{c} bigint' for c in COUNTS)}")
+
+def counted(docs: DataFrame, id_col: str, text_col: str, lang: str, source: str) -> DataFrame:
+    """(id, lang, source, counts...) of every document, written."""
+    picked = docs.select(F.col(id_col), F.col(lang), F.col(source), F.col(text_col))
+    rows = measure(picked.toDF("id", "lang", "source", "text"))
+    return cut(rows.select(F.col("c0").alias("id"), F.col("c1").alias("lang"), F.col("c2").alias("source"), *COUNTS), "quality-counts")
 
 
 def bin_of(value: Column) -> Column:
-    """The sketch's bin of an integer >= 0: values under 16 are exact, larger ones keep their 4 leading bits."""
-    shift = F.greatest(F.length(F.bin(value)) - 4, F.lit(0))
-    low = F.floor(value / F.pow(F.lit(2), shift)) * F.pow(F.lit(2), shift)
-    return low.cast("bigint")
+    """The sketch's bin of an integer >= 0, named by its largest value: values under 2 ** BITS are exact, larger
+    ones keep their BITS leading bits."""
+    width = F.pow(F.lit(2), F.greatest(F.length(F.bin(value)) - BITS, F.lit(0))).cast("bigint")
+    return (F.floor(value / width) + 1) * width - 1
 
 
 def rate(count: str, of: str) -> Column:
@@ -114,33 +137,59 @@ def merge_sketches(sketch: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return sketch.groupBy(*by, "rate", "bin").agg(F.sum("n").alias("n"))
 
 
-def quantiles(sketch: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """(by..., rate, docs, q25, q50, q75): the bin that holds the document of that rank. The bins of a sketch are
-    a bounded list (under 500), so they are gathered into an array."""
+def quantiles(sketch: DataFrame, by: tuple[str, ...], percents: tuple[int, ...] = (25, 50, 75, 90, 99)) -> DataFrame:
+    """(by..., rate, docs, q25, q50, ...): the bin that holds the document of that rank. The bins of a sketch are
+    a bounded list (2 ** BITS and half as many per doubling), so they are gathered into an array."""
     bins = F.array_sort(F.collect_list(F.struct("bin", "n")))
     lists = sketch.groupBy(*by, "rate").agg(bins.alias("bins"), F.sum("n").alias("docs"))
 
-    def at(quarter: int) -> Column:
+    def at(percent: int) -> Column:
         start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("bin"))
-        step = lambda s, b: F.struct((s["seen"] + b["n"]).alias("seen"), F.when(s["bin"].isNull() & ((s["seen"] + b["n"]) * 4 >= F.col("docs") * quarter), b["bin"]).otherwise(s["bin"]).alias("bin"))
+        step = lambda s, b: F.struct((s["seen"] + b["n"]).alias("seen"), F.when(s["bin"].isNull() & ((s["seen"] + b["n"]) * 100 >= F.col("docs") * percent), b["bin"]).otherwise(s["bin"]).alias("bin"))
         return F.aggregate("bins", start, step, lambda s: s["bin"])
 
-    return lists.select(*by, "rate", "docs", *[at(q).alias(f"q{q * 25}") for q in (1, 2, 3)])
-
-
-def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source", spread: int = SPREAD, min_docs: int = MIN_DOCS) -> DataFrame:
-    """One row per (language, source) with a threshold column for each rate."""
-    own = cut(sketches(measured, (lang, source)), "quality-sketches")
-    q_own = quantiles(own, (lang, source))
-    q_lang = quantiles(merge_sketches(own, (lang,)), (lang,)).select(F.col(lang).alias("__lang"), F.col("rate").alias("__rate"), *[F.col(c).alias(f"l_{c}") for c in ("docs", "q25", "q50", "q75")])
-    q_all = quantiles(merge_sketches(own, ()), ()).select(F.col("rate").alias("__all"), *[F.col(c).alias(f"a_{c}") for c in ("q25", "q50", "q75")])
-    joined = q_own.join(q_lang, (F.col("rate") == F.col("__rate")) & F.col(lang).eqNullSafe(F.col("__lang"))).join(q_all, F.col("rate") == F.col("__all"))
-    pick = {c: F.when(F.col("docs") >= min_docs, F.col(c)).when(F.col("l_docs") >= min_docs, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")) for c in ("q25", "q50", "q75")}
+    return lists.select(*by, "rate", "docs", *[at(p).alias(f"q{p}") for p in percents])
+
+
+def thresholds(measured: DataFrame, spread: int = SPREAD, guard: int = GUARD, min_docs: int = MIN_DOCS) -> DataFrame:
+    """One row per (lang, source) of measured documents, with a limit for each rate under the rate's name."""
+    own = cut(sketches(measured, ("lang", "source")), "quality-sketches")
+    names = ("q25", "q50", "q75", "q90", "q99")
+    q_own = cut(quantiles(own, ("lang", "source")), "quality-quantiles")
+    q_lang = quantiles(merge_sketches(own, ("lang",)), ("lang",)).select(F.col("lang").alias("l_lang"), F.col("rate").alias("l_rate"), *[F.col(c).alias(f"l_{c}") for c in ("docs", *names)])
+    q_all = quantiles(merge_sketches(own, ()), ()).select(F.col("rate").alias("a_rate"), *[F.col(c).alias(f"a_{c}") for c in names])
+    joined = q_own.join(q_lang, (F.col("rate") == F.col("l_rate")) & F.col("lang").eqNullSafe(F.col("l_lang"))).join(q_all, F.col("rate") == F.col("a_rate"))
+    picked = [F.when(F.col("docs") >= min_docs, F.col(c)).when(F.col("l_docs") >= min_docs, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")).alias(c) for c in names]
+    joined = joined.select("lang", "source", "rate", *picked)
+    # The median over a language's groups: a group that is mostly junk is one among many there.
+    peers = joined.groupBy(F.col("lang").alias("p_lang"), F.col("rate").alias("p_rate")).agg(*[F.percentile(c, 0.5).alias(f"p_{c}") for c in ("q90", "q99")])
+    joined = joined.join(peers, (F.col("rate") == F.col("p_rate")) & F.col("lang").eqNullSafe(F.col("p_lang")))
     limits = []
-    for name, _, _, high, slack in RATES:
-        limit = pick["q50"] + (pick["q75"] - pick["q50"]) * spread + slack if high else pick["q50"] - (pick["q50"] - pick["q25"]) * spread - slack
-        limits.append(F.max(F.when(F.col("rate") == name, limit)).alias(f"max_{name}" if high else f"min_{name}"))
-    return joined.groupBy(lang, source).agg(*limits)
+    for name, _, _, kind, percent in RATES:
+        if kind == "tail":
+            limit = F.least(F.col(f"q{percent}"), F.greatest(F.floor(F.col(f"p_q{percent}") * guard), F.col("q50") * guard))
+        elif kind == "fence above":
+            limit = F.col("q50") + (F.col("q75") - F.col("q50")) * spread
+        else:
+            limit = F.col("q50") - (F.col("q50") - F.col("q25")) * spread
+        limits.append(F.max(F.when(F.col("rate") == name, limit)).cast("bigint").alias(name))
+    return joined.groupBy("lang", "source").agg(*limits)
+
+
+def within(sigmas: int = SIGMAS) -> Column:
+    """Whether a measured document joined with its limits keeps them all."""
+    ok = F.lit(True)
+    for name, count, of, kind, _ in RATES:
+        if kind == "tail":
+            # In parts of 10,000; a Poisson count's variance is its mean, one at least.
+            mean = F.col(name).cast("double") * F.col(of)
+            over = F.col(count) * F.lit(10_000.0) - mean
+            ok &= (over <= 0) | (over * over <= F.lit(float(sigmas * sigmas)) * 10_000 * F.greatest(mean, F.lit(10_000.0)))
+        elif kind == "fence above":
+            ok &= rate(count, of) <= F.col(name)
+        else:
+            ok &= rate(count, of) >= F.col(name)
+    return ok
 
 
 def base_failed() -> Column:
@@ -149,28 +198,15 @@ def base_failed() -> Column:
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang: str = "lang", source: str = "source", **bounds: int) -> DataFrame:
     """id, the five counts, base_failed and kept of every document."""
-    measured = cut(measure(docs, id_col, text_col, (lang, source)), "quality-counts")
-    limits = thresholds(measured, lang, source, **bounds).withColumnsRenamed({lang: "__lang", source: "__source"})
-    own = measured.join(limits, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")), "left")
-    within = F.lit(True)
-    for name, count, of, high, _ in RATES:
-        within &= rate(count, of) <= F.col(f"max_{name}") if high else rate(count, of) >= F.col(f"min_{name}")
-    return own.select(id_col, *COUNTS, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(within, F.lit(False))).alias("kept"))
+    measured = counted(docs, id_col, text_col, lang, source)
+    limits = thresholds(measured, **bounds).withColumnsRenamed({"lang": "l_lang", "source": "l_source"})
+    own = measured.join(limits, F.col("lang").eqNullSafe(F.col("l_lang")) & F.col("source").eqNullSafe(F.col("l_source")), "left")
+    return own.select(F.col("id").alias(id_col), *COUNTS, base_failed().alias("base_failed"), (~base_failed() & F.coalesce(within(), F.lit(False))).alias("kept"))
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang: str = "lang", source: str = "source", **bounds: int) -> DataFrame:
     """The documents that pass, with all their columns. The texts don't move: each task measures its own again
-    and looks up the thresholds, one row per (language, source)."""
-    carry = tuple(c for c in docs.columns)
-    measured = cut(measure(docs, id_col, text_col, (lang, source)), "quality-counts")
-    limits = cut(thresholds(measured, lang, source, **bounds), "quality-limits")
-    counted = measure(docs.withColumn("__row", F.struct(*carry)), "__row", text_col, (lang, source))
-    return _within(counted, limits, lang, source).select("__row.*")
-
-
-def _within(measured: DataFrame, limits: DataFrame, lang: str, source: str) -> DataFrame:
-    limits = limits.withColumnsRenamed({lang: "__lang", source: "__source"})
-    ok = ~base_failed()
-    for name, count, of, high, _ in RATES:
-        ok &= rate(count, of) <= F.col(f"max_{name}") if high else rate(count, of) >= F.col(f"min_{name}")
-    return measured.join(limits, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source"))).where(ok)
+    and looks up the limits, one row per (language, source)."""
+    limits = cut(thresholds(counted(docs, id_col, text_col, lang, source), **bounds).withColumnsRenamed({"lang": "l_lang", "source": "l_source"}), "quality-limits")
+    same = number_of(docs, lang).eqNullSafe(F.col("l_lang")) & number_of(docs, source).eqNullSafe(F.col("l_source"))
+    return named(measure(docs, text_col).join(limits, same).where(~base_failed() & within()), docs)
