@@ -1,21 +1,27 @@
 """Op 5: license scans by an exact set-similarity join of text blocks with license templates. DataFrame functions only.
 
 Base labels come from phrases, found wherever their words stand one after another. The method adds labels of
-templates: a text block has a template if it holds at least ``threshold`` of the template's distinct tokens.
+templates (:mod:`tidemark.llm.license_texts`): a text block has a template if it holds at least ``threshold`` of the
+template's distinct tokens.
 
-All template tokens are ordered by how often they occur in the whole corpus, rare ones first. A block is reduced
-to its template tokens in that order. For a template of m tokens, a = ceil(threshold * m) must be shared, so:
-prefix filter: the first m - a + 1 tokens of the template and the first n - a + 1 of the block share one;
-length filter: the block has a tokens or more; positional filter: what follows the first shared token, on both
-sides, can still reach a. Pairs that pass are counted exactly. The templates are a fixed, short list and so part
-of the plan; documents are never moved.
+Blocks are windows over the words of the whole text, line breaks or not. A template of up to ``half`` words, for a
+``half`` of HALVES, is sought in windows of twice ``half`` words, each starting ``half`` words after the last, so
+every run of ``half`` words lies whole in one.
 
-Blocks are the lines and the whole text, line breaks as spaces; what is longer is cut into windows of WINDOW words,
-each starting HALF a window after the last, so a statement of up to HALF words lies whole in one, wherever its author
-broke the lines. Lines and windows of the whole text that hold no prefix token are left out.
+The join: all template tokens are ordered by how often they occur in the whole corpus, rare ones first. For a template
+of m tokens, a = ceil(threshold * m) must be shared.
 
-Cases: a null or empty text has no words, no places and no labels; repeated rows and ids are scanned alike; an
-empty table gives an empty result; only the named columns are read.
+* Prefix filter: the first m - a + 1 tokens of the template and the first n - a + 1 of the block's n template tokens
+  share one. The templates' prefix tokens are an inverted index, token -> template and position; the words of the
+  texts are exploded and joined with it, and only windows round a hit become candidates.
+* Length filter: the block has a template tokens or more.
+* Positional filter: what follows the shared token, on both sides, can still reach a.
+
+Candidates that pass are counted exactly. Templates are a fixed, short list (:data:`MAX_TEMPLATE_TOKENS` bounds the
+index), so the index is broadcast. Texts are never shuffled: only the hits of a text move, under a digest of it.
+
+Cases: a null or empty text has no words, no places and no labels; repeated rows and ids are scanned alike; null ids
+are ids; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -27,42 +33,53 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, text_or_empty
-
-#: Opening statements of well-known licenses, as lower-case words.
-TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("proprietary", "all rights reserved"),
-)
+from tidemark.llm.common import ascii_lower, cut, digest128, text_or_empty
+from tidemark.llm.license_texts import TEMPLATES
+
 THRESHOLD = 0.85
-WINDOW, HALF = 64, 32
+#: Half windows, in words: a template belongs to the least that holds all its words.
+HALVES = (32, 256)
+#: Tokens of all templates together at most.
+MAX_TEMPLATE_TOKENS = 100_000
+#: Texts with hits up to which they are sent to all tasks.
+BROADCAST_TEXTS = 100_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_WORD = re.compile(WORD)
 
 
 def words_of(lower: Column) -> Column:
-    return F.filter(F.split(lower, NOT_WORD), lambda w: w != "")
+    """Words of a lower-case text: what is between separators, without the empty strings at either end."""
+    split = F.split(lower, NOT_WORD)
+    head = F.when(F.get(split, F.lit(0)) == "", 1).otherwise(0)
+    tail = F.when((F.size(split) > 1) & (F.get(split, F.size(split) - 1) == ""), 1).otherwise(0)
+    return F.slice(split, head + 1, F.size(split) - head - tail)
+
+
+def template_words(text: str) -> list[str]:
+    return _WORD.findall(text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+
+
+def half_of(text: str) -> int:
+    n = len(template_words(text))
+    if n > HALVES[-1]:
+        raise ValueError(f"a template has {n} words; {HALVES[-1]} at most")
+    return next(h for h in HALVES if n <= h)
 
 
 def token_counts(docs: DataFrame, tokens: Sequence[str], text_col: str = "text") -> DataFrame:
     """(token, n): how often each of ``tokens`` occurs in all texts."""
-    lower = ascii_lower(text_or_empty(text_col))
-    words = docs.where(lower.rlike("|".join(map(re.escape, tokens)))).select(F.explode(F.split(lower, NOT_WORD)).alias("token"))
-    return words.where(F.col("token").isin(list(tokens))).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary = docs.sparkSession.createDataFrame([(t,) for t in tokens], "token string")
+    words = docs.select(F.explode(F.split(ascii_lower(text_or_empty(text_col)), NOT_WORD)).alias("token"))
+    return words.join(F.broadcast(vocabulary), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def frequency_order(docs: DataFrame, templates: Sequence[tuple[str, str]], text_col: str = "text") -> list[str]:
     """All tokens of the templates, rare ones first; as many rows come to the driver as the templates have tokens."""
-    tokens = sorted({t for _, text in templates for t in text.split()})
-    seen = {r.token: r.n for r in token_counts(docs, tokens, text_col).collect()}
+    tokens = sorted({t for _, text in templates for t in template_words(text)})
+    if len(tokens) > MAX_TEMPLATE_TOKENS:
+        raise ValueError(f"{len(tokens)} template tokens; {MAX_TEMPLATE_TOKENS} at most")
+    seen = {r.token: r.n for r in token_counts(docs, tokens, text_col).collect()} if tokens else {}
     return sorted(tokens, key=lambda t: (seen.get(t, 0), t))
 
 
@@ -76,38 +93,32 @@ def phrase_places(lower: Column, phrase: str) -> Column:
     return F.slice(sums, 1, F.size(sums) - 1)
 
 
-def template_hits(blocks: Column, order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float) -> Column:
-    """Array of (label, share) for the templates that a block of ``blocks`` (arrays of words) has."""
-    rank = {t: k for k, t in enumerate(order)}
-    sets = F.transform(blocks, lambda b: F.array_intersect(F.array(*map(F.lit, order)), b))
-    book = []
+def prefix_index(order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float) -> list[tuple]:
+    """(token, at, label, tokens, m, least, half): the prefix tokens of each template and their place in it from 1."""
+    rank, found = {t: k for k, t in enumerate(order)}, []
     for label, text in templates:
-        tokens = sorted(set(text.split()), key=rank.__getitem__)
-        least = math.ceil(threshold * len(tokens))
-        book.append(F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, tokens)).alias("tokens"), F.lit(least).alias("least")))
-
-    def share(t: Column, b: Column) -> Column:
-        m, n, least = F.size(t["tokens"]), F.size(b), t["least"]
-        prefix = F.array_intersect(F.slice(t["tokens"], 1, m - least + 1), F.slice(b, 1, F.greatest(n - least + 1, F.lit(0))))
-        first = F.get(prefix, F.lit(0))
-        after = F.least(m - F.array_position(t["tokens"], first), n - F.array_position(b, first))
-        both = F.size(F.array_intersect(t["tokens"], b))
-        near = (n >= least) & (F.size(prefix) > 0) & (1 + after >= least)
-        return F.when(near, F.when(both >= least, both / m))
-
-    # In an array of one, the sets are made once, not once a template.
-    best = F.transform(F.array(sets), lambda bs: F.transform(F.array(*book), lambda t: F.struct(t["label"].alias("label"), F.array_max(F.transform(bs, lambda b: share(t, b))).alias("share"))))
-    return F.filter(F.flatten(best), lambda x: x["share"].isNotNull())
-
-
-def prefix_tokens(order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float) -> list[str]:
-    """Tokens of which a block must have one to have any template."""
-    rank = {t: k for k, t in enumerate(order)}
-    found = set()
-    for _, text in templates:
-        tokens = sorted(set(text.split()), key=rank.__getitem__)
-        found.update(tokens[: len(tokens) - math.ceil(threshold * len(tokens)) + 1])
-    return sorted(found, key=rank.__getitem__)
+        tokens = sorted(set(template_words(text)), key=rank.__getitem__)
+        m, least = len(tokens), math.ceil(threshold * len(tokens))
+        found += [(t, at, label, tokens, m, least, half_of(text)) for at, t in enumerate(tokens[: m - least + 1], 1)]
+    return found
+
+
+def template_hits(docs: DataFrame, order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float, text_col: str = "text") -> DataFrame:
+    """(t, labels, share) of every text, by its digest, that has a template: the labels and the best share."""
+    index = docs.sparkSession.createDataFrame(prefix_index(order, templates, threshold), "token string, at int, label string, tokens array<string>, m int, least int, half int")
+    lower = ascii_lower(text_or_empty(text_col))
+    words = docs.select(digest128(text_or_empty(text_col)).alias("t"), words_of(lower).alias("words"))
+    near = words.select("t", "words", F.posexplode("words").alias("pos", "token")).join(F.broadcast(index), "token")
+    last = F.floor(F.col("pos") / F.col("half")).cast("int")
+    near = near.withColumn("window", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)))
+    # The block's template tokens, in the order of all tokens.
+    block = F.array_intersect(F.array(*map(F.lit, order)), F.slice("words", F.col("window") * F.col("half") + 1, F.col("half") * 2))
+    near = near.select("t", "token", "at", "label", "tokens", "m", "least", block.alias("block"))
+    n, in_block = F.size("block"), F.array_position("block", F.col("token")).cast("int")
+    near = near.where((n >= F.col("least")) & (in_block <= n - F.col("least") + 1) & (1 + F.least(F.col("m") - F.col("at"), n - in_block) >= F.col("least")))
+    both = F.size(F.array_intersect("tokens", "block"))
+    sure = near.select("t", "label", "m", "least", both.alias("both")).where("both >= least")
+    return sure.groupBy("t").agg(F.collect_set("label").alias("labels"), F.max(F.col("both") / F.col("m")).alias("share"))
 
 
 def scan(
@@ -123,41 +134,32 @@ def scan(
     ``phrases``: lower-case words joined by spaces, to label. ``score``: 1 with a base label, else the best share.
     """
     order = frequency_order(docs, templates, text_col)
-    prefixes = prefix_tokens(order, templates, threshold)
-    starts = "|".join(map(re.escape, prefixes))
-    start = rf"(?<![0-9a-z\x{{80}}-\x{{10FFFF}}])(?:{starts})(?![0-9a-z\x{{80}}-\x{{10FFFF}}])"
-    rows = docs.select(F.col(id_col).alias("id"), ascii_lower(text_or_empty(text_col)).alias("lower"))
-    # Only texts that hold every word of a phrase, and lines that hold a prefix token, are taken apart.
+    hits = cut(template_hits(docs, order, templates, threshold, text_col), "license-hits")
+    if hits.count() <= BROADCAST_TEXTS:
+        hits = F.broadcast(hits)
+    rows = docs.select(F.col(id_col).alias("id"), digest128(text_or_empty(text_col)).alias("of"), ascii_lower(text_or_empty(text_col)).alias("lower"))
     none = F.array().cast("array<int>")
 
     def places(phrase):
+        # Only texts that hold every word of a phrase are taken apart.
         maybe = F.lit(True)
         for word in phrase.split():
             maybe &= F.contains("lower", F.lit(word))
         return F.when(maybe, phrase_places(F.col("lower"), phrase)).otherwise(none)
 
     found = F.array(*[F.struct(F.lit(label).alias("label"), places(p).alias("at")) for p, label in phrases.items()]).cast("array<struct<label: string, at: array<int>>>")
-    lines = F.transform(F.filter(F.split("lower", "\n"), lambda x: x.rlike(start)), words_of)
-    windows = lambda ws: F.when(F.size(ws) <= WINDOW, F.array(ws)).otherwise(F.transform(F.sequence(F.lit(1), F.size(ws), F.lit(HALF)), lambda k: F.slice(ws, k, WINDOW)))
-    whole = F.when(F.contains("lower", F.lit("\n")) & F.col("lower").rlike(start), F.array(words_of(F.col("lower")))).otherwise(F.array().cast("array<array<string>>"))
-    across = F.filter(F.flatten(F.transform(whole, windows)), lambda w: F.arrays_overlap(w, F.array(*map(F.lit, prefixes))))
-    blocks = F.concat(F.flatten(F.transform(lines, windows)), across)
-    empty = F.array().cast("array<struct<label: string, share: double>>")
-    hits = F.when(F.col("lower").rlike(starts), template_hits(blocks, order, templates, threshold)).otherwise(empty)
-    rows = rows.select("id", F.regexp_count("lower", F.lit(WORD)).cast("bigint").alias("n_words"), found.alias("found"), hits.alias("hits"))
-    rows = rows.select("id", "n_words", F.filter("found", lambda x: F.size(x["at"]) > 0).alias("found"), "hits")
-    base = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["label"])))
-    every = F.array_sort(F.array_union(F.transform("found", lambda x: x["label"]), F.transform("hits", lambda x: x["label"])))
+    rows = rows.select("id", "of", F.regexp_count("lower", F.lit(WORD)).cast("bigint").alias("n_words"), F.filter(found, lambda x: F.size(x["at"]) > 0).alias("found"))
+    rows = rows.join(hits, F.col("of") == F.col("t"), "left")
+    own = F.transform("found", lambda x: x["label"])
+    every = F.array_sort(F.array_union(own, F.coalesce("labels", F.array().cast("array<string>"))))
     at = F.flatten(F.transform("found", lambda x: x["at"]))
-    score = F.when(F.size("found") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("hits", lambda x: x["share"])), F.lit(0.0)))
     return rows.select(
         F.col("id").alias(id_col),
         "n_words",
         F.size(at).cast("bigint").alias("n_base"),
         F.array_min(at).cast("bigint").alias("first_word"),
         F.array_max(at).cast("bigint").alias("last_word"),
-        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(own)), ",").alias("base_labels"),
         F.array_join(every, ",").alias("labels"),
-        score.alias("score"),
+        F.when(F.size("found") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
     )
-
