@@ -4,8 +4,8 @@ Writing: each task of :func:`write` writes one ``.warc.gz`` file, a gzip member
 stored once: the record of the largest id is a ``response``, the others are ``revisit`` records that refer to it.
 
 Reading: :func:`read` deals byte ranges of the files to tasks. A task scans its range for the gzip magic,
-takes a candidate for a member only if it inflates to a WARC version line and a header block, and owns the
-records that start inside its range, reading on beyond it for the last one. Every record has one owner
+takes a candidate for a member only if it inflates to a WARC version line and a header block of any length, and
+owns the records that start inside its range, reading on beyond it for the last one. Every record has one owner
 whatever the split size, and a task holds one record at a time.
 
 Archives are reached with ``pyarrow.fs``, so any folder that all executors share will do. A task that runs
@@ -33,9 +33,8 @@ from pyspark.sql import types as T
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 20
 MAX_TASKS = 20_000
-#: A header block of a record is shorter than this.
-HEAD_BYTES = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
+VERSION = b"WARC/"
 DATE = "2024-01-01T00:00:00Z"
 
 RECORDS = T.StructType(
@@ -148,46 +147,58 @@ def archives(path: str) -> list[tuple[str, int]]:
 
 
 class Window:
-    """Bytes of a file from a moving start, read in blocks."""
+    """Bytes of a file from a moving start, read in blocks. Bytes that were passed are let go a block at a time."""
 
     def __init__(self, file, at: int):
-        self.file, self.at, self.held, self.over = file, at, b"", False
+        self.file, self.base, self.held, self.past, self.over = file, at, bytearray(), 0, False
 
-    def need(self, n: int) -> bool:
-        """Hold ``n`` bytes if the file has them."""
-        while len(self.held) < n and not self.over:
-            more = self.file.read_at(READ_BYTES, self.at + len(self.held))
+    @property
+    def at(self) -> int:
+        return self.base + self.past
+
+    def need(self, n: int) -> int:
+        """Hold ``n`` bytes from the start on if the file has them; how many there are."""
+        while len(self.held) - self.past < n and not self.over:
+            more = self.file.read_at(READ_BYTES, self.base + len(self.held))
             self.over = not more
             self.held += more
-        return len(self.held) >= n
+        return len(self.held) - self.past
+
+    def piece(self, at: int, n: int) -> bytes:
+        return bytes(self.held[self.past + at : self.past + at + n])
+
+    def find(self, what: bytes) -> int:
+        """Where ``what`` starts among the held bytes, from the start on; -1 if nowhere."""
+        found = self.held.find(what, self.past)
+        return found - self.past if found >= 0 else -1
 
     def skip(self, n: int) -> None:
-        self.at, self.held = self.at + n, self.held[n:]
+        self.past += n
+        if self.past >= READ_BYTES:
+            del self.held[: self.past]
+            self.base, self.past = self.at, 0
 
 
 def inflate(window: Window) -> tuple[bytes, int] | None:
-    """The whole member at the window's start and its compressed length; None if it's no record."""
-    unpack, out, used, sure = zlib.decompressobj(31), [], 0, False
+    """The whole member at the window's start and its compressed length; None if it's no record.
+
+    Bytes that merely look like a member are told by their first inflated bytes, which must be a version line; what
+    begins like a record is read to the end of its header block, however long.
+    """
+    unpack, out, used = zlib.decompressobj(31), bytearray(), 0
     try:
         while not unpack.eof:
-            step = 4096 if not sure else READ_BYTES
-            if not window.need(used + 1):
+            step = 4096 if used < 1 << 16 else READ_BYTES
+            if window.need(used + step) <= used:
                 return None  # the file ends inside
-            window.need(used + step)
-            piece = window.held[used : used + step]
-            out.append(unpack.decompress(piece))
+            piece = window.piece(used, step)
+            out += unpack.decompress(piece)
             used += len(piece) - len(unpack.unused_data)
-            if not sure:
-                head = b"".join(out)
-                if head and not (head[:5] == b"WARC/"[: len(head[:5])]):
-                    return None
-                if b"\r\n\r\n" in head:
-                    sure = True
-                elif len(head) > HEAD_BYTES:
-                    return None
+            if not VERSION.startswith(bytes(out[: len(VERSION)])):
+                return None
     except zlib.error:
         return None
-    return (b"".join(out), used) if sure else None
+    return (bytes(out), used) if b"\r\n\r\n" in out else None
 
 
 def records_of(file, start: int, end: int) -> Iterator[tuple[int, dict]]:
@@ -195,13 +206,13 @@ def records_of(file, start: int, end: int) -> Iterator[tuple[int, dict]]:
     window = Window(file, start)
     while window.at < end:
         window.need(len(MAGIC))
-        if not window.held.startswith(MAGIC):
+        if window.piece(0, len(MAGIC)) != MAGIC:
             # Look for the next magic; keep two bytes, as one may lie across two reads.
-            window.need(READ_BYTES)
-            found = window.held.find(MAGIC)
+            held = window.need(READ_BYTES)
+            found = window.find(MAGIC)
             if found < 0 and window.over:
                 return
-            window.skip(found if found >= 0 else max(1, len(window.held) - 2))
+            window.skip(found if found >= 0 else max(1, held - 2))
             continue
         member = inflate(window)
         parsed = parse(member[0]) if member else None
