@@ -1,6 +1,10 @@
 """From raw documents to token ids: the training-data operators in a row.
 
 Each stage takes all that its predecessor kept. All but the last return the columns of ``documents``.
+
+Cases: a null or empty text fails the quality rules; null languages and sources are groups of their own; null ids, and
+ids that several texts share, are told apart by text in every stage; repeated rows stay once; further columns, of any
+name, are carried up to the last stage, which returns doc_id, ids and n_tokens; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -8,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, exact_dedup, mixing, near_dedup, quality
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import scratch, table
 from tidemark.llm.queries import tokenizer_file
+from tidemark.scratch import cleared, remove, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +55,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``."""
+    return run_on(spark, table(spark, sf_dir, "documents"), sf_dir)
+
+
+def run_on(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All stages over ``docs``. A stage's result is kept until the next one is written, its working tables until it is
+    written itself; of the last stage, whose result is still to be read, they stay in the shared folder."""
+    path = None
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        before, path = path, scratch(spark, "pipeline-" + name.replace(" ", "-"))
+        with cleared(spark):
+            docs = written(stage(spark, docs, sf_dir), path)
+        if before:
+            remove(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,8 +15,8 @@ The sample takes documents whole: one is taken if at least half of it fits, so a
 most half a document. Reruns and other partitionings give the same mix.
 
 Cases: null text has size 0 and is taken 0 times its size; a null source is a source and sorts last; null ids
-share one hash; repeated rows are tied and taken in turn; an empty table gives an empty mix; no column of the
-input clashes, as only the named ones are read.
+share one hash; repeated rows are tied and taken in turn; an empty table gives an empty mix; further columns, of any
+name, are ignored by :func:`mix` and carried by :func:`mixed`.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WS, cut, digest128, text_or_empty
+from tidemark.llm.common import WS, cut, digest128, named, number_of, numbered, text_or_empty
 
 #: Bins of the keys within a source; quality weights are at least this, which bounds the fullest bin's share.
 BINS, LEAST_WEIGHT = 2048, 0.5
@@ -129,11 +129,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     """
     sized = cut(sizes(docs, id_col, source_col, text_col, weight, seed, digests=True), "mix-sizes")
     copies = plan(sized, **options).where("copies > 0 AND size > 0")
-    copies = copies.groupBy(F.col("id").alias("__id"), F.col("source").alias("__from"), F.col("t").alias("__t")).agg(F.sum("copies").alias("__copies"))
-    match = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__from")) & (F.col("__text") == F.col("__t"))
-    each = docs.withColumn("__text", digest128(text_or_empty(text_col)))
-    repeated = cut(sized.groupBy("id", "source", "t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("__id"), F.col("source").alias("__from"), F.col("t").alias("__t")), "mix-repeated")
+    copies = copies.groupBy(F.col("id").alias("m_id"), F.col("source").alias("m_source"), F.col("t").alias("m_t")).agg(F.sum("copies").alias("copies"))
+    own, source = number_of(docs, id_col), number_of(docs, source_col).cast("string")
+    match = own.eqNullSafe(F.col("m_id")) & source.eqNullSafe(F.col("m_source")) & (F.col("of") == F.col("m_t"))
+    each = numbered(docs).withColumn("of", digest128(F.coalesce(number_of(docs, text_col).cast("string"), F.lit(""))))
+    repeated = cut(sized.groupBy("id", "source", "t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("m_id"), F.col("source").alias("m_source"), F.col("t").alias("m_t")), "mix-repeated")
     if not repeated.isEmpty():
-        each = each.join(repeated, match, "left_anti").unionByName(each.join(repeated, match, "left_semi").dropDuplicates([id_col, source_col, "__text"]))
+        one = [f"c{docs.columns.index(c)}" for c in (id_col, source_col)]
+        each = each.join(repeated, match, "left_anti").unionByName(each.join(repeated, match, "left_semi").dropDuplicates([*one, "of"]))
     taken = each.join(copies, match)
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))).select(*docs.columns)
+    return named(taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))), docs)

@@ -17,8 +17,8 @@ candidates are confirmed on the whole sets.
 
 Cases: null and empty texts have no set and link with nothing; a text of fewer words than a shingle is one
 shingle; rows that share id and text are one document; rows without an id are never a representative of others that
-have one; an empty table gives an empty result; further columns are ignored by :func:`components` and carried by
-:func:`keep_one`, which tells rows by id and text, so null and shared ids harm no other row.
+have one; an empty table gives an empty result; further columns, of any name, are ignored by :func:`components` and
+carried by :func:`keep_one`, which tells rows by id and text, so null and shared ids harm no other row.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, digest128, text_or_empty
+from tidemark.llm.common import cut, digest128, named, number_of, numbered, text_or_empty
 
 MINIMA, LOW_BITS = 128, 4
 PARITY_BITS = 1024
@@ -296,12 +296,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     dropped = cut(dropped.select(F.col("row.id").alias("__id"), F.col("row.t").alias("__t")).distinct(), "near-dropped")
     repeated = cut(rows.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("row.id").alias("__id"), F.col("row.t").alias("__t")), "near-repeated")
 
+    text = F.coalesce(number_of(docs, text_col).cast("string"), F.lit(""))
+    left = numbered(docs).withColumns({"own": number_of(docs, id_col).cast("bigint"), "of": digest128(text)})
+
     def match(keys, kind):
         small = keys.count() <= BROADCAST_IDS
-        return left.join(F.broadcast(keys) if small else keys, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__t")), kind)
+        return left.join(F.broadcast(keys) if small else keys, F.col("own").eqNullSafe(F.col("__id")) & (F.col("of") == F.col("__t")), kind)
 
-    left = docs.withColumns({"__own": F.col(id_col).cast("bigint"), "__text": digest128(text_or_empty(text_col))})
     left = match(dropped, "left_anti")
     if not repeated.isEmpty():
-        left = match(repeated, "left_anti").unionByName(match(repeated, "left_semi").dropDuplicates(["__own", "__text"]))
-    return left.drop("__own", "__text")
+        left = match(repeated, "left_anti").unionByName(match(repeated, "left_semi").dropDuplicates(["own", "of"]))
+    return named(left, docs)

@@ -90,8 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: SQL has neither the tokenizer (1), the template tree (2) nor rolling hashes (10); tests hold those against brute force.
 SQL: dict[str, str] = {
     "op3_line_dedup": sql.line_dedup(10),
-    "op4_quality_rules": sql.quality(quality.RATES, quality.SPREAD, quality.MIN_DOCS),
-    "op5_license_scan": sql.license_scan(PHRASES, license_scan.TEMPLATES, license_scan.THRESHOLD, license_scan.WINDOW, license_scan.HALF),
+    "op4_quality_rules": sql.quality(quality.RATES, quality.BITS, quality.SPREAD, quality.GUARD, quality.SIGMAS, quality.MIN_DOCS),
+    "op5_license_scan": sql.license_scan(PHRASES, [(label, license_scan.template_words(t), license_scan.half_of(t)) for label, t in license_scan.TEMPLATES], license_scan.THRESHOLD),
     "op6_exact_dedup": sql.exact_dedup(),
     "op7_mixing": sql.mixing((3, 1, 2), 150, 2, mixing.LEAST_WEIGHT),
     "op8_warc": sql.warc(),

@@ -3,6 +3,7 @@ the result doesn't depend on them."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from tidemark.llm.common import LOWER, UPPER
@@ -63,18 +64,19 @@ r(doc_id, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.y, r.root FROM r
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept FROM r JOIN s USING (doc_id) GROUP BY doc_id, sh"""
 
 
-def license_scan(phrases: Mapping[str, str], templates: Sequence[tuple[str, str]], threshold: float, window: int, half: int) -> str:
+def license_scan(phrases: Mapping[str, str], templates: Sequence[tuple[str, list[str], int]], threshold: float) -> str:
+    """``templates``: (label, words, half window)."""
     words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     text_list = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
     at = [f"list_transform(list_filter(range(0, len(ws) - {len(p.split()) - 1}), lambda i: ws[i + 1 : i + {len(p.split())}] = {text_list(p.split())}), lambda i: {{'at': i, 'label': '{label}'}})" for p, label in phrases.items()]
     hits = []
-    for label, text in templates:
-        tokens = sorted(set(text.split()))
-        hits.append(f"SELECT doc_id, '{label}' AS label, len(list_intersect(b, {text_list(tokens)})) / {len(tokens)} AS share FROM b WHERE len(list_intersect(b, {text_list(tokens)})) >= ceil({threshold} * {len(tokens)})")
+    for label, text, half in templates:
+        tokens = sorted(set(text))
+        hits.append(f"SELECT doc_id, '{label}' AS label, len(list_intersect(b, {text_list(tokens)})) / {len(tokens)} AS share FROM b WHERE half = {half} AND len(list_intersect(b, {text_list(tokens)})) >= {math.ceil(threshold * len(tokens))}")
+    halves = ", ".join(map(str, sorted({half for _, _, half in templates})))
     return f"""WITH w AS (SELECT doc_id, {words.format(low(TEXT))} AS ws FROM documents),
 p AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, flatten([{", ".join(at)}]) AS found FROM w),
-l AS (SELECT doc_id, {words.format("line")} AS ws FROM (SELECT doc_id, unnest(string_split({low(TEXT)}, chr(10))) AS line FROM documents)),
-b AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) <= {window} THEN ws ELSE ws[k : k + {window - 1}] END) AS b FROM (SELECT doc_id, ws, unnest(CASE WHEN len(ws) <= {window} THEN [1] ELSE range(1, len(ws) + 1, {half}) END) AS k FROM l)),
+b AS (SELECT doc_id, half, list_distinct(ws[k + 1 : k + 2 * half]) AS b FROM (SELECT doc_id, ws, half, unnest(range(0, len(ws), half)) AS k FROM w, (SELECT unnest([{halves}]) AS half))),
 h AS ({" UNION ALL ".join(hits)}),
 a AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM h GROUP BY 1)
 SELECT p.doc_id, n_words, CAST(len(found) AS BIGINT) AS n_base, list_min(list_transform(found, lambda x: x.at)) AS first_word, list_max(list_transform(found, lambda x: x.at)) AS last_word,
@@ -83,24 +85,31 @@ coalesce(array_to_string(list_sort(list_distinct(list_concat(list_transform(foun
 CASE WHEN len(found) > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score FROM p LEFT JOIN a USING (doc_id)"""
 
 
-def quality(rates: Sequence[tuple[str, str, str, bool, int]], spread: int, min_docs: int) -> str:
+def quality(rates: Sequence[tuple[str, str, str, str, int]], bits: int, spread: int, guard: int, sigmas: int, min_docs: int) -> str:
     value = lambda count, of: f"CASE WHEN {of} > 0 THEN {count} * 10000 // {of} ELSE 0 END"
     each = " UNION ALL ".join(f"SELECT lang, source, '{name}' AS rate, {value(count, of)} AS v FROM m WHERE n_words > 0" for name, count, of, _, _ in rates)
-    wanted = []
-    for name, count, of, high, slack in rates:
-        limit = f"(SELECT any_value(CASE WHEN {'TRUE' if high else 'FALSE'} THEN q50 + (q75 - q50) * {spread} + {slack} ELSE q50 - (q50 - q25) * {spread} - {slack} END) FROM t WHERE t.rate = '{name}' AND t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source)"
-        wanted.append(f"coalesce({value(count, of)} {'<=' if high else '>='} {limit}, false)")
-    q = "min(bin) FILTER (cum * 4 >= docs * {k}) AS q{p}"
-    qs = ", ".join(q.format(k=k, p=25 * k) for k in (1, 2, 3))
+    limits, wanted = [], []
+    for name, count, of, kind, p in rates:
+        if kind == "tail":
+            limits.append(f"max(CAST(least(q{p}, greatest(floor(p{p} * {guard}), q50 * {guard})) AS BIGINT)) FILTER (rate = '{name}') AS {name}")
+            over, mean = f"({count} * 10000.0::DOUBLE - {name}::DOUBLE * {of})", f"({name}::DOUBLE * {of})"
+            wanted.append(f"({over} <= 0 OR {over} * {over} <= {sigmas * sigmas}::DOUBLE * 10000 * greatest({mean}, 10000.0::DOUBLE))")
+        else:
+            up = kind == "fence above"
+            limits.append(f"max({f'q50 + (q75 - q50) * {spread}' if up else f'q50 - (q50 - q25) * {spread}'}) FILTER (rate = '{name}') AS {name}")
+            wanted.append(f"{value(count, of)} {'<=' if up else '>='} {name}")
+    qs = ", ".join(f"min(bin) FILTER (cum * 100 >= docs * {p}) AS q{p}" for p in (25, 50, 75, 90, 99))
     level = lambda by: f"SELECT {by + ', ' if by else ''}rate, docs, {qs} FROM (SELECT *, sum(c) OVER (PARTITION BY {by + ', ' if by else ''}rate ORDER BY bin) AS cum, sum(c) OVER (PARTITION BY {by + ', ' if by else ''}rate) AS docs FROM (SELECT {by + ', ' if by else ''}rate, bin, count(*) AS c FROM v GROUP BY ALL)) GROUP BY ALL"
-    pick = ", ".join(f"CASE WHEN o.docs >= {min_docs} THEN o.{c} WHEN l.docs >= {min_docs} THEN l.{c} ELSE a.{c} END AS {c}" for c in ("q25", "q50", "q75"))
+    pick = ", ".join(f"CASE WHEN o.docs >= {min_docs} THEN o.{c} WHEN l.docs >= {min_docs} THEN l.{c} ELSE a.{c} END AS {c}" for c in ("q25", "q50", "q75", "q90", "q99"))
     return rf"""WITH d AS (SELECT doc_id, lang, source, {TEXT} AS t, {WORDS.format(TEXT)} AS ws FROM documents),
 g AS (SELECT doc_id, i, ws[i : i + 2] AS tri FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
 r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, tri) AS c FROM g) WHERE c > 1) GROUP BY 1),
 z AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
 m AS (SELECT d.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(z.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN r USING (doc_id) LEFT JOIN z USING (doc_id)),
-v AS (SELECT lang, source, rate, (v >> greatest(length(bin(v)) - 4, 0)) << greatest(length(bin(v)) - 4, 0) AS bin FROM ({each})),
+v AS (SELECT lang, source, rate, (((v >> w) + 1) << w) - 1 AS bin FROM (SELECT *, greatest(length(bin(v)) - {bits}, 0) AS w FROM ({each}))),
 o AS ({level("lang, source")}), l AS ({level("lang")}), a AS ({level("")}),
-t AS (SELECT o.lang, o.source, o.rate, {pick} FROM o JOIN l ON l.rate = o.rate AND l.lang IS NOT DISTINCT FROM o.lang JOIN a ON a.rate = o.rate)
+t AS (SELECT o.lang, o.source, o.rate, {pick} FROM o JOIN l ON l.rate = o.rate AND l.lang IS NOT DISTINCT FROM o.lang JOIN a ON a.rate = o.rate),
+p AS (SELECT *, median(q90) OVER (PARTITION BY lang, rate) AS p90, median(q99) OVER (PARTITION BY lang, rate) AS p99 FROM t),
+k AS (SELECT lang, source, {", ".join(limits)} FROM p GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND {" AND ".join(wanted)} AS kept FROM m"""
+NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce({" AND ".join(wanted)}, false) AS kept FROM m LEFT JOIN k ON k.lang IS NOT DISTINCT FROM m.lang AND k.source IS NOT DISTINCT FROM m.source"""
