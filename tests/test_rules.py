@@ -1,14 +1,17 @@
 """Scalar rules, identifiers, hashes, records, ledgers, catalogues and streams on literal rows."""
 
 import datetime as dt
+import json
+import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import hashing, ids, values
-from tidemark.operators import catalogue, events, ledger, stats
-from tidemark.scratch import shared_path
-from tidemark.sources import records
+from tidemark.operators import capture, catalogue, events, ledger, lookups, stats
+from tidemark.scratch import cleared, cut, shared_path, written
+from tidemark.sources import families, records, windows
 from tidemark.streaming import streams
 
 
@@ -93,33 +96,208 @@ def test_escalation_and_stats(spark):
 
 
 def test_lineage_follows_merges_and_survives_cycles(spark):
-    moves = spark.createDataFrame([(1, 2), (2, 3), (4, 3), (9, 9), (5, None), (6, 7), (7, 6)], "item_id bigint, new_item_id bigint")
-    found = {(r.item_id, r.origin_id, r.steps) for r in events.item_lineage(moves, 6).collect()}
-    assert found == {(2, 1, 1), (3, 1, 2), (3, 4, 1)}
-
-
-def test_trees_stop_at_cycles(spark):
-    rows = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 5), (5, 4)], "k bigint, p bigint")
-    assert {(r.k, r.root, r.depth) for r in catalogue.tree_depth(rows, "k", "p").collect()} == {(1, 1, 0), (2, 1, 1), (3, 1, 2)}
+    moves = [(1, 2), (2, 3), (4, 3), (9, 9), (5, None), (6, 7), (7, 6), (7, 8)]
+    # Forty moves in a row; merges one after another, the first also by a longer way; a merge on a circle.
+    moves += [(100 + k, 101 + k) for k in range(40)]
+    moves += [(200, 202), (201, 202), (202, 204), (203, 204), (200, 210), (210, 204)]
+    moves += [(300, 301), (301, 302), (302, 301)]
+    found, lost = events.item_lineage(spark.createDataFrame(moves, "item_id bigint, new_item_id bigint"))
+    got = {(r.item_id, r.origin_id, r.steps) for r in found.collect()}
+    want = {(2, 1, 1), (3, 1, 2), (3, 4, 1)} | {(101 + k, 100, k + 1) for k in range(40)}
+    want |= {(202, 200, 1), (202, 201, 1), (210, 200, 1), (204, 200, 2), (204, 201, 2), (204, 203, 1), (301, 300, 1), (302, 300, 2)}
+    assert got == want and {r.item_id for r in lost.collect()} == {6, 7, 8}
+
+
+def test_trees_of_any_depth_and_cycles(spark):
+    rows = [(1, None), (2, 1), (3, 2), (4, 5), (5, 4), (6, 5), (7, 99)] + [(1000, None)] + [(1001 + k, 1000 + k) for k in range(70)]
+    found, lost = catalogue.tree_depth(spark.createDataFrame(rows, "k bigint, p bigint"), "k", "p")
+    assert {(r.k, r.root, r.depth) for r in found.collect()} == {(1, 1, 0), (2, 1, 1), (3, 1, 2)} | {(1000 + k, 1000, k) for k in range(71)}
+    assert {r.k for r in lost.collect()} == {4, 5, 6, 7}
+
+
+def test_conditions_of_any_depth(spark):
+    tree = json.dumps({"v": 1})
+    for k in range(12):
+        tree = '{"logic": "AND", "negated": %s, "children": [{"v": %d}, %s]}' % (str(k % 2 == 0).lower(), 100 + k, tree)
+    rows = spark.createDataFrame([(1, tree), (2, None), (3, '{"v": 9, "negated": true}'), (4, '{"children": []}')], "k int, c string")
+    found = {(r.k, r.path): (r.negated, json.loads(r.leaf).get("v")) for r in catalogue.condition_leaves(rows, "k", "c").collect()}
+    assert len(found) == 13 + 2 and found[3, ""] == (True, 9) and found[4, ""] == (False, None)
+    assert found[1, "/1" * 12] == (False, 1) and found[1, "/0"] == (False, 111) and found[1, "/1/0"] == (True, 110)
+
+
+def test_brackets_by_list_and_by_merge(spark, monkeypatch):
+    steps = spark.createDataFrame([(k * 10, None if k == 99 else k * 10 + 7, k) for k in range(100) if k != 50], "from int, to int, value int")
+    rows = spark.createDataFrame([(n, k) for n, k in enumerate((None, -1, 0, 7, 8, 10, 505, 497, 499, 987, 990, 5000, 0))], "id int, level int")
+    want = {0: None, 1: None, 2: 0, 3: 0, 4: None, 5: 1, 6: None, 7: 49, 8: None, 9: 98, 10: 99, 11: 99, 12: 0}
+    for short in (10_000, 5):
+        monkeypatch.setattr(lookups, "SHORT_TABLE", short)
+        assert {r.id: r.value for r in lookups.bracket_lookup(rows, steps, "level").collect()} == want
+    levels = spark.createDataFrame([(k, k * k) for k in range(1, 30)], "level int, required int")
+    for short in (10_000, 5):
+        monkeypatch.setattr(catalogue, "SHORT_TABLE", short)
+        monkeypatch.setattr(lookups, "SHORT_TABLE", short)
+        got = {r.x: r.level for r in catalogue.level_of(spark.createDataFrame([(k,) for k in (0, 1, 24, 25, 900)], "x int"), levels, "x").collect()}
+        assert got == {0: None, 1: 1, 24: 4, 25: 5, 900: 29}
 
 
 def test_ledger_claims_and_transitions(spark):
     at = dt.datetime(2024, 1, 1)
     row = lambda i, s, r=None: (i, "buy", 1, 2, s, 0, 7, "{}", r, at, None, None)
     book = spark.createDataFrame([row("a", "STARTED"), row("b", "OK", "res"), row("c", "FAILED"), row("d", "CHARGED"), row("e", "WEIRD")], ledger.RECEIPTS)
-    asked = spark.createDataFrame([(x, "buy", at) for x in "abcdef"] + [("f", "buy", at + dt.timedelta(1))], "correlation_id string, command string, ts timestamp")
+    asked = spark.createDataFrame([(x, "sell", at + dt.timedelta(hours=1), 8, 9, 10, "{claim}") for x in "abcdef"] + [("f", "sell", at + dt.timedelta(1), 8, 9, 10, "{late}")], "correlation_id string, command string, ts timestamp, buyer_char_id int, seller_char_id int, mail_id int, claim_json string")
     claims = ledger.claim_outcome(asked, book)
     found = sorted((r.correlation_id, r.ts, r.outcome, r.result_json) for r in claims.collect())
     assert [x[2] for x in found] == ["IN_FLIGHT", "REPLAY_OK", "CLAIMED", "IN_FLIGHT", "IN_FLIGHT", "CLAIMED", "IN_FLIGHT"] and found[1][3] == "res"
     after = {r.correlation_id: r for r in ledger.apply_claims(book, claims).collect()}
-    assert len(after) == 6 and after["c"].status == "STARTED" and after["c"].claim_json is None and after["b"].result_json == "res"
-    moves = [("a", "charge_if_started", 1, 50, None), ("a", "ok_if_charged", 2, None, "yes"), ("a", "steps_done", 3, None, None), ("a", "unheard_of", 4, None, None), ("b", "fail", 1, None, None), ("d", "refund", 1, None, None), ("d", "fail", 2, None, None), ("x", "ok", 1, None, None)]
+    assert len(after) == 6 and after["b"].result_json == "res" and after["b"].command == "buy" and after["d"].charged_adena == 0
+    # A reopened receipt keeps its command and parties and takes mail, claim and time; a new one takes all of the claim.
+    assert tuple(after["c"]) == ("c", "buy", 1, 2, "STARTED", None, 10, "{claim}", None, at + dt.timedelta(hours=1), None, None)
+    assert tuple(after["f"]) == ("f", "sell", 8, 9, "STARTED", None, 10, "{claim}", None, at + dt.timedelta(hours=1), None, None)
+    bare = ledger.apply_claims(book, claims.drop("buyer_char_id", "seller_char_id", "mail_id", "claim_json"))
+    assert [(r.correlation_id, r.mail_id, r.claim_json) for r in bare.where("correlation_id IN ('c', 'f')").orderBy("correlation_id").collect()] == [("c", None, None), ("f", None, None)]
+    told = {r.correlation_id: (r.outcome, r.result_json) for r in ledger.lookup(spark.createDataFrame([(x,) for x in "abcdex"], "correlation_id string"), book).collect()}
+    assert told == {"a": ("IN_FLIGHT", None), "b": ("REPLAY_OK", "res"), "c": (None, None), "d": ("IN_FLIGHT", None), "e": ("IN_FLIGHT", None), "x": (None, None)}
+    moves = [("a", "charge_if_started", 1, 50, None), ("a", "ok_if_charged", 2, None, "yes"), ("a", "steps_done", 3, None, None), ("a", "steps_done", 4, None, None), ("a", "unheard_of", 5, None, None), ("b", "fail", 1, None, None), ("d", "refund", 1, None, None), ("d", "fail", 2, None, None), ("x", "ok", 1, None, None)]
     moves = spark.createDataFrame([(i, a, at + dt.timedelta(days=n), m, r) for i, a, n, m, r in moves], "correlation_id string, action string, ts timestamp, amount bigint, result_json string")
     settled, told = ledger.settle(book, moves)
     got = {r.correlation_id: r for r in settled.collect()}
     assert (got["a"].status, got["a"].charged_adena, got["a"].result_json) == ("OK", 50, "yes") and got["a"].steps_done_at == at + dt.timedelta(days=3) and got["b"].status == "OK"
-    assert (got["d"].status, got["d"].charged_adena, got["d"].mail_id, got["d"].claim_json) == ("FAILED", 0, None, None)
-    assert {(r.correlation_id, r.action): r.applied for r in told.collect()} == {("a", "charge_if_started"): True, ("a", "ok_if_charged"): True, ("a", "steps_done"): True, ("a", "unheard_of"): False, ("b", "fail"): False, ("d", "refund"): True, ("d", "fail"): True, ("x", "ok"): False}
+    assert (got["d"].status, got["d"].charged_adena, got["d"].mail_id, got["d"].claim_json) == ("FAILED", 0, None, None) and len(got) == 5 and got["e"] == book.where("correlation_id = 'e'").first()
+    assert sorted((r.correlation_id, r.action, r.ts.day, r.applied) for r in told.collect()) == [("a", "charge_if_started", 2, True), ("a", "ok_if_charged", 3, True), ("a", "steps_done", 4, True), ("a", "steps_done", 5, False), ("a", "unheard_of", 6, False), ("b", "fail", 2, False), ("d", "fail", 3, True), ("d", "refund", 2, True), ("x", "ok", 2, False)]
+
+
+def test_settlements_carry_claims(spark):
+    at = dt.datetime(2024, 1, 1)
+    book = spark.createDataFrame([(k, "buy", 1, 2, "CHARGED", 5, 7, "old", None, at, None, None) for k in "abc"], ledger.RECEIPTS)
+    moves = [("a", "refund", 1, None, None, "back", None), ("b", "amend_open", 1, None, None, "new", "old"), ("b", "amend_open", 2, None, None, "newer", "old"), ("b", "ok_if_open", 3, 6, "res", None, None), ("b", "amend_completed", 4, None, None, "last", "new"), ("c", "ok", 1, 9, "r", None, None), ("c", "charge_if_started", 2, 1, None, "no", None)]
+    moves = spark.createDataFrame([(i, a, at + dt.timedelta(days=n), m, r, c, x) for i, a, n, m, r, c, x in moves], "correlation_id string, action string, ts timestamp, amount bigint, result_json string, claim_json string, expected_claim_json string")
+    after, told = ledger.settle(book, moves)
+    got = {r.correlation_id: (r.status, r.charged_adena, r.claim_json, r.result_json, r.mail_id) for r in after.collect()}
+    assert got == {"a": ("STARTED", 0, "back", None, 7), "b": ("OK", 6, "last", "res", 7), "c": ("OK", 9, "old", "r", 7)}
+    assert sorted((r.correlation_id, r.ts.day) for r in told.where("NOT applied").collect()) == [("b", 3), ("c", 3)]
+
+
+def sessions_of(spark, rows):
+    """(id, key, character, spot or None, open)"""
+    fields = [x.split()[0] for x in ledger.SESSIONS.split(", ")]
+    at = dt.datetime(2026, 10, 15, 12)
+    full = [{"id": i, "idempotency_key": k, "character_id": c, "active_character_id": c if o else None, "spot_pool": "harbor", "spot_id": s, "active_spot_key": f"harbor:{s}" if o and s is not None else None, "started_at": at, "active_ms": 0, "type_state": "a", "ended_at": None if o else at, "end_reason": None if o else "APP_STOPPED"} for i, k, c, s, o in rows]
+    return spark.createDataFrame([tuple(r.get(f) for f in fields) for r in full], ledger.SESSIONS)
+
+
+def one_by_one(sessions, requests):
+    """Verdicts of requests (key, character, spot) inserted in their order."""
+    keys, chars = {k for _, k, *_ in sessions}, {c for _, _, c, _, o in sessions if o}
+    spots = {f"harbor:{s}" for *_, s, o in sessions if o and s is not None}
+    out = []
+    for key, char, spot in requests:
+        verdict = "DUPLICATE" if key in keys else "CHARACTER_ACTIVE" if char in chars else "SPOT_TAKEN" if spot is not None and spot in spots else "ADMITTED"
+        if verdict == "ADMITTED":
+            keys.add(key), chars.add(char), spots.add(spot)
+        out.append(verdict)
+    return out
+
+
+def test_admissions_as_if_one_by_one(spark):
+    held = [(1, "k1", 7, 1, True), (2, "k2", 8, 2, False)]
+    asked = [("k1", 5, None), ("n1", 5, "harbor:4"), ("n2", 7, "harbor:5"), ("n3", 9, "harbor:1"), ("n3", 9, "harbor:6"), ("n4", 8, "harbor:2"), ("n4", 3, "harbor:7"), ("n5", 5, "harbor:8"), ("n6", 4, "harbor:6"), ("n6", 4, None)]
+    rs = random.Random(1)
+    many = [(f"m{rs.randrange(60)}", rs.randrange(20, 60), rs.choice([None, f"harbor:{rs.randrange(10, 40)}"])) for _ in range(300)]
+    for requests in (asked, many, [("x", 1, None)] * 3, []):
+        rows = spark.createDataFrame([(k, c, s, n) for n, (k, c, s) in enumerate(requests)], "idempotency_key string, character_id int, spot_key string, ts bigint").repartition(3)
+        found = {r.ts: r.verdict for r in ledger.session_admission(rows, sessions_of(spark, held)).collect()}
+        assert [found[n] for n in range(len(requests))] == one_by_one(held, requests)
+
+
+def test_placements_as_if_one_by_one(spark):
+    held = [(1, "a", 7, 1, True), (2, "b", 8, 4, False), (3, "c", 9, 4, True), (4, "d", 10, 5, True), (5, "e", 11, 6, True)]
+    wish = [(1, 4), (2, 9), (3, 9), (1, 4), (5, 1), (4, 4), (4, 5), (99, 8)]
+    start = dt.datetime(2026, 10, 15, 13)
+    rows = spark.createDataFrame([(i, "harbor", s, n, start if n == 3 else None, "b" if n == 3 else None) for n, (i, s) in enumerate(wish)], "id bigint, spot_pool string, spot_id int, ts int, started_at timestamp, type_state string").repartition(3)
+    after, judged = ledger.place_sessions(sessions_of(spark, held), rows)
+    where, want = {i: f"harbor:{s}" for i, _, _, s, o in held if o}, []
+    for i, s in wish:
+        spot = f"harbor:{s}"
+        verdict = "NOT_OPEN" if i not in where else "SPOT_TAKEN" if spot in where.values() and where[i] != spot else "PLACED"
+        if verdict == "PLACED":
+            where[i] = spot
+        want.append(verdict)
+    assert {r.ts: r.verdict for r in judged.collect()} == dict(enumerate(want)) and set(want) == {"NOT_OPEN", "SPOT_TAKEN", "PLACED"}
+    got = {r.id: r for r in after.collect()}
+    assert {i: r.active_spot_key for i, r in got.items() if r.ended_at is None} == where and got[2].active_spot_key is None
+    assert (got[1].spot_id, got[1].started_at, got[1].type_state) == (4, start, "b") and (got[3].spot_id, got[3].type_state) == (9, "a")
+
+
+def test_registered_admissions_one_by_one(spark, sf):
+    from tidemark.plans import rule_queries
+
+    asked = sorted(map(tuple, rule_queries.admissions_asked(spark, sf).collect()))
+    sessions = [(r.id, r.idempotency_key, r.character_id, r.active_spot_key, r.ended_at is None) for r in rule_queries.sessions_of(spark, sf).collect()]
+    keys, chars, spots = {s[1] for s in sessions}, {s[2] for s in sessions if s[4]}, {s[3] for s in sessions if s[4]}
+    want = {}
+    for k, key, char, spot, _ in asked:
+        want[k] = "DUPLICATE" if key in keys else "CHARACTER_ACTIVE" if char in chars else "SPOT_TAKEN" if spot is not None and spot in spots else "ADMITTED"
+        if want[k] == "ADMITTED":
+            keys.add(key), chars.add(char), spots.add(spot)
+    assert {r.k: r.verdict for r in rule_queries.session_admissions(spark, sf).collect()} == want and len(set(want.values())) >= 3
+
+
+def test_ordered_reads(spark):
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    rows = [("c", "buy", "STARTED", t(2)), ("a", "buy", "CHARGED", t(3)), ("b", "sell", "STARTED", t(2)), ("d", "buy", "OK", t(1)), ("e", "buy", "STARTED", t(1))]
+    book = spark.createDataFrame(rows, "correlation_id string, command string, status string, created_at timestamp").repartition(4)
+    assert [r.correlation_id for r in ledger.receipts_open(book).collect()] == ["e", "b", "c", "a"] and [r.correlation_id for r in ledger.receipts_open(book, "buy").collect()] == ["e", "c", "a"]
+    sessions = sessions_of(spark, [(3, "a", 1, 1, True), (1, "b", 2, 2, True), (2, "c", 3, 3, False)])
+    assert [r.id for r in ledger.sessions_open(sessions).collect()] == [1, 3]
+    closed = ledger.close_sessions(sessions, spark.createDataFrame([(1, t(5), "LATE", 9), (1, t(4), "APP_STOPPED", 8), (2, t(4), "X", 7)], "id bigint, ended_at timestamp, end_reason string, active_ms bigint"))
+    assert {r.id: (r.end_reason, r.active_ms, r.active_spot_key) for r in closed.collect()} == {1: ("APP_STOPPED", 8, None), 2: ("APP_STOPPED", 0, None), 3: (None, 0, "harbor:1")}
+
+
+def test_tables_over_jdbc(spark):
+    """Derby, which comes with Spark, stands for the game database: windows, late fetch and the ledger over JDBC."""
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = spark.createDataFrame([(k, f"clan{k}", k % 9) for k in (1, 2, 3, 250, 499, 500, 501, 999, 1000)], "clan_id bigint, clan_name string, clan_level int")
+    rows.write.jdbc(url, "clan_data", properties=driver)
+    table = windows.jdbc_table(spark, url, "clan_data", '"clan_id"', 1, 1000, rows_per_window=250, **driver)
+    assert table.rdd.getNumPartitions() == 4 and sorted(map(tuple, table.toDF(*[c.lower() for c in table.columns]).collect())) == sorted(map(tuple, rows.collect()))
+    own = table.toDF("clan_id", "clan_name", "clan_level")
+    spec = capture.EntitySpec("clan", own, "clan_id", ("clan_name", "clan_level"), ("clan_name",))
+    old = capture.entity_hashes(spec).where("pk <> 500").unionByName(spark.createDataFrame([(1001, 5)], "pk bigint, row_hash bigint"))
+    changes = cut(capture.diff(capture.entity_hashes(spec), old), "changes")
+    assert {(r.pk, r.op, r.payload and r.payload.clan_name) for r in capture.change_events(spec, changes, F.lit(1)).collect()} == {(500, "CREATED", "clan500"), (1001, "DELETED", None)}
+    at = dt.datetime(2024, 1, 1)
+    book = spark.createDataFrame([("a", "buy", "STARTED", at), ("b", "buy", "OK", at)], "correlation_id string, command string, status string, created_at timestamp")
+    book.write.option("createTableColumnTypes", "correlation_id VARCHAR(64), command VARCHAR(64), status VARCHAR(16)").jdbc(url, "receipts", properties=driver)
+    read = spark.read.jdbc(url, "receipts", properties=driver)
+    assert [r[0] for r in ledger.receipts_open(read.toDF(*[c.lower() for c in read.columns])).collect()] == ["a"]
+
+
+def test_records_through_files_in_micro_batches(spark):
+    path = shared_path(spark, "topic")
+    rows = spark.createDataFrame([(k, f"v{k}", k % 5 == 0) for k in range(12)], "pk bigint, v string, gone boolean")
+    out = records.encode_envelope(rows, F.col("pk"), F.struct("pk", "v"), F.lit("t"), F.when(F.col("pk") % 2 == 0, "Even").otherwise("Odd"), F.col("gone"))
+    for k in range(3):
+        records.write_events(out.where(F.pmod(F.hash("key"), F.lit(3)) == k), path=path)
+    stream = records.read_events_files(spark, path)
+    assert stream.isStreaming
+    decoded, dead = records.decode_envelope(records.route_by_type(stream, ["Even"]), "pk bigint, v string")
+    found = ran(decoded.select("msg_type", ids.key_number(F.col("key")).alias("pk"), "payload.v"), "topic-out")
+    assert sorted((r.pk, r.v) for r in found.collect()) == [(k, None if k % 5 == 0 else f"v{k}") for k in range(0, 12, 2)]
+    with pytest.raises(Exception, match="(?i)kafka"):
+        records.read_events_kafka(spark, "localhost:1", ["t"])
+
+
+def test_family_tables(spark):
+    made = [r.u for r in spark.createDataFrame([(1_700_000_000_000 + k, k) for k in range(3)], "m bigint, s int").select(ids.uuid7_at(F.col("m"), F.col("s")).alias("u")).collect()]
+    kill = {"eventId": made[0], "bossNpcId": 25, "participants": [{"charId": 1, "partyId": None, "damageDealt": 9}], "drops": [{"itemId": 57, "count": 3}], "unknown": 1}
+    spawn = {"eventId": made[1], "bosses": [{"npcId": 25, "status": "dead", "nextRespawnAt": "2024-01-01T00:00:00Z", "schedule": {"slots": [{"daysOfWeek": ["MONDAY"], "time": "20:00:00+02:00", "jitterMinutes": 5}]}}]}
+    rows = [(k.to_bytes(8, "big"), json.dumps(v).encode() if isinstance(v, dict) else v, "raid", [("nx-type", t.encode())]) for k, v, t in ((25, kill, "RaidKillEvent"), (0, spawn, "BossRespawnSnapshotEvent"), (1, b"{", "RaidKillEvent"), (2, {}, "NewEvent"))]
+    tables, dead = families.family_tables(spark.createDataFrame(rows, records.RECORD), "raid")
+    r, b = tables["RaidKillEvent"].first(), tables["BossRespawnSnapshotEvent"].first()
+    assert (r.key_number, r.event_id, r.payload.drops[0].itemId, r.payload.participants[0].damageDealt) == (25, made[0], 57, 9) and int(r.event_time.timestamp()) == 1_700_000_000
+    assert b.payload.bosses[0].schedule.slots[0].time == "20:00:00+02:00" and b.payload.bosses[0].nextRespawnAt == dt.datetime(2024, 1, 1) and dead.count() == 1
+    assert sum(len(x) for x in families.FAMILIES.values()) == 26 and len(families.FAMILIES) == 14
 
 
 def stream_of(df, name):
@@ -143,6 +321,39 @@ def test_stream_of_ticks_and_stores(spark):
     assert got[:5] == [(1, t(0), "OPENED"), (1, t(20), "CLOSED"), (2, t(0), "OPENED"), (2, t(25), "EXPIRED"), (2, t(40), "OPENED")]
 
 
+def test_streams_forget_silent_keys_and_drop_late_rows(spark):
+    t = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    path = shared_path(spark, "in")
+    batches = [[("k", t(0), False, 1), ("k", t(5), False, 2)], [("k", t(16), False, 3), ("k", t(16), True, 4), ("j", t(16), False, 1)], [("k", t(10), False, 5), ("k", t(17), False, 6)], [("x", t(500), True, 1)], [("k", t(501), False, 7)]]
+    for rows in batches:
+        spark.createDataFrame(rows, "key string, ts timestamp, ok boolean, seq int").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema("key string, ts timestamp, ok boolean, seq int").option("maxFilesPerTrigger", 1).parquet(path)
+    found = ran(streams.escalations(stream, forget_after_s=3600), "levels")
+    assert sorted((r.key, r.ts, r.level) for r in found.collect()) == [("j", t(16), "FIRST"), ("k", t(0), "FIRST"), ("k", t(5), "REPEAT"), ("k", t(16), "ESCALATED"), ("k", t(17), "FIRST"), ("k", t(501), "FIRST")]
+
+
+def test_working_tables_are_cleared(spark):
+    import os
+
+    kept = shared_path(spark, "kept")
+    with cleared(spark):
+        inside = cut(spark.range(5), "inside")
+        held = inside.inputFiles()[0].removeprefix("file://")
+        out = written(inside.where("id > 1"), kept)
+        assert os.path.exists(held)
+    assert not os.path.exists(held) and out.count() == 3
+    with pytest.raises(ValueError), cleared(spark):
+        held = cut(spark.range(5), "inside").inputFiles()[0].removeprefix("file://")
+        raise ValueError
+    assert os.path.exists(held)
+
+
+def test_presence_rules(spark):
+    rows = [(True, "APP", "FISHING", True, None), (True, "CLIENT", None, False, None), (False, "CLIENT", None, False, "exit"), (True, None, None, False, None), (True, "APP", None, False, None), (True, "CLIENT", "FISHING", False, None), (True, "CLIENT", None, False, "exit"), (False, "CLIENT", None, False, None), (False, "APP", "FISHING", True, "exit"), (True, "CLIENT", None, True, None)]
+    table = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, online boolean, source string, activity string, resumed boolean, logout_reason string")
+    assert sorted((r.k, r.reason) for r in events.bad_presence(table).collect()) == [(3, "no source"), (4, "app session without activity"), (5, "client session with activity"), (6, "start with a reason to leave"), (7, "end without a reason"), (8, "resumed without an app start"), (9, "resumed without an app start")]
+
+
 def test_queries_and_sql_are_paired():
     import __spark_entry__
 

@@ -96,9 +96,10 @@ def escalations(observations: DataFrame, grace_s: int = 900, delay: str = "1 min
             now = row.ts.value // 1000
             if seen is not None and now < seen:
                 continue
+            if row.ok or (seen is not None and now - seen >= forget_after_s * 1_000_000):
+                first, told = None, False
             seen = now
             if row.ok:
-                first, told = None, False
                 continue
             if first is None:
                 first, level = now, "FIRST"
