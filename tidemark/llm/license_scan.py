@@ -48,9 +48,13 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = re.compile(WORD)
 
 
-def words_of(lower: Column) -> Column:
-    """Words of a lower-case text: what is between separators, without the empty strings at either end."""
-    split = F.split(lower, NOT_WORD)
+def pieces_of(lower: Column) -> Column:
+    """Words of a lower-case text, with an empty string at either end where there is a separator."""
+    return F.split(lower, NOT_WORD)
+
+
+def words_of(split: Column) -> Column:
+    """:func:`pieces_of` without the empty strings at either end."""
     head = F.when(F.get(split, F.lit(0)) == "", 1).otherwise(0)
     tail = F.when((F.size(split) > 1) & (F.get(split, F.size(split) - 1) == ""), 1).otherwise(0)
     return F.slice(split, head + 1, F.size(split) - head - tail)
@@ -85,7 +89,7 @@ def frequency_order(docs: DataFrame, templates: Sequence[tuple[str, str]], text_
 
 def phrase_places(lower: Column, phrase: str) -> Column:
     """Array of the word numbers, from 0, where a phrase starts. Lower-case text in, words joined by one space."""
-    joined = F.concat(F.lit(" "), F.array_join(words_of(lower), " "), F.lit(" "))
+    joined = F.concat(F.lit(" "), F.array_join(words_of(pieces_of(lower)), " "), F.lit(" "))
     # A place is a space before the phrase; the pieces between places hold the words before each.
     pieces = F.split(joined, f" (?={re.escape(phrase)} )", -1)
     counts = F.transform(pieces, lambda p, k: F.regexp_count(p, F.lit("[^ ]+")))
@@ -106,8 +110,8 @@ def prefix_index(order: Sequence[str], templates: Sequence[tuple[str, str]], thr
 def template_hits(docs: DataFrame, order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float, text_col: str = "text") -> DataFrame:
     """(t, labels, share) of every text, by its digest, that has a template: the labels and the best share."""
     index = docs.sparkSession.createDataFrame(prefix_index(order, templates, threshold), "token string, at int, label string, tokens array<string>, m int, least int, half int")
-    lower = ascii_lower(text_or_empty(text_col))
-    words = docs.select(digest128(text_or_empty(text_col)).alias("t"), words_of(lower).alias("words"))
+    pieces = docs.select(digest128(text_or_empty(text_col)).alias("t"), pieces_of(ascii_lower(text_or_empty(text_col))).alias("pieces"))
+    words = pieces.select("t", words_of(F.col("pieces")).alias("words"))
     near = words.select("t", "words", F.posexplode("words").alias("pos", "token")).join(F.broadcast(index), "token")
     last = F.floor(F.col("pos") / F.col("half")).cast("int")
     near = near.withColumn("window", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)))
