@@ -139,7 +139,7 @@ def moved(state: dict, move: dict) -> dict | None:
         return new | {"steps_done_at": move["ts"]} if state["steps_done_at"] is None else None
     if action == "refund":
         new["charged_adena"] = 0
-    elif move["amount"] is not None and end in OPEN + ("OK",):
+    elif move["amount"] is not None and action in ("charge", "charge_if_started", "ok", "ok_if_open"):
         new["charged_adena"] = move["amount"]
     if end == "OK":
         new |= {"result_json": move["told_result"], "completed_at": move["ts"]}
