@@ -198,3 +198,29 @@ def test_catalogue_reconcile_is_careful(spark):
     assert left(burst([])) == [0, 1, 2, 3]  # a count of 0 removes nothing
     assert left(burst([1, 7]).where("op = 'UPSERT'")) == [0, 1, 2, 3, 7]  # no marker
     assert left(burst([1, 7]).where("pk IS NULL OR pk = 1")) == [0, 1, 2, 3]  # a row was lost
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_stay_narrow(spark, sf):
+    """Targeted capture picks rows before it hashes them, a board is cut down before the shuffle, failed windows and
+    completions are no theta joins."""
+    from tidemark.operators import events, resync
+    from tidemark.plans import capture_queries as q
+    from tidemark.plans import event_queries
+    from tidemark.sources import windows
+
+    old = q.stored_snapshot(spark, sf)
+    targeted = plan_of(capture.diff_targeted_entity(q.current_spec(spark, sf), old, q.targets(spark, sf)))
+    lines = targeted[targeted.index("l_orderkey") :]
+    assert "LeftSemi" in lines and lines.index("partial_sum") < lines.index("LeftSemi") and "NestedLoop" not in targeted
+    assert "WindowGroupLimit" in plan_of(events.leaderboard(event_queries.ratings_of(spark, sf), 10))
+    asked = spark.createDataFrame([(f"r{k}", "e", k, k) for k in range(1, 9)], "request_id string, entity string, cycle bigint, started_at bigint")
+    cycles = spark.createDataFrame([("e", k, "DEGRADED" if k in (1, 2, 5) else "HEALTHY", int(k == 3), 0) for k in range(1, 8)], "entity string, cycle bigint, state string, failed int, pending int")
+    done = resync.resync_complete(asked, cycles)
+    assert "NestedLoop" not in plan_of(done) and {r.request_id: r.done_cycle for r in done.collect()} == {"r1": 4, "r2": 4, "r3": 4, "r4": 4, "r5": 6, "r6": 6, "r7": 7, "r8": None}
+    hashes = capture.entity_hashes(q.current_spec(spark, sf))
+    plan = windows.plan_windows(hashes.agg({"pk": "min"}).select(F.lit(0).cast("bigint").alias("lo"), F.lit(1999).cast("bigint").alias("hi")), 100)
+    assert "BETWEEN" not in plan_of(capture.diff_windows(hashes, old, plan, plan.where("window_no = 3").select("window_no"))).upper()
