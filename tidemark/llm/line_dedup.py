@@ -127,10 +127,12 @@ def drop_frequent(
 ) -> DataFrame:
     """id, n_lines, n_dropped and the kept ``text`` of every document. ``batches`` are the documents' parts."""
     runs = LineRuns(docs.sparkSession, threshold, fanout)
-    for batch in batches:
-        runs.add(line_counts(batch, text_col, min_chars))
-    frequent = cut(runs.frequent(), "frequent-lines")
-    runs.close()
+    try:
+        for batch in batches:
+            runs.add(line_counts(batch, text_col, min_chars))
+        frequent = cut(runs.frequent(), "frequent-lines")
+    finally:
+        runs.close()
     if frequent.count() <= BROADCAST_ROWS:
         frequent = F.broadcast(frequent)
     own = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
