@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, license_scan, line_dedup, mixing, near_dedup, quality, sql, substring_dedup, url_filter, warc
+from tidemark.llm import bpe, exact_dedup, fim, license_scan, line_dedup, merkle, mixing, near_dedup, quality, sharding, sql, substring_dedup, url_filter, warc
 from tidemark.llm.common import scratch, table
 
 
@@ -74,6 +74,32 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.restore(fim.rearrange(table(spark, sf_dir, "documents"), seed="7", units="lines", rate=100, spm=50))
+    digest = lambda c: F.sha2(F.encode(c, "utf-8"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output").alias("output_sha256"), digest("restored").alias("restored_sha256"))
+
+
+#: Two regions of two racks of two shards.
+SHARDS = sharding.uniform(2, 2, 2)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"), SHARDS, sharding.grown(SHARDS))
+
+
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = merkle.leaf_of([F.col(c).cast("decimal(38,0)") + 1 if c == "n_chars" else F.col(c) for c in LEAF])
+    manifest = merkle.build(docs, scratch(spark, "manifest"), [F.col(c) for c in LEAF], also={"presented": F.when(tampered, changed)})
+    proofs = manifest.proofs().withColumn("folded_root", merkle.folded(F.coalesce("presented", "leaf"), F.col("siblings")))
+    return proofs.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_url_filters": op2_url_filters,
@@ -85,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_sharding": op12_sharding,
+    "op13_merkle": op13_merkle,
 }
 
 #: SQL has neither the tokenizer (1), the template tree (2) nor rolling hashes (10); tests hold those against brute force.
@@ -96,4 +125,7 @@ SQL: dict[str, str] = {
     "op7_mixing": sql.mixing((3, 1, 2), 150, 2, mixing.LEAST_WEIGHT),
     "op8_warc": sql.warc(),
     "op9_minhash": sql.near_dedup(3, 85),
+    "op11_fill_in_middle": sql.fill_in_middle("7", fim.SENTINELS, 100, 50),
+    "op12_sharding": sql.sharding(sharding.nodes_of(SHARDS), sharding.nodes_of(sharding.grown(SHARDS)), "shard"),
+    "op13_merkle": sql.merkle(LEAF, "n_chars"),
 }

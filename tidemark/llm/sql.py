@@ -113,3 +113,61 @@ p AS (SELECT *, median(q90) OVER (PARTITION BY lang, rate) AS p90, median(q99) O
 k AS (SELECT lang, source, {", ".join(limits)} FROM p GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce({" AND ".join(wanted)}, false) AS kept FROM m LEFT JOIN k ON k.lang IS NOT DISTINCT FROM m.lang AND k.source IS NOT DISTINCT FROM m.source"""
+
+
+#: The 256 checksums of one byte, by the rule of CRC-32.
+CRC_TABLE = "SELECT list(c ORDER BY k) AS cs FROM (SELECT k, list_reduce(range(8), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k) AS c FROM (SELECT unnest(range(256)) AS k))"
+
+
+def crc32(text: str, cs: str = "cs") -> str:
+    """CRC-32 of a text's bytes; ``cs`` is the list of CRC_TABLE."""
+    each = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: CAST('0x' || b AS BIGINT))"
+    return f"xor(list_reduce({each}, lambda c, b: xor(c // 256, {cs}[CAST(xor(c, b) % 256 + 1 AS INTEGER)]), 4294967295), 4294967295)"
+
+
+def fill_in_middle(seed: str, sentinels: Sequence[str], rate: int, spm: int) -> str:
+    p, s, m = sentinels
+    draw = lambda k: f"CAST('0x' || substr(h, {8 * k - 7}, 8) AS BIGINT)"
+    plain = " OR ".join(["t = ''", f"{draw(3)} % 100 >= {rate}", *(f"contains(t, '{x}')" for x in sentinels)])
+    part = lambda a, b: f"array_to_string(ls[{a} + 1 : {b}], '')"
+    return rf"""WITH d AS (SELECT doc_id, {TEXT} AS t, regexp_extract_all({TEXT}, '[^\n]*\n|[^\n]+') AS ls, sha256('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (SELECT *, CAST(len(ls) AS BIGINT) AS n, least({draw(1)} % (len(ls) + 1), {draw(2)} % (len(ls) + 1)) AS x, greatest({draw(1)} % (len(ls) + 1), {draw(2)} % (len(ls) + 1)) AS y FROM d),
+e AS (SELECT *, {part("0", "x")} AS p, {part("x", "y")} AS m, {part("y", "len(ls)")} AS s, CASE WHEN {plain} THEN 'plain' WHEN {draw(4)} % 100 < {spm} THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{p}' || p || '{s}' || s || '{m}' || m ELSE '{s}' || s || '{p}' || p || '{m}' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM e"""
+
+
+def sharding(nodes: Mapping[str, list[tuple]], larger: Mapping[str, list[tuple]], seed: str) -> str:
+    """``nodes``: children of each node by name, (name, weight, number)."""
+    rows = lambda tree: ", ".join(f"('{parent}', '{name}', {weight}, {'NULL' if number is None else number})" for parent, children in tree.items() for name, weight, number in children)
+    unit = lambda *parts: "CAST('0x' || substr(md5(concat_ws(':', " + ", ".join(parts) + ")), 1, 13) AS BIGINT)"
+    key = "coalesce(CAST(doc_id AS VARCHAR), '')"
+
+    def descent(tree):
+        at = f"(SELECT DISTINCT {key} AS key, '' AS node FROM documents)"
+        for _ in range(3):
+            at = f"(SELECT key, arg_min(name, -ln(({unit(repr(seed), 'name', 'key')} + 0.5) / 4503599627370496.0) / weight) AS node FROM {at} JOIN {tree} ON parent = node GROUP BY key)"
+        return f"SELECT key, CAST(number AS INTEGER) AS shard FROM {at} JOIN {tree} ON name = node"
+
+    return f"""WITH t AS ({CRC_TABLE}), a(parent, name, weight, number) AS (VALUES {rows(nodes)}), b(parent, name, weight, number) AS (VALUES {rows(larger)}),
+d AS (SELECT doc_id, {key} AS key, CAST(strlen({TEXT}) + 1 AS BIGINT) AS size, CAST({crc32(TEXT)} AS BIGINT) AS text_crc32 FROM documents, t),
+x AS ({descent("a")}), y AS ({descent("b")})
+SELECT doc_id, size, text_crc32, 'key' AS law, x.shard, row_number() OVER (PARTITION BY x.shard ORDER BY {unit(repr(seed + "-slot"), "d.key", "size", "text_crc32")}, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, y.shard AS grown_shard FROM d JOIN x USING (key) JOIN y USING (key)"""
+
+
+def merkle(fields: Sequence[str], tampered: str) -> str:
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    leaf = lambda change: "sha256(" + " || ".join(field(f"({c} + 1)" if change and c == tampered else c) for c in fields) + ")"
+    grow = lambda name, by: f"""SELECT {by}, 0 AS level, i, n, leaf AS h FROM {name} UNION ALL
+SELECT {by}, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM {{}} WHERE n > 1 GROUP BY {by}, level, i // 2, n"""
+    step = lambda by: f"""SELECT f.doc_id, f.lang, f.level + 1, f.i // 2, (f.n + 1) // 2, f.stage, sha256(CASE WHEN f.i % 2 = 1 THEN coalesce(s.h, '') || f.h ELSE f.h || coalesce(s.h, '') END), f.proof || coalesce(s.h, '') FROM {{}} f LEFT JOIN {{}} s ON {by}s.level = f.level AND s.i = xor(f.i, 1) WHERE f.n > 1"""
+    return f"""WITH RECURSIVE t AS ({CRC_TABLE}),
+d AS (SELECT doc_id, lang, {leaf(False)} AS leaf, CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {leaf(True)} ELSE {leaf(False)} END AS presented FROM documents, t),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d),
+nodes(lang, level, i, n, h) AS ({grow("l", "lang").format("nodes")}),
+subs AS (SELECT lang, h AS leaf, row_number() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(k, level, i, n, h) AS ({grow("(SELECT *, 0 AS k FROM subs)", "k").format("tops")}),
+f(doc_id, lang, level, i, n, stage, h, proof) AS (SELECT doc_id, lang, 0, i, n, 0, presented, '' FROM l UNION ALL {step("s.lang IS NOT DISTINCT FROM f.lang AND ").format("f", "nodes")}),
+g(doc_id, lang, level, i, n, stage, h, proof) AS (SELECT f.doc_id, f.lang, 0, s.i, s.n, 1, f.h, proof FROM f JOIN subs s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1 UNION ALL {step("").format("g", "tops")})
+SELECT g.doc_id, d.leaf, subs.leaf AS subroot, r.h AS root, sha256(g.proof) AS proof_sha256, g.h AS folded_root, g.h = r.h AS verified
+FROM g JOIN d ON d.doc_id IS NOT DISTINCT FROM g.doc_id AND d.lang IS NOT DISTINCT FROM g.lang JOIN subs ON subs.lang IS NOT DISTINCT FROM g.lang, (SELECT h FROM tops WHERE n = 1) r WHERE g.n = 1"""
