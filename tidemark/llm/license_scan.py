@@ -2,26 +2,29 @@
 
 Base labels come from phrases, found wherever their words stand one after another. The method adds labels of
 templates (:mod:`tidemark.llm.license_texts`): a text block has a template if it holds at least ``threshold`` of the
-template's distinct tokens.
+template's distinct tokens; a full text of more than LONG_WORDS words asks for LONG_THRESHOLD.
 
-Blocks are windows over the words of the whole text, line breaks or not. A template of up to ``half`` words, for a
-``half`` of HALVES, is sought in windows of twice ``half`` words, each starting ``half`` words after the last, so
-every run of ``half`` words lies whole in one.
+Blocks are runs of words of the whole text, line breaks or not. A template of ORDERED distinct tokens or more is sought in
+windows of twice ``half`` words, each starting ``half`` words after the last; ``half`` is the least power of two that holds
+all its words, so every run of ``half`` words lies whole in one, and templates may have any length. A shorter template says
+little as a set of words: its blocks are the runs of ``1 / threshold`` times its words that start at one of them, and what
+they hold of it must stand in its order.
 
 The join: all template tokens are ordered by how often they occur in the whole corpus, rare ones first. For a template
-of m tokens, a = ceil(threshold * m) must be shared.
+of m tokens, a = :func:`least_of` must be shared.
 
 * Prefix filter: the first m - a + 1 tokens of the template and the first n - a + 1 of the block's n template tokens
   share one. The templates' prefix tokens are an inverted index, token -> template and position; the words of the
-  texts are exploded and joined with it, and only windows round a hit become candidates.
-* Length filter: the block has a template tokens or more.
+  texts are exploded and joined with it, and only blocks round a hit become candidates.
+* Length filter: the block has a words, and a template tokens, or more.
 * Positional filter: what follows the shared token, on both sides, can still reach a.
 
 Candidates that pass are counted exactly. Templates are a fixed, short list (:data:`MAX_TEMPLATE_TOKENS` bounds the
-index), so the index is broadcast. Texts are never shuffled: only the hits of a text move, under a digest of it.
+index), so index and templates are broadcast. Texts are never shuffled: only the hits of a text move, under a digest of it.
 
 Cases: a null or empty text has no words, no places and no labels; repeated rows and ids are scanned alike; null ids
-are ids; an empty table gives an empty result; only the named columns are read.
+are ids; texts whose shares tie all have the label; an empty table gives an empty result; only the named columns are
+read. A very long text is one array of words in one task; the places of a phrase are counted in one pass, however many.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +41,10 @@ from tidemark.llm.common import ascii_lower, cut, digest128, text_or_empty
 from tidemark.llm.license_texts import TEMPLATES
 
 THRESHOLD = 0.85
-#: Half windows, in words: a template belongs to the least that holds all its words.
-HALVES = (32, 256)
+#: Templates of more words are full texts, whose words other texts of their family share: they ask for more.
+LONG_WORDS, LONG_THRESHOLD = 256, 0.95
+#: Distinct tokens from which a template is a set; below, their order counts. Words of the shortest half window.
+ORDERED, LEAST_HALF = 10, 16
 #: Tokens of all templates together at most.
 MAX_TEMPLATE_TOKENS = 100_000
 #: Texts with hits up to which they are sent to all tasks.
@@ -64,11 +70,24 @@ def template_words(text: str) -> list[str]:
     return _WORD.findall(text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
 
 
-def half_of(text: str) -> int:
-    n = len(template_words(text))
-    if n > HALVES[-1]:
-        raise ValueError(f"a template has {n} words; {HALVES[-1]} at most")
-    return next(h for h in HALVES if n <= h)
+class Shape(NamedTuple):
+    """How a template is sought: in windows of twice ``half`` words, or in runs of ``run`` words in its own order."""
+
+    half: int | None
+    run: int | None
+
+
+def shape_of(text: str, threshold: float = THRESHOLD) -> Shape:
+    words = template_words(text)
+    if len(set(words)) < ORDERED:
+        return Shape(None, math.floor(len(words) / threshold))
+    return Shape(max(LEAST_HALF, 1 << (len(words) - 1).bit_length()), None)
+
+
+def least_of(text: str, threshold: float = THRESHOLD) -> int:
+    """How many of its distinct tokens a block must have of a template."""
+    words = template_words(text)
+    return math.ceil((max(threshold, LONG_THRESHOLD) if len(words) > LONG_WORDS else threshold) * len(set(words)))
 
 
 def token_counts(docs: DataFrame, tokens: Sequence[str], text_col: str = "text") -> DataFrame:
@@ -88,39 +107,56 @@ def frequency_order(docs: DataFrame, templates: Sequence[tuple[str, str]], text_
 
 
 def phrase_places(lower: Column, phrase: str) -> Column:
-    """Array of the word numbers, from 0, where a phrase starts. Lower-case text in, words joined by one space."""
+    """(n, first, last): how many places a phrase has, and the first and last word number, from 0, where it starts, in one
+    pass. Lower-case text in, words joined by one space."""
     joined = F.concat(F.lit(" "), F.array_join(words_of(pieces_of(lower)), " "), F.lit(" "))
     # A place is a space before the phrase; the pieces between places hold the words before each.
     pieces = F.split(joined, f" (?={re.escape(phrase)} )", -1)
-    counts = F.transform(pieces, lambda p, k: F.regexp_count(p, F.lit("[^ ]+")))
-    sums = F.aggregate(counts, F.array().cast("array<int>"), lambda acc, n: F.concat(acc, F.array(n + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)))))
-    return F.slice(sums, 1, F.size(sums) - 1)
-
-
-def prefix_index(order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float) -> list[tuple]:
-    """(token, at, label, tokens, m, least, half): the prefix tokens of each template and their place in it from 1."""
-    rank, found = {t: k for k, t in enumerate(order)}, []
-    for label, text in templates:
-        tokens = sorted(set(template_words(text)), key=rank.__getitem__)
-        m, least = len(tokens), math.ceil(threshold * len(tokens))
-        found += [(t, at, label, tokens, m, least, half_of(text)) for at, t in enumerate(tokens[: m - least + 1], 1)]
-    return found
+    counts = F.transform(pieces, lambda p: F.regexp_count(p, F.lit("[^ ]+")))
+    none = F.lit(None).cast("int")
+    zero = F.struct(F.lit(0).alias("words"), F.lit(0).alias("n"), none.alias("first"), none.alias("last"))
+    step = lambda acc, c: F.struct((acc["words"] + c).alias("words"), (acc["n"] + 1).alias("n"), F.coalesce(acc["first"], acc["words"] + c).alias("first"), (acc["words"] + c).alias("last"))
+    return F.aggregate(F.slice(counts, 1, F.size(counts) - 1), zero, step)
+
+
+def prefix_index(order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float) -> tuple[list[tuple], list[tuple]]:
+    """(token, at, no): the prefix tokens of each template and their place in it from 1; and (no, label, tokens, peers, seq,
+    m, least, half, run) of each template: its tokens in the order of all, those of all templates of its window, and its
+    tokens in its own order where that counts."""
+    rank, index, rows = {t: k for k, t in enumerate(order)}, [], []
+    shapes = [shape_of(text, threshold) for _, text in templates]
+    for no, ((label, text), shape) in enumerate(zip(templates, shapes)):
+        seq = list(dict.fromkeys(template_words(text)))
+        tokens = sorted(seq, key=rank.__getitem__)
+        m, least = len(tokens), least_of(text, threshold)
+        peers = sorted({t for (_, other), s in zip(templates, shapes) if s == shape for t in template_words(other)}, key=rank.__getitem__)
+        index += [(t, at, no) for at, t in enumerate(tokens[: m - least + 1], 1)]
+        rows.append((no, label, tokens, peers if shape.half else [], seq if shape.run else [], m, least, shape.half, shape.run))
+    return index, rows
 
 
 def template_hits(docs: DataFrame, order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float, text_col: str = "text") -> DataFrame:
     """(t, labels, share) of every text, by its digest, that has a template: the labels and the best share."""
-    index = docs.sparkSession.createDataFrame(prefix_index(order, templates, threshold), "token string, at int, label string, tokens array<string>, m int, least int, half int")
+    spark = docs.sparkSession
+    index, rows = prefix_index(order, templates, threshold)
+    index = F.broadcast(spark.createDataFrame(index, "token string, at int, no int"))
+    forms = F.broadcast(spark.createDataFrame(rows, "no int, label string, tokens array<string>, peers array<string>, seq array<string>, m int, least int, half int, run int"))
     pieces = docs.select(digest128(text_or_empty(text_col)).alias("t"), pieces_of(ascii_lower(text_or_empty(text_col))).alias("pieces"))
     words = pieces.select("t", words_of(F.col("pieces")).alias("words"))
-    near = words.select("t", "words", F.posexplode("words").alias("pos", "token")).join(F.broadcast(index), "token")
+    near = words.select("t", "words", F.posexplode("words").alias("pos", "token")).join(index, "token").join(forms, "no")
     last = F.floor(F.col("pos") / F.col("half")).cast("int")
-    near = near.withColumn("window", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)))
-    # The block's template tokens, in the order of all tokens.
-    block = F.array_intersect(F.array(*map(F.lit, order)), F.slice("words", F.col("window") * F.col("half") + 1, F.col("half") * 2))
-    near = near.select("t", "token", "at", "label", "tokens", "m", "least", block.alias("block"))
+    windows = F.transform(F.sequence(F.greatest(last - 1, F.lit(0)), last), lambda k: k * F.col("half"))
+    runs = F.filter(F.sequence(F.greatest(F.col("pos") - F.col("run") + 1, F.lit(0)), F.col("pos")), lambda k: F.array_contains("seq", F.get("words", k)))
+    near = near.where(F.size("words") >= F.col("least")).withColumn("start", F.explode(F.when(F.col("run").isNull(), windows).otherwise(runs)))
+    near = near.where(F.size("words") - F.col("start") >= F.col("least"))
+    raw = F.slice("words", F.col("start") + 1, F.coalesce("run", F.col("half") * 2))
+    # A window's template tokens, in the order of all tokens; a run's, by their places.
+    block = F.when(F.col("run").isNull(), F.array_intersect("peers", raw))
+    places = F.when(F.col("run").isNotNull(), F.filter(F.transform("seq", lambda t: F.array_position(raw, t)), lambda k: k > 0))
+    near = near.select("t", "token", "at", "label", "tokens", "m", "least", block.alias("block"), places.alias("places"))
     n, in_block = F.size("block"), F.array_position("block", F.col("token")).cast("int")
-    near = near.where((n >= F.col("least")) & (in_block <= n - F.col("least") + 1) & (1 + F.least(F.col("m") - F.col("at"), n - in_block) >= F.col("least")))
-    both = F.size(F.array_intersect("tokens", "block"))
+    reach = (n >= F.col("least")) & (in_block <= n - F.col("least") + 1) & (1 + F.least(F.col("m") - F.col("at"), n - in_block) >= F.col("least"))
+    both = F.when(F.col("block").isNull(), F.when(F.col("places") == F.array_sort("places"), F.size("places"))).when(reach, F.size(F.array_intersect("tokens", "block")))
     sure = near.select("t", "label", "m", "least", both.alias("both")).where("both >= least")
     return sure.groupBy("t").agg(F.collect_set("label").alias("labels"), F.max(F.col("both") / F.col("m")).alias("share"))
 
@@ -142,27 +178,24 @@ def scan(
     if hits.count() <= BROADCAST_TEXTS:
         hits = F.broadcast(hits)
     rows = docs.select(F.col(id_col).alias("id"), digest128(text_or_empty(text_col)).alias("of"), ascii_lower(text_or_empty(text_col)).alias("lower"))
-    none = F.array().cast("array<int>")
-
     def places(phrase):
         # Only texts that hold every word of a phrase are taken apart.
         maybe = F.lit(True)
         for word in phrase.split():
             maybe &= F.contains("lower", F.lit(word))
-        return F.when(maybe, phrase_places(F.col("lower"), phrase)).otherwise(none)
+        return F.when(maybe, phrase_places(F.col("lower"), phrase))
 
-    found = F.array(*[F.struct(F.lit(label).alias("label"), places(p).alias("at")) for p, label in phrases.items()]).cast("array<struct<label: string, at: array<int>>>")
-    rows = rows.select("id", "of", F.regexp_count("lower", F.lit(WORD)).cast("bigint").alias("n_words"), F.filter(found, lambda x: F.size(x["at"]) > 0).alias("found"))
+    found = F.array(*[F.struct(F.lit(label).alias("label"), places(p).alias("at")) for p, label in phrases.items()]).cast("array<struct<label: string, at: struct<words: int, n: int, first: int, last: int>>>")
+    rows = rows.select("id", "of", F.regexp_count("lower", F.lit(WORD)).cast("bigint").alias("n_words"), F.filter(found, lambda x: x["at"]["n"] > 0).alias("found"))
     rows = rows.join(hits, F.col("of") == F.col("t"), "left")
     own = F.transform("found", lambda x: x["label"])
     every = F.array_sort(F.array_union(own, F.coalesce("labels", F.array().cast("array<string>"))))
-    at = F.flatten(F.transform("found", lambda x: x["at"]))
     return rows.select(
         F.col("id").alias(id_col),
         "n_words",
-        F.size(at).cast("bigint").alias("n_base"),
-        F.array_min(at).cast("bigint").alias("first_word"),
-        F.array_max(at).cast("bigint").alias("last_word"),
+        F.aggregate("found", F.lit(0).cast("bigint"), lambda n, x: n + x["at"]["n"]).alias("n_base"),
+        F.array_min(F.transform("found", lambda x: x["at"]["first"])).cast("bigint").alias("first_word"),
+        F.array_max(F.transform("found", lambda x: x["at"]["last"])).cast("bigint").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct(own)), ",").alias("base_labels"),
         F.array_join(every, ",").alias("labels"),
         F.when(F.size("found") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),

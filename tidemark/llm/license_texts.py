@@ -1,7 +1,12 @@
-"""Texts of well-known licenses, their notices and their opening statements: (label, text)."""
+"""Texts of well-known licenses, their notices and their opening statements: (label, text).
+
+The folder ``licenses`` holds full texts, verbatim, a file a license with its label as its name.
+"""
+
+from pathlib import Path
 
 # Public license texts and the statements by which a work names its license.
-TEMPLATES: tuple[tuple[str, str], ...] = (
+STATEMENTS: tuple[tuple[str, str], ...] = (
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     (
@@ -67,3 +72,6 @@ and by any means.""",
     ),
     ("proprietary", "all rights reserved"),
 )
+
+FULL_TEXTS: tuple[tuple[str, str], ...] = tuple((f.stem, f.read_text(encoding="utf-8")) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt")))
+TEMPLATES = STATEMENTS + FULL_TEXTS

@@ -120,7 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op3_line_dedup": sql.line_dedup(10),
     "op4_quality_rules": sql.quality(quality.RATES, quality.BITS, quality.SPREAD, quality.GUARD, quality.SIGMAS, quality.MIN_DOCS),
-    "op5_license_scan": sql.license_scan(PHRASES, [(label, license_scan.template_words(t), license_scan.half_of(t)) for label, t in license_scan.TEMPLATES], license_scan.THRESHOLD),
+    "op5_license_scan": sql.license_scan(PHRASES, [(label, license_scan.template_words(t), license_scan.least_of(t), *license_scan.shape_of(t)) for label, t in license_scan.TEMPLATES]),
     "op6_exact_dedup": sql.exact_dedup(),
     "op7_mixing": sql.mixing((3, 1, 2), 150, 2, mixing.LEAST_WEIGHT),
     "op8_warc": sql.warc(),

@@ -3,7 +3,6 @@ the result doesn't depend on them."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from tidemark.llm.common import LOWER, UPPER
@@ -64,16 +63,21 @@ r(doc_id, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.y, r.root FROM r
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept FROM r JOIN s USING (doc_id) GROUP BY doc_id, sh"""
 
 
-def license_scan(phrases: Mapping[str, str], templates: Sequence[tuple[str, list[str], int]], threshold: float) -> str:
-    """``templates``: (label, words, half window)."""
+def license_scan(phrases: Mapping[str, str], templates: Sequence[tuple[str, list[str], int, int | None, int | None]]) -> str:
+    """``templates``: (label, words, tokens to share, half window or run)."""
     words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     text_list = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
     at = [f"list_transform(list_filter(range(0, len(ws) - {len(p.split()) - 1}), lambda i: ws[i + 1 : i + {len(p.split())}] = {text_list(p.split())}), lambda i: {{'at': i, 'label': '{label}'}})" for p, label in phrases.items()]
     hits = []
-    for label, text, half in templates:
-        tokens = sorted(set(text))
-        hits.append(f"SELECT doc_id, '{label}' AS label, len(list_intersect(b, {text_list(tokens)})) / {len(tokens)} AS share FROM b WHERE half = {half} AND len(list_intersect(b, {text_list(tokens)})) >= {math.ceil(threshold * len(tokens))}")
-    halves = ", ".join(map(str, sorted({half for _, _, half in templates})))
+    for label, text, least, half, run in templates:
+        tokens, seq = sorted(set(text)), list(dict.fromkeys(text))
+        if run is None:
+            hits.append(f"SELECT doc_id, '{label}' AS label, len(list_intersect(b, {text_list(tokens)})) / {len(tokens)} AS share FROM b WHERE half = {half} AND len(b) >= {least} AND len(list_intersect(b, {text_list(tokens)})) >= {least}")
+            continue
+        runs = f"SELECT doc_id, ws, unnest(list_filter(range(len(ws)), lambda i: list_contains({text_list(seq)}, ws[i + 1]))) AS i FROM w WHERE len(list_intersect(ws, {text_list(seq)})) >= {least}"
+        places = f"SELECT doc_id, list_filter(list_transform({text_list(seq)}, lambda t: coalesce(list_position(ws[i + 1 : i + {run}], t), 0)), lambda p: p > 0) AS ps FROM ({runs})"
+        hits.append(f"SELECT doc_id, '{label}' AS label, len(ps) / {len(seq)} AS share FROM ({places}) WHERE len(ps) >= {least} AND ps = list_sort(ps)")
+    halves = ", ".join(map(str, sorted({half for *_, half, _ in templates if half})))
     return f"""WITH w AS (SELECT doc_id, {words.format(low(TEXT))} AS ws FROM documents),
 p AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, flatten([{", ".join(at)}]) AS found FROM w),
 b AS (SELECT doc_id, half, list_distinct(ws[k + 1 : k + 2 * half]) AS b FROM (SELECT doc_id, ws, half, unnest(range(0, len(ws), half)) AS k FROM w, (SELECT unnest([{halves}]) AS half))),
