@@ -347,7 +347,9 @@ def test_mix_samples_by_weight_within_one_large_source(spark):
     assert heavy + light == 2000 and heavy > 1.2 * light
 
 
-def test_warc_round_trip_at_any_split(spark):
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_warc_round_trip_at_any_split(spark, monkeypatch, few):
+    monkeypatch.setattr(warc, "BROADCAST_REPEATS", few)
     rs = random.Random(2)
     html = [None, "", "same", "same", "x" * 50_000, "né\x1f", "WARC/1.1\r\n\r\n", "same"] + ["".join(rs.choice("abc \n") for _ in range(rs.randrange(4000))) for _ in range(60)]
     pages = spark.createDataFrame([(k, f"http://h/{k}" if k % 7 else None, h, "z") for k, h in enumerate(html)] + [(None, "u", "no id", "z")], "page_id bigint, url string, html string, payload string").repartition(3)
@@ -376,6 +378,51 @@ def test_warc_round_trip_at_any_split(spark):
     assert warc.read(spark, empty).count() == 0
 
 
+def test_documents_without_ids_are_mixed_like_others(spark):
+    docs = spark.range(2000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("s").alias("source"), F.concat(F.lit("a b c d"), F.col("id").cast("string")).alias("text"))
+    keys = mixing.sizes(docs).select(F.floor((1 - F.col("key")) * mixing.BINS).alias("bin")).groupBy("bin").count()
+    assert keys.count() > 1000 and keys.agg(F.max("count")).first()[0] < 12
+    taken = mixing.mix(docs, budget_percent=50).where("taken > 0")
+    assert taken.count() == 1000 and mixing.mixed(docs, budget_percent=50).distinct().count() == 1000
+
+
+def test_warc_archives_of_tasks_that_run_twice(spark, tmp_path):
+    """What attempts that did not count left is not read, nor are archives without an end; others' folders are read whole."""
+    pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("http://h/").alias("url"), F.concat(F.lit("page "), (F.col("id") % 30).cast("string")).alias("html")).repartition(4)
+    path = "file://" + str(tmp_path / "archives")
+    warc.write(warc.revisits(pages), path)
+    files = sorted((tmp_path / "archives").glob("*.warc.gz"))
+    (tmp_path / "archives" / files[0].name.replace(".warc.gz", "-again.warc.gz")).write_bytes(files[0].read_bytes())
+    found = warc.read(spark, path).collect()
+    assert len(found) == 40 and sum(r.record_type == "revisit" for r in found) == 10
+    (tmp_path / "archives" / warc.MANIFEST).unlink()
+    assert warc.read(spark, path).count() > 40
+    (tmp_path / "archives" / warc.UNFINISHED).touch()
+    with pytest.raises(ValueError, match="to their end"):
+        warc.read(spark, path)
+    # A task whose first attempt fails midway writes under another name the second time.
+    import pyspark
+
+    def once(batches, mark=str(tmp_path / "failed")):
+        import os
+
+        for k, batch in enumerate(batches):
+            yield batch
+            if pyspark.TaskContext.get().partitionId() == 0 and not os.path.exists(mark):
+                open(mark, "w").close()
+                raise RuntimeError("lost")
+
+    rows = warc.revisits(pages)
+    path = "file://" + str(tmp_path / "twice")
+    try:
+        warc.write(rows.mapInArrow(once, rows.schema), path)
+    except Exception:
+        # A local master does not try a task again; the whole write is.
+        warc.write(rows.mapInArrow(once, rows.schema), path)
+    found = warc.read(spark, path).collect()
+    assert len(found) == 40 and len({r.record_id for r in found}) == 40
+
+
 def near_brute(texts, size, percent):
     sets = []
     for t in texts:

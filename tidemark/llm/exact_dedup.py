@@ -7,7 +7,8 @@ group by hash alone and the texts don't move again; otherwise those few hashes a
 
 Cases: a null text equals an empty one; a null id never wins unless its whole group has none; repeated rows
 of the id that stays all count as kept; an empty table gives an empty result; more columns, of any name, are carried
-by :func:`deduplicate` and ignored by :func:`groups_of`.
+by :func:`deduplicate` and ignored by :func:`groups_of`. Very long texts are hashed whole and move as any other: once a
+task and distinct text. Ids may be of any type that has an order.
 """
 
 from __future__ import annotations

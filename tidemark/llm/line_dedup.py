@@ -11,7 +11,8 @@ Lines of a frequent key lose all their occurrences. They are found by joining (t
 frequent hashes; texts move once, with the list of positions to drop.
 
 Cases: a null or empty text is one empty line; each row counts as a document, repeated rows too; null and shared ids
-harm nothing, as positions belong to texts; an empty table gives an empty result; further columns are ignored.
+harm nothing, as positions belong to texts; an empty table gives an empty result; further columns are ignored. A very long
+text is split into lines by one task and joined again by one; tied lines are one key.
 """
 
 from __future__ import annotations

@@ -14,9 +14,10 @@ that are ordered as a whole; the former has one row a source.
 The sample takes documents whole: one is taken if at least half of it fits, so a source misses its target by at
 most half a document. Reruns and other partitionings give the same mix.
 
-Cases: null text has size 0 and is taken 0 times its size; a null source is a source and sorts last; null ids
-share one hash; repeated rows are tied and taken in turn; an empty table gives an empty mix; further columns, of any
-name, are ignored by :func:`mix` and carried by :func:`mixed`.
+Cases: null text has size 0 and is taken 0 times its size; a null source is a source and sorts last; documents without
+ids draw by their texts, so they are spread like others; repeated rows are tied and taken in turn; an empty table gives an
+empty mix; further columns, of any name, are ignored by :func:`mix` and carried by :func:`mixed`. Very long texts are
+measured where they are read; only :func:`mixed` moves them, once. Ids may be of any type that has a text form and an order.
 """
 
 from __future__ import annotations
@@ -52,12 +53,12 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), text.alias("text"), *([weight.alias("w")] if weight is not None else []))
     rows = rows.withColumn("size", n_words(F.col("text")))
     w = F.col("w") if weight is not None else quality_weight(F.col("text"), F.col("size"))
-    return rows.select("id", "source", "size", sample_key(F.col("id"), w, seed).alias("key"), *([digest128(F.col("text")).alias("t")] if digests else []))
+    return rows.select("id", "source", "size", sample_key(F.col("id"), w, seed, F.col("text")).alias("key"), *([digest128(F.col("text")).alias("t")] if digests else []))
 
 
-def sample_key(id_: Column, w: Column, seed: str) -> Column:
-    """u ** (1 / w), larger first; u in (0, 1) from 52 bits of a hash of seed and id."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(id_.cast("string"), F.lit("null"))))
+def sample_key(id_: Column, w: Column, seed: str, text: Column) -> Column:
+    """u ** (1 / w), larger first; u in (0, 1) from 52 bits of a hash of seed and id, or of the text where there is no id."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(id_.cast("string"), F.md5(F.encode(text, "utf-8")))))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(1 << 52))
     return F.pow(u, F.lit(1.0) / w)
 

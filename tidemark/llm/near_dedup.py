@@ -18,7 +18,8 @@ candidates are confirmed on the whole sets.
 Cases: null and empty texts have no set and link with nothing; a text of fewer words than a shingle is one
 shingle; rows that share id and text are one document; rows without an id are never a representative of others that
 have one; an empty table gives an empty result; further columns, of any name, are ignored by :func:`components` and
-carried by :func:`keep_one`, which tells rows by id and text, so null and shared ids harm no other row.
+carried by :func:`keep_one`, which tells rows by id and text, so null and shared ids harm no other row. Ids are whole
+numbers. A very long text has as many shingles as words, held by one task at a time.
 """
 
 from __future__ import annotations

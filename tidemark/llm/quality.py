@@ -18,7 +18,8 @@ deviations of a Poisson count above what the limit gives for its length. Limits
 
 Cases: a null or empty text has no words and fails the base rules; null languages and sources are groups of
 their own; an empty table gives empty results; repeated rows are judged alike; further columns, of any name, are
-carried by :func:`keep` and ignored by :func:`judge`.
+carried by :func:`keep` and ignored by :func:`judge`. A value at a limit passes. A very long text is counted by one task,
+with its words in memory.
 """
 
 from __future__ import annotations

@@ -48,7 +48,7 @@ m AS (SELECT *, coalesce(sum(size) FILTER (capped) OVER (), 0) AS cs, coalesce(s
 t AS (SELECT source, size AS source_size, CASE WHEN capped THEN CAST(size * {max_epochs} AS DOUBLE) ELSE CAST((S * {budget_percent} - cs * {full}) * w AS DOUBLE) / CAST((V - cw) * 100 AS DOUBLE) END AS target FROM m),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM t),
 q AS (SELECT *, greatest({least_weight}, 1 - greatest(4.0 - b, b - 10.0, 0.0) / 20) AS w FROM (SELECT *, strlen(t) / greatest(size, 1) AS b FROM d)),
-u AS (SELECT doc_id, source, size, pow((CAST('0x' || substr(md5('mix:' || doc_id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0, 1.0 / w) AS key FROM q),
+u AS (SELECT doc_id, source, size, pow((CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), md5(t))), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0, 1.0 / w) AS key FROM q),
 x AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM u)
 SELECT doc_id, size, source_size, target, CAST(size * (epochs + CASE WHEN before + size / 2 <= target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM x JOIN e ON x.source IS NOT DISTINCT FROM e.source"""
 

@@ -12,7 +12,8 @@ shuffle once a task; the join back is an ordinary equi-join, whose hot keys Spar
 
 Cases: null and empty texts have no chunks; rows that share id and text are one document, those that share only one
 of them are several; documents without an id come before all others, in the order of their texts' digests, and of
-documents that share an id none is the earlier; an empty table gives an empty result; further columns are ignored.
+documents that share an id none is the earlier; an empty table gives an empty result; further columns are ignored. Ids are
+whole numbers. A very long text is chunked by one task, whose rows are handed on 50,000 chunks at a time.
 """
 
 from __future__ import annotations
@@ -128,6 +129,7 @@ def _spans(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_char
     texts = texts_of(docs, id_col, text_col)
     if not texts.groupBy("id", "t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         texts = texts.dropDuplicates(["id", "t"])
+    # Both uses of the chunks make them anew: a table of them would be larger than the texts' own files.
     rows = chunks(texts)
     places = rows.groupBy("a", "b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     found = rows.join(places.where("n > 1").drop("n"), ["a", "b"]).repartition("id", "t")

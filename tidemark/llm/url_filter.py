@@ -24,7 +24,8 @@ shuffle.
 
 Cases: a null URL, or one without ``://``, has an empty host and path; empty paths are a template of their own;
 without labels nothing is rejected; null labels are none; a null label key has no label; repeated rows count each; an
-empty table gives an empty result; only the named columns are read.
+empty table gives an empty result; only the named columns are read. A very long URL is a path of as many levels as it has
+segments; only hosts that still branch are followed, so it costs the others nothing.
 """
 
 from __future__ import annotations

@@ -8,17 +8,25 @@ takes a candidate for a member only if it inflates to a WARC version line and a
 owns the records that start inside its range, reading on beyond it for the last one. Every record has one owner
 whatever the split size, and a task holds one record at a time.
 
-Archives are reached with ``pyarrow.fs``, so any folder that all executors share will do. A task that runs
-again writes the same file anew under a temporary name and moves it into place.
-
-Cases: a null payload is empty; a null id is written as an empty header; rows that share id and payload are
-each a response; an empty table writes no file and reads as an empty table; other columns are ignored.
+Archives are reached with ``pyarrow.fs``, so any folder that all executors share will do. Every attempt of a task
+writes a file of its own and moves nothing; the attempts whose results reach the driver are listed in a manifest, written
+last, and only listed files are read. Attempts that failed, or ran beside another, leave files that nobody reads, which
+are removed with the manifest's writing.
+
+Payloads of revisits are not written, so they are dropped as soon as they are found: where the repeated payloads are few
+their digests are sent to all tasks and no payload moves; else rows without payloads are joined, and each distinct payload
+moves once.
+
+Cases: a null payload is empty; a null id is written as an empty header; of tied ids, rows that share id and payload are
+each a response; an empty table writes no file and reads as an empty table; other columns are ignored. A very long payload
+is held whole by the task that writes or reads it, one at a time.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,10 +37,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import cut
+
 #: Bytes of a range that one task reads, and of one read call.
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 20
 MAX_TASKS = 20_000
+#: Repeated payloads up to which their digests are sent to all tasks.
+BROADCAST_REPEATS = 200_000
+MANIFEST, UNFINISHED = "manifest.jsonl", "_unfinished"
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/"
 DATE = "2024-01-01T00:00:00Z"
@@ -56,15 +69,16 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(record_id: str, uri: str | None, payload: bytes, refers_to: str | None = None) -> bytes:
-    """One WARC record: a response with the payload, or a revisit of another record without it."""
+def record(record_id: str, uri: str | None, payload: bytes | None, digest: str, size: int, refers_to: str | None = None) -> bytes:
+    """One WARC record: a response with the payload, or a revisit of another record without it. Digest and size are those of
+    the payload in both."""
     line = (uri or "").replace("\r", "%0D").replace("\n", "%0A")
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{record_id}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {line}"]
     if refers_to is not None:
         head += [f"WARC-Refers-To: <{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
-    head += [f"WARC-Payload-Digest: sha1:{sha1_base32(payload)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    head += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -98,52 +112,72 @@ def record_id(page_id: int | None) -> str:
 
 
 def revisits(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """(id, uri, payload binary, refers_to): refers_to is the largest id of an equal payload of ``min_bytes`` or
-    more, null for that row itself. Equality is by SHA-256; tasks pre-aggregate, so no group meets in one place."""
+    """(id, uri, payload binary, refers_to, sha1 binary, size): refers_to is the largest id of an equal payload of
+    ``min_bytes`` or more, null for that row itself; the payload of a row that refers to another is null. Equality is by
+    SHA-256; tasks pre-aggregate, so no group meets in one place."""
     payload = F.coalesce(F.encode(F.col(payload_col).cast("string"), "utf-8"), F.lit(b""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(uri_col).cast("string").alias("uri"), payload.alias("payload"))
-    rows = rows.withColumn("key", F.unhex(F.sha2("payload", 256)))
-    last = rows.where(F.octet_length("payload") >= min_bytes).groupBy("key").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = rows.join(last.drop("n"), "key", "left")
-    return rows.select("id", "uri", "payload", F.when(F.col("last").isNotNull() & ~F.col("id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
+    rows = rows.select("*", F.unhex(F.sha2("payload", 256)).alias("key"), F.unhex(F.sha1("payload")).alias("sha1"), F.octet_length("payload").cast("bigint").alias("size"))
+    repeats = rows.where(F.col("size") >= min_bytes).groupBy("key").agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    repeats = cut(repeats, "warc-repeats")
+    refers = F.when(F.col("last").isNotNull() & ~F.col("id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to")
+    if repeats.count() <= BROADCAST_REPEATS:
+        found = rows.join(F.broadcast(repeats), "key", "left").select("id", "uri", "payload", refers, "sha1", "size")
+        return found.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
+    told = rows.drop("payload").join(repeats, "key", "left").select("key", "id", "uri", refers, "sha1", "size")
+    bodies = rows.groupBy("key").agg(F.any_value("payload").alias("payload"))
+    full = told.where("refers_to IS NULL").join(bodies, "key")
+    return full.unionByName(told.where("refers_to IS NOT NULL").withColumn("payload", F.lit(None).cast("binary"))).select("id", "uri", "payload", "refers_to", "sha1", "size")
 
 
 def write(rows: DataFrame, path: str) -> None:
-    """Write ``revisits``' rows as archives below ``path``, one file a task that has rows."""
+    """Write ``revisits``' rows as archives below ``path``, one file a task that has rows, and their manifest."""
+    run_name = uuid.uuid4().hex
 
     def run(batches):
         import pyspark
 
         fs, folder = pafs.FileSystem.from_uri(path)
-        part = pyspark.TaskContext.get()
-        name, out, n = f"part-{part.partitionId():06d}.warc.gz", None, 0
-        mine = f"{folder}/.{name}.{uuid.uuid4().hex}"
-        try:
-            for batch in batches:
-                for r in batch.to_pylist():
-                    if out is None:
-                        out = fs.open_output_stream(mine)
-                    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-                    refers = None if r["refers_to"] is None else record_id(r["refers_to"])
-                    out.write(packer.compress(record(record_id(r["id"]), r["uri"], r["payload"], refers)) + packer.flush())
-                    n += 1
-        finally:
-            if out is not None:
-                out.close()
+        name = f"part-{run_name}-{pyspark.TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
+        out, size, n = None, 0, 0
+        for batch in batches:
+            for r in batch.to_pylist():
+                if out is None:
+                    out = fs.open_output_stream(f"{folder}/{name}", compression=None)
+                packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+                refers = None if r["refers_to"] is None else record_id(r["refers_to"])
+                member = packer.compress(record(record_id(r["id"]), r["uri"], r["payload"], base64.b32encode(r["sha1"]).decode(), r["size"], refers)) + packer.flush()
+                out.write(member)
+                size, n = size + len(member), n + 1
         if out is not None:
-            fs.move(mine, f"{folder}/{name}")
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["file", "records"])
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size], pa.int64()), pa.array([n], pa.int64())], names=["file", "bytes", "records"])
 
     fs, folder = pafs.FileSystem.from_uri(path)
     fs.create_dir(folder, recursive=True)
-    rows.mapInArrow(run, "file string, records bigint").agg(F.sum("records")).collect()
+    fs.open_output_stream(f"{folder}/{UNFINISHED}").close()
+    # One row a task: the attempts that counted.
+    won = sorted((r.asDict() for r in rows.mapInArrow(run, "file string, bytes bigint, records bigint").collect()), key=lambda r: r["file"])
+    with fs.open_output_stream(f"{folder}/{MANIFEST}") as out:
+        out.write("".join(json.dumps(r) + "\n" for r in won).encode())
+    fs.delete_file(f"{folder}/{UNFINISHED}")
+    names = {r["file"] for r in won}
+    for f in fs.get_file_info(pafs.FileSelector(folder)):
+        if f.base_name.startswith(f"part-{run_name}-") and f.base_name not in names:
+            fs.delete_file(f.path)
 
 
 def archives(path: str) -> list[tuple[str, int]]:
-    """(file, bytes) of the archives below ``path``: the manifest, one entry a file."""
+    """(file, bytes) of the archives below ``path``: those of the manifest, or all of a folder that has none."""
     fs, folder = pafs.FileSystem.from_uri(path)
-    files = fs.get_file_info(pafs.FileSelector(folder, recursive=True))
-    return sorted((f.path, f.size) for f in files if f.is_file and f.size and f.base_name.endswith(".warc.gz") and not f.base_name.startswith("."))
+    files = [f for f in fs.get_file_info(pafs.FileSelector(folder, recursive=True)) if f.is_file]
+    names = {f.base_name for f in files}
+    if UNFINISHED in names and MANIFEST not in names:
+        raise ValueError(f"the archives of {path} have not been written to their end")
+    if MANIFEST in names:
+        with fs.open_input_stream(f"{folder}/{MANIFEST}") as told:
+            return [(f"{folder}/{r['file']}", r["bytes"]) for r in map(json.loads, told.read().decode().splitlines())]
+    return sorted((f.path, f.size) for f in files if f.size and f.base_name.endswith(".warc.gz") and not f.base_name.startswith("."))
 
 
 class Window:
