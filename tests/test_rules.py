@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import hashing, ids, values
-from tidemark.operators import capture, catalogue, events, ledger, lookups, stats
+from tidemark.operators import capture, catalogue, events, ledger, lookups, stats, trees
 from tidemark.scratch import cleared, cut, shared_path, written
 from tidemark.sources import families, records, windows
 from tidemark.streaming import streams
@@ -228,6 +228,72 @@ def test_placements_as_if_one_by_one(spark):
     assert (got[1].spot_id, got[1].started_at, got[1].type_state) == (4, start, "b") and (got[3].spot_id, got[3].type_state) == (9, "a")
 
 
+def placed_one_by_one(where, wish):
+    """Verdicts of (id, spot) in their order; ``where`` has the spots of open sessions and is kept up to date."""
+    holders, want = {}, []
+    for i, s in where.items():
+        holders.setdefault(s, set()).add(i)
+    for i, s in wish:
+        if i not in where:
+            want.append("NOT_OPEN")
+        elif holders.get(s, set()) - {i}:
+            want.append("SPOT_TAKEN")
+        else:
+            holders[where[i]].discard(i)
+            holders.setdefault(s, set()).add(i)
+            where[i] = s
+            want.append("PLACED")
+    return want
+
+
+def test_random_placements_one_by_one(spark):
+    for seed in range(4):
+        rs = random.Random(seed)
+        held = [(i, f"k{i}", i, rs.randrange(12) if seed == 3 else i, rs.random() < 0.9) for i in range(20)]
+        where = {i: f"harbor:{s}" for i, _, _, s, o in held if o}
+        wish = [(rs.randrange(22), rs.randrange(26)) for _ in range(120)]
+        rows = spark.createDataFrame([(i, "harbor", s, n) for n, (i, s) in enumerate(wish)], "id bigint, spot_pool string, spot_id int, ts int").repartition(3)
+        after, judged = ledger.place_sessions(sessions_of(spark, held), rows)
+        want = placed_one_by_one(where, [(i, f"harbor:{s}") for i, s in wish])
+        assert {r.ts: r.verdict for r in judged.collect()} == dict(enumerate(want))
+        assert {r.id: r.active_spot_key for r in after.collect() if r.ended_at is None} == where
+
+
+def rounds_of(monkeypatch, module, name):
+    """The tables of a name that a module writes from now on."""
+    seen, cut = [], module.cut
+    monkeypatch.setattr(module, "cut", lambda df, n: (seen.append(n) if n == name else None, cut(df, n))[1])
+    return seen
+
+
+def test_many_contenders_and_long_chains_of_placements_take_few_rounds(spark, monkeypatch):
+    """5,000 sessions want a spot that is free and 5,000 one that is held; 1,000 sessions each want the next one's spot, the
+    last of which moves to a free one, or not."""
+    n = 5000
+    held = [(i, f"k{i}", i, 10 + i, True) for i in range(2 * n + 2000)]
+    wish = [(i, 1) for i in range(n)] + [(i, 10 + 2 * n) for i in range(n, 2 * n)]
+    chain = [(2 * n + 999 - k, 10 + 2 * n + 1000 - k) for k in range(1000)]
+    wish += [(2 * n + 1000, 2), *chain, (2 * n + 1999, 10 + 2 * n + 1999), *[(2 * n + 1998 - k, 10 + 2 * n + 1999 - k) for k in range(990)]]
+    rows = spark.createDataFrame([(i, "harbor", s, k) for k, (i, s) in enumerate(wish)], "id bigint, spot_pool string, spot_id int, ts int")
+    rounds = rounds_of(monkeypatch, ledger, "placements-ready")
+    jumps = rounds_of(monkeypatch, trees, "tree")
+    judged = ledger.place_sessions(sessions_of(spark, held), rows)[1]
+    want = placed_one_by_one({i: f"harbor:{s}" for i, _, _, s, _ in held}, [(i, f"harbor:{s}") for i, s in wish])
+    assert {r.ts: r.verdict for r in judged.collect()} == dict(enumerate(want)) and min(want.count("PLACED"), want.count("SPOT_TAKEN")) > 900
+    assert len(rounds) <= 4 and len(rounds) + len(jumps) < 20
+
+
+def test_long_chains_of_admissions_take_few_rounds(spark, monkeypatch):
+    """Each request shares its character with the one before and its spot with the one after, or the other way round."""
+    asked = [(f"c{k}", 100 + (k + 1) // 2, f"harbor:{100 + k // 2}") for k in range(1000)] + [("hot", 5000 + k, None) for k in range(3000)]
+    rows = spark.createDataFrame([(k, c, s, n) for n, (k, c, s) in enumerate(asked)], "idempotency_key string, character_id int, spot_key string, ts bigint")
+    rounds = rounds_of(monkeypatch, ledger, "admission-first")
+    jumps = rounds_of(monkeypatch, trees, "tree")
+    found = {r.ts: r.verdict for r in ledger.session_admission(rows, sessions_of(spark, [])).collect()}
+    assert [found[k] for k in range(len(asked))] == one_by_one([], asked)
+    assert len(rounds) <= 2 and len(rounds) + len(jumps) < 20
+
+
 def test_registered_admissions_one_by_one(spark, sf):
     from tidemark.plans import rule_queries
 

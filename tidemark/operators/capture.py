@@ -7,7 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from typing import NamedTuple
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,7 +137,7 @@ def diff_entities(specs: Sequence[EntitySpec], snapshot: DataFrame, hashes: Call
             own = diff(hashes(spec), snapshot.where(F.col("entity") == spec.name)).select(F.lit(spec.name).alias("entity"), "pk", "op", "row_hash")
             own = cut(own, "entity-changes")
             found = own if found is None else found.unionByName(own)
-        except Exception as e:
+        except (PySparkException, Py4JError) as e:
             errors[spec.name] = str(e).splitlines()[0]
     return found, errors
 
@@ -222,14 +225,29 @@ def runtime_diff(current: DataFrame, previous: DataFrame) -> DataFrame:
     return both.withColumn("op", op).where("op IS NOT NULL").select("pk", "op", "row_hash")
 
 
-def runtime_tick(read: Callable[[], DataFrame], previous: DataFrame, order: str) -> tuple[DataFrame, DataFrame, bool]:
-    """(current hashes, changes, degraded) of a population (pk, payload, state_stamp and ``order``) that ``read`` gives.
-    If it can't be read, in planning or in a task, the previous state is kept, nothing has changed and the tick is degraded."""
+class Tick(NamedTuple):
+    current: DataFrame
+    changes: DataFrame
+    #: (pk, error) of rows that couldn't be hashed; they count as having left.
+    rejects: DataFrame
+    #: Why the population couldn't be read; the tick is degraded then.
+    error: str | None
+
+
+def runtime_tick(read: Callable[[], DataFrame], previous: DataFrame, order: str, row_error: Column | None = None) -> Tick:
+    """A tick of a population (pk, payload, state_stamp and ``order``) that ``read`` gives. If it can't be read, in planning
+    or in a task, the previous state is kept and nothing has changed.
+
+    ``row_error`` tells of a row what is wrong with it, null for a sound one: such a row goes to the rejects and is
+    forgotten, the others are judged.
+    """
     try:
-        current = cut(population_hashes(skip_bad_rows(read(), order)), "population")
-    except Exception:
-        return previous, runtime_diff(previous, previous), True
-    return current, cut(runtime_diff(current, previous), "population-changes"), False
+        rows = cut(skip_bad_rows(read(), order).withColumn("__error", F.lit(None).cast("string") if row_error is None else row_error.cast("string")), "population-rows")
+    except (PySparkException, Py4JError, OSError) as e:
+        none = previous.select("pk", F.lit("").alias("error")).limit(0)
+        return Tick(previous, runtime_diff(previous, previous), none, str(e).splitlines()[0])
+    current = cut(population_hashes(rows.where("__error IS NULL")), "population")
+    return Tick(current, cut(runtime_diff(current, previous), "population-changes"), rows.where("__error IS NOT NULL").select("pk", F.col("__error").alias("error")), None)
 
 
 def runtime_advance(previous: DataFrame, current: DataFrame, changes: DataFrame, acks: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.apply import latest
 from tidemark.operators.trees import shortest_origins
+from tidemark.scratch import cut
 from tidemark.sources.records import decode_envelope, route_by_type
 
 
@@ -86,10 +87,41 @@ def effect_details(characters: DataFrame, skill_levels: DataFrame) -> DataFrame:
     return each.join(skill_levels, ["skill_id", "skill_level", "enchant"], "left")
 
 
+#: Rows of the largest board up to which a board is ordered by one task.
+BOARD_ROWS = 1_000_000
+
+
 def rating_rank(ratings: DataFrame, by: Sequence[str] = ("rating_type", "season"), points: str = "points", key: str = "char_id") -> DataFrame:
-    """Ratings with ``rank`` and ``position``: more points first, ties by key; a null season is the seasonless one."""
-    order = Window.partitionBy(*by).orderBy(F.desc(points), key)
-    return ratings.withColumn("position", F.row_number().over(order)).withColumn("rank", F.min("position").over(Window.partitionBy(*by, points)))
+    """Ratings with ``rank`` and ``position``: more points first, ties by key; a null season is the seasonless one. Boards of
+    more than BOARD_ROWS rows are ordered in ranges by many tasks."""
+    largest = ratings.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= BOARD_ROWS:
+        order = Window.partitionBy(*by).orderBy(F.desc(points), key)
+        return ratings.withColumn("position", F.row_number().over(order)).withColumn("rank", F.min("position").over(Window.partitionBy(*by, points)))
+    placed = positions(ratings, by, [F.desc(points), F.asc(key)])
+    same = [*by, points]
+    firsts = placed.groupBy(*same).agg(F.min("position").alias("rank")).toDF(*[f"__{c}" for c in same], "rank")
+    match = F.lit(True)
+    for c in same:
+        match &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return placed.join(firsts, match).select(*placed.columns, "rank")
+
+
+def positions(rows: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows with ``position``, from 1, in the order of their group. Groups are dealt out by ranges of the order and counted
+    by range, so a task orders its share of a group, and one group may hold all rows; ties are dealt out by a number of
+    their own."""
+    spread = rows.repartitionByRange(*[F.col(c) for c in by], *order, F.monotonically_increasing_id())
+    spread = cut(spread.withColumn("__part", F.spark_partition_id()), "positions")
+    held = spread.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias("__held"))
+    before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__part").alias("__of"), F.coalesce(F.sum("__held").over(before), F.lit(0)).alias("__start"))
+    match = F.col("__part") == F.col("__of")
+    for c in by:
+        match &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    inside = F.row_number().over(Window.partitionBy(*by, "__part").orderBy(*order))
+    placed = spread.withColumn("__inside", inside).join(starts, match)
+    return placed.select(*rows.columns, (F.col("__start") + F.col("__inside")).alias("position"))
 
 
 def leaderboard(ratings: DataFrame, n: int, by: Sequence[str] = ("rating_type", "season"), points: str = "points", key: str = "char_id") -> DataFrame:

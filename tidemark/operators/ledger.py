@@ -6,7 +6,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.scratch import cut
+from tidemark.operators.trees import rooted
+from tidemark.scratch import cut, shared_path
 
 RECEIPTS = (
     "correlation_id string, command string, buyer_char_id int, seller_char_id int, status string, charged_adena bigint, mail_id int, "
@@ -199,38 +200,51 @@ def session_admission(requests: DataFrame, sessions: DataFrame) -> DataFrame:
     SPOT_TAKEN if an open session or a request admitted before has the character or spot; else ADMITTED. A request
     that isn't admitted takes nothing. Null spots are free.
 
-    Rounds: undecided requests that come first for their key, character and spot are admitted, and those that
-    meet them are decided with them. There are as many rounds as the longest chain of requests that wait for each other.
+    Rounds: requests that come first for their key, character and spot are admitted, and all that meet them are decided
+    with them. A request that only one undecided request comes before is admitted if that one isn't, so chains of such
+    requests are followed to their heads by pointer jumping and are decided in the round of the head.
     """
     names = ("idempotency_key", "character_id", "spot_key")
-    n = F.row_number().over(Window.partitionBy(*names).orderBy("ts"))
+    n = F.row_number().over(Window.partitionBy(*names, "ts").orderBy("ts"))
     rows = requests.select("*", F.struct("ts", *names, n.alias("n")).alias("__o"))
     rows = cut(rows, "admission")
+    spark = rows.sparkSession
     active = sessions.where("ended_at IS NULL")
     held = {"idempotency_key": sessions.select("idempotency_key"), "character_id": active.select(F.col("active_character_id").alias("character_id")), "spot_key": active.select(F.col("active_spot_key").alias("spot_key"))}
     undecided = rows.select(*names, "__o")
     for c, known in held.items():
         undecided = undecided.join(known.where(F.col(c).isNotNull()).distinct(), c, "left_anti")
-    undecided, admitted = cut(undecided, "admission-undecided"), None
+    undecided, admissions = cut(undecided, "admission-undecided"), shared_path(spark, "admitted")
+    undecided.limit(0).write.parquet(admissions)
     while not undecided.isEmpty():
-        first = undecided
+        ranked = undecided
         for c in names:
-            least = undecided.where(F.col(c).isNotNull()).groupBy(c).agg(F.min("__o").alias("__least"))
-            first = first.join(least, c, "left").where(F.col(c).isNull() | (F.col("__least") == F.col("__o"))).drop("__least")
-        first = cut(first.select(*names, "__o"), "admission-first")
-        admitted = first if admitted is None else admitted.unionByName(first)
+            ranked = ranked.join(_first_two(undecided.where(F.col(c).isNotNull()), c, f"__{c}"), c, "left")
+        # Who comes before a request for each of the three: nobody, one request, or several.
+        ahead = [F.when(F.col(f"__{c}.first") < F.col("__o"), F.col(f"__{c}.first")) for c in names]
+        several = F.lit(False)
+        for c in names:
+            several |= F.coalesce(F.col(f"__{c}.second") < F.col("__o"), F.lit(False))
+        one, other = F.least(*ahead), F.greatest(*ahead)
+        ranked = cut(ranked.select(*names, "__o", one.alias("q"), (several | (one != other)).alias("several")), "admission-ranked")
+        first = ranked.where("q IS NULL").select(*names, "__o")
+        links = ranked.where("q IS NOT NULL AND NOT several").select("__o", "q")
+        if not links.isEmpty():
+            heads = ranked.select("__o").join(links.select("__o"), "__o", "left_anti").select("__o", F.lit(None).cast(links.schema["q"].dataType).alias("q"))
+            found, _ = rooted(links.unionByName(heads), "__o", "q")
+            chained = found.where("depth > 0 AND depth % 2 = 0").join(first.select(F.col("__o").alias("root")), "root", "left_semi")
+            first = first.unionByName(ranked.select(*names, "__o").join(chained.select("__o"), "__o", "left_semi"))
+        first = cut(first, "admission-first")
+        first.write.mode("append").parquet(admissions)
         for c in names:
             undecided = undecided.join(first.where(F.col(c).isNotNull()).select(c).distinct(), c, "left_anti")
         # What is admitted meets itself by its key at least, unless it has none of the three.
         undecided = cut(undecided.join(first.select("__o"), "__o", "left_anti").select(*names, "__o"), "admission-undecided")
+    admitted = spark.read.schema(undecided.schema).parquet(admissions)
     out = rows
     for c, known in held.items():
         own = known.where(F.col(c).isNotNull()).distinct().withColumn(f"__held_{c}", F.lit(True))
-        out = out.join(own, c, "left")
-        if admitted is not None:
-            out = out.join(admitted.where(F.col(c).isNotNull()).select(c, F.col("__o").alias(f"__by_{c}")), c, "left")
-        else:
-            out = out.withColumn(f"__by_{c}", F.lit(None).cast(rows.schema["__o"].dataType))
+        out = out.join(own, c, "left").join(admitted.where(F.col(c).isNotNull()).select(c, F.col("__o").alias(f"__by_{c}")), c, "left")
     meets = lambda c: F.coalesce(F.col(f"__held_{c}"), F.lit(False)) | F.coalesce(F.col(f"__by_{c}") < F.col("__o"), F.lit(False))
     verdict = F.when(meets("idempotency_key"), "DUPLICATE").when(meets("character_id"), "CHARACTER_ACTIVE").when(meets("spot_key"), "SPOT_TAKEN").otherwise("ADMITTED")
     return out.select(*requests.columns, verdict.alias("verdict"))
@@ -254,38 +268,72 @@ def close_sessions(sessions: DataFrame, closes: DataFrame) -> DataFrame:
     return both.select(*[new.get(c, F.col(c)).alias(c) for c in sessions.columns])
 
 
+def _first_two(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """(by, name): the first and the second ``__o`` of each group, aggregated in each task before they are shuffled."""
+    first = rows.groupBy(by).agg(F.min("__o").alias("__first"))
+    second = rows.join(first, by).where(F.col("__o") > F.col("__first")).groupBy(by).agg(F.min("__o").alias("__second"))
+    return first.join(second, by, "left").select(by, F.struct(F.col("__first").alias("first"), F.col("__second").alias("second")).alias(name))
+
+
+def _placeable(waiting: DataFrame, spots: DataFrame) -> DataFrame:
+    """(id, want, __o, verdict) of the waiting placements that ``spots``, the sessions and what they hold, decide."""
+    by_id = waiting.groupBy("id").agg(F.min("__o").alias("o_id"))
+    by_spot = waiting.groupBy("want").agg(F.min("__o").alias("o_spot"))
+    leaves = waiting.join(spots, "id").where("want <> spot").select("id", "__o")
+    holders = spots.where("spot IS NOT NULL").join(_first_two(leaves, "id", "leave"), "id", "left")
+    holders = holders.join(by_spot.select(F.col("want").alias("spot")), "spot", "left_semi").select(F.col("spot").alias("want"), F.col("id").alias("holder"), F.col("leave.first").alias("leave"), F.col("leave.second").alias("leave2"))
+    met = waiting.join(holders, "want", "left")
+    stays = F.coalesce(F.col("leave") > F.col("__o"), F.col("holder").isNotNull())
+    own = F.col("holder") == F.col("id")
+    # A spot that sessions share by mistake is held until the last of them has left.
+    met = met.groupBy("id", "want", "__o").agg(
+        F.coalesce(F.bool_or(stays & ~own), F.lit(False)).alias("held"),
+        F.coalesce(F.bool_or(own & (F.col("leave").isNull() | (F.col("leave") >= F.col("__o")))), F.lit(False)).alias("mine"),
+        F.count_if(F.col("holder").isNotNull() & ~own).alias("others"),
+        F.min(F.when(~own & (F.col("leave") < F.col("__o")) & (F.col("leave2").isNull() | (F.col("leave2") > F.col("__o"))), F.col("leave"))).alias("q"),
+    )
+    met = met.join(by_id, "id").join(by_spot, "want")
+    next_ = (F.col("o_id") == F.col("__o")) & (F.col("o_spot") == F.col("__o"))
+    verdict = F.when(F.col("held"), "SPOT_TAKEN").when((F.col("others") == 0) & (F.col("mine") | next_), "PLACED")
+    met = met.select("id", "want", "__o", verdict.alias("verdict"), F.when(verdict.isNull() & next_ & (F.col("others") == 1), F.col("q")).alias("q"))
+    met = cut(met, "placements-met")
+    ready = met.where("verdict IS NOT NULL").select("id", "want", "__o", "verdict")
+    if not met.where("q IS NOT NULL").isEmpty():
+        found, _ = rooted(met.select("__o", "q"), "__o", "q")
+        chained = found.where("depth > 0").join(ready.select(F.col("__o").alias("root"), "verdict"), "root").select("__o", "verdict")
+        ready = ready.unionByName(met.select("id", "want", "__o").join(chained, "__o"))
+    return cut(ready.select("id", "want", "__o", "verdict"), "placements-ready")
+
+
 def place_sessions(sessions: DataFrame, placements: DataFrame, order: str = "ts") -> tuple[DataFrame, DataFrame]:
     """(sessions, placements with ``verdict``) for placements (id, spot_pool, spot_id, optionally started_at and
     type_state), as if made one by one in the ``order`` given: NOT_OPEN if the session isn't open, SPOT_TAKEN if another
     open session holds the spot by then, else PLACED. A session that moves frees its spot for later placements. Only spot
     and spot key change, and start and type state where they are given.
 
-    Rounds: a placement is decided once no earlier one of its session, of its spot, or of the spot's holder is open.
+    Rounds: a placement is SPOT_TAKEN as soon as another session is sure to hold the spot until after it, whatever else
+    waits for the spot, so all contenders of a held spot are settled together. The first contender of a spot that its
+    holder leaves if one other placement succeeds has that one's verdict; such chains are followed to their heads by
+    pointer jumping. A session moves at most once a round, so a session with many moves takes that many rounds.
     """
     extra = [c for c in ("started_at", "type_state") if c in placements.columns]
     key = F.concat_ws(":", "spot_pool", F.col("spot_id").cast("string"))
     open_ = sessions.where("ended_at IS NULL").select("id", F.col("active_spot_key").alias("spot"))
     tries = placements.select("id", "spot_id", key.alias("want"), *extra, F.struct(order, "id", key.alias("k"), F.row_number().over(Window.partitionBy("id", order, key).orderBy("id")).alias("n")).alias("__o"))
     tries = cut(tries, "placements")
-    waiting = tries.select("id", "want", "__o").join(open_.select("id"), "id", "left_semi")
-    waiting, done = cut(waiting, "placements-open"), None
+    spark = tries.sparkSession
+    waiting = cut(tries.select("id", "want", "__o").join(open_.select("id"), "id", "left_semi"), "placements-open")
+    decided = shared_path(spark, "placements-decided")
+    waiting.limit(0).withColumn("verdict", F.lit("")).write.parquet(decided)
     spots = cut(open_.join(waiting.select("id").distinct().unionByName(open_.join(waiting.select(F.col("want").alias("spot")).distinct(), "spot", "left_semi").select("id")).distinct(), "id", "left_semi"), "spots")
     while not waiting.isEmpty():
-        by_id = waiting.groupBy("id").agg(F.min("__o").alias("o_id"))
-        by_spot = waiting.groupBy("want").agg(F.min("__o").alias("o_spot"))
-        holder = spots.where("spot IS NOT NULL").select(F.col("spot").alias("want"), F.col("id").alias("holder")).join(by_id.select(F.col("id").alias("holder"), F.col("o_id").alias("o_holder")), "holder", "left")
-        ready = waiting.join(by_id, "id").join(by_spot, "want").join(holder, "want", "left")
-        ready = ready.where((F.col("o_id") == F.col("__o")) & (F.col("o_spot") == F.col("__o")) & (F.col("o_holder").isNull() | (F.col("o_holder") >= F.col("__o"))))
-        taken = F.col("holder").isNotNull() & (F.col("holder") != F.col("id"))
-        ready = cut(ready.select("id", "want", "__o", F.when(taken, "SPOT_TAKEN").otherwise("PLACED").alias("verdict")), "placements-ready")
-        done = ready if done is None else done.unionByName(ready)
-        now = ready.where("verdict = 'PLACED'").select("id", F.col("want").alias("now"))
+        ready = _placeable(waiting, spots)
+        ready.write.mode("append").parquet(decided)
+        now = ready.where("verdict = 'PLACED'").groupBy("id").agg(F.max_by("want", "__o").alias("now"))
         spots = cut(spots.join(now, "id", "left").select("id", F.coalesce("now", "spot").alias("spot")), "spots")
         waiting = cut(waiting.join(ready.select("__o"), "__o", "left_anti").select("id", "want", "__o"), "placements-open")
-    if done is None:
-        judged = tries.withColumn("verdict", F.lit("NOT_OPEN"))
-    else:
-        judged = tries.join(done.select("__o", "verdict"), "__o", "left").withColumn("verdict", F.coalesce("verdict", F.lit("NOT_OPEN")))
+    done = spark.read.schema(waiting.withColumn("verdict", F.lit("")).schema).parquet(decided)
+    judged = tries.join(done.select("__o", "verdict"), "__o", "left").withColumn("verdict", F.coalesce("verdict", F.lit("NOT_OPEN")))
     placed = judged.where("verdict = 'PLACED'").groupBy(F.col("id").alias("__id")).agg(F.max_by(F.struct("spot_id", "want"), "__o").alias("__p"), *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__o"))).alias(f"__{c}") for c in extra])
     both = sessions.join(placed, F.col("id") == F.col("__id"), "left")
     new = {"spot_id": F.coalesce("__p.spot_id", "spot_id").cast("int"), "active_spot_key": F.coalesce("__p.want", "active_spot_key")} | {c: F.coalesce(f"__{c}", c) for c in extra}

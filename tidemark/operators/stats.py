@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 def entity_stats(cycles: DataFrame) -> DataFrame:
     """The latest cycle of each entity with ``consecutive_errors``: the length of its current DEGRADED run."""
-    by = Window.partitionBy("entity")
-    healthy = F.max(F.when(F.col("state") != "DEGRADED", F.col("cycle"))).over(by)
-    marked = cycles.withColumn("__healthy", healthy).withColumn("__last", F.max("cycle").over(by))
-    run = F.count_if(F.col("__healthy").isNull() | (F.col("cycle") > F.col("__healthy"))).over(by)
-    return marked.withColumn("consecutive_errors", run).where(F.col("cycle") == F.col("__last")).drop("__healthy", "__last")
+    ends = cycles.groupBy(F.col("entity").alias("__entity")).agg(F.max("cycle").alias("__last"), F.max(F.when(F.col("state") != "DEGRADED", F.col("cycle"))).alias("__healthy"))
+    own = F.col("entity").eqNullSafe(F.col("__entity"))
+    failing = cycles.join(ends, own).where(F.col("__healthy").isNull() | (F.col("cycle") > F.col("__healthy")))
+    runs = failing.groupBy(F.col("entity").alias("__e")).agg(F.count(F.lit(1)).alias("__run"))
+    ends = ends.join(runs, F.col("__entity").eqNullSafe(F.col("__e")), "left").select("__entity", "__last", F.coalesce("__run", F.lit(0)).alias("consecutive_errors"))
+    return cycles.join(ends, own & (F.col("cycle") == F.col("__last"))).select(*cycles.columns, "consecutive_errors")
 
 
 def module_state(enabled: Column, replies_topic: Column, errors: Column) -> Column:

@@ -15,6 +15,7 @@ from tidemark.operators.capture import ChildSpec, EntitySpec, ParentSpec
 from tidemark.plans.book import query, table
 from tidemark.scratch import cut, shared_path
 from tidemark.sources import snapshots, windows
+from tidemark.sources.snapshot_log import SnapshotLog
 
 GHOST = 10_000_000
 HASHED = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
@@ -178,6 +179,23 @@ def capture_entities(spark, sf_dir):
     return found.select("entity", "pk", "op")
 
 
+@query(f"WITH {CHANGES} SELECT pk, op FROM changes WHERE pk % 5 = 0")
+def snapshot_log(spark, sf_dir):
+    """A base, a delta of most changes, one that takes a part of them back and one that makes it again: what is left to
+    change are the keys that were never acknowledged."""
+    current, old = hashes(spark, sf_dir)
+    named = lambda df: df.withColumn("entity", F.lit("order"))
+    log = SnapshotLog(spark, shared_path(spark, "snapshot-log"), buckets=8)
+    log.write_base(named(old), 1)
+    changes = cut(named(capture.diff(current, old)), "changes")
+    acked = changes.where("pk % 5 <> 0")
+    log.write_delta(acked, 2)
+    log.write_delta(acked.where("pk % 3 = 0").withColumn("op", F.lit("DELETED")), 3)
+    log.write_delta(acked.where("pk % 3 = 0"), 4)
+    log.compact(3)
+    return capture.diff(current, log.load(check=True).select("pk", "row_hash")).select("pk", "op")
+
+
 @query("SELECT 'order' AS entity, count(*) AS n, 0 AS changes FROM orders")
 def snapshot_store(spark, sf_dir):
     """A snapshot saved, loaded again and compared with what it was made of."""
@@ -200,10 +218,14 @@ def key_windows(spark, sf_dir):
     return windows.plan_windows(windows.pk_envelope(orders, old, "o_orderkey", "o_orderkey"), 500_000)
 
 
-@query("SELECT o_orderkey // 1000 AS window_no, count(*) AS n FROM orders GROUP BY 1")
+@query("""WITH w AS (SELECT window_no, lo, least(hi, lo + CASE WHEN window_no % 3 = 1 THEN 399 WHEN window_no % 7 = 6 THEN 0 ELSE 999 END) AS hi FROM (SELECT i AS window_no, l + i * 1000 AS lo, least(l + i * 1000 + 999, h - 50) AS hi FROM (SELECT min(o_orderkey) AS l, max(o_orderkey) AS h FROM orders), range((SELECT (max(o_orderkey) - min(o_orderkey)) // 1000 + 1 FROM orders)) t(i)) WHERE window_no % 5 <> 4)
+SELECT window_no, count(o_orderkey) AS n FROM w LEFT JOIN orders ON o_orderkey BETWEEN lo AND hi GROUP BY 1""")
 def window_rows(spark, sf_dir):
+    """Windows of a thousand keys, of four hundred and of a single key, with gaps, and keys beyond the last one."""
     orders = table(spark, sf_dir, "orders")
     plan = windows.plan_windows(orders.agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi")), 1000)
+    no, end = F.col("window_no"), orders.agg(F.max("o_orderkey").alias("end"))
+    plan = plan.where(no % 5 != 4).join(F.broadcast(end)).withColumn("hi", F.least("hi", F.col("end") - 50, F.col("lo") + F.when(no % 3 == 1, 399).when(no % 7 == 6, 0).otherwise(999)))
     return windows.window_row_counts(orders, plan, "o_orderkey")
 
 
@@ -435,8 +457,16 @@ def runtime_unreadable(spark, sf_dir):
     """A tick whose population fails in its tasks: the previous state is kept and nothing is sent."""
     old = cut(populations(spark, sf_dir)[0], "population")
     broken = table(spark, sf_dir, "events").select(F.col("user_id").alias("pk"), F.struct("value").alias("payload"), F.raise_error(F.lit("unreadable")).cast("bigint").alias("state_stamp"), "event_id")
-    current, changes, degraded = capture.runtime_tick(lambda: broken, old, "event_id")
-    return capture.runtime_result(current, changes, changes.select("pk", F.lit("ok").alias("status")), degraded)
+    tick = capture.runtime_tick(lambda: broken, old, "event_id")
+    return capture.runtime_result(tick.current, tick.changes, tick.changes.select("pk", F.lit("ok").alias("status")), tick.error is not None)
+
+
+@query("SELECT user_id AS pk, CASE WHEN e % 11 = 0 THEN 'odd event' ELSE 'CREATED' END AS told FROM (SELECT user_id, max(event_id) AS e FROM events GROUP BY 1)")
+def runtime_rejects(spark, sf_dir):
+    """A first tick in which some rows can't be hashed: they are rejected, all others are there."""
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("pk"), F.struct("value").alias("payload"), F.lit(0).cast("bigint").alias("state_stamp"), "event_id")
+    tick = capture.runtime_tick(lambda: rows, spark.createDataFrame([], "pk bigint, row_hash bigint"), "event_id", F.when(F.col("event_id") % 11 == 0, "odd event"))
+    return tick.changes.select("pk", F.col("op").alias("told")).unionByName(tick.rejects.withColumnRenamed("error", "told"))
 
 
 @query("SELECT 'customer' AS entity, count(*) AS n FROM customer")

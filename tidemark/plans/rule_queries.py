@@ -432,9 +432,16 @@ def admissions_asked(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(k, key.alias("idempotency_key"), (F.col("o_custkey") % 300).cast("int").alias("character_id"), spot.alias("spot_key"), k.alias("ts"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {SESSIONS}, a AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN 'k' || (o_orderkey // 10) ELSE 'n' || (o_orderkey - o_orderkey % 3) END AS key, o_custkey % 300 AS ch, CASE WHEN o_orderkey % 4 > 0 THEN 'p:' || (o_orderkey % 700) END AS spot FROM orders),
+h AS (SELECT *, key IN (SELECT 'k' || id FROM sessions) AS dup, ch IN (SELECT character_id FROM sessions WHERE ended_at IS NULL) AS act, coalesce(spot IN (SELECT 'p:' || (id % 5000) FROM sessions WHERE ended_at IS NULL), false) AS taken FROM a),
+r AS (SELECT *, CASE WHEN dup OR act OR taken THEN 0 END AS won, 0 AS round FROM h UNION ALL
+SELECT k, key, ch, spot, dup, act, taken, CASE WHEN won IS NOT NULL THEN won WHEN by_key OR by_ch OR (spot IS NOT NULL AND by_spot) THEN 0 WHEN k = first_key AND k = first_ch AND (spot IS NULL OR k = first_spot) THEN 1 END, round + 1
+FROM (SELECT *, count(*) FILTER (won IS NULL) OVER () AS left_over, coalesce(max(won) OVER y, 0) = 1 AS by_key, coalesce(max(won) OVER c, 0) = 1 AS by_ch, coalesce(max(won) OVER s, 0) = 1 AS by_spot,
+min(k) FILTER (won IS NULL) OVER y AS first_key, min(k) FILTER (won IS NULL) OVER c AS first_ch, min(k) FILTER (won IS NULL) OVER s AS first_spot FROM r WINDOW y AS (PARTITION BY key), c AS (PARTITION BY ch), s AS (PARTITION BY spot)) WHERE left_over > 0),
+d AS (SELECT *, min(k) FILTER (won = 1) OVER (PARTITION BY key) AS wk, min(k) FILTER (won = 1) OVER (PARTITION BY ch) AS wc, min(k) FILTER (won = 1) OVER (PARTITION BY spot) AS ws FROM r WHERE round = (SELECT max(round) FROM r))
+SELECT k, CASE WHEN dup OR coalesce(wk < k, false) THEN 'DUPLICATE' WHEN act OR coalesce(wc < k, false) THEN 'CHARACTER_ACTIVE' WHEN taken OR coalesce(spot IS NOT NULL AND ws < k, false) THEN 'SPOT_TAKEN' ELSE 'ADMITTED' END AS verdict FROM d""")
 def session_admissions(spark, sf_dir):
-    """Orders as requests, three of a key, many of a character and of a spot; a test inserts them one by one."""
+    """Orders as requests, three of a key, many of a character and of a spot."""
     return ledger.session_admission(admissions_asked(spark, sf_dir), sessions_of(spark, sf_dir)).select(F.col("o_orderkey").alias("k"), "verdict")
 
 

@@ -5,31 +5,34 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import ids
-from tidemark.operators import capture
 from tidemark.plans.book import query, table
 from tidemark.plans.event_queries import ESCALATED
 from tidemark.scratch import cut, shared_path
-from tidemark.streaming import streams
+from tidemark.sources.snapshot_log import SnapshotLog
+from tidemark.streaming import acknowledged, streams
 
 
-BATCHES = 4
+#: Micro-batches of a staged table, and rows of a micro-batch for each of its files.
+BATCHES, FILE_ROWS = 4, 100_000
 
 
 def staged(df, name, time="ts"):
-    """A stream over a table written to the shared folder in the order of ``time``: a file of each quarter of the span,
-    one after another, read one at a time, so state lives through several micro-batches."""
+    """A stream over a table written to the shared folder in the order of ``time``: each quarter of the span is written
+    after the one before and read at once, in as many files as its rows ask for, so state lives through several
+    micro-batches and no quarter goes through one task."""
     spark, path = df.sparkSession, shared_path(df.sparkSession, name)
     rows = cut(df, name + "-rows")
-    span = rows.agg(F.unix_micros(F.min(time)).alias("lo"), (F.unix_micros(F.max(time)) - F.unix_micros(F.min(time)) + 1).alias("span")).first()
+    span = rows.agg(F.unix_micros(F.min(time)).alias("lo"), (F.unix_micros(F.max(time)) - F.unix_micros(F.min(time)) + 1).alias("span"), F.count(F.lit(1)).alias("n")).first()
     part = F.floor((F.unix_micros(F.col(time)) - F.lit(span.lo)) * BATCHES / F.lit(span.span))
+    files = span.n // (BATCHES * FILE_ROWS) + 1
     for k in range(BATCHES):
-        rows.where(part == k).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.where(part == k).repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def run(stream, name):
+def run(stream, name, **settings):
     spark = stream.sparkSession
-    return streams.run_to_table(stream, shared_path(spark, name), shared_path(spark, f"{name}-checkpoint"))
+    return streams.run_to_table(stream, shared_path(spark, name), shared_path(spark, f"{name}-checkpoint"), **settings)
 
 
 @query("SELECT event_id, user_id FROM events")
@@ -69,13 +72,14 @@ def stream_escalations(spark, sf_dir):
     return found.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@query("SELECT c.event_id, r.ts AS reply_ts FROM events c LEFT JOIN events r ON r.event_id = c.event_id + 1 AND r.event_type = 'view' AND r.ts BETWEEN c.ts AND c.ts + INTERVAL 5 MINUTE WHERE c.event_type = 'click' AND (r.ts IS NOT NULL OR c.ts < (SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'view')) FROM events) - INTERVAL 1 DAY)")
+@query("SELECT c.event_id, r.ts AS reply_ts FROM events c LEFT JOIN events r ON r.event_id = c.event_id + 1 AND r.event_type = 'view' AND r.event_id % 7 <> 0 AND r.ts BETWEEN c.ts AND c.ts + INTERVAL 5 MINUTE WHERE c.event_type = 'click' AND (r.ts IS NOT NULL OR c.ts < (SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'view')) FROM events) - INTERVAL 1 DAY)")
 def stream_timeouts(spark, sf_dir):
-    """Clicks as commands of a stream, a view right after one as its reply; without one in five minutes they time out.
+    """Clicks as commands of a stream, a view right after one as its reply, but for some of another type; without one in
+    five minutes they time out.
     Of the last day, which later watermarks would settle, only what has its reply is compared."""
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    commands = staged(e.where("event_type = 'click'").select("event_id", F.col("event_id").alias("correlation_id"), "ts"), "stream-commands")
-    replies = staged(e.where("event_type = 'view'").select((F.col("event_id") - 1).alias("correlation_id"), F.col("ts").alias("reply_ts"), F.lit("ok").alias("status")), "stream-replies", "reply_ts")
+    commands = staged(e.where("event_type = 'click'").select("event_id", F.col("event_id").alias("correlation_id"), F.lit("ClickCommand").alias("msg_type"), "ts"), "stream-commands")
+    replies = staged(e.where("event_type = 'view'").select((F.col("event_id") - 1).alias("correlation_id"), F.col("ts").alias("reply_ts"), F.when(F.col("event_id") % 7 == 0, "OtherResult").otherwise("ClickResult").alias("msg_type"), F.lit("ok").alias("status")), "stream-replies", "reply_ts")
     found = run(streams.command_timeouts(commands, replies), "stream-timeouts")
     ends = e.agg(F.least(F.max(F.when(F.col("event_type") == "click", F.col("ts"))), F.max(F.when(F.col("event_type") == "view", F.col("ts")))).alias("last"))
     settled = found.join(F.broadcast(ends)).where(F.col("reply_ts").isNotNull() | (F.col("ts") < F.col("last") - F.expr("INTERVAL 1 DAY")))  # one row
@@ -84,14 +88,42 @@ def stream_timeouts(spark, sf_dir):
 
 @query("SELECT user_id AS pk, max(event_id) AS last_event FROM events GROUP BY 1")
 def stream_capture(spark, sf_dir):
-    """Micro-batches of new rows, each a capture cycle that advances the snapshot: at the end it holds every key once."""
+    """Micro-batches of new rows, each a capture cycle whose snapshot is a version of a log: at the end it holds every key
+    once."""
     e = table(spark, sf_dir, "events").select(F.col("user_id").alias("pk"), "event_id", F.col("ts").cast("timestamp").alias("ts"))
-    held = {"snapshot": spark.createDataFrame([], "pk bigint, row_hash bigint")}
-
-    def cycle(batch, _):
-        current = batch.groupBy("pk").agg(F.max("event_id").alias("row_hash"))
-        changes = cut(capture.diff_targeted(current, held["snapshot"], current), "changes")
-        held["snapshot"] = cut(capture.advance(held["snapshot"], changes, changes.select("pk", F.lit("ok").alias("status"))), "snapshot")
-
-    streams.stream_capture(staged(e, "stream-in"), cycle, shared_path(spark, "capture-checkpoint"), None).awaitTermination()
-    return held["snapshot"].select("pk", F.col("row_hash").alias("last_event"))
+    log = SnapshotLog(spark, shared_path(spark, "capture-log"), buckets=8)
+    latest = lambda batch: batch.groupBy("pk").agg(F.max("event_id").alias("row_hash"))
+    streams.capture_into(staged(e, "stream-in"), latest, "user", log, shared_path(spark, "capture-events"), shared_path(spark, "capture-checkpoint"), None, compact_every=2).awaitTermination()
+    return log.load().select("pk", F.col("row_hash").alias("last_event"))
+
+
+DAYS = """d AS (SELECT user_id AS pk, dayofmonth(ts) AS tick, max_by(event_type, event_id) AS h, max(ts) AS ts FROM events GROUP BY 1, 2),
+n AS (SELECT *, (pk + tick) % 4 <> 0 AND coalesce(ts + CASE WHEN (pk + tick) % 7 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 1 SECOND END < lead(ts) OVER w, true) AS ok, tick - row_number() OVER w AS run FROM d WINDOW w AS (PARTITION BY pk ORDER BY tick))"""
+
+
+def days_with_acks(spark, sf_dir):
+    """A user's days as (key, kind, seq, row_hash, status, ts), and their acknowledgements: one in four fails, one in seven
+    comes three days later."""
+    days = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("key"), F.dayofmonth("ts").cast("bigint").alias("seq")).agg(F.xxhash64(F.max_by("event_type", "event_id")).alias("row_hash"), F.max(F.col("ts").cast("timestamp")).alias("ts"))
+    n = F.col("key") + F.col("seq")
+    acks = days.select("key", F.lit("ack").alias("kind"), "seq", F.lit(None).cast("bigint").alias("row_hash"), F.when(n % 4 == 0, "failed").otherwise("ok").alias("status"), F.when(n % 7 == 0, F.col("ts") + F.expr("INTERVAL 3 DAY")).otherwise(F.col("ts") + F.expr("INTERVAL 1 SECOND")).alias("ts"))
+    return days.select("key", F.lit("row").alias("kind"), "seq", "row_hash", F.lit(None).cast("string").alias("status"), "ts").unionByName(acks)
+
+
+@query(f"""WITH {DAYS}, l AS (SELECT *, last_value(CASE WHEN ok THEN h END IGNORE NULLS) OVER (PARTITION BY pk, run ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS acked FROM n)
+SELECT pk, tick, CASE WHEN acked IS NULL THEN 'CREATED' ELSE 'UPDATED' END AS op FROM l WHERE acked IS NULL OR acked <> h""")
+def stream_acknowledged(spark, sf_dir):
+    """Days are ticks of a population; only what was acknowledged before the next tick counts as sent."""
+    found = acknowledged.acknowledged_changes(staged(days_with_acks(spark, sf_dir), "stream-in"), forget_after_s=40 * 86_400)
+    return run(found, "stream-acknowledged", **dict([acknowledged.STORE])).select(F.col("key").alias("pk"), F.col("seq").alias("tick"), "op")
+
+
+@query(f"""WITH {DAYS}, l AS (SELECT *, coalesce(last_value(CASE WHEN ok THEN h END IGNORE NULLS) OVER (PARTITION BY pk ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), CASE WHEN pk % 2 = 0 THEN 'view' END) AS acked FROM n)
+SELECT pk, tick, CASE WHEN acked IS NULL THEN 'CREATED' ELSE 'UPDATED' END AS op FROM l WHERE acked IS NULL OR acked <> h""")
+def stream_settings(spark, sf_dir):
+    """Days as settings of a user, sent if they differ from what was last sent for sure; half of the users start from a
+    snapshot in which their setting was a view."""
+    rows = days_with_acks(spark, sf_dir)
+    sent = rows.where("key % 2 = 0").select("key").distinct().select("key", F.lit(0).cast("bigint").alias("seq"), F.xxhash64(F.lit("view")).alias("row_hash"))
+    found = acknowledged.acknowledged_changes(staged(rows, "stream-in"), cut(sent, "sent"), gaps=False, forget_after_s=40 * 86_400)
+    return run(found, "stream-settings", **dict([acknowledged.STORE])).select(F.col("key").alias("pk"), F.col("seq").alias("tick"), "op")

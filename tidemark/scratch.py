@@ -45,6 +45,12 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_over(df: DataFrame, path: str) -> DataFrame:
+    """:func:`written`, in place of what an earlier attempt may have left there."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

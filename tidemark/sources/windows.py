@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.lookups import bracket_lookup
+
 MAX_WINDOWS = 1_000_000
 
 
@@ -47,12 +49,12 @@ def jdbc_table(spark: SparkSession, url: str, table: str, pk: str, lo: int, hi:
 
 
 def window_row_counts(keys: DataFrame, windows: DataFrame, pk: str = "pk") -> DataFrame:
-    """(window_no, n) of keys by window; keys outside all windows don't count, empty windows have 0."""
-    near = windows.select("window_no", "lo", "hi")
-    first = near.agg(F.min("lo").alias("first"), F.max(F.col("hi") - F.col("lo") + 1).alias("rows"))
-    placed = keys.select(F.col(pk).alias("__pk")).join(F.broadcast(first)).withColumn("__no", F.floor((F.col("__pk") - F.col("first")) / F.col("rows")))
-    counts = placed.groupBy("__no").agg(F.count(F.lit(1)).alias("n"))
-    return near.join(counts, F.col("window_no") == F.col("__no"), "left").select("window_no", F.coalesce("n", F.lit(0)).alias("n"))
+    """(window_no, n) of keys by window. Windows don't overlap and may have any length, gaps between them, or one key each;
+    keys outside all windows don't count, empty windows have 0."""
+    steps = windows.select(F.col("lo").alias("from"), F.col("hi").alias("to"), F.col("window_no").alias("value"))
+    placed = bracket_lookup(keys.select(F.col(pk).alias("__pk")), steps, "__pk")
+    counts = placed.where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return windows.join(counts, F.col("window_no") == F.col("value"), "left").select("window_no", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def targeted_keys(df: DataFrame, keys: DataFrame, pk: str) -> DataFrame:

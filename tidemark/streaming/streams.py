@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.ids import uuid7_time
+from tidemark.operators.capture import diff_targeted
+from tidemark.operators.stats import reply_type
+from tidemark.scratch import cut, written_over
+from tidemark.sources.snapshot_log import SnapshotLog
 
 
 def with_event_time(df: DataFrame, event_id: str = "event_id") -> DataFrame:
@@ -119,10 +123,11 @@ def escalations(observations: DataFrame, grace_s: int = 900, delay: str = "1 min
 
 
 def command_timeouts(commands: DataFrame, replies: DataFrame, wait: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
-    """Commands of a stream with their reply, null if none came within ``wait``."""
+    """Commands of a stream with their reply, null if none came within ``wait``. A reply has the command's correlation id
+    and the type that answers the command's ``msg_type``."""
     left = commands.withWatermark("ts", delay).alias("c")
     right = replies.withWatermark("reply_ts", delay).alias("r")
-    on = (F.col("c.correlation_id") == F.col("r.correlation_id")) & (F.col("r.reply_ts") >= F.col("c.ts")) & (F.col("r.reply_ts") <= F.col("c.ts") + F.expr(f"INTERVAL {wait}"))
+    on = (F.col("c.correlation_id") == F.col("r.correlation_id")) & (reply_type(F.col("c.msg_type")) == F.col("r.msg_type")) & (F.col("r.reply_ts") >= F.col("c.ts")) & (F.col("r.reply_ts") <= F.col("c.ts") + F.expr(f"INTERVAL {wait}"))
     return left.join(right, on, "left_outer").select("c.*", "r.reply_ts", "r.status")
 
 
@@ -133,7 +138,36 @@ def stream_capture(source: DataFrame, cycle: Callable[[DataFrame, int], None], c
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Run a stream over what there is into Parquet and read it back."""
-    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+def capture_into(source: DataFrame, hashes: Callable[[DataFrame], DataFrame], entity: str, log: SnapshotLog, events: str, checkpoint: str, seconds: int | None = 60, compact_every: int = 20):
+    """Run capture cycles that survive a restart. The snapshot is in ``log``: batch n reads version n and writes version
+    n + 1; its changes (pk, op, row_hash) go below ``events`` first, in a folder of the batch. A batch that runs again reads
+    the same version and replaces what it wrote, so after any failure a new query on the same checkpoint goes on.
+
+    ``hashes`` gives (pk, row_hash) of the keys of a batch; keys that a batch doesn't have are left alone.
+    """
+
+    def cycle(batch: DataFrame, number: int) -> None:
+        current = cut(hashes(batch), "current")
+        before = log.load(number).where(F.col("entity") == entity).select("pk", "row_hash")
+        changes = written_over(diff_targeted(current, before, current), f"{events}/batch={number}")
+        log.write_delta(changes.withColumn("entity", F.lit(entity)), number + 1)
+        if (number + 1) % compact_every == 0:
+            log.compact(number + 1)
+
+    return stream_capture(source, cycle, checkpoint, seconds)
+
+
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, **settings: str) -> DataFrame:
+    """Run a stream over what there is into Parquet and read it back; ``settings`` hold for this query only."""
+    spark = stream.sparkSession
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
