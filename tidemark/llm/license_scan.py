@@ -13,14 +13,16 @@ they hold of it must stand in its order.
 The join: all template tokens are ordered by how often they occur in the whole corpus, rare ones first. For a template
 of m tokens, a = :func:`least_of` must be shared.
 
-* Prefix filter: the first m - a + 1 tokens of the template and the first n - a + 1 of the block's n template tokens
-  share one. The templates' prefix tokens are an inverted index, token -> template and position; the words of the
-  texts are exploded and joined with it, and only blocks round a hit become candidates.
-* Length filter: the block has a words, and a template tokens, or more.
-* Positional filter: what follows the shared token, on both sides, can still reach a.
+* Prefix filter: as m - a tokens may be missing, l of the template's first m - a + l tokens are shared, for any l; a long
+  template asks for more of them (:func:`asked_of`). These tokens are an inverted index, token -> template and position; the
+  words of the texts are exploded and joined with it, and blocks that hold l of a template's become candidates.
+* Positional filter: a token that is missing among them leaves m less those that are missing within reach, which is the
+  same count.
+* Length filter: the block has a words or more.
 
-Candidates that pass are counted exactly. Templates are a fixed, short list (:data:`MAX_TEMPLATE_TOKENS` bounds the
-index), so index and templates are broadcast. Texts are never shuffled: only the hits of a text move, under a digest of it.
+Candidates are counted exactly. Templates are a fixed, short list (:data:`MAX_TEMPLATE_TOKENS` bounds the index), so index
+and templates are broadcast. Only the hits of a text move, under a digest of it; of candidates up to BROADCAST_TEXTS texts the
+places are sent to all tasks and texts don't move, beyond that those texts are joined with them.
 
 Cases: a null or empty text has no words, no places and no labels; repeated rows and ids are scanned alike; null ids
 are ids; texts whose shares tie all have the label; an empty table gives an empty result; only the named columns are
@@ -119,45 +121,53 @@ def phrase_places(lower: Column, phrase: str) -> Column:
     return F.aggregate(F.slice(counts, 1, F.size(counts) - 1), zero, step)
 
 
+def asked_of(least: int) -> int:
+    """How many of a template's rarest tokens a candidate must have."""
+    return 1 + least // 20
+
+
 def prefix_index(order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float) -> tuple[list[tuple], list[tuple]]:
-    """(token, at, no): the prefix tokens of each template and their place in it from 1; and (no, label, tokens, peers, seq,
-    m, least, half, run) of each template: its tokens in the order of all, those of all templates of its window, and its
-    tokens in its own order where that counts."""
+    """(token, at, no, asked, least, half, run): the prefix tokens of each template, their place in it from 1 and how its
+    blocks lie; and (no, label, tokens, m, least, len, ordered) of each template: its
+    tokens in its own order, the words of a block, and whether their order counts."""
     rank, index, rows = {t: k for k, t in enumerate(order)}, [], []
-    shapes = [shape_of(text, threshold) for _, text in templates]
-    for no, ((label, text), shape) in enumerate(zip(templates, shapes)):
-        seq = list(dict.fromkeys(template_words(text)))
-        tokens = sorted(seq, key=rank.__getitem__)
-        m, least = len(tokens), least_of(text, threshold)
-        peers = sorted({t for (_, other), s in zip(templates, shapes) if s == shape for t in template_words(other)}, key=rank.__getitem__)
-        index += [(t, at, no) for at, t in enumerate(tokens[: m - least + 1], 1)]
-        rows.append((no, label, tokens, peers if shape.half else [], seq if shape.run else [], m, least, shape.half, shape.run))
+    for no, (label, text) in enumerate(templates):
+        shape, seq = shape_of(text, threshold), list(dict.fromkeys(template_words(text)))
+        m, least = len(seq), least_of(text, threshold)
+        asked = asked_of(least)
+        index += [(t, at, no, asked, least, shape.half, shape.run) for at, t in enumerate(sorted(seq, key=rank.__getitem__)[: m - least + asked], 1)]
+        rows.append((no, label, seq, m, least, shape.run or 2 * shape.half, shape.run is not None))
     return index, rows
 
 
+def candidates(words: DataFrame, index: Sequence[tuple]) -> DataFrame:
+    """(t, no, start) of the blocks that hold enough of a template's prefix, of (t, words). Every start of a run is one; only
+    those at a token of the template count later."""
+    told = F.broadcast(words.sparkSession.createDataFrame(index, "token string, at int, no int, asked int, least int, half int, run int"))
+    near = words.select("t", F.size("words").alias("n"), F.posexplode("words").alias("pos", "token")).join(told, "token").where("n >= least")
+    last = F.floor(F.col("pos") / F.col("half")).cast("int")
+    windows = F.transform(F.sequence(F.greatest(last - 1, F.lit(0)), last), lambda k: k * F.col("half"))
+    near = near.withColumn("start", F.explode(F.when(F.col("run").isNull(), windows).otherwise(F.sequence(F.greatest(F.col("pos") - F.col("run") + 1, F.lit(0)), F.col("pos")))))
+    near = near.where(F.col("n") - F.col("start") >= F.col("least"))
+    found = near.groupBy("t", "no", "start").agg(F.size(F.collect_set("at")).alias("shared"), F.max("asked").alias("asked"))
+    return found.where("shared >= asked").select("t", "no", "start")
+
+
 def template_hits(docs: DataFrame, order: Sequence[str], templates: Sequence[tuple[str, str]], threshold: float, text_col: str = "text") -> DataFrame:
     """(t, labels, share) of every text, by its digest, that has a template: the labels and the best share."""
-    spark = docs.sparkSession
     index, rows = prefix_index(order, templates, threshold)
-    index = F.broadcast(spark.createDataFrame(index, "token string, at int, no int"))
-    forms = F.broadcast(spark.createDataFrame(rows, "no int, label string, tokens array<string>, peers array<string>, seq array<string>, m int, least int, half int, run int"))
-    pieces = docs.select(digest128(text_or_empty(text_col)).alias("t"), pieces_of(ascii_lower(text_or_empty(text_col))).alias("pieces"))
-    words = pieces.select("t", words_of(F.col("pieces")).alias("words"))
-    near = words.select("t", "words", F.posexplode("words").alias("pos", "token")).join(index, "token").join(forms, "no")
-    last = F.floor(F.col("pos") / F.col("half")).cast("int")
-    windows = F.transform(F.sequence(F.greatest(last - 1, F.lit(0)), last), lambda k: k * F.col("half"))
-    runs = F.filter(F.sequence(F.greatest(F.col("pos") - F.col("run") + 1, F.lit(0)), F.col("pos")), lambda k: F.array_contains("seq", F.get("words", k)))
-    near = near.where(F.size("words") >= F.col("least")).withColumn("start", F.explode(F.when(F.col("run").isNull(), windows).otherwise(runs)))
-    near = near.where(F.size("words") - F.col("start") >= F.col("least"))
-    raw = F.slice("words", F.col("start") + 1, F.coalesce("run", F.col("half") * 2))
-    # A window's template tokens, in the order of all tokens; a run's, by their places.
-    block = F.when(F.col("run").isNull(), F.array_intersect("peers", raw))
-    places = F.when(F.col("run").isNotNull(), F.filter(F.transform("seq", lambda t: F.array_position(raw, t)), lambda k: k > 0))
-    near = near.select("t", "token", "at", "label", "tokens", "m", "least", block.alias("block"), places.alias("places"))
-    n, in_block = F.size("block"), F.array_position("block", F.col("token")).cast("int")
-    reach = (n >= F.col("least")) & (in_block <= n - F.col("least") + 1) & (1 + F.least(F.col("m") - F.col("at"), n - in_block) >= F.col("least"))
-    both = F.when(F.col("block").isNull(), F.when(F.col("places") == F.array_sort("places"), F.size("places"))).when(reach, F.size(F.array_intersect("tokens", "block")))
-    sure = near.select("t", "label", "m", "least", both.alias("both")).where("both >= least")
+    texts = docs.select(digest128(text_or_empty(text_col)).alias("t"), ascii_lower(text_or_empty(text_col)).alias("lower"))
+    split = lambda rows, *more: rows.select("t", *more, pieces_of(F.col("lower")).alias("pieces")).select("t", *more, words_of(F.col("pieces")).alias("words"))
+    near = cut(candidates(split(texts), index).groupBy("t").agg(F.collect_list(F.struct("no", "start")).alias("at")), "license-candidates")
+    if near.count() <= BROADCAST_TEXTS:
+        near = F.broadcast(near)
+    forms = F.broadcast(docs.sparkSession.createDataFrame(rows, "no int, label string, seq array<string>, m int, least int, len int, ordered boolean"))
+    each = split(texts.join(near, "t"), "at").select("t", "words", F.inline("at")).join(forms, "no")
+    raw = F.slice("words", F.col("start") + 1, F.col("len"))
+    places = F.filter(F.transform("seq", lambda t: F.array_position(raw, t)), lambda k: k > 0)
+    run = F.array_contains("seq", F.get("words", F.col("start"))) & (places == F.array_sort(places))
+    both = F.when(~F.col("ordered"), F.size(F.array_intersect("seq", raw))).when(run, F.size(places))
+    sure = each.select("t", "label", "m", "least", both.alias("both")).where("both >= least")
     return sure.groupBy("t").agg(F.collect_set("label").alias("labels"), F.max(F.col("both") / F.col("m")).alias("share"))
 
 
