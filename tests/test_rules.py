@@ -247,11 +247,11 @@ def placed_one_by_one(where, wish):
 
 
 def test_random_placements_one_by_one(spark):
-    for seed in range(4):
+    for seed in (0, 3):
         rs = random.Random(seed)
         held = [(i, f"k{i}", i, rs.randrange(12) if seed == 3 else i, rs.random() < 0.9) for i in range(20)]
         where = {i: f"harbor:{s}" for i, _, _, s, o in held if o}
-        wish = [(rs.randrange(22), rs.randrange(26)) for _ in range(120)]
+        wish = [(rs.randrange(22), rs.randrange(26)) for _ in range(60)]
         rows = spark.createDataFrame([(i, "harbor", s, n) for n, (i, s) in enumerate(wish)], "id bigint, spot_pool string, spot_id int, ts int").repartition(3)
         after, judged = ledger.place_sessions(sessions_of(spark, held), rows)
         want = placed_one_by_one(where, [(i, f"harbor:{s}") for i, s in wish])
