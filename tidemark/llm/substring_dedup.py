@@ -129,7 +129,7 @@ def _spans(docs: DataFrame, id_col: str, text_col: str, min_words: int, min_char
     texts = texts_of(docs, id_col, text_col)
     if not texts.groupBy("id", "t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         texts = texts.dropDuplicates(["id", "t"])
-    # Both uses of the chunks make them anew: a table of them would be larger than the texts' own files.
+    # Both uses of the chunks make them anew: a table of them is estimated, not measured, to be larger than the texts' files.
     rows = chunks(texts)
     places = rows.groupBy("a", "b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     found = rows.join(places.where("n > 1").drop("n"), ["a", "b"]).repartition("id", "t")
