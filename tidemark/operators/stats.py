@@ -21,10 +21,14 @@ def module_state(enabled: Column, replies_topic: Column, errors: Column) -> Colu
     return F.when(~enabled, "DISABLED").when(replies_topic.isNull() | (errors > 0), "DEGRADED").otherwise("ACTIVE")
 
 
+#: Outcomes that are counted for published events.
+PUBLISH_OUTCOMES = ("published", "dropped", "failed")
+
+
 def publish_counters(attempts: DataFrame, families: DataFrame) -> DataFrame:
     """(family, published, dropped, failed, enabled) of attempts (family, outcome); families without attempts too."""
-    counts = attempts.groupBy("family").agg(*[F.count_if(F.col("outcome") == o).alias(o) for o in ("published", "dropped", "failed")])
-    filled = [F.coalesce(c, F.lit(0)).alias(c) for c in ("published", "dropped", "failed")]
+    counts = attempts.groupBy("family").agg(*[F.count_if(F.col("outcome") == o).alias(o) for o in PUBLISH_OUTCOMES])
+    filled = [F.coalesce(c, F.lit(0)).alias(c) for c in PUBLISH_OUTCOMES]
     return families.join(counts, "family", "left").select("family", *filled, "enabled")
 
 

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import ids, values
-from tidemark.operators import apply, events, lookups, stats
+from tidemark.operators import apply, counters, events, lookups, stats
 from tidemark.plans.book import query, table
+from tidemark.scratch import cut
 from tidemark.sources import families, records
 
 NEWEST = "SELECT user_id, max(event_id) AS e FROM events GROUP BY 1"
@@ -442,6 +443,28 @@ def command_counters(spark, sf_dir):
     return stats.command_counters(e)
 
 
+@query("SELECT count(*) FILTER (event_type = 'view') AS other_server, count(*) FILTER (event_type NOT IN ('click', 'purchase', 'view')) AS no_target, count(*) FILTER (event_type IN ('click', 'purchase')) AS kept FROM events")
+def commands_observed(spark, sf_dir):
+    """Skipped commands are counted while those for this server are written: one read."""
+    kind = F.col("event_type")
+    target = F.when(kind.isin("click", "purchase"), ids.uuid_bytes(F.lit(SERVER))).when(kind == "view", ids.uuid_bytes(F.lit(SERVER[:-1] + "2"))).when(kind == "error", F.encode(F.lit("x"), "utf-8"))
+    rows = table(spark, sf_dir, "events").select("event_id", F.array(F.struct(F.lit(records.TARGET_HEADER).alias("key"), target.alias("value"))).alias("headers"))
+    mine, seen = records.for_server_observed(rows, SERVER)
+    cut(mine, "commands")
+    return counters.count_row(spark, seen.get)
+
+
+@query("SELECT event_type AS family, count(*) FILTER (value > 30) AS published, count(*) FILTER (value BETWEEN 10 AND 30) AS dropped, count(*) FILTER (value < 10) AS failed, event_type <> 'error' AS enabled FROM events GROUP BY 1, 5 UNION ALL SELECT 'mail', 0, 0, 0, false")
+def publish_observed(spark, sf_dir):
+    """Outcomes per configured family, counted while the attempts are written."""
+    enabled = {"view": True, "click": True, "purchase": True, "signup": True, "error": False, "mail": False}
+    outcome = F.when(F.col("value") > 30, "published").when(F.col("value") >= 10, "dropped").otherwise("failed")
+    e = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("family"), outcome.alias("outcome"))
+    rows, seen = counters.counted(e, counters.publish_flags(list(enabled)))
+    cut(rows, "attempts")
+    return counters.publish_table(spark, seen.get, enabled)
+
+
 @query("SELECT c.event_id, r.ts AS reply_ts FROM events c LEFT JOIN events r ON r.event_id = c.event_id + 1 AND r.event_type = 'view' WHERE c.event_type = 'click'")
 def command_replies(spark, sf_dir):
     """A view right after a click is its reply."""

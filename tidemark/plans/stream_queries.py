@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import ids
+from tidemark.operators import counters
 from tidemark.plans.book import query, table
 from tidemark.plans.event_queries import ESCALATED
 from tidemark.scratch import cut, shared_path
@@ -127,3 +128,16 @@ def stream_settings(spark, sf_dir):
     sent = rows.where("key % 2 = 0").select("key").distinct().select("key", F.lit(0).cast("bigint").alias("seq"), F.xxhash64(F.lit("view")).alias("row_hash"))
     found = acknowledged.acknowledged_changes(staged(rows, "stream-in"), cut(sent, "sent"), gaps=False, forget_after_s=40 * 86_400)
     return run(found, "stream-settings", **dict([acknowledged.STORE])).select(F.col("key").alias("pk"), F.col("seq").alias("tick"), "op")
+
+
+@query("""SELECT count(*) AS consumed, count(*) FILTER (event_type = 'view') AS skipped, count(*) FILTER (event_type = 'purchase') AS handled, count(*) FILTER (event_type = 'click') AS unsupported,
+count(*) FILTER (event_type = 'signup') AS validation_failed, count(*) FILTER (event_type = 'error') AS internal_error, count(*) FILTER (value > 20) AS replies_published, count(*) FILTER (value <= 20) AS replies_failed FROM events""")
+def stream_counters(spark, sf_dir):
+    """Commands of a stream are written, and counted by outcome and reply on the way; the counts of the batches add up."""
+    names = dict(zip(("view", "purchase", "click", "signup", "error"), ("skipped", "handled", "unsupported", "validation_failed", "internal_error")))
+    book = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), book[F.col("event_type")].alias("outcome"), F.when(F.col("value") > 20, "published").otherwise("failed").alias("reply"))
+    flags, sent, counts = counters.command_flags(), shared_path(spark, "stream-sent"), shared_path(spark, "stream-counts")
+    sink = lambda rows, number: rows.write.mode("overwrite").parquet(f"{sent}/batch={number}")
+    counters.counted_into(staged(e, "stream-in"), flags, sink, counts, shared_path(spark, "stream-checkpoint"), None).awaitTermination()
+    return counters.batch_counts(spark, counts, list(flags)).agg(*[F.sum(c).alias(c) for c in flags])

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.ids import key_bytes, uuid_text
+from tidemark.operators.counters import split
 
 TYPE_HEADER, TARGET_HEADER, CORRELATION_HEADER = "nx-type", "nx-target-server", "nx-correlation-id"
 RECORD = T.StructType(
@@ -79,6 +80,12 @@ def resolve_topics(df: DataFrame, topics: Mapping[str, str], by: str = "entity_n
     return routed.where("topic IS NOT NULL"), routed.where("topic IS NULL").groupBy(by).agg(F.count(F.lit(1)).alias("dropped"))
 
 
+def resolve_topics_observed(df: DataFrame, topics: Mapping[str, str], by: str = "entity_name") -> tuple[DataFrame, Observation]:
+    """:func:`resolve_topics` in one read: rows with their ``topic``, and counts of those ``kept`` and ``without_topic``."""
+    book = F.create_map(*[x for k, v in topics.items() for x in (F.lit(k), F.lit(v))]) if topics else F.lit(None).cast("map<string,string>")
+    return split(df.withColumn("topic", F.try_element_at(book, F.col(by))), {"without_topic": F.col("topic").isNull()})
+
+
 def entity_states(entities: DataFrame, topics: Mapping[str, str], by: str = "entity_name") -> DataFrame:
     """(by, topic, state) of the entities to sync: DEGRADED for one without a topic, as it can't be published."""
     book = F.create_map(*[x for k, v in topics.items() for x in (F.lit(k), F.lit(v))]) if topics else F.lit(None).cast("map<string,string>")
@@ -97,3 +104,10 @@ def for_server(records: DataFrame, server_id: str) -> tuple[DataFrame, DataFrame
     mine = F.coalesce(target == F.lit(server_id), F.lit(False))
     reason = F.when(target.isNull(), "no_target").otherwise("other_server")
     return records.where(mine), records.where(~mine).groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("skipped"))
+
+
+def for_server_observed(records: DataFrame, server_id: str) -> tuple[DataFrame, Observation]:
+    """:func:`for_server` in one read: the commands for this server, and counts of those ``kept``, with ``no_target`` and
+    for an ``other_server``."""
+    target = uuid_text(header(TARGET_HEADER))
+    return split(records, {"no_target": target.isNull(), "other_server": target != F.lit(server_id)})
