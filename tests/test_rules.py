@@ -53,6 +53,12 @@ def test_fnv_against_its_definition(spark):
     le = lambda k: k.to_bytes(8, "little", signed=True)
     assert found[0] == fnv(le(1) + (0xFFFFFFFF).to_bytes(8, "little") + "aé".encode("utf-16-le") + b"\x01")
     assert found[1] == fnv(le(7) + b"\x00")
+    # Batches of texts of many lengths, a few much longer than the rest, after another column's state.
+    rs = random.Random(5)
+    texts = [None if k % 11 == 0 else "".join(rs.choices("aé😀\x00 z", k=rs.choice([0, 1, 7, 30]))) for k in range(300)] + ["x" * 5000, "y😀" * 3000]
+    rows = spark.createDataFrame([(k, s, s) for k, s in enumerate(texts)], "k bigint, s string, t string").repartition(3)
+    found = {r.k: r.fnv for r in hashing.fnv1a64(rows, ["k", "s", "t"]).collect()}
+    assert found == {k: fnv(le(k) + (s or "").encode("utf-16-le") * 2) for k, s in enumerate(texts)}
 
 
 def test_offer_lists_hash_without_order(spark):
@@ -108,6 +114,28 @@ def test_lineage_follows_merges_and_survives_cycles(spark):
     assert got == want and {r.item_id for r in lost.collect()} == {6, 7, 8}
 
 
+def test_lineage_through_many_merges_takes_few_rounds(spark, monkeypatch):
+    """Merges one after another, and random moves with circles, against a search from each origin."""
+    rounds = []
+    monkeypatch.setattr(trees, "cut", lambda df, name: rounds.append(name) or cut(df, name))
+    moves = [(k, k + 1) for k in range(300)] + [(1000 + k, k + 1) for k in range(300)]
+    found, _ = events.item_lineage(spark.createDataFrame(moves, "item_id bigint, new_item_id bigint"))
+    assert rounds.count("ways-better") <= 10
+    got = {(r.item_id, r.origin_id): r.steps for r in found.collect()}
+    want = {(k, 0): k for k in range(1, 301)} | {(k, 1000 + o): k - o for k in range(1, 301) for o in range(k)}
+    assert got == want
+    rs = random.Random(8)
+    edges = {(a, b) for a, b in ((rs.randrange(60), rs.randrange(60)) for _ in range(90)) if a != b}
+    found, lost = trees.shortest_origins(spark.createDataFrame([(b, a) for a, b in edges], "to bigint, origin bigint"))
+    tops, want = {a for a, _ in edges} - {b for _, b in edges}, {}
+    for top in tops:
+        seen, front = {top: 0}, [top]
+        while front:
+            front = [b for a in front for x, b in edges if x == a and seen.setdefault(b, seen[a] + 1) == seen[a] + 1 and (b, top) not in want and not want.update({(b, top): seen[b]})]
+    assert {(r.item_id, r.origin_id): r.steps for r in found.collect()} == want
+    assert {r.item_id for r in lost.collect()} == {b for _, b in edges} - {b for b, _ in want}
+
+
 def test_trees_of_any_depth_and_cycles(spark):
     rows = [(1, None), (2, 1), (3, 2), (4, 5), (5, 4), (6, 5), (7, 99)] + [(1000, None)] + [(1001 + k, 1000 + k) for k in range(70)]
     found, lost = catalogue.tree_depth(spark.createDataFrame(rows, "k bigint, p bigint"), "k", "p")
@@ -134,7 +162,6 @@ def test_brackets_by_list_and_by_merge(spark, monkeypatch):
         assert {r.id: r.value for r in lookups.bracket_lookup(rows, steps, "level").collect()} == want
     levels = spark.createDataFrame([(k, k * k) for k in range(1, 30)], "level int, required int")
     for short in (10_000, 5):
-        monkeypatch.setattr(catalogue, "SHORT_TABLE", short)
         monkeypatch.setattr(lookups, "SHORT_TABLE", short)
         got = {r.x: r.level for r in catalogue.level_of(spark.createDataFrame([(k,) for k in (0, 1, 24, 25, 900)], "x int"), levels, "x").collect()}
         assert got == {0: None, 1: 1, 24: 4, 25: 5, 900: 29}

@@ -73,16 +73,37 @@ def _fnv_bytes(state: np.ndarray, data: np.ndarray) -> np.ndarray:
     return state
 
 
+#: Texts that are left at a byte position below which they are finished one by one.
+_FEW_TEXTS = 16
+
+
+def _fnv_texts(state: np.ndarray, values: pd.Series) -> np.ndarray:
+    """States after the UTF-16 bytes of texts. The texts of a batch lie in one buffer, longest first, and all that reach a
+    byte position are hashed there together; the few that are much longer than the others are finished alone."""
+    raw = [b"" if v is None else v.encode("utf-16-le", "surrogatepass") for v in values]
+    length = np.fromiter(map(len, raw), np.int64, len(raw))
+    order = np.argsort(-length, kind="stable")
+    buffer = np.frombuffer(b"".join(raw), np.uint8)
+    start = (np.cumsum(length) - length)[order]
+    falling = -length[order]
+    out, left, at = state[order], np.searchsorted(falling, 0), 0
+    while left >= _FEW_TEXTS:
+        out[:left] = (out[:left] ^ buffer[start[:left] + at]) * np.uint64(_FNV_PRIME)
+        at += 1
+        left = np.searchsorted(falling[:left], -at)
+    for k in range(left):
+        h = int(out[k])
+        for b in raw[order[k]][at:]:
+            h = ((h ^ b) * _FNV_PRIME) & 0xFFFFFFFFFFFFFFFF
+        out[k] = h
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
 def _fnv_column(state: np.ndarray, values: pd.Series, kind: T.DataType) -> np.ndarray:
     if isinstance(kind, T.StringType):
-        out = state.copy()
-        for k, v in enumerate(values):
-            if v is not None:
-                h = int(out[k])
-                for b in v.encode("utf-16-le", "surrogatepass"):
-                    h = ((h ^ b) * _FNV_PRIME) & 0xFFFFFFFFFFFFFFFF
-                out[k] = h
-        return out
+        return _fnv_texts(state, values)
     known = values.notna().to_numpy()
     if isinstance(kind, T.BooleanType):
         data = values.fillna(False).astype(np.uint8).to_numpy().reshape(-1, 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.lookups import SHORT_TABLE, bracket_lookup
+from tidemark.operators.lookups import bracket_lookup
 from tidemark.operators.trees import rooted
 from tidemark.scratch import cut
 
@@ -141,8 +141,5 @@ def level_of(totals: DataFrame, levels: DataFrame, total: str = "experience") ->
     """Totals with the highest level (level, required) that they reach, null below all. The requirement grows with the
     level, so it is the step that holds the total."""
     steps = levels.select(F.col("required").alias("from"), F.lit(None).cast(levels.schema["required"].dataType).alias("to"), F.col("level").alias("value"))
-    if steps.limit(SHORT_TABLE + 1).count() <= SHORT_TABLE:
-        table = steps.agg(F.array_sort(F.collect_list(F.struct("from", "value"))).alias("__levels"))
-        reached = F.array_max(F.transform(F.filter("__levels", lambda x: x["from"] <= F.col(total)), lambda x: x["value"]))
-        return totals.join(F.broadcast(table)).withColumn("level", reached).drop("__levels")
-    return bracket_lookup(totals, steps, total).withColumnRenamed("value", "level")
+    found = bracket_lookup(totals.withColumnsRenamed({"value": "__value"}), steps, "__value" if total == "value" else total)
+    return found.withColumnsRenamed({"value": "level", "__value": "value"})

@@ -36,8 +36,9 @@ def shortest_origins(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     it that nothing leads to, with the fewest steps between them, and the (item_id) of those that have none, being on
     cycles or below nothing else.
 
-    Runs without a merge are followed by pointer jumping. What merges of several origins lead to is relaxed in rounds, as
-    many as there are merges one after another; a shorter way replaces a longer one, so cycles end too.
+    Runs without a merge are followed by pointer jumping. Ways through merges of several origins double their hops each
+    round, so rounds grow with the logarithm of the merges one after another. A way that isn't shortest is part of no
+    shortest one and is dropped, so cycles end too.
     """
     edges = cut(edges, "moves")
     several = edges.groupBy("to").agg(F.count(F.lit(1)).alias("n"), F.min("origin").alias("origin"))
@@ -48,15 +49,17 @@ def shortest_origins(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     merges = cut(several.where("n > 1").select(F.col("to").alias("m")), "merges")
     hops = edges.join(merges.withColumnRenamed("m", "to"), "to", "left_semi").join(tops.withColumnRenamed("k", "origin"), "origin")
     hops = cut(hops.groupBy(F.col("to").alias("m"), F.col("top").alias("at")).agg(F.min(F.col("d") + 1).alias("w")), "hops")
-    best, front = cut(hops.withColumnRenamed("w", "steps"), "ways"), hops.withColumnRenamed("w", "steps")
-    onward = hops.select(F.col("m").alias("at"), F.col("at").alias("next"), "w")
+    best = exact = hops.withColumnRenamed("w", "steps")
     while True:
-        tried = front.join(onward, "at").groupBy("m", F.col("next").alias("at")).agg(F.min(F.col("steps") + F.col("w")).alias("steps"))
+        # ``best`` are the shortest ways of up to n hops, ``exact`` those of them that have n hops; n doubles.
+        onward = exact.select(F.col("m").alias("at"), F.col("at").alias("next"), F.col("steps").alias("w"))
+        reach = lambda ways: ways.join(onward, "at").groupBy("m", F.col("next").alias("at")).agg(F.min(F.col("steps") + F.col("w")).alias("steps"))  # noqa: E731, B023
         known = best.select("m", "at", F.col("steps").alias("known"))
-        front = cut(tried.join(known, ["m", "at"], "left").where("known IS NULL OR steps < known").select("m", "at", "steps"), "ways-better")
-        if front.isEmpty():
+        better = cut(reach(best).join(known, ["m", "at"], "left").where("known IS NULL OR steps < known").select("m", "at", "steps"), "ways-better")
+        if better.isEmpty():
             break
-        best = cut(best.unionByName(front).groupBy("m", "at").agg(F.min("steps").alias("steps")), "ways")
+        best = cut(best.unionByName(better).groupBy("m", "at").agg(F.min("steps").alias("steps")), "ways")
+        exact = cut(reach(exact).join(best, ["m", "at", "steps"], "left_semi"), "ways-exact")
     ends = best.join(merges.withColumnRenamed("m", "at"), "at", "left_anti").select(F.col("m").alias("top"), "at", "steps")
     own = tops.join(edges.select(F.col("to").alias("k")).distinct(), "k", "left_semi")
     direct = own.join(merges.withColumnRenamed("m", "top"), "top", "left_anti").select(F.col("k").alias("item_id"), F.col("top").alias("origin_id"), F.col("d").alias("steps"))
