@@ -9,10 +9,9 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import capture, counters, stats
+from tidemark.operators import capture, catalogue, counters, stats
 from tidemark.scratch import shared_path
-from tidemark.sources import database, records
-from tidemark.streaming import streams
+from tidemark.sources import database, entities, records
 
 
 class BitXor:
@@ -194,3 +193,46 @@ def test_counts_of_a_batch_that_runs_again(spark):
     assert counts.count() == 3
     total = counts.agg(*[F.sum(c).alias(c) for c in flags]).first().asDict()
     assert total == stats.command_counters(spark.read.parquet(f"{path}/out")).first().asDict() and total["consumed"] == 33
+
+
+def entity_rows(spark, *texts):
+    return spark.createDataFrame([(k.to_bytes(8, "big", signed=True), None if t is None else bytearray(t.encode())) for k, t in texts], "key binary, value binary")
+
+
+def test_entity_tables(spark):
+    good = '{"id": 1, "name": "a", "display": {"race": "elf", "face": 2}, "scheduledDeletionAt": "2024-01-02T03:04:05Z", "classes": [{"classId": "x", "exp": 5000000000}], "new": {"a": 1}}'
+    rows, deleted, dead = entities.entity_table(entity_rows(spark, (1, good), (2, None), (3, '{"id": 3}'), (4, "{bad"), (5, '{"name": "no id"}'), (-6, '{"id": -6, "name": "b", "locks": []}')), "character")
+    found = {r.id: r for r in rows.collect()}
+    assert set(found) == {1, -6} and found[1].key_number == 1 and found[-6].key_number == -6
+    assert found[1].display.race == "elf" and found[1].display.hairStyle is None and found[1].classes[0].exp == 5_000_000_000 and found[1].locks is None
+    assert rows.where("unix_timestamp(scheduledDeletionAt) = 1704164645").count() == 1
+    assert [r.key_number for r in deleted.collect()] == [2] and dead.count() == 3
+    # An icon is base64; entities without an id have an identity of their own.
+    clan = entities.entity_table(entity_rows(spark, (1, '{"id": 1, "name": "c", "icon": "AQID"}')), "clan")[0].first()
+    assert bytes(clan.icon) == b"\x01\x02\x03"
+    rows, _, dead = entities.entity_table(entity_rows(spark, (7, '{"ratingType": "pvp", "season": "1", "charId": 7, "points": 3}'), (7, '{"ratingType": "pvp", "charId": 7}')), "rating")
+    assert rows.count() == 1 and dead.count() == 1
+    for name in entities.ENTITIES:
+        empty = entities.entity_table(entity_rows(spark).limit(0), name)
+        assert empty[0].count() == 0 and set(entities.IDENTITY.get(name, ("id",))) <= set(empty[0].columns)
+
+
+def test_catalogue_columns_of_entities(spark):
+    npc = '{"id": 1, "type": "raid", "drops": [{"category": "a", "groupChancePercent": 50, "items": [{"itemTemplateId": 7, "min": 1, "max": 2, "chancePercent": 10}]}, {"items": [{"itemTemplateId": 8, "chancePercent": 1}]}], "minions": [{"minionNpcTemplateId": 2, "count": 3}, {"minionNpcTemplateId": 4, "count": 1, "groupIndex": 1}], "spawns": [{"x": 1, "y": 2, "z": 3, "respawnSec": 60, "respawnRandomSec": 90}, {"respawnSec": 10, "territory": [{"x": 1, "y": 2, "zmin": 0, "zmax": 9}]}]}'
+    npcs = entities.entity_table(entity_rows(spark, (1, npc), (2, '{"id": 2, "type": "x"}')), "npc_template")[0]
+    assert sorted((r.npc_id, r.item_id, r.item_chance, r.chance) for r in catalogue.npc_drops(entities.npc_drop_groups(npcs)).collect()) == [(1, 7, 10.0, 5.0), (1, 8, 1.0, None)]
+    sets = {(r.group_no, r.fixed, r.sets) for r in catalogue.minion_sets(entities.npc_minions(npcs)).collect()}
+    assert sets == {(None, True, None), (1, False, 1)}
+    assert {(r.respawn_min_s, r.respawn_max_s, r.one_place) for r in catalogue.spawn_ranges(entities.npc_spawns(npcs)).collect()} == {(0, 150, True), (10, 10, True)}
+    recipes = entities.entity_table(entity_rows(spark, (1, '{"id": 1, "productItemTemplateId": 5, "productCount": 2, "ingredients": [{"itemTemplateId": 6, "count": 9}]}'), (2, '{"id": 2, "rareItemTemplateId": 3}')), "recipe")[0]
+    assert sorted((r.recipe_id, r.part, r.item_id, r["count"]) for r in catalogue.recipe_bom(entities.recipe_parts(recipes)).collect()) == [(1, "ingredient", 6, 9), (1, "product", 5, 2), (2, "rare_product", 3, None)]
+    crystals = entities.entity_table(entity_rows(spark, (1, '{"id": 1, "level": 1, "nextItemTemplateId": 2}'), (2, '{"id": 2, "level": 2}')), "soul_crystal")[0]
+    assert [(r.outcome, r.result_id, r.result_level) for r in catalogue.crystal_levels(entities.crystal_steps(crystals)).collect()] == [("next", 2, 2)]
+    items = entities.entity_table(entity_rows(spark, (1, '{"id": 1, "type": "weapon", "grade": "s", "stats": {"magicWeapon": true, "stats": {"pAtk": 2.5}}, "upgrade": {"enchantable": true}, "skills": [{"id": 3, "level": 1}]}')), "item_template")[0]
+    flat = catalogue.item_catalogue(entities.item_templates(items), ["grade", "magic_weapon"])
+    one = flat["items"].first()
+    assert (one.grade, one.magic_weapon, one.upgrade_enchantable, one.restrictions_tradable) == ("s", True, True, None)
+    assert [(r.stat, r.value) for r in flat["stats"].collect()] == [("pAtk", 2.5)] and flat["skills"].first().id == 3
+    levels = entities.entity_table(entity_rows(spark, (1, '{"level": 1, "requiredExp": 0}'), (2, '{"level": 2, "requiredExp": 68}')), "experience_level")[0]
+    totals = spark.createDataFrame([(0, "a"), (68, "b"), (-1, "c")], "experience bigint, value string")
+    assert {(r.value, r.level) for r in catalogue.level_of(totals, entities.requirements(levels)).collect()} == {("a", 1), ("b", 2), ("c", None)}

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import hashing, values
+from tidemark.functions import hashing, ids, values
 from tidemark.operators import catalogue, ledger
 from tidemark.plans.book import query, table
+from tidemark.sources import entities
 
 MD5 = "CAST(('0x' || substr(md5({}), 1, 8)) AS BIGINT)"
 
@@ -296,6 +297,77 @@ def experience_levels(spark, sf_dir):
     return catalogue.level_of(table(spark, sf_dir, "orders"), levels, "o_totalprice").select("o_orderkey", "level")
 
 
+# Entities: rows of the tables as the records of their topics, decoded into typed tables.
+
+
+def entity_records(rows, key, payload, missing=None):
+    """Records of a payload struct; where ``missing`` holds a tombstone."""
+    value = F.encode(F.to_json(payload), "utf-8")
+    value = value if missing is None else F.when(~missing, value)
+    return rows.select(ids.key_bytes(key).alias("key"), value.alias("value"))
+
+
+@query("SELECT c_custkey AS id, c_name AS name, c_nationkey AS level, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS race, CASE WHEN c_custkey % 3 = 0 THEN c_name END AS lock FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0")
+def entity_characters(spark, sf_dir):
+    """Customers as characters, a fifth deleted, a seventh without the name that must be there."""
+    c = table(spark, sf_dir, "customer")
+    k, one = F.col("c_custkey"), F.lit(1)
+    display = F.when(k % 2 == 0, F.struct(F.col("c_mktsegment").alias("race"), one.alias("face")))
+    locks = F.when(k % 3 == 0, F.array(F.struct(F.lit("name").alias("lockType"), F.col("c_name").alias("lockValue"))))
+    payload = F.struct(k.alias("id"), F.when(k % 7 != 0, F.col("c_name")).alias("name"), F.col("c_nationkey").alias("level"), display.alias("display"), locks.alias("locks"), one.alias("unknown"))
+    rows = entities.entity_table(entity_records(c, k, payload, k % 5 == 0), "character")[0]
+    return rows.select("id", "name", "level", F.col("display.race").alias("race"), F.get("locks", 0)["lockValue"].alias("lock"))
+
+
+@query("SELECT c_custkey AS id, c_custkey % 5 = 0 AS deleted FROM customer WHERE c_custkey % 5 = 0 OR c_custkey % 7 = 0")
+def entity_losses(spark, sf_dir):
+    """What isn't a row: tombstones by their key, and records without a field that must be there."""
+    k = F.col("c_custkey")
+    payload = F.struct(k.alias("id"), F.when(k % 7 != 0, F.col("c_name")).alias("name"))
+    _, deleted, dead = entities.entity_table(entity_records(table(spark, sf_dir, "customer"), k, payload, k % 5 == 0), "clan")
+    return deleted.select(F.col("key_number").alias("id"), F.lit(True).alias("deleted")).unionByName(dead.select(ids.key_number(F.col("key")).alias("id"), F.lit(False).alias("deleted")))
+
+
+@query("SELECT o_orderdate AS season, o_custkey AS char_id, CAST(floor(o_totalprice) AS BIGINT) AS points, o_orderpriority AS priority FROM orders")
+def entity_ratings(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    payload = F.struct(F.lit("pvp").alias("ratingType"), F.col("o_orderdate").cast("string").alias("season"), F.col("o_custkey").alias("charId"), F.floor("o_totalprice").alias("points"), F.create_map(F.lit("priority"), F.col("o_orderpriority")).alias("metadata"))
+    rows = entities.entity_table(entity_records(o, F.col("o_custkey"), payload), "rating")[0]
+    return rows.select(F.col("season").cast(o.schema["o_orderdate"].dataType).alias("season"), F.col("charId").alias("char_id"), "points", F.col("metadata")["priority"].alias("priority"))
+
+
+@query("SELECT l_suppkey AS npc_id, l_partkey AS item_id, CAST(l_linenumber * 10 AS DOUBLE) AS item_chance, CASE WHEN l_linenumber % 2 = 0 THEN CAST(50 / 100.0 * (l_linenumber * 10) AS DOUBLE) END AS chance, CAST(l_quantity AS BIGINT) AS n FROM lineitem")
+def entity_npc_drops(spark, sf_dir):
+    """Suppliers as NPC templates whose drops are their lines: from records to flat drops."""
+    item = F.struct(F.col("l_partkey").alias("itemTemplateId"), F.col("l_quantity").cast("bigint").alias("min"), F.col("l_quantity").cast("bigint").alias("max"), (F.col("l_linenumber") * 10).alias("chancePercent"))
+    groups = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.when(F.col("l_linenumber") % 2 == 0, 50.0).alias("groupChancePercent")).agg(F.collect_list(item).alias("items"))
+    npcs = groups.groupBy("l_suppkey").agg(F.collect_list(F.struct("groupChancePercent", "items")).alias("drops"))
+    rows = entities.entity_table(entity_records(npcs, F.col("l_suppkey"), F.struct(F.col("l_suppkey").alias("id"), F.lit("npc").alias("type"), "drops")), "npc_template")[0]
+    drops = catalogue.npc_drops(entities.npc_drop_groups(rows))
+    return drops.select(F.col("npc_id").cast("bigint").alias("npc_id"), F.col("item_id").cast("bigint").alias("item_id"), "item_chance", "chance", F.col("max").alias("n"))
+
+
+@query("SELECT p_partkey AS npc_id, greatest(p_size - 10, 0) AS lo, p_size + 10 AS hi, p_size % 3 <> 0 AS one_place FROM part")
+def entity_npc_spawns(spark, sf_dir):
+    """Parts as NPC templates with a spawn at a point, in an area, or wrongly at both."""
+    part, third = table(spark, sf_dir, "part"), F.col("p_size") % 3
+    corner = F.array(F.struct(F.lit(1).alias("x"), F.lit(2).alias("y")))
+    spawn = F.struct(F.when(third != 1, 5).alias("x"), F.col("p_size").alias("respawnSec"), F.lit(10).alias("respawnRandomSec"), F.when(third != 2, corner).otherwise(F.slice(corner, 1, 0)).alias("territory"))
+    rows = entities.entity_table(entity_records(part, F.col("p_partkey"), F.struct(F.col("p_partkey").alias("id"), F.lit("npc").alias("type"), F.array(spawn).alias("spawns"))), "npc_template")[0]
+    found = catalogue.spawn_ranges(entities.npc_spawns(rows))
+    return found.select(F.col("npc_id").cast("bigint").alias("npc_id"), F.col("respawn_min_s").alias("lo"), F.col("respawn_max_s").alias("hi"), "one_place")
+
+
+@query("SELECT l_orderkey AS recipe_id, 'ingredient' AS part, l_partkey AS item_id FROM lineitem UNION ALL SELECT l_orderkey, 'product', min(l_partkey) FROM lineitem GROUP BY 1 UNION ALL SELECT l_orderkey, 'rare_product', max(l_partkey) FROM lineitem GROUP BY 1 HAVING count(*) > 3")
+def entity_recipes(spark, sf_dir):
+    """Orders as recipe records, flattened to their parts."""
+    line = F.struct(F.col("l_partkey").alias("itemTemplateId"), F.lit(1).alias("count"))
+    r = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("ingredients"), F.min("l_partkey").alias("lo"), F.max("l_partkey").alias("hi"), F.count(F.lit(1)).alias("n"))
+    payload = F.struct(F.col("l_orderkey").alias("id"), "ingredients", F.col("lo").alias("productItemTemplateId"), F.lit(1).alias("productCount"), F.when(F.col("n") > 3, F.col("hi")).alias("rareItemTemplateId"))
+    rows = entities.entity_table(entity_records(r, F.col("l_orderkey"), payload), "recipe")[0]
+    return catalogue.recipe_bom(entities.recipe_parts(rows)).select(F.col("recipe_id").cast("bigint").alias("recipe_id"), "part", F.col("item_id").cast("bigint").alias("item_id"))
+
+
 # Ledgers: orders as receipts, their status, and events as sessions.
 
 LEDGER = """ledger AS (SELECT CAST(o_orderkey AS VARCHAR) AS correlation_id, CASE WHEN o_custkey % 2 = 0 THEN 'buy' ELSE 'sell' END AS command,
