@@ -151,6 +151,15 @@ def test_conditions_of_any_depth(spark):
     found = {(r.k, r.path): (r.negated, json.loads(r.leaf).get("v")) for r in catalogue.condition_leaves(rows, "k", "c").collect()}
     assert len(found) == 13 + 2 and found[3, ""] == (True, 9) and found[4, ""] == (False, None)
     assert found[1, "/1" * 12] == (False, 1) and found[1, "/0"] == (False, 111) and found[1, "/1/0"] == (True, 110)
+    # Texts that aren't JSON and nodes that aren't right go to a table of their own; what is beside them stands.
+    rows = spark.createDataFrame(
+        [(1, "{bad"), (2, '{"children": {"v": 1}}'), (3, '{"children": [{"v": 1}, {"negated": "perhaps", "v": 2}, null, {"children": [{"children": 7}, {"b": 2, "a": 1}]}]}'), (4, "null"), (5, '{"children": null, "negated": null}'), (6, "5")], "k int, c string"
+    )
+    leaves, rejected = catalogue.condition_trees(rows, "k", "c")
+    assert sorted((r.k, r.path, r.leaf) for r in leaves.collect()) == [(3, "/0", '{"v":1}'), (3, "/3/1", '{"a":1,"b":2}'), (5, "", '{"children":null,"negated":null}'), (6, "", "5")]
+    assert sorted((r.k, r.path) for r in rejected.collect()) == [(1, ""), (2, ""), (3, "/1"), (3, "/3/0")]
+    none = catalogue.condition_trees(rows.limit(0), "k", "c")
+    assert [df.count() for df in none] == [0, 0] and none[0].columns == ["k", "path", "negated", "leaf"]
 
 
 def test_brackets_by_list_and_by_merge(spark, monkeypatch):

@@ -53,21 +53,39 @@ def recipe_bom(recipes: DataFrame) -> DataFrame:
     return recipes.select("recipe_id", F.inline(F.concat(F.transform("ingredients", lambda e: part("ingredient", e)), one("product"), one("rare_product"))))
 
 
+def condition_trees(df: DataFrame, key: str, condition: str) -> tuple[DataFrame, DataFrame]:
+    """(leaves, rejected) of a JSON condition tree {logic, negated, children | ...}. Leaves are its nodes without children,
+    down to the deepest: (key, path, negated, leaf), where ``negated`` tells whether the negations above, and its own, are
+    odd, and ``leaf`` is the node's JSON with its fields in the order of their names. Rejected are (key, path, json) of a
+    text that isn't JSON, with an empty path, and of nodes whose ``children`` are no list or whose ``negated`` is no
+    boolean; what is beside them stands. A null tree, or null child, is neither.
+
+    A text is parsed once, to a VARIANT; each level is then one written table.
+    """
+    k, text = F.col(key).alias("k"), F.col(condition).cast("string")
+    start = cut(df.select(k, text.alias("text"), F.try_parse_json(text).alias("node")).where("text IS NOT NULL"), "conditions")
+    rejected = start.where("node IS NULL").select("k", F.lit("").alias("path"), F.col("text").alias("json"))
+    leaves, front = None, start.where("node IS NOT NULL").select("k", F.lit("").alias("path"), F.lit(False).alias("above"), "node")
+    inside = lambda path, kind: F.try_variant_get("node", path, kind)
+    wrong = lambda path, value: inside(path, "variant").isNotNull() & ~F.is_variant_null(inside(path, "variant")) & F.col(value).isNull()
+    while not front.isEmpty():
+        step = front.where(~F.is_variant_null("node")).select("*", inside("$.children", "array<variant>").alias("children"), inside("$.negated", "boolean").alias("own"))
+        bad, inner = wrong("$.children", "children") | wrong("$.negated", "own"), F.coalesce(F.size("children") > 0, F.lit(False))
+        step = step.select("k", "path", (F.col("above") != F.coalesce("own", F.lit(False))).alias("negated"), "node", "children", bad.alias("bad"), inner.alias("inner"))
+        step = cut(step, "conditions")
+        found = step.where("NOT bad AND NOT inner").select("k", "path", "negated", F.to_json("node").alias("leaf"))
+        leaves = found if leaves is None else leaves.unionByName(found)
+        rejected = rejected.unionByName(step.where("bad").select("k", "path", F.to_json("node").alias("json")))
+        front = step.where("inner AND NOT bad").select("k", "path", "negated", F.posexplode("children").alias("no", "node"))
+        front = front.select("k", F.concat("path", F.lit("/"), F.col("no").cast("string")).alias("path"), F.col("negated").alias("above"), "node")
+    if leaves is None:
+        leaves = rejected.where("false").select("k", "path", F.lit(False).alias("negated"), F.col("json").alias("leaf"))
+    return leaves.withColumnRenamed("k", key), rejected.withColumnRenamed("k", key)
+
+
 def condition_leaves(df: DataFrame, key: str, condition: str) -> DataFrame:
-    """(key, path, negated, leaf) of a JSON condition tree {logic, negated, children | ...}: its nodes without
-    children, level by level down to the deepest. ``negated`` tells whether the negations above, and its own, are odd."""
-    node = F.struct(F.lit("").alias("path"), F.lit(False).alias("negated"), F.col(condition).cast("string").alias("json"))
-    front, done = df.select(F.col(key).alias("k"), node.alias("n")).select("k", "n.*").where("json IS NOT NULL"), None
-    while True:
-        children = F.from_json(F.get_json_object("json", "$.children"), "array<string>")
-        flipped = F.col("negated") != F.coalesce(F.get_json_object("json", "$.negated").cast("boolean"), F.lit(False))
-        step = cut(front.select("k", "path", flipped.alias("negated"), "json", children.alias("children")), "conditions")
-        inner = F.size(F.coalesce("children", F.array().cast("array<string>"))) > 0
-        leaves = step.where(~inner).select("k", "path", "negated", F.col("json").alias("leaf"))
-        done = leaves if done is None else done.unionByName(leaves)
-        front = step.where(inner).select("k", "path", "negated", F.posexplode("children").alias("no", "json")).select("k", F.concat("path", F.lit("/"), F.col("no").cast("string")).alias("path"), "negated", "json")
-        if front.isEmpty():
-            return done.withColumnRenamed("k", key)
+    """The leaves of :func:`condition_trees`."""
+    return condition_trees(df, key, condition)[0]
 
 
 def gear_rules(groups: DataFrame) -> DataFrame:
