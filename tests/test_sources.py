@@ -236,3 +236,26 @@ def test_catalogue_columns_of_entities(spark):
     levels = entities.entity_table(entity_rows(spark, (1, '{"level": 1, "requiredExp": 0}'), (2, '{"level": 2, "requiredExp": 68}')), "experience_level")[0]
     totals = spark.createDataFrame([(0, "a"), (68, "b"), (-1, "c")], "experience bigint, value string")
     assert {(r.value, r.level) for r in catalogue.level_of(totals, entities.requirements(levels)).collect()} == {("a", 1), ("b", 2), ("c", None)}
+
+
+def test_a_consumer_begins_a_failed_batch_again(spark):
+    """A batch fails three times, each after writing: twice in a query, whose tries are then over, and once in the next."""
+    path, seen, fail = shared_path(spark, "consumed"), [], [1, 1, 1]
+    for k in range(3):
+        rows = [(n.to_bytes(8, "big"), bytearray(b"v%d" % n), "t", []) for n in range(10 * k, 10 * k + 10)]
+        spark.createDataFrame(rows, records.RECORD).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    source = lambda: records.read_events_files(spark, f"{path}/in")
+
+    def handle(rows, number):
+        records.write_batch(rows, number, f"{path}/out")
+        seen.append((number, rows.count()))
+        if number == 0 and fail:
+            raise RuntimeError(f"stopped {fail.pop()}")
+
+    with pytest.raises(Exception, match="stopped"):
+        records.consume(source(), handle, f"{path}/check", tries=2).awaitTermination()
+    records.consume(source(), handle, f"{path}/check", tries=2).awaitTermination()
+    out = records.read_batches(spark, f"{path}/out")
+    assert seen[:4] == [(0, 30)] * 4 and out.count() == 30 and out.select("key").distinct().count() == 30
+    records.consume(source(), handle, f"{path}/check").awaitTermination()
+    assert records.read_batches(spark, f"{path}/out").count() == 30

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import ids
 from tidemark.operators import counters
 from tidemark.plans.book import query, table
 from tidemark.plans.event_queries import ESCALATED
 from tidemark.scratch import cut, shared_path
+from tidemark.sources import records
 from tidemark.sources.snapshot_log import SnapshotLog
 from tidemark.streaming import acknowledged, streams
 
@@ -141,3 +144,30 @@ def stream_counters(spark, sf_dir):
     sink = lambda rows, number: rows.write.mode("overwrite").parquet(f"{sent}/batch={number}")
     counters.counted_into(staged(e, "stream-in"), flags, sink, counts, shared_path(spark, "stream-checkpoint"), None).awaitTermination()
     return counters.batch_counts(spark, counts, list(flags)).agg(*[F.sum(c).alias(c) for c in flags])
+
+
+@query("SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN event_type END AS kind, event_id % 10 = 0 AS dead FROM events")
+def stream_records(spark, sf_dir):
+    """Events as records of a stream, a tenth of them garbage. The consumer fails once in its second batch, after writing,
+    and its successor begins that batch again: every record ends up once, decoded or dead."""
+    e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), ids.key_bytes(F.col("event_id")).alias("key"), F.encode(F.when(F.col("event_id") % 10 == 0, "{garbage").otherwise(F.to_json(F.struct(F.col("event_type").alias("kind")))), "utf-8").alias("value"))
+    path, fail = shared_path(spark, "consumed"), {"once"}
+
+    def handle(rows, number):
+        good, dead = records.decode_envelope(rows, "kind string")
+        number_of = ids.key_number(F.col("key")).alias("event_id")
+        both = good.select(number_of, "payload.kind", F.lit(False).alias("dead")).unionByName(dead.select(number_of, F.lit(None).cast("string").alias("kind"), F.lit(True).alias("dead")))
+        records.write_batch(both, number, f"{path}/out")
+        if number == 1 and fail:
+            fail.clear()
+            raise RuntimeError("the consumer stops")
+
+    stream = staged(e, "stream-in")
+    try:
+        records.consume(stream, handle, f"{path}/checkpoint").awaitTermination()
+    except StreamingQueryException as stopped:
+        if "the consumer stops" not in str(stopped):
+            raise
+        records.consume(stream, handle, f"{path}/checkpoint").awaitTermination()
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("dead", T.BooleanType())])
+    return records.read_batches(spark, f"{path}/out", schema).drop("batch")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.ids import key_bytes, uuid_text
 from tidemark.operators.counters import split
+from tidemark.scratch import written_over
 
 TYPE_HEADER, TARGET_HEADER, CORRELATION_HEADER = "nx-type", "nx-target-server", "nx-correlation-id"
 RECORD = T.StructType(
@@ -72,6 +73,35 @@ def write_events(records: DataFrame, servers: str | None = None, path: str | Non
         records.write.mode("append").parquet(path)
 
 
+def write_batch(records: DataFrame, number: int, path: str) -> DataFrame:
+    """Records of a micro-batch as Parquet in a folder of the batch: written again, a batch replaces itself, so a sink of
+    such folders has each record once whatever failed in between. Returns what was written."""
+    return written_over(records, f"{path}/batch={number}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType = RECORD) -> DataFrame:
+    """What :func:`write_batch` has written, with ``batch``."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+
+
+def consume(records: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, tries: int = 1, seconds: int | None = None):
+    """Run ``handle`` (records, batch number) on a stream of records, of Kafka or of files. Offsets are the checkpoint's and
+    move on only when ``handle`` has returned: a batch that fails ``tries`` times ends the query, and the next one on the
+    same checkpoint starts at that batch's first record with the same records and number. So what ``handle`` does must be
+    safe to do again, as :func:`write_batch` is. Without ``seconds`` it runs over what there is."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        for left in range(max(1, tries) - 1, -1, -1):
+            try:
+                return handle(rows, number)
+            except Exception:
+                if not left:
+                    raise
+
+    writer = records.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
+
+
 def resolve_topics(df: DataFrame, topics: Mapping[str, str], by: str = "entity_name") -> tuple[DataFrame, DataFrame]:
     """(routed, counts): rows with their ``topic``, and (by, dropped) of those without one. The map is the caller's
     configuration, a literal of the plan."""
