@@ -300,6 +300,11 @@ def experience_levels(spark, sf_dir):
 # Entities: rows of the tables as the records of their topics, decoded into typed tables.
 
 
+def spread(rows, key):
+    """Rows of a table by key over many tasks: a small file lies in one or two splits, but its records are long work."""
+    return rows.repartition(key)
+
+
 def entity_records(rows, key, payload, missing=None):
     """Records of a payload struct; where ``missing`` holds a tombstone."""
     value = F.encode(F.to_json(payload), "utf-8")
@@ -310,7 +315,7 @@ def entity_records(rows, key, payload, missing=None):
 @query("SELECT c_custkey AS id, c_name AS name, c_nationkey AS level, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS race, CASE WHEN c_custkey % 3 = 0 THEN c_name END AS lock FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0")
 def entity_characters(spark, sf_dir):
     """Customers as characters, a fifth deleted, a seventh without the name that must be there."""
-    c = table(spark, sf_dir, "customer")
+    c = spread(table(spark, sf_dir, "customer"), "c_custkey")
     k, one = F.col("c_custkey"), F.lit(1)
     display = F.when(k % 2 == 0, F.struct(F.col("c_mktsegment").alias("race"), one.alias("face")))
     locks = F.when(k % 3 == 0, F.array(F.struct(F.lit("name").alias("lockType"), F.col("c_name").alias("lockValue"))))
@@ -324,7 +329,7 @@ def entity_losses(spark, sf_dir):
     """What isn't a row: tombstones by their key, and records without a field that must be there."""
     k = F.col("c_custkey")
     payload = F.struct(k.alias("id"), F.when(k % 7 != 0, F.col("c_name")).alias("name"))
-    _, deleted, dead = entities.entity_table(entity_records(table(spark, sf_dir, "customer"), k, payload, k % 5 == 0), "clan")
+    _, deleted, dead = entities.entity_table(entity_records(spread(table(spark, sf_dir, "customer"), "c_custkey"), k, payload, k % 5 == 0), "clan")
     return deleted.select(F.col("key_number").alias("id"), F.lit(True).alias("deleted")).unionByName(dead.select(ids.key_number(F.col("key")).alias("id"), F.lit(False).alias("deleted")))
 
 
@@ -350,7 +355,7 @@ def entity_npc_drops(spark, sf_dir):
 @query("SELECT p_partkey AS npc_id, greatest(p_size - 10, 0) AS lo, p_size + 10 AS hi, p_size % 3 <> 0 AS one_place FROM part")
 def entity_npc_spawns(spark, sf_dir):
     """Parts as NPC templates with a spawn at a point, in an area, or wrongly at both."""
-    part, third = table(spark, sf_dir, "part"), F.col("p_size") % 3
+    part, third = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey"), F.col("p_size") % 3
     corner = F.array(F.struct(F.lit(1).alias("x"), F.lit(2).alias("y")))
     spawn = F.struct(F.when(third != 1, 5).alias("x"), F.col("p_size").alias("respawnSec"), F.lit(10).alias("respawnRandomSec"), F.when(third != 2, corner).otherwise(F.slice(corner, 1, 0)).alias("territory"))
     rows = entities.entity_table(entity_records(part, F.col("p_partkey"), F.struct(F.col("p_partkey").alias("id"), F.lit("npc").alias("type"), F.array(spawn).alias("spawns"))), "npc_template")[0]

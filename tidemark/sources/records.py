@@ -48,11 +48,14 @@ def correlation_id() -> Column:
 
 def decode_envelope(records: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
     """(decoded, dead): records whose JSON can't be read go to the second and stop nothing. A null value, which is
-    a tombstone, is decoded as a null payload."""
+    a tombstone, is decoded as a null payload.
+
+    A record is parsed once: the payload is a generated column, which filters on it and its fields don't repeat."""
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     marked = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
     text = F.decode("value", "utf-8")
-    parsed = records.withColumn("payload", F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}))
+    payload = F.from_json(text, marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
+    parsed = records.select("*", F.explode(F.array(payload)).alias("payload"))
     bad = F.col("value").isNotNull() & (F.col("payload").isNull() | F.col("payload.__bad").isNotNull())
     return parsed.where(~bad).withColumn("payload", F.when(F.col("value").isNotNull(), F.col("payload").dropFields("__bad"))), parsed.where(bad).drop("payload")
 
