@@ -27,3 +27,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows of a task that nests them in lists.
+TASK_ROWS = 500_000
+
+
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table by key into as many tasks as their number asks for, so a task that lists the rows of its keys needs
+    the same memory whatever the table's size."""
+    return rows.repartition(rows.count() // TASK_ROWS + 1, *keys)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import ids, values
 from tidemark.operators import apply, counters, events, lookups, stats
-from tidemark.plans.book import query, table
+from tidemark.plans.book import dealt, query, table
 from tidemark.scratch import cut
 from tidemark.sources import families, records
 
@@ -137,7 +137,7 @@ SELECT *, row_number() OVER (PARTITION BY kill_id ORDER BY damage DESC, owner) A
 def raid_contribution(spark, sf_dir):
     """Orders as kills; lines of even suppliers fight in parties."""
     fighter = F.struct(F.when(F.col("l_suppkey") % 2 == 0, F.col("l_suppkey") % 4).alias("party_id"), F.col("l_partkey").alias("char_id"), F.col("l_quantity").cast("bigint").alias("damage"))
-    kills = lines_of(spark, sf_dir).groupBy(F.col("l_orderkey").alias("kill_id")).agg(F.collect_list(fighter).alias("participants"))
+    kills = dealt(lines_of(spark, sf_dir), "l_orderkey").groupBy(F.col("l_orderkey").alias("kill_id")).agg(F.collect_list(fighter).alias("participants"))
     return events.raid_contribution(kills).withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -147,7 +147,7 @@ LINES = "CAST(round(l_extendedprice * 100) AS BIGINT)"
 @query(f"SELECT l_partkey AS item_template_id, CASE WHEN l_linenumber % 2 = 0 THEN 57 ELSE 4037 END AS currency_id, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS items, CAST(sum({LINES} * CAST(l_quantity AS BIGINT)) AS BIGINT) AS revenue FROM lineitem GROUP BY 1, 2")
 def sale_totals(spark, sf_dir):
     line = F.struct(F.col("l_partkey").alias("item_template_id"), F.when(F.col("l_linenumber") % 2 == 0, 57).otherwise(4037).alias("currency_id"), F.col("l_quantity").cast("bigint").alias("count"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("unit_price"))
-    return events.sale_totals(lines_of(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_list(line).alias("lines")))
+    return events.sale_totals(dealt(lines_of(spark, sf_dir), "l_orderkey").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines")))
 
 
 BOOK_SQL = f"""book AS (SELECT e.user_id, e.event_id, e.value, e.ts FROM events e JOIN ({NEWEST}) n ON e.event_id = n.e WHERE event_type <> 'error' AND e.ts > (SELECT max(ts) FROM events) - INTERVAL 2 DAY)"""
@@ -278,7 +278,7 @@ def hero_history(spark, sf_dir):
 @query("SELECT l_suppkey AS npc_id, l_partkey AS item_id, count(DISTINCT l_orderkey) AS kills, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS items FROM lineitem GROUP BY 1, 2")
 def raid_drops(spark, sf_dir):
     drop = F.struct(F.col("l_partkey").alias("item_id"), F.col("l_quantity").cast("bigint").alias("count"))
-    kills = lines_of(spark, sf_dir).groupBy(F.col("l_orderkey").alias("kill_id"), F.col("l_suppkey").alias("npc_id")).agg(F.collect_list(drop).alias("drops"))
+    kills = dealt(lines_of(spark, sf_dir), "l_orderkey", "l_suppkey").groupBy(F.col("l_orderkey").alias("kill_id"), F.col("l_suppkey").alias("npc_id")).agg(F.collect_list(drop).alias("drops"))
     return events.raid_drops(kills)
 
 
