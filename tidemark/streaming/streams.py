@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -54,34 +54,68 @@ def ticks(rows: DataFrame, delay: str = "1 minute", forget_after_s: int = 86_400
     return timed.groupBy("pk").applyInPandasWithState(step, "pk bigint, tick bigint, op string", "tick bigint, row_hash bigint", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+#: Groups whose state is one row each: keys share them, as a call of a pandas function costs far more than a key's few rows.
+BUCKETS = 4096
+
+
+def by_bucket(rows: DataFrame, key: str, order: Sequence[str], state: str, take: Callable, end: Callable, until: Callable, output: str, delay: str) -> DataFrame:
+    """Keyed state over a stream (key, ts, ...), held by buckets of keys. ``take`` (key, state or None, row by name, out)
+    gives the key's next state and adds to ``out``; rows of a micro-batch come by ``order``, their instant as ``us``. A key
+    without rows whose ``until`` (state), in milliseconds, is behind the watermark goes through ``end`` (key, state, out).
+    ``state`` and ``output`` are schemas; those of the output begin with the key as a string."""
+    names = ["key", *[f.split()[0] for f in output.split(", ")[1:]]]
+    fields = ", ".join(f"{name} array<{kind}>" for name, kind in (f.split() for f in f"key string, until bigint, {state}".split(", ")))
+
+    def step(bucket, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        mark, out, fresh = held.getCurrentWatermarkMs(), [], set()
+        keys = {k: (ends, tuple(own)) for k, ends, *own in zip(*held.get)} if held.exists else {}
+        if not held.hasTimedOut:
+            for row in pd.concat(list(frames)).sort_values(list(order), kind="stable").itertuples(index=False):
+                keys[row.key] = None, take(row.key, keys[row.key][1] if row.key in keys else None, row, out)
+                fresh.add(row.key)
+        for k in fresh:
+            keys[k] = max(until(keys[k][1]), mark + 1), keys[k][1]
+        for k in [k for k, (ends, _) in keys.items() if k not in fresh and ends < mark]:
+            end(k, keys.pop(k)[1], out)
+        if keys:
+            held.update(tuple(map(list, zip(*[(k, ends, *own) for k, (ends, own) in keys.items()]))))
+            held.setTimeoutTimestamp(min(ends for ends, _ in keys.values()))
+        elif held.exists:
+            held.remove()
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    timed = rows.withWatermark("ts", delay).withColumn("key", F.col(key).cast("string"))
+    timed = timed.select(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).alias("bucket"), "key", F.unix_micros("ts").alias("us"), *[c for c in rows.columns if c != key])
+    found = timed.groupBy("bucket").applyInPandasWithState(step, output, fields, "append", GroupStateTimeout.EventTimeTimeout)
+    return found.withColumn("key", F.col("key").cast(rows.schema[key].dataType))
+
+
 def store_changes(events: DataFrame, silence_s: int = 1500, delay: str = "1 minute") -> DataFrame:
     """(char_id, ts, change) of a stream (char_id, ts, open): OPENED, CLOSED on a null state, EXPIRED when a trader has
     been silent for ``silence_s`` of event time."""
 
-    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, is_open = state.get if state.exists else (None, False)
-        out = []
-        if state.hasTimedOut:
-            if is_open:
-                out.append((key[0], pd.Timestamp(seen, unit="us", tz="UTC") + pd.Timedelta(seconds=silence_s), "EXPIRED"))
-            state.remove()
-        else:
-            for row in pd.concat(list(frames)).sort_values("ts", kind="stable").itertuples():
-                now = row.ts.value // 1000
-                if seen is not None and now < seen:
-                    continue
-                if is_open and now - seen >= silence_s * 1_000_000:
-                    out.append((key[0], pd.Timestamp(seen, unit="us", tz="UTC") + pd.Timedelta(seconds=silence_s), "EXPIRED"))
-                    is_open = False
-                if row.open != is_open:
-                    out.append((key[0], pd.Timestamp(now, unit="us", tz="UTC"), "OPENED" if row.open else "CLOSED"))
-                seen, is_open = now, bool(row.open)
-            state.update((seen, is_open))
-            state.setTimeoutTimestamp(max(seen // 1000 + silence_s * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["char_id", "ts", "change"])
-
-    timed = events.select("char_id", "ts", "open").withWatermark("ts", delay)
-    return timed.groupBy("char_id").applyInPandasWithState(step, "char_id bigint, ts timestamp, change string", "seen bigint, open boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    silence = silence_s * 1_000_000
+
+    def take(key, state, row, out):
+        seen, is_open = state or (None, False)
+        now, is_now = row.us, row.open
+        if seen is not None and now < seen:
+            return state
+        if is_open and now - seen >= silence:
+            out.append((key, seen + silence, "EXPIRED"))
+            is_open = False
+        if is_now != is_open:
+            out.append((key, now, "OPENED" if is_now else "CLOSED"))
+        return now, bool(is_now)
+
+    def end(key, state, out):
+        seen, is_open = state
+        if is_open:
+            out.append((key, seen + silence, "EXPIRED"))
+
+    found = by_bucket(events.select("char_id", "ts", "open"), "char_id", ["us"], "seen bigint, open boolean", take, end, lambda state: state[0] // 1000 + silence_s * 1000, "key string, us bigint, change string", delay)
+    return found.select(F.col("key").alias("char_id"), F.timestamp_micros("us").alias("ts"), "change")
 
 
 def escalations(observations: DataFrame, grace_s: int = 900, delay: str = "1 minute", forget_after_s: int = 604_800) -> DataFrame:
@@ -90,36 +124,29 @@ def escalations(observations: DataFrame, grace_s: int = 900, delay: str = "1 min
     watermark, comes too late and is dropped. The state of a key that has been silent for ``forget_after_s`` of event
     time goes, so its next failure is a FIRST."""
 
-    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        first, told, seen = state.get if state.exists else (None, False, None)
-        out = []
-        for row in pd.concat(list(frames)).sort_values(["ts", "seq"], kind="stable").itertuples():
-            now = row.ts.value // 1000
-            if seen is not None and now < seen:
-                continue
-            if row.ok or (seen is not None and now - seen >= forget_after_s * 1_000_000):
-                first, told = None, False
-            seen = now
-            if row.ok:
-                continue
-            if first is None:
-                first, level = now, "FIRST"
-            elif told:
-                level = "SILENT"
-            elif now - first >= grace_s * 1_000_000:
-                told, level = True, "ESCALATED"
-            else:
-                level = "REPEAT"
-            out.append((key[0], row.ts.tz_localize("UTC") if row.ts.tzinfo is None else row.ts, level))
-        state.update((first, told, seen))
-        state.setTimeoutTimestamp(max(seen // 1000 + forget_after_s * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["key", "ts", "level"])
-
-    timed = observations.select("key", "ts", "ok", "seq").withWatermark("ts", delay)
-    return timed.groupBy("key").applyInPandasWithState(step, "key string, ts timestamp, level string", "first bigint, told boolean, seen bigint", "append", GroupStateTimeout.EventTimeTimeout)
+    def take(key, state, row, out):
+        first, told, seen = state or (None, False, None)
+        now = row.us
+        if seen is not None and now < seen:
+            return state
+        if row.ok or (seen is not None and now - seen >= forget_after_s * 1_000_000):
+            first, told = None, False
+        if row.ok:
+            return first, told, now
+        if first is None:
+            first, level = now, "FIRST"
+        elif told:
+            level = "SILENT"
+        elif now - first >= grace_s * 1_000_000:
+            told, level = True, "ESCALATED"
+        else:
+            level = "REPEAT"
+        out.append((key, now, level))
+        return first, told, now
+
+    end = lambda key, state, out: None
+    found = by_bucket(observations.select("key", "ts", "ok", "seq"), "key", ["us", "seq"], "first bigint, told boolean, seen bigint", take, end, lambda state: state[2] // 1000 + forget_after_s * 1000, "key string, us bigint, level string", delay)
+    return found.select("key", F.timestamp_micros("us").alias("ts"), "level")
 
 
 def command_timeouts(commands: DataFrame, replies: DataFrame, wait: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
