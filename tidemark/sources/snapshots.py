@@ -51,7 +51,8 @@ def load_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
     rows = spark.read.schema(SCHEMA).parquet(f"{path}/data/version={version}")
     told = spark.read.schema("format int, entity string, n bigint, checksum bigint").json(f"{path}/manifest/version={version}").where(f"format = {FORMAT} AND entity IS NOT NULL")
     sound = _check(rows).join(told, ["entity", "n", "checksum"]).select("entity")
-    return rows.join(sound, "entity", "left_semi")
+    # A row an entity: without the broadcast, rows are dealt by entity, all keys of one into one task.
+    return rows.join(F.broadcast(sound), "entity", "left_semi")
 
 
 def manifest_text(spark: SparkSession, path: str, version: int) -> list[dict]:
