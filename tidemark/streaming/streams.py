@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -58,6 +58,10 @@ def ticks(rows: DataFrame, delay: str = "1 minute", forget_after_s: int = 86_400
 BUCKETS = 4096
 
 
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+
+
 def by_bucket(rows: DataFrame, key: str, order: Sequence[str], state: str, take: Callable, end: Callable, until: Callable, output: str, delay: str) -> DataFrame:
     """Keyed state over a stream (key, ts, ...), held by buckets of keys. ``take`` (key, state or None, row by name, out)
     gives the key's next state and adds to ``out``; rows of a micro-batch come by ``order``, their instant as ``us``. A key
@@ -86,7 +90,7 @@ def by_bucket(rows: DataFrame, key: str, order: Sequence[str], state: str, take:
             yield pd.DataFrame(out, columns=names)
 
     timed = rows.withWatermark("ts", delay).withColumn("key", F.col(key).cast("string"))
-    timed = timed.select(F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).alias("bucket"), "key", F.unix_micros("ts").alias("us"), *[c for c in rows.columns if c != key])
+    timed = timed.select(bucket_of("key").alias("bucket"), "key", F.unix_micros("ts").alias("us"), *[c for c in rows.columns if c != key])
     found = timed.groupBy("bucket").applyInPandasWithState(step, output, fields, "append", GroupStateTimeout.EventTimeTimeout)
     return found.withColumn("key", F.col("key").cast(rows.schema[key].dataType))
 
