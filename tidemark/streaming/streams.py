@@ -26,34 +26,6 @@ def dedup_stream(events: DataFrame, delay: str, event_id: str = "event_id", time
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([event_id])
 
 
-def ticks(rows: DataFrame, delay: str = "1 minute", forget_after_s: int = 86_400) -> DataFrame:
-    """(pk, tick, op) of a stream of population rows (pk, tick, row_hash, ts): CREATED for a key that the tick before
-    didn't have, UPDATED for another hash. Keys that leave send nothing; their state goes once event time is
-    ``forget_after_s`` past their last row."""
-
-    def step(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        tick, last = state.get if state.exists else (None, None)
-        out, seen = [], 0
-        for row in pd.concat(list(frames)).sort_values("tick").drop_duplicates("tick", keep="last").itertuples():
-            seen = max(seen, row.ts.value // 1_000_000)
-            if tick is not None and row.tick <= tick:
-                continue
-            if tick is None or row.tick != tick + 1:
-                out.append((key[0], row.tick, "CREATED"))
-            elif row.row_hash != last:
-                out.append((key[0], row.tick, "UPDATED"))
-            tick, last = int(row.tick), int(row.row_hash)
-        state.update((tick, last))
-        state.setTimeoutTimestamp(max(seen + forget_after_s * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["pk", "tick", "op"])
-
-    timed = rows.select("pk", "tick", "row_hash", "ts").withWatermark("ts", delay)
-    return timed.groupBy("pk").applyInPandasWithState(step, "pk bigint, tick bigint, op string", "tick bigint, row_hash bigint", "append", GroupStateTimeout.EventTimeTimeout)
-
-
 #: Groups whose state is one row each: keys share them, as a call of a pandas function costs far more than a key's few rows.
 BUCKETS = 4096
 
@@ -95,6 +67,28 @@ def by_bucket(rows: DataFrame, key: str, order: Sequence[str], state: str, take:
     return found.withColumn("key", F.col("key").cast(rows.schema[key].dataType))
 
 
+def ticks(rows: DataFrame, delay: str = "1 minute", forget_after_s: int = 86_400) -> DataFrame:
+    """(pk, tick, op) of a stream of population rows (pk, tick, row_hash, ts): CREATED for a key that the tick before
+    didn't have, UPDATED for another hash. Of a tick's rows in a micro-batch the latest counts. Keys that leave send
+    nothing; their state goes once event time is ``forget_after_s`` past their last row."""
+
+    def take(key, state, row, out):
+        tick, last, seen = state or (None, None, 0)
+        seen = int(max(seen, row.us // 1000))
+        if tick is not None and row.tick <= tick:
+            return tick, last, seen
+        if tick is None or row.tick != tick + 1:
+            out.append((key, row.tick, "CREATED"))
+        elif row.row_hash != last:
+            out.append((key, row.tick, "UPDATED"))
+        return int(row.tick), int(row.row_hash), seen
+
+    end = lambda key, state, out: None
+    latest = rows.select("pk", "tick", "row_hash", "ts", (-F.unix_micros("ts")).alias("latest"))
+    found = by_bucket(latest, "pk", ["tick", "latest"], "tick bigint, row_hash bigint, seen bigint", take, end, lambda state: state[2] + forget_after_s * 1000, "key string, tick bigint, op string", delay)
+    return found.select(F.col("key").cast("bigint").alias("pk"), "tick", "op")
+
+
 def store_changes(events: DataFrame, silence_s: int = 1500, delay: str = "1 minute") -> DataFrame:
     """(char_id, ts, change) of a stream (char_id, ts, open): OPENED, CLOSED on a null state, EXPIRED when a trader has
     been silent for ``silence_s`` of event time."""
