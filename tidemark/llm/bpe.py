@@ -2,7 +2,8 @@
 
 Frequent words of the corpus are compiled, with their token ids as outputs, into a shared-suffix automaton
 (:mod:`tidemark.llm.lexicon`) which every task memory-maps. Each batch of texts is cut into words, its distinct
-words walk the automaton together, and words that are not in it are merged exactly by the tokenizer's ranks.
+words walk the automaton together, and words that are not in it are merged exactly by the tokenizer's ranks: Latin
+ones all together, a merge of each at a time, the others one by one.
 
 A word is a run between white space: the tokenizer's own split never joins across white space, so the ids of a
 text are those of its words one after another, whatever the text's length.
@@ -19,7 +20,6 @@ import json
 import os
 import re
 import tempfile
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import lexicon
-from tidemark.llm.common import WS, cut, text_or_empty
+from tidemark.llm.common import cut
 
 #: Words of the lexicon at most, and their UTF-8 bytes at most: bounds of what the driver collects and compiles.
 LEXICON_WORDS = 1 << 18
@@ -38,7 +38,11 @@ LEXICON_WORD_BYTES = 48
 #: Words seen fewer times are left to merging.
 MIN_COUNT = 4
 #: Characters that a batch of whole texts gathers before its words are looked up; a longer text is a batch itself.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 22
+#: Widths of the tables in which pieces of words are merged together, and a table's rows; words of more characters
+#: than half of the last are merged alone.
+WIDTHS = (8, 16, 32, 128)
+TABLE_ROWS = 1 << 13
 #: Merged words, and pieces of words, that a Python worker remembers; then it forgets all of them.
 CACHE_WORDS = 50_000
 
@@ -49,7 +53,8 @@ _SPACE = re.compile("[\x09-\x0d\x20\x85\xa0  -     　]+")
 #: Words of these characters, printable ASCII and Latin letters, are their own NFC form and lower-case one by one
 #: (but for the dotted capital I); their pieces are cut here, as the tokenizer's own steps would.
 _LATIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
-_LATIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u017f]+|[0-9]|[^a-z\u00c0-\u017f0-9]+")
+#: The pieces are cut in UTF-8, in which all bytes from 80 on are letters' here; the space between words is one too.
+_LATIN_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xff]+|[0-9]|[^a-z\x80-\xff0-9 ]+| ")
 
 
 def byte_letters() -> dict[int, str]:
@@ -67,6 +72,39 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+def words_of(texts: pa.LargeStringArray) -> pa.Array:
+    """:func:`split_words` of each text as a list; there may be empty words among them."""
+    if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+        return pa.array([split_words(t) for t in texts.to_pylist()], pa.list_(pa.large_string()))
+    return pc.utf8_split_whitespace(texts)
+
+
+def bytes_of(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of texts, and where in them each text begins and the last one ends."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    return np.frombuffer(data or b"", np.uint8), at
+
+
+def runs(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all runs, one run after another, by their first numbers and lengths."""
+    ends = np.cumsum(lengths)
+    return np.repeat(first - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def woven(n: int, parts: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of ``n`` things in their order, and how many each has, from parts: (numbers of things, how many ids each of
+    them has, these ids)."""
+    parts, lengths = list(parts), np.zeros(n, np.int64)
+    for which, count, _ in parts:
+        lengths[which] = count
+    at = np.cumsum(lengths) - lengths
+    ids = np.empty(int(lengths.sum()), "<u4")
+    for which, count, of in parts:
+        ids[runs(at[which], count)] = of
+    return ids, lengths
+
+
 class Merger:
     """Exact encoding of single words: the tokenizer's normaliser and splitter, then merges by rank."""
 
@@ -100,6 +138,111 @@ class Merger:
         pattern = splits[0].get("pattern", {}).get("Regex") if splits else None
         self.latin = kinds == ["NFC", "Replace", "Lowercase"] and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
         self.pieces: dict[str, list[int]] = {}
+        self.merged: dict[str, list[int]] = {}
+        if self.latin:
+            self._tabulate()
+
+    def _tabulate(self) -> None:
+        """Ids of single bytes, within and at the end of a piece, and merges by the ids of their pairs."""
+        letters = [self.letters[chr(b)] for b in range(256)]
+        try:
+            self.inner = np.array([self.ids[c] for c in letters], np.int64)
+            self.final = np.array([self.ids[c + self.end] for c in letters], np.int64)
+            pairs = sorted((self._pair(self.ids[a], self.ids[b]), k, self.ids[a + b]) for (a, b), k in self.merges.items())
+        except KeyError:
+            self.latin = False
+            return
+        self.pair_key, self.pair_rank = (np.array([p[x] for p in pairs], np.int64) for x in (0, 1))
+        self.unranked = 1 + max([p[1] for p in pairs], default=0)
+        self.into = np.zeros(self.unranked, np.int64)
+        self.into[self.pair_rank] = [p[2] for p in pairs]
+
+    def _pair(self, a, b):
+        """A number for two ids; -1 stands for none."""
+        return (a + 1) * (self.n_ids + 1) + b + 1
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids, ``unranked`` where they don't merge."""
+        if not len(self.pair_key):
+            return np.full(a.shape, self.unranked)
+        pair = self._pair(a, b)
+        at = np.minimum(np.searchsorted(self.pair_key, pair), len(self.pair_key) - 1)
+        return np.where(self.pair_key[at] == pair, self.pair_rank[at], self.unranked)
+
+    def _merge_table(self, symbols: np.ndarray, first: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`merge` of pieces of at most ``width`` symbols, a row each, all making a merge at a time: the ids that
+        each has, and all ids. The last column stays empty and stands beyond both ends of a row."""
+        column = np.arange(width + 1)
+        symbol = symbols[np.minimum(first[:, None] + column, len(symbols) - 1)]
+        symbol[column >= sizes[:, None]] = -1
+        rank = np.full(symbol.shape, self.unranked)
+        rank[:, :-1] = self._ranks(symbol[:, :-1], symbol[:, 1:])
+        after, before = np.tile(column + 1, (len(first), 1)), np.tile(column - 1, (len(first), 1))
+        row = np.arange(len(first))
+        while True:
+            i = rank[row].argmin(1)
+            least = rank[row, i]
+            more = least < self.unranked
+            if not more.any():
+                break
+            row, i, least = row[more], i[more], least[more]
+            j = after[row, i]
+            k, h = after[row, j], before[row, i]
+            made = self.into[least]
+            symbol[row, i], symbol[row, j], rank[row, j] = made, -1, self.unranked
+            after[row, i], before[row, k] = k, i
+            rank[row, i] = self._ranks(made, symbol[row, k])
+            rank[row, h] = self._ranks(symbol[row, h], made)
+        left = symbol >= 0
+        return left.sum(1), symbol[left]
+
+    def _latin_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of some words has, and all ids; the words are Latin without special tokens."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        text = " ".join(words).lower().encode()
+        sizes = np.fromiter(map(len, _LATIN_PIECES.findall(text)), np.int64)
+        raw = np.frombuffer(text, np.uint8)
+        first = np.cumsum(sizes) - sizes
+        symbols, last = self.inner[raw], first + sizes - 1
+        symbols[last] = self.final[raw[last]]
+        between = raw[first] == 0x20
+        word = np.cumsum(between)[~between]
+        first, sizes = first[~between], sizes[~between]
+        single = np.flatnonzero(sizes == 1)
+        parts, above = [(single, np.ones(len(single), np.int64), symbols[first[single]])], 1
+        for width in WIDTHS:
+            some = np.flatnonzero((sizes > above) & (sizes <= width))
+            for k in range(0, len(some), TABLE_ROWS):
+                of = some[k : k + TABLE_ROWS]
+                parts.append((of, *self._merge_table(symbols, first[of], sizes[of], width)))
+            above = width
+        ids, count = woven(len(first), parts)
+        return np.bincount(word, count, len(words)).astype(np.int64), ids
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`word` of many words: all ids, and how many each word has."""
+        short = WIDTHS[-1] // 2
+        quick = np.fromiter((self.latin and len(w) <= short and _LATIN.fullmatch(w) is not None and not self.around.search(w) for w in words), bool, len(words))
+        alone = np.flatnonzero(~quick)
+        slow = [self._remembered(words[k]) for k in alone.tolist()]
+        quick = np.flatnonzero(quick)
+        return woven(
+            len(words),
+            [
+                (quick, *self._latin_words([words[k] for k in quick.tolist()])),
+                (alone, np.array([len(x) for x in slow], np.int64), np.array([i for x in slow for i in x], "<u4")),
+            ],
+        )
+
+    def _remembered(self, word: str) -> list[int]:
+        if (ids := self.merged.get(word)) is None:
+            ids = self.word(word)
+            if len(word) <= 256:
+                if len(self.merged) >= CACHE_WORDS:
+                    self.merged.clear()
+                self.merged[word] = ids
+        return ids
 
     def piece(self, piece: str) -> list[int]:
         """:meth:`merge`, remembered."""
@@ -160,10 +303,8 @@ class Merger:
         if not text:
             return []
         if self.latin and _LATIN.fullmatch(text):
-            ids = []
-            for piece in _LATIN_PIECES.findall(text.lower()):
-                ids += self.piece(piece if piece.isascii() else "".join([self.letters[c] for c in piece.encode().decode("latin-1")]))
-            return ids
+            pieces = _LATIN_PIECES.findall(text.lower().encode())
+            return [i for piece in pieces for i in self.piece("".join([self.letters[c] for c in piece.decode("latin-1")]))]
         text = self.normalizer.normalize_str(text) if self.normalizer else text
         pieces = self.splitter.pre_tokenize_str(text) if self.splitter else [(text, None)]
         return [i for piece, _ in pieces for i in self.piece(piece)]
@@ -179,51 +320,62 @@ class Merger:
 
 
 class Codec:
-    """Encodes and decodes batches of texts in a task. Ids travel as little-endian unsigned 32-bit integers."""
+    """Encodes and decodes batches of texts in a task."""
 
     def __init__(self, tokenizer_json: str, lexicon_file: str):
         self.merger = Merger(tokenizer_json)
         self.arrays = lexicon.load(lexicon_file)
-        self.merged: dict[str, bytes] = {}
-
-    def of_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of distinct words: outputs of the transducer, else exact merges."""
-        rank = lexicon.ranks(self.arrays, [w.encode() for w in words])
-        known = np.flatnonzero(rank >= 0)
-        at = self.arrays["ids_at"]
-        first, last = at[rank[known]].tolist(), at[rank[known] + 1].tolist()
-        ids = memoryview(self.arrays["ids"]).cast("B")
-        found = {words[k]: bytes(ids[4 * a : 4 * b]) for k, a, b in zip(known.tolist(), first, last)}
-        for k in np.flatnonzero(rank < 0).tolist():
-            word = words[k]
-            if (x := self.merged.get(word)) is None:
-                x = array("I", self.merger.word(word)).tobytes()
-                if len(word) <= 256:
-                    if len(self.merged) >= CACHE_WORDS:
-                        self.merged.clear()
-                    self.merged[word] = x
-            found[word] = x
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [split_words(t) for t in texts]
-        of = self.of_words(list(set().union(*words)))
-        return [b"".join([of[w] for w in ws]) for ws in words]
-
-    def decode(self, ids: bytes) -> bytes:
-        """UTF-8 text of ids; special tokens stay. Without a decoder the tokens are joined by a space."""
-        numbers = np.frombuffer(ids, "<u4").tolist()
-        tokens = self.merger.tokens
+        self.tokens = pa.array([t.decode() for t in self.merger.tokens], pa.large_string())
+
+    def of_words(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of distinct words, and how many each has: outputs of the transducer, else exact merges."""
+        raw, at = bytes_of(words)
+        rank = lexicon.ranks_within(self.arrays, raw, at[:-1], np.diff(at))
+        known, rest = np.flatnonzero(rank >= 0), np.flatnonzero(rank < 0)
+        first = self.arrays["ids_at"][rank[known]]
+        count = self.arrays["ids_at"][rank[known] + 1] - first
+        merged, n_merged = self.merger.words(words.take(pa.array(rest)).to_pylist())
+        return woven(len(words), [(known, count, self.arrays["ids"][runs(first, count)]), (rest, n_merged, merged)])
+
+    def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts as unsigned 32-bit integers, and where in them each text's begin and the last one's end."""
+        lists = words_of(texts)
+        coded = lists.flatten().dictionary_encode()
+        ids, count = self.of_words(coded.dictionary)
+        word = coded.indices.to_numpy()
+        first, lengths = (np.cumsum(count) - count)[word], count[word]
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        of_text = lists.offsets.to_numpy()
+        return ids[runs(first, lengths)], at[of_text - of_text[0]]
+
+    def decode(self, ids: np.ndarray, at: np.ndarray) -> pa.LargeStringArray:
+        """The text of each run of ids; special tokens stay. Without a decoder the tokens are joined by a space."""
+        tokens = self.tokens.take(pa.array(ids))
         if self.merger.decoder is None:
-            return b" ".join([tokens[i] for i in numbers])
-        return self.merger.decoder.decode([tokens[i].decode() for i in numbers]).encode()
+            return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), tokens), pa.scalar(" ", pa.large_string()))
+        tokens = tokens.to_pylist()
+        return pa.array([self.merger.decoder.decode(tokens[a:b]) for a, b in zip(at.tolist(), at[1:].tolist())], pa.large_string())
+
+
+def digests(raw: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Hexadecimal SHA-256 of runs of an array."""
+    view, at = memoryview(raw), at.tolist()
+    return pa.array([hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(at, at[1:])], pa.string())
 
 
 def word_counts(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT) -> DataFrame:
     """Counts of the words of all documents: (word, n) from ``min_count`` on, words over the byte bound left out."""
-    words = docs.select(F.explode(F.split(text_or_empty(text_col), f"[{WS}]+")).alias("word"))
-    words = words.where(F.octet_length("word").between(1, LEXICON_WORD_BYTES))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
+
+    def run(batches):
+        for _, texts in _groups(batches):
+            found = words_of(texts).flatten().value_counts()
+            size = pc.binary_length(found.field(0))
+            found = found.filter(pc.and_(pc.greater(size, 0), pc.less_equal(size, LEXICON_WORD_BYTES)))
+            yield pa.RecordBatch.from_arrays([found.field(0).cast(pa.string()), found.field(1)], names=["word", "n"])
+
+    # Counts of a slice of a batch leave Python, so what is shuffled are distinct words of tasks.
+    words = docs.select(F.col(text_col).cast("string").alias("__text")).mapInArrow(run, "word string, n bigint")
+    return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", size: int = LEXICON_WORDS, min_count: int = MIN_COUNT) -> list[str]:
@@ -246,9 +398,8 @@ def compile_lexicon(words: Iterable[str], tokenizer_json: str) -> dict[str, np.n
     merger = Merger(tokenizer_json)
     sound = sorted(w.encode() for w in set(words) if split_words(w) == [w])
     arrays = lexicon.compile_words(sound)
-    ids = [merger.word(w.decode()) for w in sound]
-    arrays["ids"] = np.array([i for x in ids for i in x], "<u4")
-    arrays["ids_at"] = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+    arrays["ids"], count = merger.words([w.decode() for w in sound])
+    arrays["ids_at"] = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
     return arrays
 
 
@@ -284,16 +435,16 @@ def build(spark: SparkSession, docs: DataFrame, tokenizer_json: str, text_col: s
     return _share(spark, tokenizer_json, "tokenizer"), _share(spark, path, "lexicon")
 
 
-def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of batches with their texts, of BATCH_CHARS characters or one text each; only a slice's texts become
-    Python strings at a time."""
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.LargeStringArray]]:
+    """Slices of batches, of BATCH_CHARS characters or one text each: their first column and their texts, which are the
+    last one, null ones empty."""
     for batch in batches:
-        lengths = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
+        lengths = pc.fill_null(pc.utf8_length(batch.columns[-1]), 0).to_pylist()
         at, chars = 0, 0
         for k, n in enumerate([*lengths, None]):
             if n is None or (chars and chars + n > BATCH_CHARS):
                 rows = batch.slice(at, k - at)
-                yield rows, [t or "" for t in rows.column(1).to_pylist()]
+                yield rows.column(0), pc.fill_null(rows.columns[-1], "").cast(pa.large_string())
                 at, chars = k, 0
             chars += n or 0
 
@@ -304,11 +455,9 @@ def encode(docs: DataFrame, names: tuple[str, str], id_col: str = "doc_id", text
 
     def run(batches):
         codec = _codec(*names)
-        for rows, texts in _groups(batches):
-            coded = codec.encode(texts)
-            flat = np.frombuffer(b"".join(coded), "<i4")
-            at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(at, flat), pa.array(np.diff(at).astype(np.int64))], names=[id_col, "ids", "n_tokens"])
+        for keys, texts in _groups(batches):
+            ids, at = codec.encode(texts)
+            yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(at.astype(np.int32), ids.view("<i4")), pa.array(np.diff(at))], names=[id_col, "ids", "n_tokens"])
 
     kind = source.schema[id_col].dataType.simpleString()
     return source.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, n_tokens bigint")
@@ -320,8 +469,10 @@ def decode(coded: DataFrame, names: tuple[str, str], id_col: str = "doc_id") ->
     def run(batches):
         codec = _codec(*names)
         for batch in batches:
-            texts = [codec.decode(np.array(x or [], "<u4").tobytes()).decode() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
+            lists = batch.column(1)
+            at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(), dtype=np.int64)])
+            texts = codec.decode(lists.flatten().to_numpy(), at)
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts.cast(pa.string())], names=[id_col, "text"])
 
     kind = coded.schema[id_col].dataType.simpleString()
     return coded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, text string")
@@ -333,17 +484,10 @@ def round_trip(docs: DataFrame, names: tuple[str, str], id_col: str = "doc_id",
 
     def run(batches):
         codec = _codec(*names)
-        for rows, texts in _groups(batches):
-            coded = codec.encode(texts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column(0),
-                    pa.array([len(x) // 4 for x in coded], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in coded], pa.string()),
-                    pa.array([hashlib.sha256(codec.decode(x)).hexdigest() for x in coded], pa.string()),
-                ],
-                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        for keys, texts in _groups(batches):
+            ids, at = codec.encode(texts)
+            back = bytes_of(codec.decode(ids, at))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(np.diff(at)), digests(ids, at), digests(*back)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = source.schema[id_col].dataType.simpleString()
     return source.mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

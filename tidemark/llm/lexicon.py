@@ -103,15 +103,18 @@ def load(path: str) -> dict[str, np.ndarray]:
 
 
 def ranks(arrays: dict[str, np.ndarray], words: Sequence[bytes]) -> np.ndarray:
-    """Each word's rank, or -1 where it isn't a word of the automaton. All words take a step at a time."""
-    n = len(words)
+    """Each word's rank, or -1 where it isn't a word of the automaton."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    return ranks_within(arrays, np.frombuffer(b"".join(words), np.uint8), np.cumsum(lengths) - lengths, lengths)
+
+
+def ranks_within(arrays: dict[str, np.ndarray], buffer: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """:func:`ranks` of words that lie in a buffer of bytes. All words take a step at a time."""
+    n = len(starts)
     result = np.full(n, -1, np.int64)
     keys, to, out, final = arrays["arc_key"], arrays["arc_to"], arrays["arc_out"], arrays["final"]
     if not n or not len(keys):
         return result
-    lengths = np.fromiter(map(len, words), np.int64, n)
-    buffer = np.frombuffer(b"".join(words) or b"\0", np.uint8)
-    starts = np.cumsum(lengths) - lengths
     live = np.flatnonzero(lengths)
     state = np.full(len(live), int(arrays["root"][0]), np.int64)
     rank = np.zeros(len(live), np.int64)
