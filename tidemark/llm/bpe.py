@@ -1,7 +1,8 @@
 """Op 1: BPE encoding and decoding by a minimal acyclic transducer lexicon.
 
 Frequent words of the corpus are compiled, with their token ids as outputs, into a shared-suffix automaton
-(:mod:`tidemark.llm.lexicon`) which every task memory-maps. Each batch of texts is cut into words, its distinct
+(:mod:`tidemark.llm.lexicon`) which every task memory-maps. Tasks compile a part of the words each; the driver gets
+their arrays and puts them one after another. Each batch of texts is cut into words, its distinct
 words walk the automaton together, and words that are not in it are merged exactly by the tokenizer's ranks: Latin
 ones all together, a merge of each at a time, the others one by one.
 
@@ -32,9 +33,11 @@ from pyspark.sql import functions as F
 from tidemark.llm import lexicon
 from tidemark.llm.common import cut
 
-#: Words of the lexicon at most, and their UTF-8 bytes at most: bounds of what the driver collects and compiles.
+#: Words of the lexicon at most, and their UTF-8 bytes at most: bounds of what the tasks compile and the driver joins.
 LEXICON_WORDS = 1 << 18
 LEXICON_WORD_BYTES = 48
+#: Parts that the words of the lexicon are compiled in.
+LEXICON_PARTS = 32
 #: Words seen fewer times are left to merging.
 MIN_COUNT = 4
 #: Characters that a batch of whole texts gathers before its words are looked up; a longer text is a batch itself.
@@ -323,7 +326,7 @@ class Codec:
     """Encodes and decodes batches of texts in a task."""
 
     def __init__(self, tokenizer_json: str, lexicon_file: str):
-        self.merger = Merger(tokenizer_json)
+        self.merger = _merger(tokenizer_json)
         self.arrays = lexicon.load(lexicon_file)
         self.tokens = pa.array([t.decode() for t in self.merger.tokens], pa.large_string())
 
@@ -378,8 +381,8 @@ def word_counts(docs: DataFrame, text_col: str = "text", min_count: int = MIN_CO
     return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
-def frequent_words(docs: DataFrame, text_col: str = "text", size: int = LEXICON_WORDS, min_count: int = MIN_COUNT) -> list[str]:
-    """Words whose count reaches the lowest cut that at most ``size`` words reach. Only they come to the driver."""
+def frequent_words(docs: DataFrame, text_col: str = "text", size: int = LEXICON_WORDS, min_count: int = MIN_COUNT) -> DataFrame:
+    """(word) of which the count reaches the lowest cut that at most ``size`` words reach."""
     counts = cut(word_counts(docs, text_col, min_count), "word-counts")
     by_count = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
     # How many words a count has falls as the count grows; the running sum from the top stops at ``size`` words.
@@ -388,14 +391,12 @@ def frequent_words(docs: DataFrame, text_col: str = "text", size: int = LEXICON_
         if r.words > room:
             break
         room, least = room - r.words, r.n
-    if least is None:
-        return []
-    return [r.word for r in counts.where(F.col("n") >= least).select("word").collect()]
+    return counts.where(F.col("n") >= least if least is not None else F.lit(False)).select("word")
 
 
 def compile_lexicon(words: Iterable[str], tokenizer_json: str) -> dict[str, np.ndarray]:
     """The transducer of ``words`` with the ids of each as its output."""
-    merger = Merger(tokenizer_json)
+    merger = _merger(tokenizer_json)
     sound = sorted(w.encode() for w in set(words) if split_words(w) == [w])
     arrays = lexicon.compile_words(sound)
     arrays["ids"], count = merger.words([w.decode() for w in sound])
@@ -403,9 +404,35 @@ def compile_lexicon(words: Iterable[str], tokenizer_json: str) -> dict[str, np.n
     return arrays
 
 
+def lexicon_parts(words: DataFrame, tokenizer_name: str) -> DataFrame:
+    """(part, arrays) of the parts that have any of ``words``, compiled in tasks."""
+
+    def dealt(batches):
+        for batch in batches:
+            raw, at = bytes_of(batch.column(0).cast(pa.large_string()))
+            part = lexicon.parts_of(raw, at[:-1], np.diff(at), LEXICON_PARTS)
+            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column(0)], names=["part", "word"])
+
+    def compiled(rows: pa.Table) -> pa.Table:
+        arrays = lexicon.dumped(compile_lexicon(rows["word"].to_pylist(), SparkFiles.get(tokenizer_name)))
+        return pa.table({"part": rows["part"][:1], "arrays": pa.array([arrays], pa.binary())})
+
+    # A part is a task's, so it takes as many tasks as there are parts, however few bytes they are.
+    of_part = words.mapInArrow(dealt, "part bigint, word string").repartition(LEXICON_PARTS, "part").groupBy("part")
+    return of_part.applyInArrow(compiled, "part bigint, arrays binary")
+
+
+_MERGERS: dict[str, Merger] = {}
 _CODECS: dict[tuple[str, str], Codec] = {}
 
 
+def _merger(tokenizer_json: str) -> Merger:
+    if tokenizer_json not in _MERGERS:
+        _MERGERS.clear()
+        _MERGERS[tokenizer_json] = Merger(tokenizer_json)
+    return _MERGERS[tokenizer_json]
+
+
 def _codec(tokenizer_name: str, lexicon_name: str) -> Codec:
     key = (tokenizer_name, lexicon_name)
     if key not in _CODECS:
@@ -429,10 +456,12 @@ def _share(spark: SparkSession, path: str, stem: str) -> str:
 
 def build(spark: SparkSession, docs: DataFrame, tokenizer_json: str, text_col: str = "text", size: int = LEXICON_WORDS) -> tuple[str, str]:
     """Compile the corpus's lexicon and share it with the tokenizer file: the names that encoding takes."""
-    arrays = compile_lexicon(frequent_words(docs, text_col, size), tokenizer_json)
+    tokenizer = _share(spark, tokenizer_json, "tokenizer")
+    found = lexicon_parts(frequent_words(docs, text_col, size), tokenizer)
+    arrays = lexicon.joined({r.part: lexicon.loaded(r.arrays) for r in found.collect()}, LEXICON_PARTS)
     path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tidemark-")), "lexicon")
     lexicon.save(arrays, path)
-    return _share(spark, tokenizer_json, "tokenizer"), _share(spark, path, "lexicon")
+    return tokenizer, _share(spark, path, "lexicon")
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.LargeStringArray]]:

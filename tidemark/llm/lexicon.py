@@ -17,7 +17,7 @@ def compile_words(words: Iterable[bytes]) -> dict[str, np.ndarray]:
     """Arrays of the minimal automaton of ``words`` (distinct, sorted, not empty).
 
     ``arc_key``: state * 256 + byte, ascending; ``arc_to``: target state; ``arc_out``: rank added by the arc;
-    ``final``: whether a word ends in the state; ``root``: its number.
+    ``final``: whether a word ends in the state; ``root``: its number; ``base``: the rank of its first word.
     """
     register: dict[tuple, int] = {}
     finals: list[bool] = []
@@ -72,29 +72,45 @@ def compile_words(words: Iterable[bytes]) -> dict[str, np.ndarray]:
         "arc_out": np.array(out, np.int32),
         "final": np.array(finals, np.bool_),
         "root": np.array([root], np.int32),
+        "base": np.zeros(1, np.int64),
     }
 
 
-def save(arrays: dict[str, np.ndarray], path: str) -> None:
-    """One file: a line of JSON with each array's place, then the arrays, 64-byte aligned after that line."""
+def parts_of(buffer: np.ndarray, starts: np.ndarray, lengths: np.ndarray, parts: int) -> np.ndarray:
+    """The part that each word of a buffer belongs to, by its length, first and last byte; no word is empty."""
+    return (lengths + 31 * buffer[starts].astype(np.int64) + 7 * buffer[starts + lengths - 1].astype(np.int64)) % parts
+
+
+def joined(found: dict[int, dict[str, np.ndarray]], parts: int) -> dict[str, np.ndarray]:
+    """One automaton with a root for each part, of automata of the words of parts; ranks go on from part to part. Parts
+    without words may be missing. ``ids`` and ``ids_at``, if given, are outputs by rank."""
+    root, base, states, words = np.full(parts, -1, np.int32), np.zeros(parts, np.int64), 0, 0
+    ids_at, n_ids = [np.zeros(1, np.int64)], 0
+    pieces: dict[str, list[np.ndarray]] = {k: [np.zeros(0, kind)] for k, kind in (("arc_key", np.int64), ("arc_to", np.int32), ("arc_out", np.int32), ("final", np.bool_), ("ids", "<u4"))}
+    for part, a in sorted(found.items()):
+        root[part], base[part] = a["root"][0] + states, words
+        for name, more in (("arc_key", states << 8), ("arc_to", states), ("arc_out", 0)):
+            pieces[name].append(a[name] + a[name].dtype.type(more))
+        pieces["final"].append(a["final"])
+        pieces["ids"].append(a["ids"])
+        ids_at.append(a["ids_at"][1:] + n_ids)
+        states, words, n_ids = states + len(a["final"]), words + len(a["ids_at"]) - 1, n_ids + len(a["ids"])
+    return {name: np.concatenate(x) for name, x in pieces.items()} | {"root": root, "base": base, "ids_at": np.concatenate(ids_at)}
+
+
+def dumped(arrays: dict[str, np.ndarray]) -> bytes:
+    """A line of JSON with each array's place, then the arrays, 64-byte aligned after that line."""
     places, at = {}, 0
     for name, a in arrays.items():
         places[name] = [a.dtype.str, len(a), at]
         at += -(-a.nbytes // 64) * 64
     head = json.dumps(places).encode()
     head += b" " * (-(len(head) + 1) % 64) + b"\n"
-    with open(path, "wb") as f:
-        f.write(head)
-        for a in arrays.values():
-            f.write(a.tobytes())
-            f.write(b"\0" * (-a.nbytes % 64))
+    return b"".join([head, *(x for a in arrays.values() for x in (a.tobytes(), b"\0" * (-a.nbytes % 64)))])
 
 
-def load(path: str) -> dict[str, np.ndarray]:
-    """Memory-mapped arrays of a file by :func:`save`; processes of one machine share its pages."""
-    with open(path, "rb") as f:
-        head = f.readline()
-    raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
+def parsed(raw: np.ndarray, head: bytes) -> dict[str, np.ndarray]:
+    """Views of the arrays in the bytes of :func:`dumped`, by the line they begin with."""
     found = {}
     for name, (kind, n, at) in json.loads(head).items():
         start = len(head) + at
@@ -102,6 +118,24 @@ def load(path: str) -> dict[str, np.ndarray]:
     return found
 
 
+def loaded(content: bytes) -> dict[str, np.ndarray]:
+    """The arrays of :func:`dumped`."""
+    return parsed(np.frombuffer(content, np.uint8), content[: content.index(b"\n") + 1])
+
+
+def save(arrays: dict[str, np.ndarray], path: str) -> None:
+    """One file of :func:`dumped`."""
+    with open(path, "wb") as f:
+        f.write(dumped(arrays))
+
+
+def load(path: str) -> dict[str, np.ndarray]:
+    """Memory-mapped arrays of a file by :func:`save`; processes of one machine share its pages."""
+    with open(path, "rb") as f:
+        head = f.readline()
+    return parsed(np.memmap(path, np.uint8, "r").view(np.ndarray), head)
+
+
 def ranks(arrays: dict[str, np.ndarray], words: Sequence[bytes]) -> np.ndarray:
     """Each word's rank, or -1 where it isn't a word of the automaton."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -116,8 +150,8 @@ def ranks_within(arrays: dict[str, np.ndarray], buffer: np.ndarray, starts: np.n
     if not n or not len(keys):
         return result
     live = np.flatnonzero(lengths)
-    state = np.full(len(live), int(arrays["root"][0]), np.int64)
-    rank = np.zeros(len(live), np.int64)
+    part = parts_of(buffer, starts[live], lengths[live], len(arrays["root"]))
+    state, rank = arrays["root"][part].astype(np.int64), arrays["base"][part]
     depth = 0
     while len(live):
         key = state << 8 | buffer[starts[live] + depth]
